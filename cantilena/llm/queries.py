@@ -28,6 +28,13 @@ def op1_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .mixing import mix, n_words
+
+    docs = table(spark, sf_dir, "documents").select("doc_id", "source", n_words(text_of()).alias("size"))
+    return mix(docs, keys=["doc_id"]).select("doc_id", "size", "source_size", "target", "taken", "source")
+
+
 def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     from . import quality_rules as Q
 
@@ -36,6 +43,23 @@ def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return Q.quality_rules(docs, keep_texts=False).select("doc_id", *Q.COUNTS, "base_failed", "kept", "rule")
 
 
+def op6_packing(spark: SparkSession, sf_dir: str, tokenizer_path: str | None = None) -> DataFrame:
+    import public_tokenizers
+
+    from .packing import best_fit_pack
+
+    small_batches(spark)
+    return best_fit_pack(table(spark, sf_dir, "documents").select("doc_id", "text"), tokenizer_path or public_tokenizers.path("word_bpe_49k.json"))
+
+
+def op8_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .html_extract import extract_pages
+
+    small_batches(spark)
+    out = extract_pages(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
+    return out.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
 def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .line_dedup import drop_repeated_lines
 
@@ -43,4 +67,4 @@ def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_lines", "n_dropped", F.sha2(text_of("text"), 256).alias("kept_sha256"))
 
 
-QUERIES = {f.__name__: f for f in (op1_chat_format, op4_quality_rules, op9_line_dedup)}
+QUERIES = {f.__name__: f for f in (op1_chat_format, op3_mixing, op4_quality_rules, op6_packing, op8_html_extract, op9_line_dedup)}
