@@ -52,6 +52,21 @@ def op6_packing(spark: SparkSession, sf_dir: str, tokenizer_path: str | None = N
     return best_fit_pack(table(spark, sf_dir, "documents").select("doc_id", "text"), tokenizer_path or public_tokenizers.path("word_bpe_49k.json"))
 
 
+def op7_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .fingerprints import as_text, edited_fingerprints
+
+    out = edited_fingerprints(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return out.select(
+        "doc_id",
+        F.length("text").cast("long").alias("n_chars"),
+        F.sha2("edited", 256).alias("edited_sha256"),
+        as_text(F.col("entries")).alias("fingerprint"),
+        as_text(F.col("edited_entries")).alias("edited_fingerprint"),
+        "near_edited",
+        "near_next",
+    )
+
+
 def op8_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .html_extract import extract_pages
 
@@ -67,4 +82,4 @@ def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_lines", "n_dropped", F.sha2(text_of("text"), 256).alias("kept_sha256"))
 
 
-QUERIES = {f.__name__: f for f in (op1_chat_format, op3_mixing, op4_quality_rules, op6_packing, op8_html_extract, op9_line_dedup)}
+QUERIES = {f.__name__: f for f in (op1_chat_format, op3_mixing, op4_quality_rules, op6_packing, op7_fingerprints, op8_html_extract, op9_line_dedup)}
