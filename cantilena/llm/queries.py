@@ -28,6 +28,14 @@ def op1_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .quality_classifier import score_quality, train
+
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = train(docs, table(spark, sf_dir, "labels").select("doc_id", "quality"))
+    return score_quality(docs, model).select("doc_id", "held_out", "score", "predicted")
+
+
 def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .mixing import mix, n_words
 
@@ -82,4 +90,13 @@ def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_lines", "n_dropped", F.sha2(text_of("text"), 256).alias("kept_sha256"))
 
 
-QUERIES = {f.__name__: f for f in (op1_chat_format, op3_mixing, op4_quality_rules, op6_packing, op7_fingerprints, op8_html_extract, op9_line_dedup)}
+def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .pii import KINDS, as_text, find_pii
+
+    small_batches(spark)
+    out = find_pii(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    n = [F.size(F.expr(f"filter(base, s -> s.kind = '{k}')")).cast("long").alias(f"n_{k}") for k in KINDS]
+    return out.select("doc_id", *n, F.sha2(as_text(F.col("base")), 256).alias("base_sha256"), as_text(F.col("spans")).alias("spans"))
+
+
+QUERIES = {f.__name__: f for f in (op1_chat_format, op2_quality_classifier, op3_mixing, op4_quality_rules, op6_packing, op7_fingerprints, op8_html_extract, op9_line_dedup, op10_pii)}
