@@ -64,7 +64,7 @@ def base_spans(text: str) -> list[tuple[str, int, int]]:
     """(kind, start, end) by start, then kind."""
     out = [("email", a, b) for a, b in _emails(text)] if "@" in text else []
     if re.search("[0-9]", text):
-        out += [("ip", *m.span()) for m in _IP.finditer(text) if all(len(x.lstrip("0")) <= 3 and int(x) <= 255 for x in m[0].split("."))]
+        out += [("ip", *m.span()) for m in _IP.finditer(text) if all(len(x.lstrip("0")) <= 3 and int(x.lstrip("0") or 0) <= 255 for x in m[0].split("."))]
         for m in _CARD.finditer(text):
             digits = m[0].replace(" ", "").replace("-", "")
             if 14 <= len(digits) <= 19 and _luhn(digits):

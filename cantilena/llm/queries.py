@@ -51,6 +51,13 @@ def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return Q.quality_rules(docs, keep_texts=False).select("doc_id", *Q.COUNTS, "base_failed", "kept", "rule")
 
 
+def op5_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .near_duplicates import near_duplicates
+
+    small_batches(spark)
+    return near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text")).select("doc_id", "class_id", "class_size", "n_links")
+
+
 def op6_packing(spark: SparkSession, sf_dir: str, tokenizer_path: str | None = None) -> DataFrame:
     import public_tokenizers
 
@@ -99,4 +106,4 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", *n, F.sha2(as_text(F.col("base")), 256).alias("base_sha256"), as_text(F.col("spans")).alias("spans"))
 
 
-QUERIES = {f.__name__: f for f in (op1_chat_format, op2_quality_classifier, op3_mixing, op4_quality_rules, op6_packing, op7_fingerprints, op8_html_extract, op9_line_dedup, op10_pii)}
+QUERIES = {f.__name__: f for f in (op1_chat_format, op2_quality_classifier, op3_mixing, op4_quality_rules, op5_jaccard_join, op6_packing, op7_fingerprints, op8_html_extract, op9_line_dedup, op10_pii)}
