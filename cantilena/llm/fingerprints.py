@@ -21,16 +21,17 @@ from .common import text_of
 GRAM, FIVE = 12, 5
 WINDOW = FIVE * FIVE
 _LAST = 2**32 - 1
+_HIGH = 2**63 - 2**32
 
 
-def _entry(text: Column, position: Column) -> Column:
-    return F.shiftleft(F.hash(text).bitwiseAND(F.lit(2**31 - 1)).cast("long"), 32) + (F.lit(_LAST) - position.cast("long"))
+def _entry(text: Column, complement: Column) -> Column:
+    return F.xxhash64(text).bitwiseAND(F.lit(_HIGH)).bitwiseOR(complement)
 
 
-def gram_entries(text: Column, first: Column) -> Column:
-    """The entries of all k-grams; the first one is at position first."""
+def gram_entries(text: Column, complement: Column) -> Column:
+    """The entries of all k-grams; complement is that of the first one's position, a long."""
     grams = F.regexp_extract_all(text, F.lit(f"(?s)(?=(.{{{GRAM}}}))."), F.lit(1))
-    return F.transform(grams, lambda g, i: _entry(g, first + i))
+    return F.transform(grams, lambda g, i: _entry(g, complement - i))
 
 
 def _least(a: Column, apart: int) -> Column:
@@ -46,7 +47,7 @@ def _minima(df: DataFrame, entries: str, out: str) -> DataFrame:
 
 def _short(text: Column, entries: Column) -> Column:
     """The fingerprint of a text without a whole window."""
-    return F.when(F.length(text) == 0, F.expr("cast(array() as array<bigint>)")).when(F.size(entries) == 0, F.array(_entry(text, F.lit(0)))).otherwise(F.array(F.array_min(entries)))
+    return F.when(F.length(text) == 0, F.expr("cast(array() as array<bigint>)")).when(F.size(entries) == 0, F.array(_entry(text, F.lit(_LAST)))).otherwise(F.array(F.array_min(entries)))
 
 
 def winnow(df: DataFrame, text: str, out: str) -> DataFrame:
@@ -55,7 +56,7 @@ def winnow(df: DataFrame, text: str, out: str) -> DataFrame:
     A text shorter than a window has one entry, its least (or that of the whole text, if it is shorter than a k-gram); an empty or null
     text has none.
     """
-    df = df.withColumn("_t", text_of(text)).withColumn("_e", gram_entries(F.col("_t"), F.lit(0)))
+    df = df.withColumn("_t", text_of(text)).withColumn("_e", gram_entries(F.col("_t"), F.lit(_LAST)))
     df = _minima(df, "_e", "_m")
     return df.withColumn(out, F.when(F.size("_m") > 0, F.array_distinct("_m")).otherwise(_short(F.col("_t"), F.col("_e")))).drop("_t", "_e", "_m")
 
@@ -108,7 +109,7 @@ def edited_fingerprints(docs: DataFrame, *, id_col: str = "doc_id", text_col: st
     """
     spark = docs.sparkSession
     ids = docs.select(F.col(id_col).cast("long").alias("doc_id"))
-    bucket = range_bucket(ids, "doc_id", int(spark.conf.get("spark.sql.shuffle.partitions")))
+    bucket = range_bucket(ids, "doc_id", 4 * int(spark.conf.get("spark.sql.shuffle.partitions")))
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), text_of(text_col).alias("text")).withColumn("_bucket", F.coalesce(-bucket - 1, F.lit(0)).cast("int"))
     order = [F.col("doc_id").desc_nulls_last(), F.xxhash64("text").desc(), F.col("text").desc()]
     here = W.partitionBy("_bucket").orderBy(*order)
@@ -125,16 +126,21 @@ def edited_fingerprints(docs: DataFrame, *, id_col: str = "doc_id", text_col: st
     rows = rows.withColumn("_q", F.floor(n / 3).cast("int")).withColumn("_p", n - F.col("_q"))
     rows = rows.withColumn("_new", F.substring(F.col("_next"), F.lit(1), F.col("_q"))).drop("_next")
     rows = rows.withColumn("edited", F.concat(F.substring(F.col("text"), F.lit(1), F.col("_p")), "_new"))
-    rows = _minima(rows.withColumn("_e", gram_entries(F.col("text"), F.lit(0))), "_e", "_m")
+    rows = _minima(rows.withColumn("_e", gram_entries(F.col("text"), F.lit(_LAST))), "_e", "_m")
     rows = rows.withColumn("entries", F.when(F.size("_m") > 0, F.array_distinct("_m")).otherwise(_short(F.col("text"), F.col("_e"))))
     # What the edit leaves alone keeps its entries (up to _same) and its minima (up to _kept).
     same = F.greatest(F.col("_p") - (GRAM - 1), F.lit(0))
     rows = rows.withColumn("_same", same).withColumn("_kept", F.greatest(F.col("_same") - (WINDOW - 1), F.lit(0)))
     tail = F.concat(F.substring(F.col("text"), F.col("_same") + 1, F.col("_p") - F.col("_same")), "_new")
-    rows = rows.withColumn("_tail", F.concat(F.slice("_e", F.col("_kept") + 1, F.col("_same") - F.col("_kept")), gram_entries(tail, F.col("_same"))))
-    rows = rows.withColumn("_m", F.slice("_m", F.lit(1), F.col("_kept"))).drop("_e")
+    rows = rows.withColumn("_first", F.lit(_LAST) - F.col("_same").cast("long"))
+    rows = rows.withColumn("_tail", F.concat(F.slice("_e", F.col("_kept") + 1, F.col("_same") - F.col("_kept")), gram_entries(tail, F.col("_first"))))
+    # Chosen places never go back, so the minima that stay are the entries up to the last of them.
+    low = lambda x: x.bitwiseAND(F.lit(_LAST))
+    rows = rows.withColumn("_stop", F.when(F.col("_kept") > 0, low(F.get("_m", F.col("_kept") - 1)))).drop("_e", "_m")
     rows = _minima(rows, "_tail", "_tm")
-    rows = rows.withColumn("edited_entries", F.when(F.size("_m") + F.size("_tm") > 0, F.array_distinct(F.concat("_m", "_tm"))).otherwise(_short(F.col("edited"), F.col("_tail"))))
+    stay = F.when(F.col("_kept") > 0, F.filter("entries", lambda x: low(x) >= F.col("_stop"))).otherwise(F.expr("cast(array() as array<bigint>)"))
+    rows = rows.withColumn("_stay", stay)
+    rows = rows.withColumn("edited_entries", F.when(F.size("_stay") + F.size("_tm") > 0, F.array_distinct(F.concat("_stay", "_tm"))).otherwise(_short(F.col("edited"), F.col("_tail"))))
     rows = rows.select("doc_id", "text", "edited", "entries", "edited_entries", "_bucket", "_last", "_over_hashes", hashes(F.col("entries")).alias("_h"), hashes(F.col("edited_entries")).alias("_eh"))
     rows = rows.withColumn("_nh", F.coalesce(F.lead("_h").over(here), "_over_hashes"))
     return rows.select("doc_id", "text", "edited", "entries", "edited_entries", likeness(F.col("_h"), F.col("_eh")).alias("near_edited"), likeness(F.col("_h"), F.col("_nh")).alias("near_next"))
