@@ -10,7 +10,10 @@ counted in parallel, in parts of a bounded size, so that a length that a third o
 from __future__ import annotations
 
 import bisect
+import os
+import sys
 import zlib
+from array import array
 from collections.abc import Iterator
 from pathlib import Path
 
@@ -22,32 +25,92 @@ from pyspark.sql import Window as W
 
 from .common import cut, text_of
 
-CAPACITY, PART, CACHED_WORDS = 2048, 4096, 400_000
+CAPACITY, PART, CACHED_WORDS = 2048, 4096, 300_000
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
 
+def _byte_letters() -> dict[int, str]:
+    """The letters that byte-level models write for bytes: printable ones stand for themselves, the others follow from 256 on."""
+    plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    rest = [b for b in range(256) if b not in plain]
+    return {b: chr(b) for b in plain} | {b: chr(256 + i) for i, b in enumerate(rest)}
+
+
 class WordTokenizer:
-    """Ids of whole texts for tokenizers whose tokens never reach across white space; each word is encoded once."""
+    """Ids of whole texts for tokenizers whose tokens never reach across white space: each word is encoded once.
+
+    A word of Latin letters, with or without one mark behind it, is one unit of a lower-casing byte-level model, and the mark another: the
+    model's merges are asked for it directly. All other words go through the whole tokenizer. Probes at the start
+    decide whether the model at hand allows the short way.
+    """
+
+    MARKS = (b".", b",", b"!", b"?", b";")
 
     def __init__(self, model: str):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # tasks are parallel already
         from tokenizers import Tokenizer
 
-        self.model, self.known = Tokenizer.from_str(model), {}
-
-    def encode(self, text: str) -> bytes:
-        """Little-endian unsigned 32-bit ids."""
-        words = text.encode("utf-8", "surrogatepass").split()  # at ASCII white space alone
-        known = self.known
-        try:
-            return b"".join(map(known.__getitem__, words))
-        except KeyError:
-            new = [w for w in dict.fromkeys(words) if w not in known]
-            if len(known) + len(new) > CACHED_WORDS:
-                known.clear()
-                new = list(dict.fromkeys(words))
-            for w, e in zip(new, self.model.encode_batch([w.decode("utf-8", "replace") for w in new], add_special_tokens=False), strict=True):
-                known[w] = np.asarray(e.ids, dtype="<u4").tobytes()
-            return b"".join(map(known.__getitem__, words))
+        self.model, self.known, self.old = Tokenizer.from_str(model), {}, {}
+        self.merges, self.letters = self.model.model, _byte_letters()
+        self.marks = dict(zip(self.MARKS, self._ids(list(self.MARKS)), strict=True))
+        probes = ["the", "The", "éèçœ", "Ñandú", "straße", "ÀÉÎÕÜ", "Ǆon", "Łódź", "zyzzyvas"]
+        whole = [x.encode() + m for x in probes for m in (b"", *self.MARKS)]
+        self.short = [self._short(w) for w in whole] == self._ids(whole)
+
+    def _packed(self, ids: list[int]) -> bytes:
+        return array("I", ids).tobytes() if sys.byteorder == "little" else np.asarray(ids, dtype="<u4").tobytes()
+
+    def _ids(self, words: list[bytes]) -> list[bytes]:
+        return [self._packed(e.ids) for e in self.model.encode_batch_fast([w.decode("utf-8", "replace") for w in words], add_special_tokens=False)]
+
+    def _short(self, word: bytes) -> bytes | None:
+        """None if the word isn't made of Latin letters with at most one mark behind."""
+        mark = self.marks.get(word[-1:], b"")
+        core = word[:-1] if mark else word
+        if core.isalpha():  # of bytes: ASCII letters
+            text = core.lower().decode()
+        else:
+            text = core.decode("utf-8", "replace")
+            if not text.isalpha() or max(text) >= "\u0250":
+                return None
+            text = text.lower()
+            if not text.isalpha():
+                return None
+            text = "".join(map(self.letters.__getitem__, text.encode()))
+        return self._packed([t.id for t in self.merges.tokenize(text)]) + mark
+
+    def _learn(self, words: set[bytes]) -> None:
+        if len(self.known) > CACHED_WORDS:  # the words in use come back from the old ones
+            self.old, self.known = self.known, {}
+        known, old, short, long = self.known, self.old, self._short, []
+        for w in words:
+            ids = old.get(w) or (short(w) if self.short else None)
+            if ids is None:
+                long.append(w)
+            else:
+                known[w] = ids
+        if long:
+            known.update(zip(long, self._ids(long), strict=True))
+
+    def encode_all(self, texts: list[str]) -> Iterator[bytes]:
+        """Of each text the little-endian unsigned 32-bit ids."""
+        for at in range(0, len(texts), 64):
+            split = [t.encode("utf-8", "surrogatepass").split() for t in texts[at : at + 64]]  # at ASCII white space alone
+            every = set().union(*split)
+            new = every.difference(self.known)
+            if new:
+                self._learn(new if len(self.known) <= CACHED_WORDS else every)
+            ids = self.known.__getitem__
+            for words in split:
+                yield b"".join(map(ids, words))
+
+
+def _tokenizer(model: str) -> WordTokenizer:
+    """One a Python worker, which serves many tasks; its words are bounded by CACHED_WORDS and a batch."""
+    name = f"_cantilena_words_{zlib.crc32(model.encode())}"
+    if not hasattr(sys, name):
+        setattr(sys, name, WordTokenizer(model))
+    return getattr(sys, name)
 
 
 def tokenized(docs: DataFrame, tokenizer_path: str, *, capacity: int = CAPACITY, end_id: int = 0, id_col: str = "doc_id", text_col: str = "text", keep_ids: bool = False) -> DataFrame:
@@ -56,11 +119,11 @@ def tokenized(docs: DataFrame, tokenizer_path: str, *, capacity: int = CAPACITY,
     end = np.asarray([end_id], dtype="<u4").tobytes()
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        words = WordTokenizer(model.value)
+        words = _tokenizer(model.value)
         for pdf in batches:
             rows = []
-            for doc, text in zip(pdf["doc_id"], pdf["text"], strict=True):
-                ids = words.encode(text) + end
+            for doc, ids in zip(pdf["doc_id"], words.encode_all(pdf["text"].tolist()), strict=True):
+                ids += end
                 for piece, at in enumerate(range(0, len(ids), 4 * capacity)):
                     part = ids[at : at + 4 * capacity]
                     rows.append((doc, piece, at // 4, len(part) // 4, zlib.crc32(part)) + ((np.frombuffer(part, "<u4").astype("int64"),) if keep_ids else ()))
