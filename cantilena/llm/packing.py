@@ -68,7 +68,10 @@ class WordTokenizer:
         mark = self.marks.get(word[-1:], b"")
         core = word[:-1] if mark else word
         if core.isalpha():  # of bytes: ASCII letters
-            text = core.lower().decode()
+            low = core.lower()
+            if low != word and (ids := self.known.get(low) or self.old.get(low)):
+                return ids + mark
+            text = low.decode()
         else:
             text = core.decode("utf-8", "replace")
             if not text.isalpha() or max(text) >= "\u0250":
