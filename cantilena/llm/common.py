@@ -22,12 +22,17 @@ def small_batches(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
 
 
-def cut(df: DataFrame) -> DataFrame:
-    """df computed once and written to the shared checkpoint folder; its lineage ends there."""
-    spark = df.sparkSession
+def shared_folder(spark: SparkSession) -> str:
+    """The checkpoint folder, which the cluster names in spark.checkpoint.dir; one of our own only where none is set."""
     sc = spark.sparkContext
     if sc.getCheckpointDir() is None:
         sc.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="cantilena-"))
+    return sc.getCheckpointDir()
+
+
+def cut(df: DataFrame) -> DataFrame:
+    """df computed once and written to the shared checkpoint folder; its lineage ends there."""
+    shared_folder(df.sparkSession)
     return df.checkpoint(eager=True)
 
 
