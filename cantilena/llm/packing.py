@@ -36,41 +36,48 @@ def _byte_letters() -> dict[int, str]:
     return {b: chr(b) for b in plain} | {b: chr(256 + i) for i, b in enumerate(rest)}
 
 
-class WordTokenizer:
-    """Ids of whole texts for tokenizers whose tokens never reach across white space: each word is encoded once.
+class WordTokenizer(dict):
+    """The ids of each word seen, for tokenizers whose tokens never reach across white space: each word is encoded once.
 
-    A word of Latin letters, with or without one mark behind it, is one unit of a lower-casing byte-level model, and the mark another: the
-    model's merges are asked for it directly. All other words go through the whole tokenizer. Probes at the start
+    A word of Latin letters is one unit of a lower-casing byte-level model, and the marks behind it are another: the
+    model's merges are asked for the letters directly. All other words go through the whole tokenizer. Probes at the start
     decide whether the model at hand allows the short way.
     """
 
-    MARKS = (b".", b",", b"!", b"?", b";")
+    MARKS = b"!#$%&)*+,-./:;=>?@]^_|}~"
 
     def __init__(self, model: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # tasks are parallel already
         from tokenizers import Tokenizer
 
-        self.model, self.known, self.old = Tokenizer.from_str(model), {}, {}
-        self.merges, self.letters = self.model.model, _byte_letters()
-        self.marks = dict(zip(self.MARKS, self._ids(list(self.MARKS)), strict=True))
-        probes = ["the", "The", "éèçœ", "Ñandú", "straße", "ÀÉÎÕÜ", "Ǆon", "Łódź", "zyzzyvas"]
-        whole = [x.encode() + m for x in probes for m in (b"", *self.MARKS)]
-        self.short = [self._short(w) for w in whole] == self._ids(whole)
+        super().__init__()
+        self.model, self.old, self.marks, self.letters = Tokenizer.from_str(model), {}, {b"": b""}, _byte_letters()
+        self.merges = self.model.model
+        words = ["the", "The", "éèçœ", "Ñandú", "straße", "ÀÉÎÕÜ", "Ǆon", "Łódź", "zyzzyvas"]
+        probes = [x.encode() + m for x in words for m in (b"", b".", b",%%%", b"!!", b")", b"-;")]
+        self.short = [self._short(w) for w in probes] == [self._whole(w) for w in probes]
 
     def _packed(self, ids: list[int]) -> bytes:
         return array("I", ids).tobytes() if sys.byteorder == "little" else np.asarray(ids, dtype="<u4").tobytes()
 
-    def _ids(self, words: list[bytes]) -> list[bytes]:
-        return [self._packed(e.ids) for e in self.model.encode_batch_fast([w.decode("utf-8", "replace") for w in words], add_special_tokens=False)]
+    def _whole(self, word: bytes) -> bytes:
+        return self._packed(self.model.encode(word.decode("utf-8", "replace"), add_special_tokens=False).ids)
+
+    def _mark(self, mark: bytes) -> bytes:
+        ids = self.marks.get(mark)
+        if ids is None:
+            if len(self.marks) > 10_000:
+                self.marks = {b"": b""}
+            ids = self.marks[mark] = self._whole(mark)
+        return ids
 
     def _short(self, word: bytes) -> bytes | None:
-        """None if the word isn't made of Latin letters with at most one mark behind."""
-        mark = self.marks.get(word[-1:], b"")
-        core = word[:-1] if mark else word
+        """None if the word isn't made of Latin letters with marks behind."""
+        core = word.rstrip(self.MARKS)
         if core.isalpha():  # of bytes: ASCII letters
             low = core.lower()
-            if low != word and (ids := self.known.get(low) or self.old.get(low)):
-                return ids + mark
+            if low != word and (ids := self.get(low) or self.old.get(low)):
+                return ids + self._mark(word[len(core) :])
             text = low.decode()
         else:
             text = core.decode("utf-8", "replace")
@@ -80,32 +87,23 @@ class WordTokenizer:
             if not text.isalpha():
                 return None
             text = "".join(map(self.letters.__getitem__, text.encode()))
-        return self._packed([t.id for t in self.merges.tokenize(text)]) + mark
-
-    def _learn(self, words: set[bytes]) -> None:
-        if len(self.known) > CACHED_WORDS:  # the words in use come back from the old ones
-            self.old, self.known = self.known, {}
-        known, old, short, long = self.known, self.old, self._short, []
-        for w in words:
-            ids = old.get(w) or (short(w) if self.short else None)
+        return self._packed([t.id for t in self.merges.tokenize(text)]) + self._mark(word[len(core) :])
+
+    def __missing__(self, word: bytes) -> bytes:
+        if len(self) > CACHED_WORDS:  # words in use come back from the old ones
+            self.old = dict(self)
+            self.clear()
+        ids = self.old.get(word)
+        if ids is None:
+            ids = self._short(word) if self.short else None
             if ids is None:
-                long.append(w)
-            else:
-                known[w] = ids
-        if long:
-            known.update(zip(long, self._ids(long), strict=True))
-
-    def encode_all(self, texts: list[str]) -> Iterator[bytes]:
-        """Of each text the little-endian unsigned 32-bit ids."""
-        for at in range(0, len(texts), 64):
-            split = [t.encode("utf-8", "surrogatepass").split() for t in texts[at : at + 64]]  # at ASCII white space alone
-            every = set().union(*split)
-            new = every.difference(self.known)
-            if new:
-                self._learn(new if len(self.known) <= CACHED_WORDS else every)
-            ids = self.known.__getitem__
-            for words in split:
-                yield b"".join(map(ids, words))
+                ids = self._whole(word)
+        self[word] = ids
+        return ids
+
+    def encode(self, text: str) -> bytes:
+        """Little-endian unsigned 32-bit ids."""
+        return b"".join(map(self.__getitem__, text.encode("utf-8", "surrogatepass").split()))  # at ASCII white space alone
 
 
 def _tokenizer(model: str) -> WordTokenizer:
@@ -125,8 +123,8 @@ def tokenized(docs: DataFrame, tokenizer_path: str, *, capacity: int = CAPACITY,
         words = _tokenizer(model.value)
         for pdf in batches:
             rows = []
-            for doc, ids in zip(pdf["doc_id"], words.encode_all(pdf["text"].tolist()), strict=True):
-                ids += end
+            for doc, text in zip(pdf["doc_id"], pdf["text"], strict=True):
+                ids = words.encode(text) + end
                 for piece, at in enumerate(range(0, len(ids), 4 * capacity)):
                     part = ids[at : at + 4 * capacity]
                     rows.append((doc, piece, at // 4, len(part) // 4, zlib.crc32(part)) + ((np.frombuffer(part, "<u4").astype("int64"),) if keep_ids else ()))
