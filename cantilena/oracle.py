@@ -1,3 +1,163 @@
 """SQL that gives the rows of the registered queries."""
 
-SQL = {}
+from __future__ import annotations
+
+SQL: dict[str, str] = {}
+
+_WORDS = """words AS (SELECT user_id AS entry, event_id, event_type, epoch_us(ts) / 1e6 AS start, epoch_us(ts) / 1e6 + value / 100 AS "end",
+  value / 100 AS duration, least(value / 100, 1.0) AS prob FROM events)"""
+_SEGMENTED = _WORDS + ", seg AS (SELECT *, floor(start / 86400)::BIGINT AS seg FROM words)"
+_CAPTIONS = "cap AS (SELECT conv_id, turn, coalesce(text, '') AS text FROM conversations)"
+_OFFSETS = _CAPTIONS + """, off AS (SELECT conv_id, turn, text,
+  (coalesce(sum(length(text)) OVER (PARTITION BY conv_id ORDER BY turn ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))::BIGINT AS start_loc,
+  (sum(length(text)) OVER (PARTITION BY conv_id ORDER BY turn ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW))::BIGINT AS end_loc FROM cap)"""
+_WHOLE = "whole AS (SELECT conv_id, string_agg(text, '' ORDER BY turn) AS text FROM cap GROUP BY conv_id)"
+_BAD = "CASE WHEN prob < 0.4 THEN greatest(duration, 0.1) ELSE 0 END"
+_GOOD = "CASE WHEN prob >= 0.4 THEN duration ELSE 0 END"
+
+SQL["quality_bucket_hours"] = f"""WITH {_WORDS}, b AS (SELECT round_even(prob * 10, 0) / 10 AS bucket, sum(duration) AS s FROM words GROUP BY 1)
+SELECT bucket, round(s, 4) AS seconds, round(sum(s) OVER (ORDER BY bucket DESC), 4) AS cum_seconds,
+  round(sum(s) OVER (ORDER BY bucket DESC) / sum(s) OVER (), 6) AS cum_share FROM b"""
+SQL["entry_quality_score"] = f"WITH {_WORDS} SELECT entry, round(median(prob), 6) AS quality_score FROM words GROUP BY entry"
+SQL["segment_quality_score"] = f"WITH {_SEGMENTED} SELECT entry, seg, round(median(prob), 6) AS probability FROM seg GROUP BY entry, seg"
+_STATS = f"""{_SEGMENTED}, s AS (SELECT entry, seg, count(*) AS w, max("end") - min(start) AS d, median(prob) AS m FROM seg GROUP BY entry, seg),
+d AS (SELECT entry, max("end") - min(start) AS duration, median(prob) AS m FROM words GROUP BY entry)"""
+SQL["entry_statistics"] = f"""WITH {_STATS}
+SELECT entry, count(*) AS segments_count, sum(w)::BIGINT AS words_count, round(round(avg(w), 4), 2) AS avg_words_per_segment,
+  round(round(avg(s.d), 4), 2) AS avg_segment_duration,
+  CASE WHEN any_value(duration) > 0 THEN round(round(sum(w) * 60 / any_value(duration), 4), 2) ELSE 0.0 END AS avg_words_per_minute
+FROM s JOIN d USING (entry) GROUP BY entry"""
+SQL["normalized_entries"] = f"""WITH {_STATS}
+SELECT entry, count(*) AS segments_count, round(round(any_value(d.m), 4), 3) AS quality_score, round(min(round(s.m, 4)), 3) AS worst
+FROM s JOIN d USING (entry) GROUP BY entry"""
+SQL["source_stats"] = """SELECT source, sum(n_chars)::DOUBLE AS total, count(*) AS episodes, 2 * count(*) AS segments, sum(n_chars)::DOUBLE AS duration,
+  max(n_chars) / 2 AS longest FROM documents GROUP BY source"""
+SQL["subtitle_coverage"] = """WITH d AS (SELECT n_chars / 3600.0 AS h, doc_id IN (SELECT doc_id FROM labels) AS c FROM documents)
+SELECT count(*) AS files, count(*) FILTER (c) AS covered_files, round(sum(h), 6) AS hours, round(sum(h) FILTER (c), 6) AS covered_hours,
+  round(100 * sum(h) FILTER (c) / sum(h), 6) AS percent FROM d"""
+SQL["manifest"] = f"""WITH {_WORDS}
+SELECT 'events' AS source_type, NULL::VARCHAR AS source_id, entry::VARCHAR AS source_entry_id, round(median(prob), 6) AS quality_score, NULL::VARCHAR AS duration
+FROM words GROUP BY entry
+UNION ALL SELECT 'documents', source, doc_id::VARCHAR, NULL, NULL FROM documents"""
+SQL["session_join_lang"] = """SELECT o_orderkey AS id, c_mktsegment AS lang, n_name AS "user" FROM orders LEFT JOIN customer ON o_custkey = c_custkey
+LEFT JOIN nation ON c_nationkey = n_nationkey WHERE o_orderstatus = 'F' AND c_mktsegment IN ('BUILDING', 'MACHINERY')"""
+SQL["pending_entries"] = "SELECT doc_id, source FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels)"
+SQL["largest_per_group"] = """WITH f AS (SELECT o_custkey, o_orderkey || CASE WHEN o_orderstatus = 'F' THEN '.mp4' ELSE '.avi' END AS path, o_totalprice AS size, o_orderstatus = 'F' AS v FROM orders)
+SELECT o_custkey, path, size FROM f QUALIFY row_number() OVER (PARTITION BY o_custkey ORDER BY v DESC, size DESC, path) = 1"""
+SQL["first_seen_session"] = "SELECT user_id, min(epoch_us(ts)) AS first_us FROM events GROUP BY user_id"
+SQL["train_test_split"] = """SELECT source || '/' || doc_id AS uuid, CASE WHEN source IN ('src1', 'src2') THEN 'test' ELSE 'train' END AS split
+FROM documents JOIN labels USING (doc_id) WHERE quality <> 0 AND toxic <> 1 AND source <> 'src0'"""
+SQL["dedup_keep_first"] = "SELECT min(doc_id) AS doc_id, md5(coalesce(text, '')) AS digest FROM documents GROUP BY digest"
+SQL["first_match_lookup"] = """SELECT o_orderkey, o_custkey, l_partkey FROM orders JOIN
+(SELECT l_orderkey, min(l_linenumber::BIGINT * 100000000 + l_partkey) % 100000000 AS l_partkey FROM lineitem GROUP BY 1) ON o_orderkey = l_orderkey"""
+SQL["complete_entries"] = "SELECT c_custkey, count(*) AS n_parts FROM customer JOIN orders ON o_custkey = c_custkey WHERE o_orderstatus = 'O' GROUP BY 1"
+SQL["sidecar_spans"] = f"""WITH {_OFFSETS}, n AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn) - 1 AS at FROM off)
+SELECT c.conv_id, c.turn::INT AS segment, n.start_loc::DOUBLE AS start, n.end_loc::DOUBLE AS "end" FROM cap c LEFT JOIN n ON n.conv_id = c.conv_id AND n.at = c.turn"""
+SQL["ordered_text"] = f"WITH {_CAPTIONS} SELECT conv_id, md5(string_agg(text, ' ' ORDER BY turn)) AS digest FROM cap GROUP BY conv_id"
+SQL["work_batches"] = "SELECT doc_id, source, ((row_number() OVER (PARTITION BY source ORDER BY doc_id) - 1) // 200)::BIGINT AS batch FROM documents"
+SQL["playlist_leaves"] = """SELECT 'r' || n_regionkey AS root, 'c' || c_custkey AS id, c_name AS title FROM customer JOIN nation ON c_nationkey = n_nationkey
+UNION ALL SELECT 'r' || n_regionkey, 'n' || n_nationkey, n_name FROM nation WHERE n_nationkey NOT IN (SELECT c_nationkey FROM customer)
+UNION ALL SELECT 'r' || r_regionkey, 'r' || r_regionkey, r_name FROM region WHERE r_regionkey NOT IN (SELECT n_regionkey FROM nation)"""
+SQL["caption_offsets"] = f"WITH {_OFFSETS} SELECT conv_id, turn, start_loc, end_loc FROM off"
+_HOURLY = _WORDS + """, h AS (SELECT entry, start, event_id, floor(start / 3600) * 3600.0 AS ts,
+  5 * (row_number() OVER (PARTITION BY entry ORDER BY start, event_id) - 1) AS start_loc FROM words),
+g AS (SELECT entry, ts, dense_rank() OVER (PARTITION BY entry ORDER BY ts) AS grp, min(start_loc) AS start_loc, max(start_loc) + 5 AS end_loc, count(*) AS n FROM h GROUP BY entry, ts)"""
+SQL["merge_equal_ts"] = f"WITH {_HOURLY} SELECT entry, grp, ts::DOUBLE AS ts, start_loc, end_loc, n FROM g"
+SQL["timed_captions"] = f"""WITH {_HOURLY}, s AS (SELECT entry, grp - 1 AS pos, ts, lead(ts) OVER (PARTITION BY entry ORDER BY ts) AS nxt, start_loc, end_loc FROM g WHERE grp > 1)
+SELECT entry, pos::INT AS pos, ts::DOUBLE AS start, nxt::DOUBLE AS "end", (end_loc - start_loc - 1)::INT AS n_chars FROM s WHERE nxt IS NOT NULL
+UNION ALL SELECT entry, 0, 0.0, ts::DOUBLE, (start_loc - 1)::INT FROM s WHERE pos = 1"""
+_ISLANDS = _WORDS + """, r AS (SELECT entry, prob < 0.4 AS f, row_number() OVER (PARTITION BY entry ORDER BY start, event_id) - 1 AS i FROM words),
+q AS (SELECT entry, i - row_number() OVER (PARTITION BY entry ORDER BY i) AS g, i FROM r WHERE f),
+isl AS (SELECT entry, min(i) AS first_at, max(i) AS last_at, count(*) AS n FROM q GROUP BY entry, g)"""
+SQL["silence_islands"] = f"WITH {_ISLANDS} SELECT entry, first_at::INT AS first_at, last_at::INT AS last_at, n FROM isl"
+SQL["speech_complement"] = f"""WITH {_ISLANDS}, e AS (SELECT entry, first_at + 0.3 AS s, last_at + 0.7 AS e FROM isl UNION ALL SELECT entry, count(*), count(*) FROM words GROUP BY entry),
+c AS (SELECT entry, coalesce(lag(e) OVER (PARTITION BY entry ORDER BY s, e), 0) AS a, s AS b FROM e)
+SELECT entry, round(a::DOUBLE, 3) AS start, round(b::DOUBLE, 3) AS "end" FROM c WHERE a < b"""
+SQL["interval_union"] = f"""WITH {_WORDS}, r AS (SELECT entry, start, start + duration * 3600 AS e FROM words),
+m AS (SELECT *, max(e) OVER (PARTITION BY entry ORDER BY start, e ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS before FROM r),
+g AS (SELECT *, sum(CASE WHEN start <= before THEN 0 ELSE 1 END) OVER (PARTITION BY entry ORDER BY start, e ROWS UNBOUNDED PRECEDING) AS g FROM m)
+SELECT entry, round(min(start), 6) AS start, round(max(e), 6) AS "end", count(*) AS n FROM g GROUP BY entry, g"""
+SQL["nearest_asof"] = f"""WITH {_WORDS}, c AS (SELECT * FROM words WHERE event_type = 'click'), p AS (SELECT * FROM words WHERE event_type = 'purchase'),
+j AS (SELECT c.entry, c.event_id, p.event_id AS other_id, abs(p.start - c.start) AS gap, row_number() OVER (PARTITION BY c.event_id ORDER BY abs(p.start - c.start), p.start) AS k
+  FROM c LEFT JOIN p ON p.entry = c.entry)
+SELECT entry, event_id, other_id, round(gap, 6) AS gap FROM j WHERE k = 1"""
+SQL["interval_containment"] = f"""WITH {_OFFSETS}, n AS (SELECT *, turn * 10.0 AS ts, coalesce(lead(turn * 10.0) OVER (PARTITION BY conv_id ORDER BY turn), turn * 10.0) AS nxt FROM off),
+p AS (SELECT DISTINCT conv_id, floor(m * q)::BIGINT AS spot FROM (SELECT conv_id, max(end_loc) AS m FROM off GROUP BY conv_id), (VALUES (0.25), (0.5), (0.75)) v(q)),
+j AS (SELECT p.conv_id, spot, turn, start_loc, end_loc, ts, nxt, row_number() OVER (PARTITION BY p.conv_id, spot ORDER BY start_loc, end_loc, turn) AS k
+  FROM p JOIN n ON n.conv_id = p.conv_id AND spot BETWEEN start_loc AND end_loc)
+SELECT conv_id, spot AS "at", turn, round((ts + CASE WHEN end_loc > start_loc THEN (spot - start_loc) / (end_loc - start_loc) ELSE 0 END * (nxt - ts))::DOUBLE, 4) AS time FROM j WHERE k = 1"""
+SQL["interval_overlap"] = f"""WITH {_WORDS}, r AS (SELECT entry, event_id, event_type, start, start + duration * 600 AS e FROM words)
+SELECT a.entry, a.event_id, b.event_id AS other_event_id FROM r a JOIN r b ON a.entry = b.entry AND a.start < b.e AND a.e > b.start
+WHERE a.event_type = 'click' AND b.event_type = 'purchase'"""
+SQL["confusion_zone"] = f"""WITH {_WORDS}, e AS (SELECT entry, min(start) AS s, max("end") AS f FROM words GROUP BY entry),
+k AS (SELECT entry, s, f, unnest(generate_series(0, ceil((f - 172800 - s) / 43200)::INT - 1)) AS k FROM e WHERE s + 172800 < f),
+j AS (SELECT k.entry, k.k, k.s + k.k * 43200 AS a, sum({_BAD}) AS b, sum({_GOOD}) AS g FROM k LEFT JOIN words w ON w.entry = k.entry AND w.start < k.s + k.k * 43200 + 172800 AND w."end" > k.s + k.k * 43200 GROUP BY 1, 2, 3),
+r AS (SELECT entry, k, a, CASE WHEN coalesce(g, 0) = 0 THEN 'inf'::DOUBLE ELSE b / g END AS ratio FROM j)
+SELECT entry, round(a, 3) AS zone_start, round(a + 172800, 3) AS zone_end, round(ratio, 6) AS ratio FROM r WHERE ratio > 0.05 QUALIFY row_number() OVER (PARTITION BY entry ORDER BY k) = 1"""
+SQL["trailing_word_window"] = f"""WITH {_WORDS}, w AS (SELECT entry, event_id, sum({_BAD}) OVER x AS b, sum({_GOOD}) OVER x AS g, sum(greatest(duration, 0.1)) OVER x AS t, avg(prob) OVER x AS p
+  FROM words WINDOW x AS (PARTITION BY entry ORDER BY "end" RANGE BETWEEN 172800 PRECEDING AND CURRENT ROW)),
+r AS (SELECT entry, event_id, CASE WHEN t >= 5 THEN CASE WHEN g = 0 THEN 'inf'::DOUBLE ELSE b / g END END AS ratio, CASE WHEN t >= 5 THEN p END AS p FROM w)
+SELECT entry, event_id, round(ratio, 6) AS ratio, round(p, 6) AS mean_prob, coalesce(ratio > 0.05, FALSE) AS broken FROM r"""
+SQL["probable_segment_before"] = f"""WITH {_WORDS}, t AS (SELECT entry, max(start) AS t FROM words GROUP BY entry),
+h AS (SELECT w.entry, floor((t - start) / 21600)::BIGINT AS hop, start, prob FROM words w JOIN t ON t.entry = w.entry WHERE prob >= 0.8 AND start < t)
+SELECT entry, hop, round(start, 3) AS start, round(prob, 6) AS prob FROM h WHERE hop < 6 QUALIFY row_number() OVER (PARTITION BY entry ORDER BY hop, start) = 1"""
+SQL["zero_length_words"] = f"""WITH {_WORDS}, z AS (SELECT entry, avg((CASE WHEN prob < 0.2 THEN 0 ELSE "end" - start END = 0)::INT) AS s FROM words GROUP BY entry)
+SELECT entry, round(s, 6) AS zero_share, s > 0.2 AS failed FROM z"""
+SQL["quantised_mode"] = f"""WITH {_WORDS}, v AS (SELECT entry, round_even(prob, 1) AS v, count(*) AS n FROM words GROUP BY 1, 2)
+SELECT entry, v AS mode FROM v QUALIFY row_number() OVER (PARTITION BY entry ORDER BY n DESC, v) = 1"""
+_T = ", ".join(f"({k}, {v})" for k, v in {4: 2.776445, 5: 2.570582, 6: 2.446912, 7: 2.364624, 8: 2.306004, 9: 2.262157, 10: 2.228139, 11: 2.200985, 12: 2.178813, 13: 2.160369, 14: 2.144787, 15: 2.131450, 16: 2.119905, 17: 2.109816, 18: 2.100922, 19: 2.093024, 20: 2.085963, 21: 2.079614, 22: 2.073873, 23: 2.068658, 24: 2.063899, 25: 2.059539, 26: 2.055529, 27: 2.051831, 28: 2.048407, 29: 2.045230, 30: 2.042272, 31: 2.039513, 32: 2.036933, 33: 2.034515, 34: 2.032245}.items())
+SQL["lag_ci"] = f"""WITH {_WORDS}, f AS (SELECT entry, duration FROM words QUALIFY row_number() OVER (PARTITION BY entry ORDER BY event_id) <= 35),
+s AS (SELECT entry, count(*) AS n, avg(duration) AS m, stddev_samp(duration) / sqrt(count(*)) AS se FROM f GROUP BY entry),
+j AS (SELECT s.*, m - t * se AS low, m + t * se AS high FROM s LEFT JOIN (VALUES {_T}) q(df, t) ON df = n - 1)
+SELECT entry, n, round(m, 5) AS mean, round(low, 5) AS low, round(high, 5) AS high, n >= 5 AND (high - low <= 8 OR n >= 35) AS confident FROM j"""
+SQL["ema_word_duration"] = f"""WITH {_WORDS}, l AS (SELECT entry, list_prepend(0.42::DOUBLE, list(duration ORDER BY start, event_id)) AS d FROM words GROUP BY entry)
+SELECT entry, round(list_reduce(d, lambda a, x: 0.98::DOUBLE * a + 0.02::DOUBLE * x), 8) AS ema FROM l"""
+SQL["greedy_packing"] = f"""WITH RECURSIVE {_OFFSETS}, c AS (SELECT conv_id, turn, start_loc / 20.0 AS s, end_loc / 20.0 AS e, row_number() OVER (PARTITION BY conv_id ORDER BY turn) AS i, count(*) OVER (PARTITION BY conv_id) AS n FROM off),
+r AS (SELECT conv_id, i, n, 0 AS grp, s AS gs, turn, s, e FROM c WHERE i = 1 AND n >= 3
+  UNION ALL SELECT c.conv_id, c.i, c.n, CASE WHEN c.e - r.gs < 29.9 THEN r.grp ELSE r.grp + 1 END, CASE WHEN c.e - r.gs < 29.9 THEN r.gs ELSE c.s END, c.turn, c.s, c.e
+  FROM r JOIN c ON c.conv_id = r.conv_id AND c.i = r.i + 1 AND c.i < c.n)
+SELECT conv_id, grp::BIGINT AS grp, arg_min(turn, i) AS first_pos, arg_max(turn, i) AS last_pos, arg_min(s, i)::DOUBLE AS start, arg_max(e, i)::DOUBLE AS "end" FROM r GROUP BY conv_id, grp"""
+SQL["char_rarity_weights"] = """WITH c AS (SELECT lang, unnest(string_split(regexp_replace(coalesce(text, ''), '[\\s,.?]+', ' ', 'g'), '')) AS char FROM documents),
+n AS (SELECT lang, char, count(*) AS n FROM c WHERE char <> '' GROUP BY 1, 2),
+w AS (SELECT *, exp(1 - CASE WHEN max(ln(n)) OVER p > min(ln(n)) OVER p THEN (ln(n) - min(ln(n)) OVER p) / (max(ln(n)) OVER p - min(ln(n)) OVER p) ELSE 0 END) AS r FROM n WINDOW p AS (PARTITION BY lang))
+SELECT lang, char, n, round(r / sum(r) OVER (PARTITION BY lang), 8) AS weight FROM w"""
+_HIST = lambda t: "[" + ", ".join(f"(length({t}) - length(replace({t}, '{c}', '')))::DOUBLE" for c in "aeinrst") + "]"
+SQL["window_hist_search"] = f"""WITH {_CAPTIONS}, d AS (SELECT conv_id, string_agg(text, ' ' ORDER BY turn) AS text, arg_max(text, turn) AS q FROM cap GROUP BY conv_id),
+k AS (SELECT conv_id, text, q, unnest(generate_series(0, length(text) - length(q), 50)) AS spot FROM d WHERE length(q) > 0),
+h AS (SELECT conv_id, spot, {_HIST('q')} AS a, {_HIST('substr(text, spot + 1, length(q))')} AS b FROM k),
+s AS (SELECT conv_id, spot, list_dot_product(a, b) / sqrt(list_dot_product(a, a)) / sqrt(list_dot_product(b, b)) AS s FROM h WHERE list_sum(a) > 0 AND list_sum(b) > 0)
+SELECT conv_id AS doc_id, conv_id AS query, spot::INT AS "at", round(s, 6) AS similarity FROM s QUALIFY row_number() OVER (PARTITION BY conv_id ORDER BY s DESC, spot) <= 3"""
+SQL["locate_prefix"] = f"""WITH {_OFFSETS}, {_WHOLE}, w AS (SELECT o.conv_id, o.turn, o.start_loc, o.text, w.text AS whole FROM off o JOIN whole w USING (conv_id) WHERE length(o.text) > 0),
+p AS (SELECT conv_id, turn, substr(text, 1, 90) AS q, whole, unnest([270, 405, 608]) AS r, start_loc FROM w),
+f AS (SELECT conv_id, turn, r, greatest(start_loc - r, 0) AS lo, instr(substr(whole, greatest(start_loc - r, 0) + 1, 2 * r + length(q)), q) AS spot FROM p)
+SELECT conv_id, turn, (arg_min(lo + spot - 1, r) FILTER (spot > 0))::INT AS "at" FROM f GROUP BY conv_id, turn"""
+SQL["cosine_topk"] = """WITH s AS (SELECT q.vec_id AS query, e.vec_id, list_cosine_similarity(q.embedding::DOUBLE[], e.embedding::DOUBLE[]) AS s FROM embeddings q JOIN embeddings e ON q.vec_id <> e.vec_id WHERE q.vec_id % 100 = 0)
+SELECT query, vec_id, (row_number() OVER (PARTITION BY query ORDER BY round(s, 9) DESC, vec_id))::INT AS rank, round(s, 5) AS similarity FROM s QUALIFY rank <= 5"""
+SQL["text_normalize"] = r"""WITH d AS (SELECT doc_id, replace(replace(coalesce(text, ''), ', ', '; '), '. ', ' – ') AS t FROM documents),
+a AS (SELECT doc_id, regexp_replace(t, '\[[^\]]*\]', '', 'g') AS t FROM d),
+b AS (SELECT doc_id, regexp_replace(t, '([\p{L}\p{N}_])[\s]+[–—-]([\s])', '\1,\2', 'g') AS t FROM a),
+c AS (SELECT doc_id, regexp_replace(t, '([\p{L}\p{N}_]);', '\1,', 'g') AS t FROM b)
+SELECT doc_id, md5(regexp_replace(translate(t, '–—', '  '), '[\s]+', ' ', 'g')) AS digest FROM c"""
+SQL["bracket_unwrap"] = r"""WITH d AS (SELECT doc_id, regexp_replace(coalesce(text, ''), '([a-z]+), ', '( \1 ) ', 'g') AS t FROM documents),
+a AS (SELECT doc_id, regexp_replace(t, '[\(\[\{<]\s*([^\)\]\}>]*?)\s*[\)\]\}>]', chr(1) || '\1' || chr(2), 'g') AS t FROM d),
+b AS (SELECT doc_id, regexp_replace(t, '([\p{L}\p{N}\p{M}_])' || chr(1), '\1 ', 'g') AS t FROM a),
+c AS (SELECT doc_id, regexp_replace(t, chr(2) || '([\p{L}\p{N}\p{M}_])', ' \1', 'g') AS t FROM b)
+SELECT doc_id, md5(replace(replace(t, chr(1), ''), chr(2), '')) AS digest FROM c"""
+SQL["word_counts"] = r"SELECT doc_id, len(list_filter(regexp_split_to_array(coalesce(text, ''), '\s+'), lambda x: x <> ''))::INT AS n_words FROM documents"
+SQL["sentence_marks"] = r"""WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
+m AS (SELECT *, len(regexp_extract_all(t, '[\s.,;!?()\[\]{}]')) + 1 - regexp_matches(t, '^[\s.,;!?()\[\]{}]')::INT AS n FROM d)
+SELECT doc_id, n::INT AS n_points, regexp_matches(rtrim(right(t, 10), ' '), '[,.!?:]$') AS ends_sentence, regexp_matches(t, '^[\p{L}\p{N}_]') AS word_first, regexp_matches(t, '[\p{L}\p{N}_]$') AS word_last FROM m"""
+SQL["filename_sanitize"] = r"""SELECT page_id, translate(regexp_replace(coalesce(url, ''), '[\\/*?:"<>|]', '', 'g'), '–—', '--') AS name FROM pages"""
+SQL["url_parts"] = r"""SELECT page_id, nullif(regexp_extract(url, '[?&]page=([^&#]*)', 1), '') AS page, coalesce(regexp_matches(url, '^[a-z]+://([^/]*[.])?example[.]com([/?#]|$)'), FALSE) AS at_example FROM pages"""
+SQL["html_tagged"] = r"""WITH p AS (SELECT page_id, regexp_extract_all(coalesce(html, ''), '(?s)<li>(.*?)</li>', 1) AS l FROM pages)
+SELECT page_id, len(l)::INT AS n_items, md5(array_to_string(l, '|')) AS digest FROM p"""
+SQL["clock_texts"] = f"""WITH {_WORDS}, d AS (SELECT event_id, duration, start - floor(start / 86400) * 86400 AS s, round((start - floor(start / 86400) * 86400) * 1000)::BIGINT AS ms FROM words)
+SELECT event_id, printf('%02d:%02d:%02d.%03d', ms // 3600000, ms // 60000 % 60, ms // 1000 % 60, ms % 1000) AS clock,
+  printf('%02d:%02d:%02d.000', floor(s)::BIGINT // 3600, floor(s)::BIGINT // 60 % 60, floor(s)::BIGINT % 60) AS whole, round(ms / 1000, 3) AS seconds, trunc(duration / 0.02)::BIGINT AS frame FROM d"""
+SQL["feed_dates"] = "SELECT event_id, strftime(ts, '%Y.%m.%d') AS day FROM events"
+SQL["vtt_round_trip"] = f"""WITH {_CAPTIONS} SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY turn) - 1 AS id, turn * 10.0::DOUBLE AS start, turn * 10.0::DOUBLE + 9.5::DOUBLE AS "end" FROM cap WHERE trim(text) <> ''"""
+SQL["hourly_counts"] = "SELECT (epoch_us(ts) // 3600000000) * 3600 AS window_start, count(*) AS n, round(sum(value), 4) AS total FROM events GROUP BY 1"
+SQL["sliding_counts"] = """SELECT user_id, w * 1800 AS window_start, count(*) AS n FROM (SELECT user_id, unnest(generate_series(epoch_us(ts) // 1800000000 - 3, epoch_us(ts) // 1800000000)) AS w FROM events) GROUP BY ALL"""
+SQL["session_counts"] = """WITH g AS (SELECT user_id, epoch_us(ts) AS t, CASE WHEN epoch_us(ts) - lag(epoch_us(ts)) OVER (PARTITION BY user_id ORDER BY ts) < 1800000000 THEN 0 ELSE 1 END AS n FROM events),
+s AS (SELECT user_id, t, sum(n) OVER (PARTITION BY user_id ORDER BY t) AS s FROM g)
+SELECT user_id, min(t) AS session_start, count(*) AS n FROM s GROUP BY user_id, s"""
