@@ -1,0 +1,482 @@
+"""Operators against brute force, and their defined results on edge cases."""
+
+import collections
+import hashlib
+import itertools
+import re
+import zlib
+
+import numpy as np
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+from cantilena.llm import chat_format, fingerprints, html_extract, line_dedup, mixing, near_duplicates, packing, pii, quality_classifier, quality_rules
+
+SPACES = " \t\n\x0b\f\r"
+TOKENIZER = pytest.importorskip("public_tokenizers").path("word_bpe_49k.json")
+
+
+def rows_of(docs):
+    return [(r["doc_id"], r["text"]) for r in docs.collect()]
+
+
+# Line dedup
+
+
+def dedup(rows, least=10, min_docs=2):
+    key = lambda x: x.strip(SPACES).translate({c: c + 32 for c in range(65, 91)})
+    where = collections.defaultdict(set)
+    for i, t in rows:
+        for x in (t or "").split("\n"):
+            if len(key(x)) >= least:
+                where[key(x)].add(-(2**63) if i is None else i)
+    out = []
+    for i, t in rows:
+        lines = (t or "").split("\n")
+        mine = -(2**63) if i is None else i
+        kept = [x for x in lines if len(where.get(key(x), ())) < min_docs or min(where[key(x)]) == mine]
+        out.append((i, len(lines), len(lines) - len(kept), "\n".join(kept)))
+    return sorted(out, key=str)
+
+
+@pytest.mark.parametrize("min_docs", [2, 3])
+def test_line_dedup_is_exact(edge_docs, many_docs, min_docs):
+    for docs in (edge_docs, many_docs):
+        got = line_dedup.drop_repeated_lines(docs, min_docs=min_docs)
+        found = sorted(((r["doc_id"], r["n_lines"], r["n_dropped"], r["text"] or "") for r in got.collect()), key=str)
+        assert found == dedup(rows_of(docs), min_docs=min_docs)
+
+
+# Quality rules
+
+
+def counts(text):
+    words = [w for w in re.split("[\x20\x09-\x0d]+", text) if w]
+    seen = collections.Counter(zip(words, words[1:], words[2:], strict=False))
+    marked = {i + j for i, x in enumerate(zip(words, words[1:], words[2:], strict=False)) if seen[x] > 1 for j in range(3)}
+    lines = [x for x in text.split("\n") if x.strip(SPACES)]
+    return (len(words), sum(map(len, words)), sum(text.count(c) for c in "#*$%&|<>"), sum(x in lines[:i] for i, x in enumerate(lines)), len(marked))
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.text(alphabet="ab \n\t#|é\x85\xa0", max_size=60))
+def test_quality_counts(text):
+    assert tuple(quality_rules.counts_of(text)) == counts(text)
+
+
+def test_quality_rules(edge_docs, many_docs):
+    got = {r["doc_id"]: r for r in quality_rules.quality_rules(many_docs).collect()}
+    for i, t in rows_of(many_docs):
+        assert tuple(got[i][c] for c in quality_rules.COUNTS) == counts(t)
+        if "###" in t:
+            assert not got[i]["kept"]
+        elif not got[i]["base_failed"]:
+            assert got[i]["kept"], got[i]
+    same = {r["doc_id"]: r["kept"] for r in quality_rules.quality_rules(many_docs, keep_texts=False).collect()}
+    assert same == {i: r["kept"] for i, r in got.items()}
+    edge = quality_rules.quality_rules(edge_docs).collect()
+    assert len(edge) == edge_docs.count()
+    assert all(r["base_failed"] and not r["kept"] for r in edge if not (r["text"] or "").strip())
+
+
+def test_sketch_quantiles(spark):
+    values = np.random.default_rng(1).lognormal(1, 1, 4000)
+    df = spark.createDataFrame([(float(v),) for v in values], "v double")
+    b = sorted(r[0] for r in df.select(quality_rules.bucket_value(quality_rules.bucket(F.col("v")))).collect())
+    for q in (0.1, 0.5, 0.9):
+        assert abs(b[int(q * 4000)] / np.sort(values)[int(q * 4000)] - 1) < 0.011
+
+
+# Chat formatting
+
+texts = st.text(alphabet="a\\<>/turn =role|\n#:", max_size=30)
+
+
+def test_chat_round_trip(spark):
+    controls = ["<turn role=", "</turn>", "\\### Assistant: </turn> ok", "<\\/turn>", "\\", "\\\\<turn role=user>\n", "\n</turn>\n", "", None, "é𝄞 <", "turn>"]
+    turns = [(c, i, ["system", "user", "assistant", "weird>\n\\role", None][(c + i) % 5], t) for c in range(5) for i, t in enumerate(controls)]
+    turns += [(99, 0, "user", "hi"), (99, 1, "assistant", "yo"), (99, 1, "assistant", "yo"), (None, 0, "user", "x")]
+    df = spark.createDataFrame(turns, "conv_id long, turn long, role string, text string").withColumn("formatted", F.lit(1))
+    out = chat_format.format_chats(df)
+    out = out.withColumn("back", chat_format.read_turns(F.col("formatted"))).withColumn("loss", chat_format.loss_text(F.col("segments")))
+    got = {r["conv_id"]: r for r in out.collect()}
+    assert len(got) == 7
+    for c, r in got.items():
+        want = sorted(((t, role or "", x or "") for k, t, role, x in turns if k == c), key=lambda x: (x[0], x[1], x[2]))
+        assert [(b["role"], b["text"]) for b in r["back"]] == [w[1:] for w in want]
+        assert r["loss"] == "".join(x for _, role, x in want if role == "assistant")
+        assert "".join(s["text"] for s in r["segments"]) == r["formatted"]
+    assert not got[99]["valid"] and got[99]["error_at"] == 2
+    assert not got[None]["valid"] and got[None]["error_at"] == 1
+
+
+def test_chat_machine(spark):
+    def ends(roles):
+        df = spark.createDataFrame([(1, i, r, "t") for i, r in enumerate(roles)], "conv_id long, turn long, role string, text string")
+        return chat_format.format_chats(df).first()["error_at"]
+
+    assert ends(["system", "user", "assistant"]) is None
+    assert ends(["user", "assistant", "user", "assistant"]) is None
+    assert ends(["assistant"]) == 0
+    assert ends(["user", "user", "assistant"]) == 1
+    assert ends(["user", "assistant", "system"]) == 2
+    assert ends(["user"]) == 1
+    with pytest.raises(ValueError):
+        chat_format.Template(control=("<a", "b<"))
+
+
+# Mixing
+
+
+def test_targets_share_out(spark):
+    sizes = {"a": 100, "b": 10, "c": 10, "d": 1000, None: 80}
+    got = {r["source"]: r for r in mixing.targets(spark.createDataFrame(list(sizes.items()), "source string, size long")).collect()}
+    want, open_, left = {}, dict(zip(["a", "b", "c", "d", None], [1, 2, 3, 1, 2], strict=True)), float(sum(sizes.values()))
+    while open_:  # round by round, as the words say
+        level = left / sum(open_.values())
+        full = [s for s, w in open_.items() if w * level > 3 * sizes[s]]
+        if not full:
+            want |= {s: w * level for s, w in open_.items()}
+            break
+        for s in full:
+            want[s] = 3.0 * sizes[s]
+            left -= want[s]
+            del open_[s]
+    assert {s: pytest.approx(t) for s, t in want.items()} == {s: r["target"] for s, r in got.items()}
+
+
+@settings(max_examples=100, deadline=None)
+@given(st.lists(st.tuples(st.floats(0, 1), st.integers(0, 50)), max_size=40), st.integers(0, 9))
+def test_flight_keeps_totals(units, seed):
+    import random
+
+    pi, size = [u[0] for u in units], [u[1] for u in units]
+    out = mixing.flight(list(pi), size, random.Random(seed).random, False)
+    assert sum(0 < p < 1 for p in out) <= 2 and all(-1e-9 <= p <= 1 + 1e-9 for p in out)
+    assert abs(sum(out) - sum(pi)) < 1e-5 and abs(np.dot(out, size) - np.dot(pi, size)) < 1e-4
+    assert all(p in (0, 1) for p in mixing.flight(list(pi), size, random.Random(seed).random, True))
+
+
+def test_mix(spark, edge_docs, many_docs):
+    docs = many_docs.select("doc_id", "source", mixing.n_words(F.col("text")).alias("size"))
+    one = sorted(mixing.mix(docs, keys=["doc_id"], block=32).collect(), key=str)
+    two = sorted(mixing.mix(docs.repartition(7), keys=["doc_id"], block=32).collect(), key=str)
+    assert one == two and len(one) == 240
+    for s, rows in itertools.groupby(sorted(one, key=lambda r: r["source"]), key=lambda r: r["source"]):
+        rows = list(rows)
+        assert abs(sum(r["taken"] for r in rows) - rows[0]["target"]) <= 0.02 * rows[0]["target"] + 10, s
+        assert all(r["taken"] <= 3 * r["size"] for r in rows)
+    units = edge_docs.withColumn("size", mixing.n_words(F.col("text")))
+    assert mixing.mix(units, keys=["doc_id"]).count() == edge_docs.count()
+    mixed = mixing.mixed_rows(edge_docs)
+    assert mixed.columns == edge_docs.columns and mixed.count() <= 3 * edge_docs.count()
+
+
+# Near duplicates
+
+
+def classes(rows, n=5, least=0.8):
+    sets = []
+    for _, t in rows:
+        w = (t or "").encode().split()
+        sets.append(frozenset(tuple(w[i : i + n]) for i in range(max(1, len(w) - n + 1))) if w else frozenset())
+    root, links = list(range(len(rows))), collections.Counter()
+
+    def find(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    for i, j in itertools.combinations(range(len(rows)), 2):
+        a, b = sets[i], sets[j]
+        if (len(a & b) / len(a | b) if a | b else 1.0) >= least - 1e-9:
+            links[i] += 1
+            links[j] += 1
+            x, y = find(i), find(j)
+            root[max(x, y)] = min(x, y)
+    of = collections.defaultdict(list)
+    for i in range(len(rows)):
+        of[find(i)].append(i)
+    low = lambda i: -(2**63) if rows[i][0] is None else rows[i][0]
+    out = []
+    for members in of.values():
+        first = min(map(low, members))
+        out += [(rows[i][0], None if first == -(2**63) else first, len(members), links[i]) for i in members]
+    return sorted(out, key=str)
+
+
+def test_near_duplicates_are_exact(edge_docs, many_docs):
+    for docs in (edge_docs, many_docs):
+        got = near_duplicates.near_duplicates(docs).select("doc_id", "class_id", "class_size", "n_links").collect()
+        assert sorted(map(tuple, got), key=str) == classes(rows_of(docs))
+
+
+def test_groups_beyond_a_block(spark, monkeypatch):
+    """One group of near copies and a passage that many share, in blocks far smaller than the groups."""
+    import random
+
+    monkeypatch.setattr(near_duplicates, "BLOCK", 8)
+    monkeypatch.setattr(near_duplicates, "BIN", 16)
+    r, base, passage = random.Random(1), [f"w{i}" for i in range(120)], [f"p{i}" for i in range(70)]
+    rows = []
+    for i in range(60):
+        words = list(base)
+        for _ in range(r.randint(0, 4)):
+            words[r.randrange(120)] = f"x{r.randrange(30)}"
+        rows.append((i, " ".join(words)))
+    rows += [(100 + i, " ".join([*passage, *(f"q{i}-{j}" for j in range(r.randint(4, 14)))])) for i in range(50)]
+    got = near_duplicates.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert sorted(map(tuple, got.select("doc_id", "class_id", "class_size", "n_links").collect()), key=str) == classes(rows)
+
+
+def test_components(spark):
+    import random
+
+    r = random.Random(5)
+    edges = [(i, i + 1) for i in range(0, 40)] + [(r.randrange(50, 200), r.randrange(50, 200)) for _ in range(120)]
+    got = {x["node"]: x["comp"] for x in near_duplicates.components(spark.createDataFrame(edges, "a long, b long")).collect()}
+    root = {n: n for e in edges for n in e}
+
+    def find(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    for a, b in edges:
+        x, y = find(a), find(b)
+        root[max(x, y)] = min(x, y)
+    assert got == {n: find(n) for n in root if sum(n in e and e[0] != e[1] for e in edges)}
+
+
+def test_band_recall():
+    assert 1 - (1 - 0.8**near_duplicates.BAND_ROWS) ** near_duplicates.bands_for() >= near_duplicates.RECALL
+
+
+def test_one_of_each(edge_docs):
+    got = near_duplicates.one_of_each(edge_docs)
+    assert got.columns == edge_docs.columns
+    assert got.count() == near_duplicates.near_duplicates(edge_docs).select("class_key").distinct().count() == 16
+
+
+# Packing
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.dictionaries(st.integers(1, 64), st.integers(1, 30), max_size=20))
+def test_plan_fills_without_gaps(counts):
+    steps, taken, at = packing.plan(counts, 64), collections.Counter(), collections.defaultdict(list)
+    for length, first, n, seq, offset in steps:
+        assert taken[length] == first
+        taken[length] += n
+        for k in range(n):
+            at[seq + k].append((offset, length))
+    assert taken == collections.Counter(counts)
+    for parts in at.values():
+        end = 0
+        for offset, length in sorted(parts):
+            assert offset == end
+            end += length
+        assert end <= 64
+    need = max(-(-sum(n * c for n, c in counts.items()) // 64), sum(c for n, c in counts.items() if n > 32))
+    assert len(at) <= 1.23 * need + 1
+
+
+def test_packing(spark, edge_docs):
+    from tokenizers import Tokenizer
+
+    model = Tokenizer.from_file(TOKENIZER)
+    got = packing.best_fit_pack(edge_docs, TOKENIZER, keep_ids=True)
+    pieces = collections.Counter((r["doc_id"], r["piece"], r["start"], r["length"], r["ids_crc32"]) for r in got.collect())
+    want = collections.Counter()
+    for i, t in rows_of(edge_docs):
+        ids = [*model.encode(t or "", add_special_tokens=False).ids, 0]
+        for k in range(0, len(ids), 2048):
+            part = ids[k : k + 2048]
+            want[i, k // 2048, k, len(part), zlib.crc32(np.asarray(part, "<u4").tobytes())] += 1
+    assert pieces == want
+    lengths = {r["sequence_id"]: len(r["ids"]) for r in packing.sequences(got).collect()}
+    assert max(lengths.values()) <= 2048 and sum(lengths.values()) == sum(k[3] * n for k, n in want.items())
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.text(alphabet=st.sampled_from(list("aZéÉßñ€漢ǅİ'’.,!%#0 \n\t\xa0\x85")), max_size=25))
+def test_words_have_the_ids_of_whole_texts(text):
+    words = packing._tokenizer(open(TOKENIZER, encoding="utf-8").read())
+    assert words.short
+    assert words.encode(text) == np.asarray(words.model.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+
+
+# Fingerprints
+
+
+def winnowed(spark, texts):
+    """The chosen places of each text by the definition, with the hashes that Spark gives its k-grams."""
+    grams = sorted({t[i : i + 12] for t in texts for i in range(len(t) - 11)} | {t for t in texts if t})
+    high = {r["g"]: r["h"] >> 32 for r in spark.createDataFrame([(g,) for g in grams], "g string").withColumn("h", F.xxhash64("g").bitwiseAND(F.lit(2**63 - 2**32))).collect()}
+    out = []
+    for t in texts:
+        h = [high[t[i : i + 12]] for i in range(len(t) - 11)]
+        if not t:
+            out.append([])
+        elif not h:
+            out.append([(0, high[t])])
+        else:
+            w = min(25, len(h))
+            out.append(sorted({min(((h[i], -i) for i in range(s, s + w)), key=lambda x: x) for s in range(len(h) - w + 1)}, key=lambda x: -x[1]))
+            out[-1] = [(-p, v) for v, p in out[-1]]
+    return out
+
+
+def test_fingerprints(spark, edge_docs, many_docs):
+    for docs in (edge_docs.where("length(text) < 20000 or text is null").dropDuplicates(["doc_id", "text"]).where("doc_id is not null and doc_id != 18"), many_docs):
+        rows = sorted(rows_of(docs), key=lambda r: -r[0])
+        got = {r["doc_id"]: r for r in fingerprints.edited_fingerprints(docs).collect()}
+        texts = [t or "" for _, t in rows]
+        edited = [t[: len(t) - len(t) // 3] + texts[(k + 1) % len(texts)][: len(t) // 3] for k, t in enumerate(texts)]
+        chosen = winnowed(spark, texts + edited)
+        hashes = lambda f: {h for _, h in f}
+        like = lambda a, b: len(a & b) / len(a | b) if a | b else 1.0
+        for k, (i, _) in enumerate(rows):
+            r, own, new, following = got[i], chosen[k], chosen[len(rows) + k], chosen[(k + 1) % len(rows)]
+            assert r["edited"] == edited[k]
+            read = lambda e: [(2**32 - 1 - (x & (2**32 - 1)), x >> 32) for x in e]
+            assert read(r["entries"]) == own
+            assert read(r["edited_entries"]) == new
+            assert r["near_edited"] == pytest.approx(like(hashes(own), hashes(new))) and r["near_next"] == pytest.approx(like(hashes(own), hashes(following)))
+
+
+def test_fingerprints_of_edges(spark, edge_docs):
+    got = fingerprints.edited_fingerprints(edge_docs)
+    assert got.count() == edge_docs.count()
+    assert fingerprints.edited_fingerprints(edge_docs.where("doc_id = 7")).first()["near_next"] == 1.0
+
+
+# HTML extraction
+
+
+def cut_cost(scores, edges, labels):
+    return sum(max(-s, 0) if x else max(s, 0) for s, x in zip(scores, labels, strict=True)) + sum(c for (i, j), c in edges.items() if labels[i] != labels[j])
+
+
+@settings(max_examples=150, deadline=None)
+@given(st.lists(st.integers(-6, 6), min_size=1, max_size=9), st.dictionaries(st.tuples(st.integers(0, 8), st.integers(0, 8)), st.integers(1, 8), max_size=14))
+def test_minimum_cut(scores, edges):
+    n = len(scores)
+    scores, edges = [s / 2 for s in scores], {(i, j): c / 2 for (i, j), c in edges.items() if i < j < n}
+    best = min(cut_cost(scores, edges, x) for x in itertools.product([True, False], repeat=n))
+    assert cut_cost(scores, edges, html_extract.min_cut(scores, edges)) == pytest.approx(best)
+
+
+PAGE = """<!DOCTYPE html><html><head><title>T</title><style>p{}</style><script>var a="</p>";</script></head><body>
+<header><h1>Site name</h1></header><nav><ul><li><a href=/a>Home</a><li><a href=/b>About</a></ul></nav>
+<div class="cookie-notice">We use cookies on this site. Please agree to them.</div><div id="sidebar"><p>Read also: many other fine stories that we have for you today.</p></div>
+<main><article><h1>A headline here</h1><p>First &amp; foremost, <b>bold</b>text with a <a href=x>link</a>
+ inside of it.<p>Second paragraph&nbsp;of the story, which is long enough to count as prose.<div class="ad">Buy this thing now, it is the very best thing of all.</div>
+<p>Third.</p><form><label>Mail</label><input><p>Subscribe to our fine letter today.</p></form></article>
+<section id="comments"><p>I liked this story very much, thank you for writing it.</p></section></main>
+<footer>&copy; 2024 The site. All rights are reserved.</footer></body></html>"""
+
+
+def test_extraction(spark):
+    want = "A headline here First & foremost, boldtext with a link inside of it. Second paragraph of the story, which is long enough to count as prose. Third."
+    cases = [(1, PAGE, want), (2, None, ""), (3, "", ""), (4, "<script>x</script><!-- y", ""), (5, PAGE[: PAGE.index("<footer>") + 20], want), (6, "<nav>" + "<p>" * 3000, ""), (7, '<p a="x' + "<" * 2000, "")]
+    df = spark.createDataFrame([(i, h, "u", "old") for i, h, _ in cases], "page_id long, html string, url string, text string")
+    got = {r["page_id"]: r["text"] for r in html_extract.extract_pages(df).collect()}
+    assert {i: got[i] for i, _, _ in cases[:6]} == {i: w for i, _, w in cases[:6]}
+    assert html_extract.extract_pages(df.limit(0)).count() == 0
+
+
+# PII
+
+
+def spans(text):
+    E, I, C, P = (re.compile(x) for x in (r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", r"[0-9]([\x20-]?[0-9])+", r"\+[0-9][\x20().0-9-]+[0-9]"))  # noqa: E741
+    digits = lambda s: re.sub("[^0-9]", "", s)
+
+    def luhn(d):
+        return sum(sum(divmod(2 * int(c), 10)) if k % 2 else int(c) for k, c in enumerate(d[::-1])) % 10 == 0
+
+    out = [("email", *m.span()) for m in E.finditer(text)]
+    out += [("ip", *m.span()) for m in I.finditer(text) if all(int(x) <= 255 for x in m[0].split("."))]
+    out += [("card", *m.span()) for m in C.finditer(text) if 14 <= len(digits(m[0])) <= 19 and luhn(digits(m[0]))]
+    out += [("phone", *m.span()) for m in P.finditer(text) if 10 <= len(digits(m[0])) <= 15]
+    return sorted(out, key=lambda x: (x[1], pii.KINDS.index(x[0])))
+
+
+@settings(max_examples=500, deadline=None)
+@given(st.text(alphabet=st.sampled_from(list("a1259.@+-() é%_")), max_size=40))
+def test_pii_base_is_the_patterns(text):
+    assert pii.base_spans(text) == spans(text)
+
+
+def test_pii_base_on_long_runs():
+    assert pii.base_spans("1" * 50_000 + "@" + "a" * 50_000 + " " + "0" * 6000 + ".1.1.1")[-1][0] in ("ip", "card")
+
+
+def test_pii_discovers_by_context(spark):
+    people = [f"Please write to reader ann{i}@mail{i}.example.com before noon. Something else here." for i in range(12)]
+    hidden = ["Please write to reader k8842-77130 before noon. And so on.", "Numbers such as 55-88421-77 are not personal, and the reader k8842-77130 isn't either."]
+    docs = spark.createDataFrame(list(enumerate(people + hidden + [None, ""])), "doc_id long, text string")
+    got = {r["doc_id"]: (r["base"], r["spans"]) for r in pii.find_pii(docs).collect()}
+    assert [[s["kind"] for s in got[i][1]] for i in range(12)] == [["email"]] * 12
+    base, found = got[12]
+    assert not base and [(s["kind"], hidden[0][s["start"] : s["end"]]) for s in found] == [("email", "k8842-77130")]
+    assert all("55-88421-77" != hidden[1][s["start"] : s["end"]] for s in got[13][1])
+    assert got[14] == ([], []) and got[15] == ([], [])
+
+
+def test_pii_leaves_common_contexts_alone(spark):
+    filler = "of the world and of the sea and of the land " * 20
+    docs = [f"{filler} of the a{i}@b{i}.example.com" for i in range(10)] + [f"{filler} of the 88421-7713{i}" for i in range(10)]
+    got = pii.find_pii(spark.createDataFrame(list(enumerate(docs)), "doc_id long, text string")).collect()
+    assert all(r["spans"] == r["base"] for r in got)
+
+
+# Quality classifier
+
+
+def test_classifier(spark, many_docs, edge_docs):
+    labels = many_docs.select("doc_id", F.when(F.col("text").contains("###"), 0).otherwise(1).alias("quality"))
+    model = quality_classifier.train(many_docs, labels)
+    assert 0 < len(model.rules) < 40
+    got = {r["doc_id"]: r for r in quality_classifier.score_quality(many_docs, model).collect()}
+    for i, t in rows_of(many_docs):
+        assert got[i]["held_out"] == (zlib.crc32(str(i).encode()) % 4 == 2)
+        assert got[i]["predicted"] == int("###" not in t) == int(got[i]["score"] >= 0.7)
+    edge = quality_classifier.score_quality(edge_docs, model).collect()
+    assert len(edge) == edge_docs.count() and all(0 <= r["score"] <= 1 for r in edge)
+    none = quality_classifier.train(many_docs, labels.limit(0))
+    assert none.rules == () and 0 <= quality_classifier.score_quality(many_docs, none).first()["score"] <= 1
+
+
+def test_compiled_rules_are_the_rules(spark, many_docs):
+    stats = quality_classifier.text_statistics(many_docs).select("doc_id", "_stats")
+    rules = [quality_classifier.Rule((("words", True, 100.0), ("symbols", False, 0.01))), quality_classifier.Rule((("stops", False, 0.05),))]
+    rows = stats.select("_stats.*", *[r.column().alias(f"r{k}") for k, r in enumerate(rules)]).collect()
+    x = np.asarray([[r[n] for n in quality_classifier.NAMES] for r in rows])
+    for k, rule in enumerate(rules):
+        assert rule.array(x).tolist() == [r[f"r{k}"] for r in rows]
+
+
+# All of them on nothing
+
+
+def test_empty_tables(spark, no_docs):
+    out = [
+        line_dedup.drop_repeated_lines(no_docs),
+        quality_rules.quality_rules(no_docs),
+        quality_rules.quality_rules(no_docs, keep_texts=False),
+        near_duplicates.near_duplicates(no_docs),
+        near_duplicates.one_of_each(no_docs),
+        mixing.mixed_rows(no_docs),
+        mixing.mix(no_docs, keys=["doc_id"]),
+        packing.best_fit_pack(no_docs, TOKENIZER),
+        fingerprints.edited_fingerprints(no_docs),
+        pii.find_pii(no_docs),
+        quality_classifier.score_quality(no_docs, quality_classifier.train(no_docs, no_docs.select("doc_id", F.lit(1).alias("quality")))),
+        chat_format.format_chats(spark.createDataFrame([], "conv_id long, turn long, role string, text string")),
+    ]
+    assert [df.count() for df in out] == [0] * len(out)
+    assert hashlib.sha256(b"").hexdigest() == spark.range(1).select(F.sha2(F.lit(""), 256)).first()[0]
