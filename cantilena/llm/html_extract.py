@@ -39,6 +39,7 @@ SCOPE = frozenset("html body article section main div td th li table blockquote
 
 BAD_TAGS = frozenset("nav footer aside form button menu dialog fieldset legend input address".split())
 GOOD_TAGS = frozenset("article main".split())
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 BAD_NAMES = frozenset(
     """ad ads adv advert adverts advertisement advertisements advertising adsense banner banners promo promos promotion promoted sponsor sponsored sponsors
     nav navbar navigation menu menus breadcrumb breadcrumbs toolbar topbar masthead header footer foot sidebar sidebars rail aside widget widgets
@@ -47,9 +48,11 @@ BAD_NAMES = frozenset(
     share sharing social follow subscribe subscription newsletter signup login form search related recommended recommendations pagination pager skip
     complementary contentinfo navigation""".split()
 )
+#: On an article itself, words of the page's layout say nothing; on a heading, neither does "header", nor beside a good name.
+LAYOUT = frozenset("nav navigation menu header masthead footer foot sidebar sidebars aside widget share sharing social follow form search notice related".split())
 GOOD_NAMES = frozenset("article content main post entry story body text prose".split())
 #: The classifier, and the smoothness between neighbours of one container, of near ones, and between blocks of a container.
-WEIGHTS = {"bad": -12.0, "header": -12.0, "good_tag": 4.0, "good_name": 2.0, "word": 0.08, "most_words": 40, "links": -6.0, "no_sentence": -0.5, "bias": -1.0, "heading_in_article": 3.0}
+WEIGHTS = {"bad": -12.0, "header": -12.0, "good_tag": 4.0, "good_name": 2.0, "word": 0.1, "most_words": 40, "links": -6.0, "no_sentence": -0.5, "bias": -0.6, "heading_in_article": 3.0}
 NEAR, FAR, SAME = 1.5, 3.0, 0.75
 
 
@@ -144,8 +147,13 @@ def blocks_of(page: str) -> list[tuple[str, str, tuple, int, float]]:
         key = f"{tag} {attr}"
         if key not in seen:
             names = _names(attr) if "=" in attr else []
-            bad = tag in BAD_TAGS or _HIDDEN.search(attr) is not None or any(x in BAD_NAMES for x in names) and tag not in ("html", "body", "article", "main")
-            seen[key] = (WEIGHTS["bad"] if bad else 0.0) + (WEIGHTS["good_tag"] if tag in GOOD_TAGS else 0.0) + (WEIGHTS["good_name"] if not bad and any(x in GOOD_NAMES for x in names) else 0.0)
+            wrong, right = {x for x in names if x in BAD_NAMES}, any(x in GOOD_NAMES for x in names)
+            if tag in GOOD_TAGS:
+                wrong -= LAYOUT
+            elif right or tag in HEADINGS:
+                wrong -= {"header"}
+            bad = tag in BAD_TAGS or _HIDDEN.search(attr) is not None or wrong and tag not in ("html", "body")
+            seen[key] = (WEIGHTS["bad"] if bad else 0.0) + (WEIGHTS["good_tag"] if tag in GOOD_TAGS else 0.0) + (WEIGHTS["good_name"] if right and not bad else 0.0)
         score, inside = (stack[-1][1], stack[-1][2]) if stack else (0.0, False)
         if tag == "header" and not inside:
             score += WEIGHTS["header"]
@@ -164,7 +172,7 @@ def score(text: str, tag: str, links: int, around: float, inside: bool) -> float
     s = w["bias"] + around + w["word"] * min(words, w["most_words"]) + w["links"] * min(1.0, links / len(text))
     if not re.search(r"[.!?…。！？:;\"'”’)][\s\"'”’)]*$", text):
         s += w["no_sentence"]
-    if inside and tag in ("h1", "h2", "h3", "h4", "h5", "h6"):
+    if inside and tag in HEADINGS:
         s += w["heading_in_article"]
     return s
 
@@ -248,7 +256,7 @@ def labelled(page: str) -> list[tuple[str, bool]]:
                     break
                 common += 1
             apart = len(chain) + len(other) - 2 * common
-            edges[i - 1, i] = NEAR if apart <= 2 else FAR / (apart + 1)
+            edges[i - 1, i] = NEAR if apart <= 2 and found[i - 1][1] == found[i][1] else FAR / (apart + 1)
         if holder in last and last[holder] != i - 1:
             edges[last[holder], i] = SAME
         last[holder] = i
