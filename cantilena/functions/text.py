@@ -5,27 +5,33 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# The invisible direction and joining marks that transcripts are cleaned of.
-CONTROLS = "​‌‍‎‏‪‫‬‭‮⁠⁡⁢⁣⁤⁦⁧⁨⁩﻿"
+# The invisible direction, joining and isolating marks that transcripts are cleaned of.
+CONTROLS = "؜​‌‍‎‏‪‫‬‭‮⁦⁧⁨⁩﻿"
 # Vowel points; punctuation that looks like them stays.
 NIQQUD = "[֑-ׇֽֿׁׂׅׄ]"
 # Characters that file systems refuse.
 FORBIDDEN = r"[\\/*?:\"<>|]"
-# Media types of feeds, and containers of codecs.
-MIME_EXT = {"audio/mpeg": "mp3", "audio/x-m4a": "m4a", "video/mp4": "m4a"}
-CODEC_EXT = {"aac": "m4a", "mp3": "mp3", "opus": "ogg", "vorbis": "ogg", "flac": "flac", "pcm_s16le": "wav"}
+# Media types of feeds, audio containers of media containers, and of codecs.
+MIME_EXT = {"audio/mpeg": "mp3", "audio/x-m4a": "m4a", "video/mp4": "m4a", "soundcloud": "soundcloud"}
+CONTAINER_EXT = {"mp4": "m4a", "mkv": "mka", "webm": "webm", "avi": "wav", "mov": "m4a", "flv": "mp3"}
+CODEC_EXT = {"aac": "aac", "opus": "opus", "mp3": "mp3", "flac": "flac", "wav": "wav", "pcm_s16le": "wav"}
+#: Word characters as the rules below mean them: letters, numbers and the underscore of any script, but no combining marks.
+WORD = r"[\p{L}\p{N}_]"
 
 
 def remove_bracketed(text: Column) -> Column:
-    """Brackets of any kind and what is in them, with the space before."""
-    return F.regexp_replace(text, r"(?sU)\s*[\(\[\{<].*?[\)\]\}>]", "")
+    """Brackets of any kind and what is in them on a line, with the space before."""
+    return F.regexp_replace(text, r"(?Ud)\s*[\(\[\{<].*?[\)\]\}>]", "")
 
 
 def unwrap_brackets(text: Column) -> Column:
-    """Brackets go and their trimmed inside stays, a space either side unless a non-word character is there already."""
-    inner = F.regexp_replace(text, r"(?U)[\(\[\{<]\s*([^\)\]\}>]*?)\s*[\)\]\}>]", "\u0001$1\u0002")
-    spaced = F.regexp_replace(F.regexp_replace(inner, r"(?U)(?<=\w)\u0001", " "), r"(?U)\u0002(?=\w)", " ")
-    return F.translate(spaced, "\u0001\u0002", "")
+    """Brackets go and their trimmed inside stays; what is no word character around them stays too, or else a space comes there."""
+    other = WORD.replace("[", "[^", 1)
+    out = F.regexp_replace(text, rf"(?Ud)({other}*)[\(\[\{{<](.*?)[\)\]\}}>]({other}*)", "$1\u0001$2\u0002$3")
+    out = F.regexp_replace(out, rf"(?U)(^|{WORD})\u0001\s*", "$1 ")
+    out = F.regexp_replace(out, r"(?U)\u0001\s*", "")
+    out = F.regexp_replace(out, rf"(?U)\s*\u0002(?=$|{WORD})", " ")
+    return F.regexp_replace(out, r"(?U)\s*\u0002", "")
 
 
 def remove_niqqud(text: Column) -> Column:
@@ -41,10 +47,11 @@ def clean_for_alignment(text: Column) -> Column:
 
 
 def normalize_for_audio(text: Column) -> Column:
-    """Square brackets go with their inside; a dash after a word and a semicolon become commas; other dashes spaces; space is squeezed."""
-    out = F.regexp_replace(text, r"\[[^\]]*\]", "")
-    out = F.regexp_replace(out, r"(?U)(\w)\s+[–—-](?=\s)", "$1,")
-    out = F.regexp_replace(out, r"(?U)(\w);", "$1,")
+    """Square brackets go with their inside; a long dash behind a word and a space, and a semicolon behind a word, become commas; other long
+    dashes spaces; white space is squeezed."""
+    out = F.regexp_replace(text, r"(?d)\[.*?\]", "")
+    out = F.regexp_replace(out, rf"(?U)({WORD})\s[–—]", "$1,")
+    out = F.regexp_replace(out, f"({WORD});", "$1,")
     return F.regexp_replace(F.translate(out, "–—", "  "), r"(?U)\s+", " ")
 
 
@@ -75,11 +82,11 @@ def ends_sentence(text: Column) -> Column:
 
 
 def starts_with_word(text: Column) -> Column:
-    return text.rlike(r"(?U)^\w")
+    return text.rlike(f"^{WORD}")
 
 
 def ends_with_word(text: Column) -> Column:
-    return text.rlike(r"(?U)\w$")
+    return text.rlike(f"{WORD}$")
 
 
 def tagged(text: Column, tag: str) -> Column:
@@ -170,20 +177,30 @@ def clamp_range(start: Column, end: Column, low: Column, high: Column) -> tuple[
     return first, F.greatest(first, F.least(F.greatest(end, low), high))
 
 
-def extension_of(mime: Column, url: Column) -> Column:
-    """A feed enclosure's file type; unknown ones raise an error."""
-    known = F.lit(None).cast("string")
-    for k, v in MIME_EXT.items():
-        known = F.when(mime == k, v).otherwise(known)
-    known = F.coalesce(known, F.when(is_host(url, "soundcloud.com"), F.lit("mp3")))
+def _mapped(value: Column, names: dict[str, str]) -> Column:
+    out = F.lit(None).cast("string")
+    for k, v in names.items():
+        out = F.when(value == k, v).otherwise(out)
+    return out
+
+
+def extension_of(mime: Column) -> Column:
+    """The file type of a feed's enclosure; unknown ones raise an error."""
+    known = _mapped(mime, MIME_EXT)
     return F.when(known.isNotNull(), known).otherwise(F.raise_error(F.concat(F.lit("unknown media type "), F.coalesce(mime, F.lit("null")))).cast("string"))
 
 
-def container_of(codec: Column) -> Column:
-    out = F.lit(None).cast("string")
-    for k, v in CODEC_EXT.items():
-        out = F.when(codec == k, v).otherwise(out)
-    return out
+def audio_extension(container: Column, codec: Column) -> Column:
+    """The audio-only file type of a container, else of a codec, else mp3."""
+    return F.coalesce(_mapped(container, CONTAINER_EXT), _mapped(codec, CODEC_EXT), F.lit("mp3"))
+
+
+def is_youtube(url: Column) -> Column:
+    return F.coalesce(url.startswith("https://www.youtube.com"), F.lit(False))
+
+
+def is_soundcloud(url: Column) -> Column:
+    return F.coalesce(url.startswith("https://soundcloud.com"), F.lit(False))
 
 
 def is_host(url: Column, host: str) -> Column:

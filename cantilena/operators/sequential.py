@@ -163,12 +163,12 @@ def speech_ranges(probs: Sequence[float], settings: VadSettings = VadSettings())
     return outside(sorted(quiet), total)
 
 
-_DASH, _SEMI = re.compile(r"(\w)\s+[–—-](?=\s)"), re.compile(r"(\w);")
+_DASH, _SEMI = re.compile("(\\w)\\s[–—]"), re.compile(r"(\w);")
 _FLAT = str.maketrans({"–": " ", "—": " "})
 
 
 def spoken_text(text: str) -> str:
-    out = _SEMI.sub(r"\1,", _DASH.sub(r"\1,", re.sub(r"\[[^\]]*\]", "", text)))
+    out = _SEMI.sub(r"\1,", _DASH.sub(r"\1,", re.sub(r"\[.*?\]", "", text)))
     return re.sub(r"\s+", " ", out.translate(_FLAT))
 
 

@@ -134,15 +134,15 @@ SELECT conv_id, turn, (arg_min(lo + spot - 1, r) FILTER (spot > 0))::INT AS "at"
 SQL["cosine_topk"] = """WITH s AS (SELECT q.vec_id AS query, e.vec_id, list_cosine_similarity(q.embedding::DOUBLE[], e.embedding::DOUBLE[]) AS s FROM embeddings q JOIN embeddings e ON q.vec_id <> e.vec_id WHERE q.vec_id % 100 = 0)
 SELECT query, vec_id, (row_number() OVER (PARTITION BY query ORDER BY round(s, 9) DESC, vec_id))::INT AS rank, round(s, 5) AS similarity FROM s QUALIFY rank <= 5"""
 SQL["text_normalize"] = r"""WITH d AS (SELECT doc_id, replace(replace(coalesce(text, ''), ', ', '; '), '. ', ' – ') AS t FROM documents),
-a AS (SELECT doc_id, regexp_replace(t, '\[[^\]]*\]', '', 'g') AS t FROM d),
-b AS (SELECT doc_id, regexp_replace(t, '([\p{L}\p{N}_])[\s]+[–—-]([\s])', '\1,\2', 'g') AS t FROM a),
+a AS (SELECT doc_id, regexp_replace(t, '\[.*?\]', '', 'g') AS t FROM d),
+b AS (SELECT doc_id, regexp_replace(t, '([\p{L}\p{N}_])\s[–—]', '\1,', 'g') AS t FROM a),
 c AS (SELECT doc_id, regexp_replace(t, '([\p{L}\p{N}_]);', '\1,', 'g') AS t FROM b)
 SELECT doc_id, md5(regexp_replace(translate(t, '–—', '  '), '[\s]+', ' ', 'g')) AS digest FROM c"""
 SQL["bracket_unwrap"] = r"""WITH d AS (SELECT doc_id, regexp_replace(coalesce(text, ''), '([a-z]+), ', '( \1 ) ', 'g') AS t FROM documents),
-a AS (SELECT doc_id, regexp_replace(t, '[\(\[\{<]\s*([^\)\]\}>]*?)\s*[\)\]\}>]', chr(1) || '\1' || chr(2), 'g') AS t FROM d),
-b AS (SELECT doc_id, regexp_replace(t, '([\p{L}\p{N}\p{M}_])' || chr(1), '\1 ', 'g') AS t FROM a),
-c AS (SELECT doc_id, regexp_replace(t, chr(2) || '([\p{L}\p{N}\p{M}_])', ' \1', 'g') AS t FROM b)
-SELECT doc_id, md5(replace(replace(t, chr(1), ''), chr(2), '')) AS digest FROM c"""
+a AS (SELECT doc_id, regexp_replace(t, '([^\p{L}\p{N}_]*)[\(\[\{<](.*?)[\)\]\}>]([^\p{L}\p{N}_]*)', '\1' || chr(1) || '\2' || chr(2) || '\3', 'g') AS t FROM d),
+b AS (SELECT doc_id, regexp_replace(regexp_replace(t, '(^|[\p{L}\p{N}_])' || chr(1) || '\s*', '\1 ', 'g'), chr(1) || '\s*', '', 'g') AS t FROM a),
+c AS (SELECT doc_id, regexp_replace(regexp_replace(t, '\s*' || chr(2) || '($|[\p{L}\p{N}_])', ' \1', 'g'), '\s*' || chr(2), '', 'g') AS t FROM b)
+SELECT doc_id, md5(t) AS digest FROM c"""
 SQL["word_counts"] = r"SELECT doc_id, len(list_filter(regexp_split_to_array(coalesce(text, ''), '\s+'), lambda x: x <> ''))::INT AS n_words FROM documents"
 SQL["sentence_marks"] = r"""WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
 m AS (SELECT *, len(regexp_extract_all(t, '[\s.,;!?()\[\]{}]')) + 1 - regexp_matches(t, '^[\s.,;!?()\[\]{}]')::INT AS n FROM d)

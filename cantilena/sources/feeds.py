@@ -25,7 +25,7 @@ def downloads(items: DataFrame) -> DataFrame:
     rows = items.withColumn("_l", F.when(F.size(one) > 1, F.raise_error(F.lit("several enclosures")).cast("array<struct<rel:string,href:string,type:string>>")).otherwise(one)).where(F.size("_l") == 1)
     rows = keep_first(rows, ["title", "published"], [F.col("feed"), F.col("id").desc()])
     link = F.get("_l", F.lit(0))
-    return rows.select("feed", "title", "published", safe_file_name(F.concat_ws(" ", feed_date(F.col("published")), F.col("title"))).alias("name"), link["href"].alias("url"), extension_of(link["type"], link["href"]).alias("extension"))
+    return rows.select("feed", "title", "published", safe_file_name(F.concat_ws(" ", feed_date(F.col("published")), F.col("title"))).alias("name"), link["href"].alias("url"), extension_of(link["type"]).alias("extension"))
 
 
 def write_feed(items: DataFrame, path: str) -> None:

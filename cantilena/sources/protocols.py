@@ -14,8 +14,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-# Classes of spans that hold no speech.
-SKIPPED = frozenset("TOR SPEAKER SPEAKER_INTERRUPTION YOR SUBJECT PROTOCOL_TITLE PAGE_HEADER PAGE_FOOTER".split())
+# First classes of elements that hold no speech.
+SKIPPED = frozenset("SUBJECT SPEAKER SPEAKER_INTERRUPTION SPEAKER_CONTINUE YOR VOTING_TOP VOTING_MID VOTING_BOTTOM".split())
 _MARK = re.compile(r"txt_(\d+)$")
 _W = "{http://schemas.openxmlformats.org/wordprocessingml/2006/main}"
 
@@ -58,7 +58,7 @@ class _Walk(HTMLParser):
             self.out.append(("text", "\n"))
             return
         mark = _MARK.match(a.get("id") or "")
-        skip = bool(self.open and self.open[-1][1]) or any(c in SKIPPED for c in (a.get("class") or "").split())
+        skip = bool(self.open and self.open[-1][1]) or next(iter((a.get("class") or "").split()), None) in SKIPPED
         self.open.append((tag, skip, mark[1] if mark else None))
         if mark and not skip:
             self.out.append(("start", mark[1]))

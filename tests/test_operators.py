@@ -32,7 +32,12 @@ def one(spark, column, value, kind="string"):
         (T.remove_niqqud, "שָׁלוֹם", "שלום"),
         (T.remove_controls, "a‏b‪c", "abc"),
         (T.clean_for_alignment, "א: (ב) ג", "א ב ג"),
-        (T.normalize_for_audio, "מילה – מילה; [x] סוף", "מילה, מילה, סוף"),
+        (T.normalize_for_audio, "מילה – מילה; [x] סוף—ו", "מילה, מילה, סוף ו"),
+        (T.unwrap_brackets, "(x) y", " x y"),
+        (T.unwrap_brackets, "a ( b )", "a b "),
+        (T.unwrap_brackets, "a, <b>. c", "a, b. c"),
+        (T.is_youtube, "https://www.youtube.com/watch", True),
+        (T.is_soundcloud, "https://x.soundcloud.com/a", False),
         (T.squeeze, "a  \n b", "a b"),
         (T.squeeze_marks, "a, b. c?", "a b c "),
         (T.squeeze_inline, "a  b\n\tc", "a b\n c"),
@@ -54,7 +59,9 @@ def one(spark, column, value, kind="string"):
         (lambda c: F.octet_length(T.safe_file_name(c)), "א" * 300, 240),
         (lambda c: T.is_host(c, "youtube.com"), "https://www.youtube.com/watch", True),
         (lambda c: T.is_host(c, "youtube.com"), "https://notyoutube.com/watch", False),
-        (T.container_of, "aac", "m4a"),
+        (lambda c: T.audio_extension(c, F.lit("opus")), "mov", "m4a"),
+        (lambda c: T.audio_extension(c, F.lit("opus")), "ogg", "opus"),
+        (lambda c: T.audio_extension(c, F.lit("x")), None, "mp3"),
     ],
 )
 def test_text(spark, f, text, want):
@@ -68,7 +75,7 @@ def test_clocks(spark):
     assert one(spark, T.clip_list, [], "array<struct<start:double,end:double>>") == "0"
     assert one(spark, T.seconds_to_frame, 1.039, "double") == 51
     with pytest.raises(Exception, match="unknown media type"):
-        one(spark, lambda c: T.extension_of(c, F.lit("http://x/y")), "text/plain")
+        one(spark, T.extension_of, "text/plain")
 
 
 def test_relational(spark):
