@@ -42,12 +42,12 @@ def drop_repeated_lines(docs: DataFrame, *, id_col: str = "doc_id", text_col: st
     # Written out, so that the join below sees two plain exchanges, which Spark can split where a key is hot.
     found = cut(found.select("_one", "_two", "_first"))
     drops = keys.join(found, ["_one", "_two"]).where("_doc != _first").groupBy("_doc", "_row").agg(F.collect_set("_at").alias("_drops"))
-    at = F.split(text_of(text_col), "\n")
     none = F.col("_drops").isNull()
-    kept = F.when(none, F.col(text_col)).otherwise(F.array_join(F.filter(at, lambda _, i: ~F.array_contains(F.col("_drops"), i)), "\n"))
-    joined = docs.withColumns({"_doc": doc, "_row": row}).join(drops, ["_doc", "_row"], "left")
+    joined = docs.withColumns({"_doc": doc, "_row": row}).join(drops, ["_doc", "_row"], "left").withColumn("_lines", F.split(text_of(text_col), "\n"))
+    places = F.array_except(F.sequence(F.lit(0), F.size("_lines") - 1), F.col("_drops"))  # in order, and in time linear in the lines
+    kept = F.when(none, F.col(text_col)).otherwise(F.array_join(F.transform(places, lambda i: F.get("_lines", i)), "\n"))
     return joined.select(
         *[kept.alias(c) if c == text_col else F.col(c) for c in docs.columns],
-        F.size(at).cast("long").alias("n_lines"),
+        F.size("_lines").cast("long").alias("n_lines"),
         F.when(none, 0).otherwise(F.size("_drops")).cast("long").alias("n_dropped"),
     )

@@ -11,6 +11,8 @@ A pass over the corpus counts occurrences only of patterns that could discover s
 
 from __future__ import annotations
 
+import bisect
+import itertools
 import re
 import zlib
 from collections import Counter
@@ -92,10 +94,10 @@ def contexts(text: str, start: int, end: int) -> list[str]:
 def edges(text: str, spans: list[tuple[str, int, int]]) -> list[tuple[str, str, str | None, int, int]]:
     """(pattern, instance, kind or None, start, end) for the spans and for identifier-like strings beside them."""
     found = [(k, a, b) for k, a, b in spans]
-    taken = [(a, b) for _, a, b in spans]
+    starts, ends = [a for _, a, _ in spans], list(itertools.accumulate((b for *_, b in spans), max))
     for m in _LIKELY.finditer(text):
         a, b = m.span()
-        if b - a >= 6 and sum(c.isdigit() for c in m[0]) >= 4 and not any(a < y and x < b for x, y in taken):
+        if b - a >= 6 and sum(c.isdigit() for c in m[0]) >= 4 and not ((i := bisect.bisect_left(starts, b)) and ends[i - 1] > a):
             found.append((None, a, b))
     return [(p, text[a:b].lower(), k, a, b) for k, a, b in found for p in contexts(text, a, b)]
 
