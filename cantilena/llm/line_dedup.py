@@ -7,7 +7,7 @@ come back to their document in one join, where the kept lines are joined again i
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import SPACES, ascii_lower, cut, digest, text_of
@@ -15,10 +15,6 @@ from .common import SPACES, ascii_lower, cut, digest, text_of
 FIRST_ID = -(2**63)
 
 
-def line_key(line: Column) -> Column:
-    return ascii_lower(F.btrim(line, F.lit(SPACES)))
-
-
 def drop_repeated_lines(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", min_key_chars: int = 10, min_docs: int = 2) -> DataFrame:
     """docs with their kept lines as text, and n_lines (before), n_dropped.
 
@@ -31,8 +27,10 @@ def drop_repeated_lines(docs: DataFrame, *, id_col: str = "doc_id", text_col: st
     """
     docs = docs.drop("n_lines", "n_dropped")
     doc, row = F.coalesce(F.col(id_col).cast("long"), F.lit(FIRST_ID)), F.xxhash64(text_of(text_col))
-    lines = docs.select(doc.alias("_doc"), row.alias("_row"), F.posexplode(F.split(text_of(text_col), "\n")).alias("_at", "_line"))
-    keys = lines.select("_doc", "_row", "_at", line_key(F.col("_line")).alias("_key")).where(F.length("_key") >= min_key_chars)
+    # The text itself must not be carried along with each of its lines, so all that needs it comes before the explode.
+    lines = docs.select(doc.alias("_doc"), row.alias("_row"), F.split(text_of(text_col), "\n").alias("_lines")).select("_doc", "_row", F.posexplode("_lines").alias("_at", "_line"))
+    keys = lines.select("_doc", "_row", "_at", F.btrim(F.col("_line"), F.lit(SPACES)).alias("_bare")).where(F.length("_bare") >= min_key_chars)
+    keys = keys.select("_doc", "_row", "_at", ascii_lower(F.col("_bare")).alias("_key"))
     one, two = digest(F.col("_key"))
     keys = keys.select("_doc", "_row", "_at", one.alias("_one"), two.alias("_two"))
     if min_docs <= 2:  # the first and the last document differ: no need to count distinct ones
