@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 import tempfile
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -11,7 +13,7 @@ from pyspark.sql import functions as F
 SPACES = " \t\n\x0b\f\r"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 #: Rows that an Arrow batch may hold, so that batches of very long texts stay in memory.
-BATCH_ROWS = 1000
+BATCH_ROWS = 500
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -49,3 +51,12 @@ def ascii_lower(text: Column) -> Column:
 def digest(text: Column, seeds: tuple[int, int] = (11, 29)) -> list[Column]:
     """Two independent 64-bit hashes: together they stand for the text."""
     return [F.xxhash64(F.lit(s), text) for s in seeds]
+
+
+def release_memory() -> None:
+    """Gives freed memory of a Python worker back to the system: workers serve many tasks, of other operators too."""
+    import pyarrow
+
+    pyarrow.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # of glibc alone
+        ctypes.CDLL(None).malloc_trim(0)

@@ -21,10 +21,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from .common import cut, text_of
+from .common import cut, release_memory, text_of
 
 WORDS, THRESHOLD, RECALL, BAND_ROWS = 5, 0.8, 0.9999, 6
-BLOCK, BIN, CACHED_WORDS, CHUNK = 512, 2000, 300_000, 4096
+BLOCK, BIN, CACHED_WORDS, CHUNK = 512, 2000, 200_000, 4096
 FIRST_ID = -(2**63)
 
 
@@ -91,6 +91,7 @@ class Banding:
 
 def _signed(rows: int, bands: int, words: int):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        release_memory()
         shingle, band = Shingler(words), Banding(rows, bands)
         for pdf in batches:
             sets = [shingle(t) for t in pdf.pop("text")]
@@ -99,6 +100,8 @@ def _signed(rows: int, bands: int, words: int):
                 _size=np.asarray([len(s) for s in sets], dtype="int64"),
                 _bands=[band(s) for s in sets],
             )
+        del shingle, band
+        release_memory()
 
     return run
 
@@ -109,6 +112,8 @@ def _set_rows(words: int):
         for pdf in batches:
             sets = [shingle(t) for t in pdf["text"]]
             yield pd.DataFrame({"_key": [hashlib.blake2b(s.tobytes(), digest_size=16).digest() for s in sets], "_set": [s.view(np.int64) for s in sets]})
+        del shingle
+        release_memory()
 
     return run
 

@@ -23,9 +23,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from .common import cut, text_of
+from .common import cut, release_memory, text_of
 
-CAPACITY, PART, CACHED_WORDS = 2048, 512, 300_000
+CAPACITY, PART, CACHED_WORDS = 2048, 512, 220_000
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
 
@@ -120,6 +120,7 @@ def tokenized(docs: DataFrame, tokenizer_path: str, *, capacity: int = CAPACITY,
     end = np.asarray([end_id], dtype="<u4").tobytes()
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        release_memory()
         words = _tokenizer(model.value)
         for pdf in batches:
             rows = []
@@ -131,6 +132,7 @@ def tokenized(docs: DataFrame, tokenizer_path: str, *, capacity: int = CAPACITY,
             out = pd.DataFrame(rows, columns=["doc_id", "piece", "start", "length", "ids_crc32"] + ["ids"] * keep_ids)
             out["doc_id"] = out["doc_id"].astype("Int64")
             yield out
+        release_memory()
 
     return docs.select(F.col(id_col).cast("long").alias("doc_id"), text_of(text_col).alias("text")).mapInPandas(run, PIECES + ", ids array<long>" * keep_ids)
 

@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from .common import cut, text_of
+from .common import cut, release_memory, text_of
 
 KINDS = ("email", "ip", "card", "phone")
 ROUNDS, MIN_SEEDS, MIN_CONFIDENCE, MIN_SCORE = 3, 3, 0.5, 0.8
@@ -115,6 +115,7 @@ def _find(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             graph.append([dict(zip(("pattern", "instance", "kind", "start", "end"), x, strict=True)) for x in edges(text, found)] if re.search("[0-9]", text) or found else [])
         pdf["base"], pdf["edges"] = spans, graph
         yield pdf
+    release_memory()
 
 
 def _occurrences(wanted: bytes):
