@@ -25,7 +25,7 @@ from pyspark.sql import Window as W
 
 from .common import cut, release_memory, text_of
 
-CAPACITY, PART, CACHED_WORDS = 2048, 512, 220_000
+CAPACITY, PART, CACHED_WORDS = 2048, 128, 220_000
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
 
