@@ -289,8 +289,9 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
         rows = placed.join(mixed, "_band").join(sets, "node")
         bins = max(1, mixed.agg(F.sum("_n")).first()[0] // BIN)
         found = _units(rows, "_band", "_n", BLOCK, bins).select("_bin", "_unit", "_side", "_pair", "node", "comp", "_set").groupBy("_bin").applyInPandas(_bridges(threshold), "a long, b long")
-        links = links.unionByName(cut(found))
-        comps = cut(components(links))
+        found = cut(found)
+        if not found.isEmpty():
+            comps = cut(components(links.unionByName(found)))
     sizes = cut(comps.groupBy("comp").agg(F.count("*").alias("_n")))
     several = sizes.where("_n > 2")
     linked = comps.join(nodes.select("node", "copies", "first"), "node")
