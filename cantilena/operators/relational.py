@@ -146,3 +146,37 @@ def enclosure(links: Column) -> Column:
     """The one link with rel = enclosure; null without one; several raise an error."""
     found = F.filter(links, lambda x: x["rel"] == "enclosure")
     return F.when(F.size(found) > 1, F.raise_error(F.lit("several enclosures")).cast("string")).otherwise(F.get(found, F.lit(0))["href"])
+
+
+def flat_name(source: Column, episode: Column, extension: str = "wav") -> Column:
+    """The name of a file in a folder of many sources."""
+    return F.concat(source, F.lit("__"), episode, F.lit(f".{extension}"))
+
+
+def restored_names(results: DataFrame, files: DataFrame, name: str = "name") -> DataFrame:
+    """results by flat name, with the source and episode of the files they were made from; results of no file go."""
+    return results.join(files.select(flat_name(F.col("source"), F.col("episode")).alias(name), "source", "episode"), name)
+
+
+def words_inside(words: Column, start: Column, end: Column) -> Column:
+    """The words of an array that lie strictly inside a slice."""
+    return F.filter(words, lambda w: (w["start"] > start) & (w["end"] < end))
+
+
+def lag_sample(splits: DataFrame, key: str, n: int = 35, seed: int = 0) -> DataFrame:
+    """At most n splits of each entry in an order drawn once and for all by the seed."""
+    order = W.partitionBy(key).orderBy(F.xxhash64(F.lit(seed), *splits.columns), *splits.columns)
+    return splits.withColumn("draw", F.row_number().over(order)).where(F.col("draw") <= n)
+
+
+def media_slices(groups: DataFrame, extension: Column) -> DataFrame:
+    """What to cut from which file: groups (path, grp, start, end) as whole milliseconds and a target name."""
+    stem = F.regexp_replace("path", r"\.[^./]*$", "")
+    return groups.select("path", F.round(F.col("start") * 1000).cast("long").alias("start_ms"), F.round(F.col("end") * 1000).cast("long").alias("end_ms"), F.concat(stem, F.lit("."), F.col("grp").cast("string"), F.lit("."), extension).alias("target"))
+
+
+def first_entity(rows: DataFrame, order: list[Column], **equal) -> DataFrame:
+    """The first of the rows whose columns equal the values given: a filtered lookup of a staged remote table."""
+    for c, v in equal.items():
+        rows = rows.where(F.col(c) == v)
+    return rows.orderBy(*order).limit(1)

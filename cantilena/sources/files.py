@@ -6,12 +6,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.text import path_parts
+from ..schemas import ENTRIES
 
-#: A word, a segment, an entry: the tables that most operators take.
-WORD = "struct<word:string,start:double,end:double,probability:double>"
-SEGMENTS = f"array<struct<start:double,end:double,text:string,words:array<{WORD}>>>"
-ENTRY_COLUMNS = ["source_type", "source_id", "source_entry_id", "quality_score", "per_segment_quality_scores", "segments_count", "words_count", "avg_words_per_segment", "avg_segment_duration", "avg_words_per_minute"]
-ENTRY_DDL = "source_type string, source_id string, source_entry_id string, quality_score double, per_segment_quality_scores array<struct<start:double,end:double,probability:double>>, segments_count int, words_count int, avg_words_per_segment double, avg_segment_duration double, avg_words_per_minute double"
+#: The columns of every manifest, and their types.
+ENTRY_DDL = ENTRIES
+ENTRY_COLUMNS = [c.split()[0] for c in ENTRIES.split(", ")]
 
 
 def media_files(spark: SparkSession, roots: list[str], extensions: list[str], skip: list[str] = ()) -> DataFrame:

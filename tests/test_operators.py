@@ -237,3 +237,24 @@ def test_entries_through_a_model(spark):
         return run
 
     assert corpus.modelled(spark.range(4), "id long, y long", model, scale=3).agg(F.sum("y")).first()[0] == 18
+
+
+def test_names_slices_and_samples(spark):
+    files = spark.createDataFrame([("s", "e1"), ("s", "e2")], "source string, episode string")
+    done = spark.createDataFrame([("s__e1.wav", 1), ("x__y.wav", 2)], "name string, v long")
+    assert [(r["source"], r["episode"], r["v"]) for r in R.restored_names(done, files).collect()] == [("s", "e1", 1)]
+    words = "array<struct<start:double,end:double>>"
+    assert one(spark, lambda c: F.size(R.words_inside(c, F.lit(1.0), F.lit(3.0))), [(1.0, 2.0), (1.5, 2.5), (2.0, 3.0)], words) == 1
+    splits = spark.createDataFrame([("e", i) for i in range(50)], "entry string, split long")
+    a, b = (sorted(map(tuple, R.lag_sample(d, "entry", 7).collect())) for d in (splits, splits.repartition(5)))
+    assert a == b and len(a) == 7
+    groups = spark.createDataFrame([("a/b.mp4", 0, 1.0, 2.5)], "path string, grp long, start double, end double")
+    assert tuple(R.media_slices(groups, F.lit("mp3")).first()) == ("a/b.mp4", 1000, 2500, "a/b.0.mp3")
+    assert R.first_entity(splits, [F.col("split").desc()], entry="e").first()["split"] == 49
+
+
+def test_schemas(spark):
+    from cantilena.schemas import TABLES
+
+    for ddl in TABLES.values():
+        assert spark.createDataFrame([], ddl).count() == 0
