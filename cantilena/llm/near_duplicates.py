@@ -268,11 +268,12 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     key = F.coalesce("doc_id", F.lit(FIRST_ID))
     nodes = signed.groupBy("_key").agg(F.min(key).alias("first"), F.count("*").alias("copies"), F.first("_size").alias("size"), F.first("_bands").alias("_bands"))
     nodes = cut(nodes.withColumn("node", F.monotonically_increasing_id()))
-    banded = nodes.select("node", "size", F.explode("_bands").alias("_band"))
-    buckets = cut(banded.groupBy("_band").agg(F.count("*").alias("_n"), F.min(F.struct("node", "size")).alias("_p")).where("_n > 1").select("_band", "_n", F.col("_p.node").alias("pivot"), F.col("_p.size").alias("pivot_size")))
-    members = cut(banded.join(buckets, "_band").where("node != pivot").select("_band", "_n", "node", "size", "pivot", "pivot_size"))
-    like = F.least("size", "pivot_size") >= threshold * F.greatest("size", "pivot_size") - 1e-9
-    pairs = members.where(like).select("node", "pivot").distinct()
+    banded = nodes.select("node", F.explode("_bands").alias("_band"))
+    buckets = cut(banded.groupBy("_band").agg(F.count("*").alias("_n"), F.min("node").alias("pivot")).where("_n > 1"))
+    members = cut(banded.join(buckets, "_band").where("node != pivot").select("_band", "_n", "node", "pivot"))
+    node_sizes = nodes.select("node", "size")
+    pairs = members.select("node", "pivot").distinct().join(node_sizes, "node").join(node_sizes.select(F.col("node").alias("pivot"), F.col("size").alias("_pivot_size")), "pivot")
+    pairs = pairs.where(F.least("size", "_pivot_size") >= threshold * F.greatest("size", "_pivot_size") - 1e-9).select("node", "pivot")
     wanted = cut(members.select("node").unionByName(members.select(F.col("pivot").alias("node"))).distinct().join(nodes.select("node", "_key", "first"), "node"))
     first = wanted.select(F.col("first").alias("_first")).distinct()
     some = texts.withColumn("_first", key).join(first, "_first", "left_semi").select("text")
