@@ -137,7 +137,7 @@ def similar(a: list[np.ndarray], b: list[np.ndarray] | None, threshold: float) -
         both += x[:n] @ (x[:n] if b is None else x[n:]).T
     sizes = np.asarray([len(s) for s in every], dtype=np.float64)
     total = sizes[:n, None] + (sizes[None, :n] if b is None else sizes[None, n:])
-    return both * (1 + threshold) >= threshold * total - 1e-6
+    return both.astype(np.float64) * (1 + threshold) >= threshold * total - 1e-6
 
 
 def _roots(n: int, pairs) -> list[int]:
