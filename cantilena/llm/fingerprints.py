@@ -5,7 +5,7 @@ ones; chosen hashes keep their positions. Two texts that share a run of WINDOW +
 no shared run shorter than GRAM is seen.
 
 A hash and its position are one long: 31 bits of hash, then the position's complement, so that the least long is the least hash
-at the rightmost place. A window's minimum is the least of FIVE minima of FIVE.
+at the rightmost place.
 """
 
 from __future__ import annotations
@@ -18,8 +18,7 @@ from pyspark.sql import Window as W
 
 from .common import text_of
 
-GRAM, FIVE = 12, 5
-WINDOW = FIVE * FIVE
+GRAM, WINDOW = 12, 25
 _LAST = 2**32 - 1
 _HIGH = 2**63 - 2**32
 
@@ -34,15 +33,22 @@ def gram_entries(text: Column, complement: Column) -> Column:
     return F.transform(grams, lambda g, i: _entry(g, complement - i))
 
 
-def _least(a: Column, apart: int) -> Column:
-    """Of each place, the least of FIVE entries, apart from each other."""
-    span = apart * (FIVE - 1)
-    return F.transform(F.slice(a, 1, F.greatest(F.size(a) - span, F.lit(0))), lambda x, i: F.least(x, *[F.get(a, i + apart * j) for j in range(1, FIVE)]))
+def _bound(value: Column, f) -> Column:
+    """f(value) with value computed once, though f reads it several times."""
+    return F.get(F.transform(F.array(value), f), F.lit(0))
 
 
-def _minima(df: DataFrame, entries: str, out: str) -> DataFrame:
-    """Adds the window minima of an entries column: one for each whole window. Each step is a column, so none runs twice."""
-    return df.withColumn("_five", _least(F.col(entries), 1)).withColumn(out, _least(F.col("_five"), FIVE)).drop("_five")
+def window_minima(entries: Column) -> Column:
+    """Of each whole window the least entry. Minima of ever longer stretches: 1, 2, 4, ... places, the last step as long as is left.
+
+    A stretch that reaches beyond the end has the minimum of what there is, and is cut off at last.
+    """
+    out, covered = entries, 1
+    while covered < WINDOW:
+        step = min(covered, WINDOW - covered)
+        out = _bound(out, lambda a: F.zip_with(a, F.slice(a, step + 1, F.greatest(F.size(a) - step, F.lit(0))), lambda x, y: F.least(x, y)))
+        covered += step
+    return _bound(out, lambda a: F.slice(a, 1, F.greatest(F.size(a) - (WINDOW - 1), F.lit(0))))
 
 
 def _short(text: Column, entries: Column) -> Column:
@@ -57,7 +63,7 @@ def winnow(df: DataFrame, text: str, out: str) -> DataFrame:
     text has none.
     """
     df = df.withColumn("_t", text_of(text)).withColumn("_e", gram_entries(F.col("_t"), F.lit(_LAST)))
-    df = _minima(df, "_e", "_m")
+    df = df.withColumn("_m", window_minima(F.col("_e")))
     return df.withColumn(out, F.when(F.size("_m") > 0, F.array_distinct("_m")).otherwise(_short(F.col("_t"), F.col("_e")))).drop("_t", "_e", "_m")
 
 
@@ -77,8 +83,8 @@ def likeness(a: Column, b: Column) -> Column:
 
 
 def as_text(entries: Column) -> Column:
-    """position:hash in hexadecimal, by position."""
-    return F.array_join(F.transform(entries, lambda x: F.concat((F.lit(_LAST) - x.bitwiseAND(F.lit(_LAST))).cast("string"), F.lit(":"), F.lower(F.hex(F.shiftright(x, 32))))), " ")
+    """The entries in hexadecimal, by position: the hash, then the complement of the position to 2^32 - 1, eight digits each."""
+    return F.array_join(F.transform(entries, lambda x: F.lpad(F.hex(x), 16, "0")), " ")
 
 
 def range_bucket(df: DataFrame, column: str, buckets: int) -> Column:
@@ -126,7 +132,7 @@ def edited_fingerprints(docs: DataFrame, *, id_col: str = "doc_id", text_col: st
     rows = rows.withColumn("_q", F.floor(n / 3).cast("int")).withColumn("_p", n - F.col("_q"))
     rows = rows.withColumn("_new", F.substring(F.col("_next"), F.lit(1), F.col("_q"))).drop("_next")
     rows = rows.withColumn("edited", F.concat(F.substring(F.col("text"), F.lit(1), F.col("_p")), "_new"))
-    rows = _minima(rows.withColumn("_e", gram_entries(F.col("text"), F.lit(_LAST))), "_e", "_m")
+    rows = rows.withColumn("_e", gram_entries(F.col("text"), F.lit(_LAST))).withColumn("_m", window_minima(F.col("_e")))
     rows = rows.withColumn("entries", F.when(F.size("_m") > 0, F.array_distinct("_m")).otherwise(_short(F.col("text"), F.col("_e"))))
     # What the edit leaves alone keeps its entries (up to _same) and its minima (up to _kept).
     same = F.greatest(F.col("_p") - (GRAM - 1), F.lit(0))
@@ -137,7 +143,7 @@ def edited_fingerprints(docs: DataFrame, *, id_col: str = "doc_id", text_col: st
     # Chosen places never go back, so the minima that stay are the entries up to the last of them.
     low = lambda x: x.bitwiseAND(F.lit(_LAST))
     rows = rows.withColumn("_stop", F.when(F.col("_kept") > 0, low(F.get("_m", F.col("_kept") - 1)))).drop("_e", "_m")
-    rows = _minima(rows, "_tail", "_tm")
+    rows = rows.withColumn("_tm", window_minima(F.col("_tail")))
     stay = F.when(F.col("_kept") > 0, F.filter("entries", lambda x: low(x) >= F.col("_stop"))).otherwise(F.expr("cast(array() as array<bigint>)"))
     rows = rows.withColumn("_stay", stay)
     rows = rows.withColumn("edited_entries", F.when(F.size("_stay") + F.size("_tm") > 0, F.array_distinct(F.concat("_stay", "_tm"))).otherwise(_short(F.col("edited"), F.col("_tail"))))
