@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import contextlib
 import ctypes
+import functools
 import tempfile
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -38,6 +40,20 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def keeps_columns(operator: Callable[..., DataFrame]) -> Callable[..., DataFrame]:
+    """For operators that pass columns through: columns whose names begin with an underscore, as the operators' own do, go by other
+    names meanwhile, so none is overwritten."""
+
+    @functools.wraps(operator)
+    def run(docs: DataFrame, *args, **how) -> DataFrame:
+        used = {x for x in (*args, *how.values()) if isinstance(x, str)}
+        away = {c: f"passed{i}{c}" for i, c in enumerate(docs.columns) if c.startswith("_") and c not in used}
+        out = operator(docs.withColumnsRenamed(away) if away else docs, *args, **how)
+        return out.withColumnsRenamed({v: k for k, v in away.items()}) if away else out
+
+    return run
+
+
 def text_of(name: str = "text") -> Column:
     """The text, a null one being empty."""
     return F.coalesce(F.col(name), F.lit(""))

@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import text_of
+from .common import keeps_columns, text_of
 
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<(?P<end>/?)(?P<tag>[a-zA-Z][a-zA-Z0-9:-]*+)(?P<attr>(?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>|<(?P<end2>/?)(?P<tag2>[a-zA-Z][a-zA-Z0-9:-]*+)(?P<attr2>[^>]*+)(?:>|\Z)|<[!?/][^>]*+(?:>|\Z)|[^<]++|<",
@@ -274,6 +274,7 @@ def _extract(pages: pd.Series) -> pd.DataFrame:
     return pd.DataFrame(rows, columns=["text", "n_blocks", "n_content"])
 
 
+@keeps_columns
 def extract_pages(pages: DataFrame, *, html_col: str = "html") -> DataFrame:
     """pages without html, with text (the content blocks joined by a space), n_blocks and n_content.
 

@@ -10,11 +10,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import SPACES, ascii_lower, cut, digest, text_of
+from .common import SPACES, ascii_lower, cut, digest, keeps_columns, text_of
 
 FIRST_ID = -(2**63)
 
 
+@keeps_columns
 def drop_repeated_lines(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", min_key_chars: int = 10, min_docs: int = 2) -> DataFrame:
     """docs with their kept lines as text, and n_lines (before), n_dropped.
 

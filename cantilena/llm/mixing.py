@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 from pyspark.sql import types as T
 
-from .common import cut, text_of
+from .common import cut, keeps_columns, text_of
 
 WORD = "[^\\x20\\x09-\\x0D]+"
 BLOCK, LANDING, MAX_COPIES, WEIGHTS, EPS = 8192, 12, 3, (1, 2, 3), 1e-9
@@ -127,6 +127,7 @@ def mix(units: DataFrame, *, keys: list[str], weights: tuple[int, ...] = WEIGHTS
     return flown.select(*keys, "source", "size", "source_size", "target", copies.alias("copies"), (copies * F.col("size")).cast("long").alias("taken"))
 
 
+@keeps_columns
 def mixed_rows(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", **how) -> DataFrame:
     """The rows of docs, each as often as mix() takes it. Equal rows share what is taken of them evenly.
 

@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from .common import cut, release_memory, text_of
+from .common import cut, keeps_columns, release_memory, text_of
 
 WORDS, THRESHOLD, RECALL, BAND_ROWS = 5, 0.8, 0.9999, 6
 BLOCK, BIN, CACHED_WORDS, CHUNK = 512, 2000, 200_000, 4096
@@ -312,6 +312,7 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     return out.select("doc_id", "row_hash", "class_key", F.when(F.col("class_id") != FIRST_ID, F.col("class_id")).alias("class_id"), "class_size", "n_links")
 
 
+@keeps_columns
 def one_of_each(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", **how) -> DataFrame:
     """The rows of docs that are the first of their class, by id and then by hash of the text; of equal rows one. All columns pass."""
     key = {"_id": F.coalesce(F.col(id_col).cast("long"), F.lit(FIRST_ID)), "_row": F.xxhash64(text_of(text_col))}

@@ -14,7 +14,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import text_of
+from .common import keeps_columns, text_of
 
 #: How many labelled documents the fit may see: those with the least hash of their id.
 MAX_LABELLED = 20_000
@@ -193,6 +193,7 @@ def train(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_co
     return fit(data[:, 1:], data[:, 0])
 
 
+@keeps_columns
 def score_quality(docs: DataFrame, model: Model, *, id_col: str = "doc_id", text_col: str = "text", threshold: float = 0.7) -> DataFrame:
     """docs with held_out, score and predicted.
 

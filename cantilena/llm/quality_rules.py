@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 from pyspark.sql import types as T
 
-from .common import cut, text_of
+from .common import cut, keeps_columns, text_of
 
 SYMBOLS = "#*$%&|<>"
 GAMMA = 1.01 / 0.99
@@ -126,6 +126,7 @@ def judged(counted: DataFrame, limits: DataFrame, *, lang_col: str = "lang", sou
     return joined.withColumn("rule", rule).select(*counted.columns, F.col("rule").isNull().alias("kept"), "rule")
 
 
+@keeps_columns
 def quality_rules(docs: DataFrame, *, text_col: str = "text", lang_col: str = "lang", source_col: str = "source", keep_texts: bool = True) -> DataFrame:
     """docs with COUNTS, base_failed, kept and rule.
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,19 +13,28 @@ from cantilena.llm.line_dedup import drop_repeated_lines
 from cantilena.llm.mixing import mixed_rows
 from cantilena.llm.near_duplicates import one_of_each
 from cantilena.llm.packing import best_fit_pack
-from cantilena.llm.quality_rules import quality_rules
+from cantilena.llm.quality_rules import COUNTS, quality_rules
+
+
+def _beside(docs: DataFrame, operator: Callable[[DataFrame], DataFrame], made: list[str], keep: str | None = None) -> DataFrame:
+    """The columns of docs after an operator that makes columns of the names in made, which docs may have too; only rows for which
+    keep holds."""
+    away = {c: f"docs_{c}" for c in docs.columns if c.lower() in made}
+    out = operator(docs.withColumnsRenamed(away))
+    out = out.where(keep) if keep else out
+    return out.select(*[F.col(away.get(c, c)).alias(c) for c in docs.columns])
 
 
 def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents that the base rules and the fences of their language and source let pass."""
     small_batches(spark)
-    return quality_rules(docs).where("kept").select(*docs.columns)
+    return _beside(docs, quality_rules, [*COUNTS, "base_failed", "kept", "rule"], "kept")
 
 
 def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every document, without lines that an earlier document has; n_chars follows the text."""
-    out = drop_repeated_lines(docs)
-    return out.select(*[F.length("text").cast("long").alias(c) if c == "n_chars" else F.col(c) for c in docs.columns])
+    out = _beside(docs, drop_repeated_lines, ["n_lines", "n_dropped"])
+    return out.withColumn("n_chars", F.length("text").cast("long")) if "n_chars" in docs.columns else out
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -475,6 +475,18 @@ def test_compiled_rules_are_the_rules(spark, many_docs):
         assert rule.array(x).tolist() == [r[f"r{k}"] for r in rows]
 
 
+def test_columns_named_like_the_operators_own(spark, many_docs):
+    own = ["_row", "_id", "_doc", "_lines", "_t", "_w", "_stats", "_lang", "_nth", "_counts", "_share"]
+    docs = many_docs.withColumns({c: F.concat(F.lit(c), F.col("doc_id")) for c in own})
+    model = quality_classifier.Model(0.0, (quality_classifier.Rule((("words", True, 50.0),), 1.0),))
+    pages = docs.withColumnRenamed("text", "html").withColumns({"_got": F.lit("_got")})
+    results = [line_dedup.drop_repeated_lines(docs), quality_rules.quality_rules(docs), mixing.mixed_rows(docs), near_duplicates.one_of_each(docs), quality_classifier.score_quality(docs, model)]
+    for out in results:
+        assert set(docs.columns) <= set(out.columns)
+        assert all(r[c] == f"{c}{r['doc_id']}" for r in out.collect() for c in own)
+    assert html_extract.extract_pages(pages).where("_got = '_got'").count() == 240
+
+
 # All of them on nothing
 
 

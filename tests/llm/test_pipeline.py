@@ -15,6 +15,7 @@ def test_stages_keep_the_columns_of_documents(spark, edge_docs, no_docs):
         for name, stage in P.STAGES[:-1]:
             out = stage(spark, docs, "")
             assert out.columns == docs.columns, name
+            assert all((r["kept"], r["n_lines"], r["size"], r["score"]) == ("x", "y", 7, 0.5) for r in out.collect()), name
             assert out.count() <= 3 * docs.count()
         assert {"doc_id", "piece", "sequence_id", "offset"} <= set(P.STAGES[-1][1](spark, docs, "").columns)
 
