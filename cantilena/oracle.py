@@ -161,3 +161,16 @@ SQL["sliding_counts"] = """SELECT user_id, w * 1800 AS window_start, count(*) AS
 SQL["session_counts"] = """WITH g AS (SELECT user_id, epoch_us(ts) AS t, CASE WHEN epoch_us(ts) - lag(epoch_us(ts)) OVER (PARTITION BY user_id ORDER BY ts) < 1800000000 THEN 0 ELSE 1 END AS n FROM events),
 s AS (SELECT user_id, t, sum(n) OVER (PARTITION BY user_id ORDER BY t) AS s FROM g)
 SELECT user_id, min(t) AS session_start, count(*) AS n FROM s GROUP BY user_id, s"""
+
+SQL["monotone_times"] = f"""WITH {_WORDS}, r AS (SELECT entry, event_id, floor((start / 60) % 1440) AS t FROM words),
+m AS (SELECT *, max(t) OVER (PARTITION BY entry ORDER BY event_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS mx FROM r),
+f AS (SELECT entry, arg_min(t, event_id) FILTER (t > 0) AS first FROM r GROUP BY entry),
+l AS (SELECT m.*, first, t = 0 AND coalesce(mx = 0, TRUE) AS lead_in FROM m JOIN f USING (entry))
+SELECT entry, event_id, CASE WHEN lead_in THEN greatest(first - 3, 0) ELSE t END::DOUBLE AS ts FROM l WHERE (lead_in AND mx IS NULL) OR coalesce(t > mx, t > 0)"""
+SQL["slice_text"] = rf"""WITH {_OFFSETS}, {_WHOLE}, x AS (SELECT conv_id, turn * 10.0 AS ts, start_loc, end_loc FROM off),
+g AS (SELECT conv_id, max(ts) / 4 AS s, max(ts) / 2 AS e FROM x GROUP BY conv_id),
+n AS (SELECT x.conv_id, arg_min(struct_pack(a := start_loc, b := end_loc), [abs(ts - (s - 1)), ts, start_loc, end_loc]) AS p, arg_min(struct_pack(a := start_loc, b := end_loc), [abs(ts - (e + 1)), ts, start_loc, end_loc]) AS q
+  FROM x JOIN g USING (conv_id) GROUP BY x.conv_id),
+b AS (SELECT n.conv_id, text, least(p.a, q.a) AS lo, greatest(p.b, q.b) AS hi, list_filter(generate_series(0, length(text) - 1), lambda i: regexp_matches(substr(text, i + 1, 1), '[\s.,;!?()\[\]{{}}]')) AS cuts FROM n JOIN whole USING (conv_id) WHERE length(text) > 0),
+c AS (SELECT conv_id, text, coalesce(list_max(list_filter(list_prepend(0, cuts), lambda i: i < lo)), 0) AS lo, coalesce(list_min(list_filter(cuts, lambda i: i > hi)), length(text)) AS hi FROM b)
+SELECT conv_id, md5(substr(text, lo + 1, hi - lo)) AS digest FROM c"""
