@@ -33,7 +33,7 @@ SELECT conv_id, n_turns, turns_sha256, length(loss)::BIGINT AS loss_chars, sha25
 """
 
 _WORD_LIST = r"list_filter(regexp_split_to_array(text, '[\x20\x09-\x0D]+'), lambda x: x <> '')"
-_STATS = {"word_length": ("word_chars / n_words", 2.0), "symbol_share": ("n_symbols / word_chars", 0.05), "dup_line_share": ("n_dup_lines / n_words", 0.05), "repeat_share": ("n_repeat_words / n_words", 0.4)}
+_STATS = {"word_length": ("word_chars / n_words", 2.0), "symbol_share": ("n_symbols / word_chars", 0.05), "dup_line_share": ("n_dup_lines / n_words", 0.05), "repeat_share": ("n_repeat_words / n_words", 0.5)}
 
 
 def _bucket(value: str) -> str:

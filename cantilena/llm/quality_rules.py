@@ -26,7 +26,7 @@ STATISTICS = {
     "word_length": ("word_chars / n_words", 2.0, True),
     "symbol_share": ("n_symbols / word_chars", 0.05, False),
     "dup_line_share": ("n_dup_lines / n_words", 0.05, False),
-    "repeat_share": ("n_repeat_words / n_words", 0.4, False),
+    "repeat_share": ("n_repeat_words / n_words", 0.5, False),
 }
 COUNTS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
 SPREAD, MIN_DOCS, MIN_WORDS, MAX_REPEATED = 3.0, 100, 50, 50
