@@ -1,13 +1,15 @@
 """Mixing sources to target weights by cube-method balanced sampling.
 
 Each document starts with the inclusion probability that its source's target asks for. A flight moves probabilities inside
-the null space of two constraints, the totals of tokens and of documents, until all but two units of a block are 0 or
+the null space of two constraints, the totals of tokens and of documents, until all but a few units of a block are 0 or
 1. Blocks of a source fly in parallel; what they leave flies again in fewer blocks, until one block of a source is left.
-Its last units, LANDING and two at most, land on the sample whose totals are nearest to theirs.
+Its last units, LANDING and two at most, land on the sample whose totals are nearest to theirs, and a few single exchanges
+in that block take away what is left of the difference in tokens.
 """
 
 from __future__ import annotations
 
+import itertools
 import math
 import random
 import zlib
@@ -22,7 +24,7 @@ from pyspark.sql import types as T
 from .common import cut, keeps_columns, text_of
 
 WORD = "[^\\x20\\x09-\\x0D]+"
-BLOCK, LANDING, MAX_COPIES, WEIGHTS, EPS = 8192, 12, 3, (1, 2, 3), 1e-9
+BLOCK, LANDING, EXCHANGES, MAX_COPIES, WEIGHTS, EPS = 8192, 12, 8, 3, (1, 2, 3), 1e-9
 
 
 def n_words(text: Column) -> Column:
@@ -69,17 +71,36 @@ def _landed(pi: list, size: list, units: list) -> None:
         pi[i] = float(take)
 
 
+def _exchanged(pi: list, size: list, units: list, goal: float) -> None:
+    """Takes or leaves single units, the best first, while that brings the total of tokens nearer to the goal."""
+    x = np.asarray([size[i] for i in units], dtype=float)
+    taken = np.asarray([pi[i] for i in units])
+    for _ in range(EXCHANGES):
+        off = taken @ x - goal
+        after = np.abs(off + (1 - 2 * taken) * x)
+        k = int(after.argmin())
+        if after[k] >= abs(off) - 1e-6:
+            break
+        taken[k] = 1 - taken[k]
+    for i, t in zip(units, taken, strict=True):
+        pi[i] = float(t)
+
+
 def flight(pi: list[float], size: list[int], draw, land: bool) -> list[float]:
-    """pi moved until at most two units lie between 0 and 1; with land, none."""
+    """pi moved until LANDING + 2 units at most lie between 0 and 1; with land, none.
+
+    A unit far larger than the others is among the last to be decided, so LANDING ordinary ones are left beside it to make up for it.
+    """
     todo, live = [i for i, p in enumerate(pi) if 0 < p < 1], []
-    last = max(0, len(todo) - LANDING) if land else len(todo)
+    goal, last = sum(pi[i] * size[i] for i in todo), max(0, len(todo) - LANDING)
     for i in todo[:last]:
         live.append(i)
         while len(live) == 3:
             a, b, c = (size[k] for k in live)
             live = _move(pi, (b - c, c - a, a - b) if not a == b == c else (1, -1, 0), live, draw)
-    if land and (live := live + todo[last:]):
-        _landed(pi, size, live)
+    if land and todo:
+        _landed(pi, size, live + todo[last:])
+        _exchanged(pi, size, todo, goal)
     return pi
 
 
@@ -104,6 +125,8 @@ def mix(units: DataFrame, *, keys: list[str], weights: tuple[int, ...] = WEIGHTS
     Null source: a source of its own, last. Null size: 0. Sources without a word have target 0. Repeated rows are units
     of their own. An empty table gives an empty one. Other columns are dropped.
     """
+    if block < 2 * (LANDING + 2):
+        raise ValueError("a block must hold more than two blocks leave")
     units = units.select(*keys, "source", F.coalesce("size", F.lit(0)).cast("long").alias("size"))
     goal = cut(targets(units, weights=weights, max_copies=max_copies))
     ratio = F.when(F.col("source_size") > 0, F.least(F.col("target") / F.col("source_size"), F.lit(float(max_copies)))).otherwise(0.0)
@@ -111,7 +134,7 @@ def mix(units: DataFrame, *, keys: list[str], weights: tuple[int, ...] = WEIGHTS
     rows = units.join(goal, F.col("source").eqNullSafe(F.col("_source")), "left").drop("_source").withColumn("_order", F.xxhash64(F.lit(seed), *keys))
     most = goal.agg(F.max("n")).first()[0] or 0
     blocks, out, names = F.ceil(F.col("n") / block), [], rows.columns
-    for turn in range(64):
+    for turn in itertools.count():  # each turn leaves at most half of the blocks
         groups = blocks
         rows = rows.withColumns({"_blocks": groups.cast("long"), "_block": F.pmod(F.xxhash64(F.lit(turn), "_order"), F.greatest(groups, F.lit(1)))})
 
@@ -119,7 +142,7 @@ def mix(units: DataFrame, *, keys: list[str], weights: tuple[int, ...] = WEIGHTS
         out.append(rows.where("_pi in (0, 1)"))
         if most <= block:
             break
-        rows, most, blocks = rows.where("_pi not in (0, 1)"), 2 * math.ceil(most / block), F.ceil(2 * blocks / block)
+        rows, most, blocks = rows.where("_pi not in (0, 1)"), (LANDING + 2) * math.ceil(most / block), F.ceil((LANDING + 2) * blocks / block)
     flown = out[0]
     for x in out[1:]:
         flown = flown.unionByName(x)

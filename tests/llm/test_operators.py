@@ -154,15 +154,15 @@ def test_flight_keeps_totals(units, seed):
 
     pi, size = [u[0] for u in units], [u[1] for u in units]
     out = mixing.flight(list(pi), size, random.Random(seed).random, False)
-    assert sum(0 < p < 1 for p in out) <= 2 and all(-1e-9 <= p <= 1 + 1e-9 for p in out)
+    assert sum(0 < p < 1 for p in out) <= mixing.LANDING + 2 and all(-1e-9 <= p <= 1 + 1e-9 for p in out)
     assert abs(sum(out) - sum(pi)) < 1e-5 and abs(np.dot(out, size) - np.dot(pi, size)) < 1e-4
     assert all(p in (0, 1) for p in mixing.flight(list(pi), size, random.Random(seed).random, True))
 
 
 def test_mix(spark, edge_docs, many_docs):
     docs = many_docs.select("doc_id", "source", mixing.n_words(F.col("text")).alias("size"))
-    one = sorted(mixing.mix(docs, keys=["doc_id"], block=32).collect(), key=str)
-    two = sorted(mixing.mix(docs.repartition(7), keys=["doc_id"], block=32).collect(), key=str)
+    one = sorted(mixing.mix(docs, keys=["doc_id"], block=40).collect(), key=str)
+    two = sorted(mixing.mix(docs.repartition(7), keys=["doc_id"], block=40).collect(), key=str)
     assert one == two and len(one) == 240
     for s, rows in itertools.groupby(sorted(one, key=lambda r: r["source"]), key=lambda r: r["source"]):
         rows = list(rows)
