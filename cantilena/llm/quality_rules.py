@@ -30,6 +30,8 @@ STATISTICS = {
 }
 COUNTS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
 SPREAD, MIN_DOCS, MIN_WORDS, MAX_REPEATED = 3.0, 100, 50, 50
+#: Files of a small table, and the most rows (of about 300 bytes) of limits that are broadcast.
+FEW, MAX_BROADCAST = 8, 20_000
 
 
 def counts_of(text: str) -> tuple[int, int, int, int, int]:
@@ -104,7 +106,7 @@ def fences(sketch: DataFrame, by: list[str]) -> DataFrame:
 
 def thresholds(counted: DataFrame, *, lang_col: str = "lang", source_col: str = "source", min_docs: int = MIN_DOCS) -> DataFrame:
     """Rows (lang, source, bounds, level): level tells whose sketch it is: source, lang or all."""
-    pair = cut(sketches(counted.select(F.col(lang_col).alias("_lang"), F.col(source_col).alias("_source"), *COUNTS, "base_failed"), ["_lang", "_source"]))
+    pair = cut(sketches(counted.select(F.col(lang_col).alias("_lang"), F.col(source_col).alias("_source"), *COUNTS, "base_failed"), ["_lang", "_source"]).coalesce(FEW))
     own = fences(pair, ["_lang", "_source"]).withColumnsRenamed({"n": "_n1", "bounds": "_b1"})
     lang = fences(merged(pair, ["_lang"]), ["_lang"]).select(F.col("_lang").alias("_l2"), F.col("n").alias("_n2"), F.col("bounds").alias("_b2"))
     every = fences(merged(pair.withColumn("_all", F.lit(0)), ["_all"]), ["_all"]).select(F.col("bounds").alias("_b3"))
@@ -115,7 +117,9 @@ def thresholds(counted: DataFrame, *, lang_col: str = "lang", source_col: str =
 
 def judged(counted: DataFrame, limits: DataFrame, *, lang_col: str = "lang", source_col: str = "source") -> DataFrame:
     """counted with kept, and rule: what failed first ("base" or a statistic; null if kept)."""
-    limits = cut(limits)  # small; Spark broadcasts it only if its measured size allows
+    limits = cut(limits.coalesce(FEW))  # a row for each language and source
+    if limits.count() <= MAX_BROADCAST:  # else the rows of counted are shuffled to them
+        limits = F.broadcast(limits)
     counted = counted.drop("kept", "rule")
     joined = counted.join(limits, counted[lang_col].eqNullSafe(limits["_lang"]) & counted[source_col].eqNullSafe(limits["_source"]), "left")
     rule = F.when(F.col("base_failed"), "base")
