@@ -1,12 +1,13 @@
 """PII: bootstrapped contextual extraction.
 
-Exact detectors find seed entities. The words around them induce lexical patterns: the two words before, the words
-either side, or a label glued to the front (as in mail:x). Patterns and the identifier-like strings that stand in them are a bipartite graph.
-Spark scores it round by round: a pattern's confidence is the share of all its occurrences in the corpus that
-hold an accepted instance; an instance's is what its confident patterns leave no doubt of; accepted instances are seeds of the next
-round. The occurrences of confident patterns are new spans.
-
-A pass over the corpus counts occurrences only of patterns that could discover something, through a filter of fixed size.
+Exact detectors find seed entities. The words around them induce lexical patterns: the word before, the two words before, the words
+either side, or a label glued to the front (as in mail:x). Patterns and what stands in their slots, whatever its characters, are a bipartite
+graph. Spark scores it round by round: a pattern's confidence is the share of all its slots in the corpus that
+hold an accepted instance; an instance's is what its confident patterns leave no doubt of, if enough of its own occurrences stand in
+them. Accepted instances are seeds of the next round, wherever they stand. What stands in the slots of confident patterns gives new spans.
+
+A slot is up to MOST words between two words; behind a word or label it is one word, or as many as go together: groups of digits, and
+words tied by one in brackets. Passes over the corpus look only for what is wanted, through filters of fixed size.
 """
 
 from __future__ import annotations
@@ -21,12 +22,13 @@ from collections.abc import Iterator
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import Window as W
 
 from .common import cut, release_memory, text_of
 
 KINDS = ("email", "ip", "card", "phone")
 ROUNDS, MIN_SEEDS, MIN_CONFIDENCE, MIN_SCORE = 3, 3, 0.5, 0.8
+#: The least share of an instance's occurrences that stands in confident patterns (words of any text have next to none), and the most words of a slot.
+MIN_SHARE, MOST = 0.1, 5
 FILTER_BITS = 2**20
 
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
@@ -34,8 +36,11 @@ _DOMAIN = re.compile(r"[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)+")
 _IP = re.compile(r"(?<![0-9])[0-9]++(?:\.[0-9]++){3}")
 _CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
-_LIKELY = re.compile(r"(?<![0-9A-Za-z])(?:\(?[0-9]{2,4}\)?[\x20.-]){2,4}[0-9]{2,4}(?![0-9A-Za-z])|[0-9A-Za-z](?:[0-9A-Za-z]|[._@/-](?=[0-9A-Za-z]))+")
 _OPENING = "\"'([{<"
+_TRAILING = ".,;:!?\"')]}>"
+_WORD = re.compile(r"\S+")
+_DIGITS = re.compile(r"[+(]{0,2}[0-9][0-9().-]*")
+_TIE = re.compile(r"\[[^\s\[\]]{1,8}\]|\([^\W\d]{1,8}\)|\{[^\s{}]{1,8}\}")
 _LABEL = re.compile(r"[^\s:=]{1,30}[:=]")
 
 
@@ -76,34 +81,47 @@ def base_spans(text: str) -> list[tuple[str, int, int]]:
     return sorted(out, key=lambda x: (x[1], KINDS.index(x[0])))
 
 
-def contexts(text: str, start: int, end: int) -> list[str]:
-    """The patterns in which the span stands."""
-    before, after = text[max(0, start - 120) : start], text[end : end + 60]
-    glued = before and not before[-1].isspace() and before[-1] not in _OPENING
-    words = before.rstrip(_OPENING).lower().split()
-    if glued:
-        label = _LABEL.fullmatch(words[-1]) if words else None
-        return [f"G {label[0]}"] if label else []
-    out = [f"B {words[-2]} {words[-1]}"] if len(words) > 1 else []
-    follow = after.lower().split()
-    if words and len(follow) > 1 and after[:1].isspace():
-        out.append(f"A {words[-1]} {follow[0]}")
+def contexts(text: str, places: list[tuple[int, int]], start: int, end: int) -> list[str]:
+    """The patterns in which the span stands; places: those of the text's words."""
+    i, j = bisect.bisect_right(places, (start, len(text))) - 1, bisect.bisect_left(places, (end, 0)) - 1
+    word = lambda k: text[slice(*places[k])].lower()
+    if prefix := text[places[i][0] : start].rstrip(_OPENING):
+        return [f"G {prefix.lower()}"] if _LABEL.fullmatch(prefix) else []
+    out = [f"L {word(i - 1)}"] if i else []
+    if i > 1:
+        out.append(f"B {word(i - 2)} {word(i - 1)}")
+    if i and j + 1 < len(places) and places[j][1] == end:
+        out.append(f"A {word(i - 1)} {word(j + 1)}")
     return out
 
 
-def edges(text: str, spans: list[tuple[str, int, int]]) -> list[tuple[str, str, str | None, int, int]]:
-    """(pattern, instance, kind or None, start, end) for the spans and for identifier-like strings beside them."""
-    found = [(k, a, b) for k, a, b in spans]
-    starts, ends = [a for _, a, _ in spans], list(itertools.accumulate((b for *_, b in spans), max))
-    for m in _LIKELY.finditer(text):
-        a, b = m.span()
-        if b - a >= 6 and sum(c.isdigit() for c in m[0]) >= 4 and not ((i := bisect.bisect_left(starts, b)) and ends[i - 1] > a):
-            found.append((None, a, b))
-    return [(p, text[a:b].lower(), k, a, b) for k, a, b in found for p in contexts(text, a, b)]
+def trimmed(text: str, start: int, end: int) -> tuple[int, int]:
+    """Without what opens or closes around it."""
+    while end > start and text[end - 1] in _TRAILING:
+        end -= 1
+    while start < end and text[start] in _OPENING and not (text[start] == "(" and ")" in text[start:end]):
+        start += 1
+    return start, end
+
+
+def last_of(text: str, places: list[tuple[int, int]], i: int, start: int) -> int:
+    """The last of the words that go together with word i, which counts from start on."""
+    j, now = i, text[start : places[i][1]]
+    while j + 1 < len(places) and j - i < MOST - 1:
+        after = text[slice(*places[j + 1])]
+        digits = _DIGITS.fullmatch(now) and _DIGITS.match(after) and not after.strip("+()0123456789.-,;:!?\"'")
+        if not (digits or _TIE.fullmatch(after) or (j > i and _TIE.fullmatch(now))):
+            break
+        j, now = j + 1, after
+    return j
+
+
+def norm(text: str) -> str:
+    return " ".join(text.lower().split())
 
 
 _SPANS = "array<struct<kind:string,start:long,end:long>>"
-_EDGES = "array<struct<pattern:string,instance:string,kind:string,start:long,end:long>>"
+_EDGES = "array<struct<pattern:string,instance:string,kind:string>>"
 
 
 def _find(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -111,84 +129,228 @@ def _find(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         spans, graph = [], []
         for text in pdf.pop("text"):
             found = base_spans(text)
+            places = [m.span() for m in _WORD.finditer(text)] if found else []
             spans.append([{"kind": k, "start": a, "end": b} for k, a, b in found])
-            graph.append([dict(zip(("pattern", "instance", "kind", "start", "end"), x, strict=True)) for x in edges(text, found)] if re.search("[0-9]", text) or found else [])
+            graph.append([{"pattern": p, "instance": norm(text[a:b]), "kind": k} for k, a, b in found for p in contexts(text, places, a, b)])
         pdf["base"], pdf["edges"] = spans, graph
         yield pdf
     release_memory()
 
 
-def _occurrences(wanted: bytes):
-    """Counts, a batch at a time, the occurrences of the patterns whose bit is set."""
+class Filter:
+    """Which strings may be wanted: a bit for each hash."""
+
+    def __init__(self, bits: bytes):
+        self.bits, self.known = bits, {}
+
+    def __contains__(self, x: str) -> bool:
+        h = zlib.crc32(x.encode("utf-8", "surrogatepass")) % FILTER_BITS
+        return bool(self.bits[h >> 3] >> (h & 7) & 1)
+
+    def of_word(self, key: str, work):
+        """work(key), remembered for the words that were met last."""
+        if (out := self.known.get(key)) is None:
+            if len(self.known) >= 50_000:
+                self.known.clear()
+            out = self.known[key] = work(key)
+        return out
+
+
+def _bits(keys: DataFrame) -> bytes:
+    """keys: rows of one string column."""
+    bits = bytearray(FILTER_BITS // 8)
+    places = keys.select((F.crc32(F.col(keys.columns[0]).cast("binary")) % FILTER_BITS).cast("int").alias("h")).distinct()
+    for r in places.toLocalIterator():  # at most FILTER_BITS numbers
+        bits[r["h"] >> 3] |= 1 << (r["h"] & 7)
+    return bytes(bits)
+
+
+def _pattern_bits(patterns: DataFrame) -> bytes:
+    """Patterns, and the words by which a pass knows where to look for them: b and a before a slot, r behind one."""
+    p, word = F.col("pattern"), lambda i: F.split("pattern", " ")[i]
+    keys = F.when(p.startswith("B "), F.array(p, F.concat(F.lit("b "), word(2)))).when(p.startswith("A "), F.array(p, F.concat(F.lit("a "), word(1)), F.concat(F.lit("r "), word(2)))).otherwise(F.array(p))
+    return _bits(patterns.select(F.explode(keys).alias("key")))
+
+
+def slots(words: list[str], wanted: Filter) -> Iterator[tuple[str, int, int | None]]:
+    """(pattern, first word, last word) of the slots of wanted patterns in lower-case words; the last is None if it isn't fixed by the pattern."""
+    n = len(words)
+    label = lambda w: f"G {m[0]}" if (m := _LABEL.match(w)) and m.end() < len(w) else ""
+    flags = [wanted.of_word(w, lambda w: (f"L {w}" in wanted) + 2 * (f"b {w}" in wanted) + 4 * (f"a {w}" in wanted) + 8 * (f"r {w}" in wanted) + 16 * bool((g := label(w)) and g in wanted)) for w in words]
+    for i, f in enumerate(flags):
+        if not f:
+            continue
+        if f & 16:
+            yield label(words[i]), i, None
+        if i + 1 == n:
+            break
+        if f & 1:
+            yield f"L {words[i]}", i + 1, None
+        if f & 2 and i and (p := f"B {words[i - 1]} {words[i]}") in wanted:
+            yield p, i + 1, None
+        if f & 4:
+            met = set()
+            for j in range(i + 2, min(i + 2 + MOST, n)):
+                if flags[j] & 8 and words[j] not in met and (p := f"A {words[i]} {words[j]}") in wanted:
+                    met.add(words[j])
+                    yield p, i + 1, j - 1
+
+
+def _occurrences(bits: bytes):
+    """Counts, a batch at a time, the slots of the wanted patterns."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        has = lambda p: wanted[(h := zlib.crc32(p.encode("utf-8", "surrogatepass")) % FILTER_BITS) >> 3] >> (h & 7) & 1
+        wanted = Filter(bits)
         for pdf in batches:
             seen: Counter = Counter()
             for text in pdf["text"]:
-                words = text.lower().split()
-                for a, b in zip(words, words[1:], strict=False):
-                    if has(p := f"B {a} {b}"):
-                        seen[p] += 1
-                for a, b in zip(words, words[2:], strict=False):
-                    if has(p := f"A {a} {b}"):
-                        seen[p] += 1
-                for w in words:
-                    if (":" in w or "=" in w) and (m := _LABEL.match(w)) and has(p := f"G {m[0]}"):
-                        seen[p] += 1
-            yield pd.DataFrame({"pattern": list(seen), "n": list(seen.values())}).astype({"pattern": "object", "n": "int64"})
+                seen.update(p for p, *_ in slots(text.lower().split(), wanted))
+            yield _counted(seen, "pattern")
 
     return run
 
 
+def _counted(seen: Counter, name: str) -> pd.DataFrame:
+    return pd.DataFrame({name: list(seen), "n": list(seen.values())}).astype({name: "object", "n": "int64"})
+
+
 def _totals(texts: DataFrame, patterns: DataFrame) -> DataFrame:
-    """Rows (pattern, n): how often each pattern occurs in the corpus, whatever stands in it."""
-    bits = bytearray(FILTER_BITS // 8)
-    places = patterns.select((F.crc32(F.col("pattern").cast("binary")) % FILTER_BITS).cast("int").alias("h")).distinct()
-    for r in places.toLocalIterator():  # at most FILTER_BITS numbers
-        bits[r["h"] >> 3] |= 1 << (r["h"] & 7)
-    found = texts.mapInPandas(_occurrences(bytes(bits)), "pattern string, n long").groupBy("pattern").agg(F.sum("n").alias("n"))
+    """Rows (pattern, n): how many slots each pattern has in the corpus, whatever stands in them."""
+    found = texts.select("text").mapInPandas(_occurrences(_pattern_bits(patterns)), "pattern string, n long").groupBy("pattern").agg(F.sum("n").alias("n"))
     return patterns.select("pattern").join(found, "pattern", "left").select("pattern", F.coalesce("n", F.lit(0)).alias("n"))
 
 
-def discover(graph: DataFrame, texts: DataFrame, *, rounds: int = ROUNDS, min_seeds: int = MIN_SEEDS, min_confidence: float = MIN_CONFIDENCE, min_score: float = MIN_SCORE) -> DataFrame | None:
-    """Rows (pattern, instance, kind) of discovered instances in confident patterns; None if there are none.
+def _apart(text: str):
+    """Whether a span overlaps none of the detectors'."""
+    base = sorted((a, b) for _, a, b in base_spans(text))
+    ends = list(itertools.accumulate((b for _, b in base), max))
+    return lambda a, b: not ((i := bisect.bisect_left(base, (b, 0))) and ends[i - 1] > a)
+
+
+_PLACED = "doc_id long, _row long, pattern string, instance string, start long, end long"
+
+
+def _rows(rows: list[tuple]) -> pd.DataFrame:
+    return pd.DataFrame(rows, columns=["doc_id", "_row", "pattern", "instance", "start", "end"]).astype({"doc_id": "Int64", "_row": "int64", "pattern": "object", "instance": "object", "start": "int64", "end": "int64"})
+
+
+def _stand_in(bits: bytes):
+    """What stands in the slots of wanted patterns and overlaps no base span."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        wanted = Filter(bits)
+        for pdf in batches:
+            out = []
+            for doc, row, text in zip(pdf["doc_id"], pdf["_row"], pdf["text"], strict=True):
+                if not (found := list(slots(text.lower().split(), wanted))):
+                    continue
+                places, apart = [m.span() for m in _WORD.finditer(text)], _apart(text)
+                for p, i, j in found:
+                    start = places[i][0]
+                    if p[0] == "G":
+                        start += _LABEL.match(text, start).end()
+                    a, b = trimmed(text, start, places[last_of(text, places, i, start) if j is None else j][1])
+                    if a < b and (j is None or b == places[j][1]) and apart(a, b):
+                        out.append((None if pd.isna(doc) else int(doc), row, p, norm(text[a:b]), a, b))
+            yield _rows(out)
 
-    graph: rows (pattern, instance, kind); kind is null for what no detector knows. A pattern needs min_seeds different
-    instances and at least min_confidence.
+    return run
+
+
+def _instances(text: str, wanted: Filter) -> Iterator[tuple[str, int, int]]:
+    """(instance, start, end): where wanted instances may stand, behind white space, an opening mark or a label."""
+
+    def starts(word: str) -> list[int]:
+        out = [0, m.end()] if (m := _LABEL.match(word)) and m.end() < len(word) else [0]
+        return [x for x in out if any(y and f"1 {y}" in wanted for y in (norm(word[slice(*trimmed(word, x, len(word)))]), norm(word[x:].lstrip(_OPENING)), norm(word[x:])))]
+
+    words = text.split()
+    if not any([wanted.of_word(w, starts) for w in words]):
+        return
+    places = [m.span() for m in _WORD.finditer(text)]
+    for i, w in enumerate(words):
+        for x in wanted.of_word(w, starts):
+            met = set()
+            for j in range(i, min(i + MOST, len(words))):
+                a, b = trimmed(text, places[i][0] + x, places[j][1])
+                if a < b and (a, b) not in met and (k := norm(text[a:b])) in wanted:
+                    met.add((a, b))
+                    yield k, a, b
+
+
+def _instance_bits(instances: DataFrame) -> bytes:
+    return _bits(instances.select(F.explode(F.array("instance", F.concat(F.lit("1 "), F.split("instance", " ")[0]))).alias("key")))
+
+
+def _instance_counts(bits: bytes):
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        wanted = Filter(bits)
+        for pdf in batches:
+            seen: Counter = Counter()
+            for text in pdf["text"]:
+                seen.update(x for x, *_ in _instances(text, wanted))
+            yield _counted(seen, "instance")
+
+    return run
+
+
+def _around(bits: bytes):
+    """The patterns in which wanted instances stand, wherever they are."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        wanted = Filter(bits)
+        for pdf in batches:
+            seen: Counter = Counter()
+            for text in pdf["text"]:
+                if found := list(_instances(text, wanted)):
+                    places, apart = [m.span() for m in _WORD.finditer(text)], _apart(text)
+                    seen.update((p, x) for x, a, b in found if apart(a, b) for p in contexts(text, places, a, b))
+            yield pd.DataFrame([(*k, n) for k, n in seen.items()], columns=["pattern", "instance", "n"]).astype({"pattern": "object", "instance": "object", "n": "int64"})
+
+    return run
+
+
+def discover(graph: DataFrame, texts: DataFrame, *, min_seeds: int = MIN_SEEDS, min_confidence: float = MIN_CONFIDENCE, min_score: float = MIN_SCORE, min_share: float = MIN_SHARE) -> DataFrame | None:
+    """Rows (doc_id, _row, kind, start, end): what stands in confident patterns; None if there is nothing.
+
+    graph: rows (pattern, instance, kind) of the detectors' spans; texts: rows (doc_id, _row, text). A pattern needs
+    min_seeds different instances and at least min_confidence.
     """
     pairs = cut(graph.groupBy("pattern", "instance").agg(F.max("kind").alias("kind"), F.count("*").alias("n")))
-    accepted = pairs.where("kind is not null").select("instance", "kind").distinct()
-    done = None
-    for _ in range(rounds):
-        known = pairs.drop("kind").join(accepted, "instance", "left")
-        support = known.groupBy("pattern").agg(
-            F.count(F.when(F.col("kind").isNotNull(), 1)).alias("seeds"),
-            F.sum(F.when(F.col("kind").isNotNull(), F.col("n"))).alias("hits"),
-            F.count(F.when(F.col("kind").isNull(), 1)).alias("others"),
-            F.mode("kind", True).alias("kind"),
-        )
-        fit = cut(support.where((F.col("seeds") >= min_seeds) & (F.col("others") > 0)))
+    accepted, done = None, None
+    for _ in range(ROUNDS):
+        support = pairs.groupBy("pattern").agg(F.count("*").alias("seeds"), F.sum("n").alias("hits"), F.mode("kind", True).alias("kind"))
+        fit = cut(support.where(F.col("seeds") >= min_seeds))
         if fit.isEmpty():
-            break
-        sure = fit.join(_totals(texts, fit), "pattern").withColumn("confidence", F.least(F.col("hits") / F.greatest("n", "hits"), F.lit(0.999))).where(F.col("confidence") >= min_confidence)
-        scored = pairs.where("kind is null").select("pattern", "instance").join(sure.select("pattern", "kind", "confidence"), "pattern")
-        doubt = F.exp(F.sum(F.ln(1 - F.col("confidence"))).over(W.partitionBy("instance")))
-        got = cut(scored.withColumn("score", 1 - doubt).where(F.col("score") >= min_score).select("pattern", "instance", "kind"))
+            return done
+        sure = cut(fit.join(_totals(texts, fit), "pattern").withColumn("confidence", F.least(F.col("hits") / F.greatest("n", "hits"), F.lit(0.999))).where(F.col("confidence") >= min_confidence).select("pattern", "kind", "confidence"))
+        if sure.isEmpty():
+            return done
+        placed = cut(texts.mapInPandas(_stand_in(_pattern_bits(sure)), _PLACED).join(sure, "pattern"))
+        doubt = F.exp(F.sum(F.ln(1 - F.col("confidence"))))
+        scored = placed.select("pattern", "instance", "kind", "confidence").distinct().groupBy("instance").agg((1 - doubt).alias("score"), F.mode("kind", True).alias("as_kind")).where(F.col("score") >= min_score)
+        likely = cut(scored.join(placed.groupBy("instance").agg(F.count_distinct("doc_id", "_row", "start", "end").alias("inside")), "instance"))
+        if likely.isEmpty():
+            return done
+        every = texts.select("text").mapInPandas(_instance_counts(_instance_bits(likely)), "instance string, n long").groupBy("instance").agg(F.sum("n").alias("n"))
+        got = cut(likely.join(every, "instance", "left").where(F.col("inside") >= min_share * F.coalesce("n", F.lit(0))).select("instance", F.col("as_kind").alias("kind")))
         if got.isEmpty():
-            break
-        done = got if done is None else cut(done.unionByName(got).distinct())
-        new = got.groupBy("instance").agg(F.mode("kind", True).alias("kind")).join(accepted.select("instance"), "instance", "left_anti")
+            return done
+        done = cut(placed.drop("confidence").join(got.select("instance"), "instance", "left_semi").select("doc_id", "_row", "kind", "start", "end").distinct())
+        new = cut(got if accepted is None else got.join(accepted, "instance", "left_anti"))
         if new.isEmpty():
-            break
-        accepted = cut(accepted.unionByName(new))
+            return done
+        accepted = new.select("instance") if accepted is None else cut(accepted.unionByName(new.select("instance")))
+        around = texts.select("text").mapInPandas(_around(_instance_bits(new)), "pattern string, instance string, n long").groupBy("pattern", "instance").agg(F.sum("n").alias("n"))
+        pairs = cut(pairs.unionByName(around.join(new, "instance").select(pairs.columns)))
     return done
 
 
 def find_pii(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", **how) -> DataFrame:
     """Rows (doc_id, base, spans): arrays of (kind, start, end) by start, then kind; code points, end exclusive.
 
-    base: what the detectors find. spans: base, and the discovered spans that overlap none of it.
+    base: what the detectors find. spans: base, and the discovered spans that overlap none of it; of discovered spans that
+    overlap each other the first, and of those that begin together the longest.
 
     Null or empty text: no spans. Null or repeated ids: each row is answered for itself. An empty table gives no
     rows. Other columns are dropped.
@@ -196,14 +358,17 @@ def find_pii(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), text_of(text_col).alias("text"))
     named = texts.select("doc_id", F.xxhash64("text").alias("_row"), "text")
     found = cut(named.mapInPandas(_find, f"doc_id long, _row long, base {_SPANS}, edges {_EDGES}"))
-    graph = found.select("doc_id", "_row", F.explode("edges").alias("e")).select("doc_id", "_row", "e.*")
-    new = discover(graph.select("pattern", "instance", "kind"), texts.select("text"), **how)
+    new = discover(found.select(F.explode("edges").alias("e")).select("e.*"), named, **how)
     if new is None:
         return found.select("doc_id", "base", F.col("base").alias("spans"))
-    hits = graph.where("kind is null").drop("kind").join(new, ["pattern", "instance"])
     key = F.coalesce("doc_id", F.lit(-(2**63)))
-    spans = hits.groupBy(key.alias("_id"), "_row").agg(F.collect_set(F.struct("kind", "start", "end")).alias("_new"))
-    both = found.select("doc_id", "_row", "base").withColumn("_id", key).join(spans, ["_id", "_row"], "left")
+    spans = new.groupBy(key.alias("_id"), "_row").agg(F.collect_set(F.struct("start", (-F.col("end")).alias("back"), "kind")).alias("_new"))
+    apart = F.aggregate(
+        F.array_sort("_new"),
+        F.expr(f"cast(array() as {_SPANS})"),
+        lambda out, s: F.when((F.size(out) == 0) | (F.try_element_at(out, F.lit(-1))["end"] <= s["start"]), F.concat(out, F.array(F.struct(s["kind"].alias("kind"), s["start"].alias("start"), (-s["back"]).alias("end"))))).otherwise(out),
+    )
+    both = found.select("doc_id", "_row", "base").withColumn("_id", key).join(spans.select("_id", "_row", apart.alias("_new")), ["_id", "_row"], "left")
     return both.select("doc_id", "base", in_order(F.concat("base", F.coalesce("_new", F.expr(f"cast(array() as {_SPANS})")))).alias("spans"))
 
 

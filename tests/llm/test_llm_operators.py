@@ -449,6 +449,23 @@ def test_pii_leaves_common_contexts_alone(spark):
     assert all(r["spans"] == r["base"] for r in got)
 
 
+def discovered(spark, texts):
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    return {(r["doc_id"], s["kind"], texts[r["doc_id"]][s["start"] : s["end"]]) for r in pii.find_pii(docs).collect() for s in r["spans"] if s not in r["base"]}
+
+
+def test_pii_takes_whatever_stands_in_the_slot(spark):
+    people = [f"Please write to reader ann{i}@mail{i}.example.com before noon." for i in range(12)]
+    hidden = ["jane@intranet", "jane [at] corp [dot] com", "account-name", "07700 900123"]
+    texts = people + [f"Please write to reader {x} before noon." for x in hidden]
+    assert discovered(spark, texts) == {(12 + i, "email", x) for i, x in enumerate(hidden)}
+
+
+def test_pii_knows_one_word_labels(spark):
+    texts = [f"Phone: +1 (212) 555-01{i}" for i in range(10, 22)] + ["Phone: 030 12345678", "Some other words here. Phone: 07700 900123."]
+    assert discovered(spark, texts) == {(12, "phone", "030 12345678"), (13, "phone", "07700 900123")}
+
+
 # Quality classifier
 
 
