@@ -2,7 +2,7 @@
 
 Exact detectors find seed entities. The words around them induce lexical patterns: the word before, the two words before, the words
 either side, or a label glued to the front (as in mail:x). Patterns and what stands in their slots, whatever its characters, are a bipartite
-graph. Spark scores it round by round: a pattern's confidence is the share of all its slots in the corpus that
+graph. Spark scores it round by round until no instance is new: a pattern's confidence is the share of all its slots in the corpus that
 hold an accepted instance; an instance's is what its confident patterns leave no doubt of, if enough of its own occurrences stand in
 them. Accepted instances are seeds of the next round, wherever they stand. What stands in the slots of confident patterns gives new spans.
 
@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from .common import cut, release_memory, text_of
 
 KINDS = ("email", "ip", "card", "phone")
-ROUNDS, MIN_SEEDS, MIN_CONFIDENCE, MIN_SCORE = 3, 3, 0.5, 0.8
+MIN_SEEDS, MIN_CONFIDENCE, MIN_SCORE = 3, 0.5, 0.8
 #: The least share of an instance's occurrences that stands in confident patterns (words of any text have next to none), and the most words of a slot.
 MIN_SHARE, MOST = 0.1, 5
 FILTER_BITS = 2**20
@@ -314,11 +314,11 @@ def discover(graph: DataFrame, texts: DataFrame, *, min_seeds: int = MIN_SEEDS,
     """Rows (doc_id, _row, kind, start, end): what stands in confident patterns; None if there is nothing.
 
     graph: rows (pattern, instance, kind) of the detectors' spans; texts: rows (doc_id, _row, text). A pattern needs
-    min_seeds different instances and at least min_confidence.
+    min_seeds different instances and at least min_confidence. Rounds go on until no instance is new.
     """
     pairs = cut(graph.groupBy("pattern", "instance").agg(F.max("kind").alias("kind"), F.count("*").alias("n")))
     accepted, done = None, None
-    for _ in range(ROUNDS):
+    while True:
         support = pairs.groupBy("pattern").agg(F.count("*").alias("seeds"), F.sum("n").alias("hits"), F.mode("kind", True).alias("kind"))
         fit = cut(support.where(F.col("seeds") >= min_seeds))
         if fit.isEmpty():
@@ -343,7 +343,6 @@ def discover(graph: DataFrame, texts: DataFrame, *, min_seeds: int = MIN_SEEDS,
         accepted = new.select("instance") if accepted is None else cut(accepted.unionByName(new.select("instance")))
         around = texts.select("text").mapInPandas(_around(_instance_bits(new)), "pattern string, instance string, n long").groupBy("pattern", "instance").agg(F.sum("n").alias("n"))
         pairs = cut(pairs.unionByName(around.join(new, "instance").select(pairs.columns)))
-    return done
 
 
 def find_pii(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", **how) -> DataFrame:

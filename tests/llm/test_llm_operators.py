@@ -466,6 +466,20 @@ def test_pii_knows_one_word_labels(spark):
     assert discovered(spark, texts) == {(12, "phone", "030 12345678"), (13, "phone", "07700 900123")}
 
 
+def test_pii_goes_on_until_no_instance_is_new(spark):
+    names = [[f"{c}{i}77-41{i}" for i in range(4)] for c in "abcdef"]
+    texts = [f"Write to hop0 u{i}@h{i}.example.com today" for i in range(40)] + [f"Write to hop0 {x} today" for x in names[0]]
+    for k in range(5):
+        texts += [f"Ask for hop{k + 1} {x} soon" for _ in range(3) for x in names[k]] + [f"Ask for hop{k + 1} {x} soon" for x in names[k + 1]]
+    assert {x for *_, x in discovered(spark, texts)} == {x for group in names for x in group}
+
+
+def test_pii_counts_whatever_stands_in_wide_slots(spark):
+    cards = [x for i in range(10_000, 10_200) if pii.base_spans(x := f"4111 1111 111{i % 10} {i // 10 % 1000:03}{i % 7}")][:12]
+    texts = [f"paid by card {x} then on" for x in cards] + [f"paid by card in no small q{c} then on" for c in "abcdefghijklmnopqrst"] + ["left by card 88421-77130 then on"]
+    assert len(cards) >= pii.MIN_SEEDS and not discovered(spark, texts)
+
+
 # Quality classifier
 
 
