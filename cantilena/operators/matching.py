@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 import numpy as np
@@ -12,6 +13,8 @@ from pyspark.sql import Window as W
 
 from ..functions.text import squeeze_marks
 
+_SPLIT = re.compile(r"[\s.,;!?()\[\]{}]")
+
 
 def character_weights(texts: DataFrame, keys: list[str], text: str = "text") -> DataFrame:
     """(keys, char, n, weight): weights grow with rarity: the softmax of 1 less the scaled logarithm of the count."""
@@ -86,39 +89,100 @@ def dtw(cost: np.ndarray) -> tuple[float, list[tuple[int, int]]]:
     return best, path[::-1]
 
 
+def unit_rows(a: np.ndarray) -> np.ndarray:
+    return a / np.maximum(np.linalg.norm(a, axis=1, keepdims=True), 1e-12)
+
+
+def warp_ends(query: np.ndarray, reference: np.ndarray, rows: int = 16) -> tuple[float, int, int]:
+    """The distance of dtw, and the first and last column of its path; rows of query and columns of reference have length 1 (or 0).
+
+    Costs are made for some rows at a time and starts go along with the totals, so memory grows with the reference alone.
+    """
+    n, m = len(query), reference.shape[1]
+    used = query.any(0)
+    query, reference = query[:, used], reference[used]
+    total, start = np.empty(0), np.arange(m, dtype=np.int32)
+    for i in range(0, n, rows):
+        for cost in 1 - query[i : i + rows] @ reference:
+            if not len(total):
+                total = cost.copy()
+                continue
+            best, come = total.copy(), start.copy()
+            for k in (1, 2):
+                if m > k:
+                    better = total[:-k] < best[k:]
+                    np.copyto(best[k:], total[:-k], where=better)
+                    np.copyto(come[k:], start[:-k], where=better)
+            best += cost
+            total, start = best, come
+    j = int(total.argmin())
+    return float(total[j] / n), int(start[j]), j
+
+
 def matching_edge(reference: str, cuts: Sequence[int], near: int, query_edge: str, weights: dict[str, float], reach: int = 2, limit: float = 0.35, least: int = 4) -> int | None:
-    """Of the cuts around a place, the one whose text is most like the query's edge; None if none is like enough."""
+    """Of the cuts around a place, the one whose piece up to the next cut is most like the query's edge; None if none is like enough."""
     if len(query_edge) < least or not len(cuts):
         return None
-    k = int(np.searchsorted(cuts, near))
+    k = int(np.abs(np.asarray(cuts) - near).argmin())
 
     def shares(t: str) -> np.ndarray:
-        v = np.asarray([t.count(c) * weights[c] for c in sorted(weights)], float)
-        return v / max(1, len(t))
+        return np.asarray([t.count(c) * weights[c] for c in sorted(weights)], float)
 
     want, best = shares(query_edge), (limit, None)
-    for c in cuts[max(0, k - reach) : k + reach + 1]:
-        got = shares(reference[c : c + len(query_edge)])
+    for i in range(max(0, k - reach), min(k + reach, len(cuts) - 1)):
+        got = shares(reference[cuts[i] : cuts[i + 1]])
         norm = np.linalg.norm(want) * np.linalg.norm(got)
         distance = 1 - float(want @ got) / norm if norm else 1.0
         if distance < best[0]:
-            best = (distance, c)
+            best = (distance, cuts[i])
     return best[1]
 
 
-def align_text(base: str, reference: str, weights: dict[str, float], *, width: int = 20, limit: float = 0.35, step: int = 1) -> tuple[str, float, bool]:
-    """(aligned, distance, fallback): the part of the reference that base stands for, cut at spaces and marks; base itself if it can't be found."""
-    known = [c for c in base if c in weights]
-    if not known or not any(c in weights for c in reference):
+def split_points(text: str) -> list[int]:
+    """Where a text may be cut: its begin, and each space or mark."""
+    return sorted({0, *(m.start() for m in _SPLIT.finditer(text))})
+
+
+def reference_edges(base: str, reference: str, first: int, last: int, weights: dict[str, float], least: int = 4) -> tuple[int, int]:
+    """Where to cut the reference for a base that warps onto first to last: at the pieces like the base's own first and last pieces of at least so many characters.
+
+    The last cut is the reference's end, so that its last piece can be taken too.
+    """
+    cuts, own = split_points(reference), split_points(base)
+    if cuts[-1] < len(reference):
+        cuts.append(len(reference))
+    nearest = lambda at: cuts[int(np.abs(np.asarray(cuts) - at).argmin())]
+    head = base[: next((c for c in own if c >= least), len(base))]
+    tail = base[next((c for c in reversed(own) if c <= len(base) - least), 0) :]
+
+    def edge(piece: str, at: int, otherwise: int) -> int:
+        if not any(c in weights for c in piece):
+            return otherwise
+        found = matching_edge(reference, cuts, at, piece, weights, least=1)
+        return nearest(at) if found is None else found
+
+    hi = edge(tail, last, len(reference))
+    return edge(head, first, 0), next((c for c in cuts if c > hi), len(reference))
+
+
+def reference_shares(reference: str, weights: dict[str, float], width: int = 20, step: int = 1) -> np.ndarray:
+    return np.ascontiguousarray(unit_rows(sliding_histograms(reference, weights, width)[::step]).T)
+
+
+def align_text(base: str, reference: str, weights: dict[str, float], *, width: int = 20, limit: float = 0.35, step: int = 1, shares: np.ndarray | None = None) -> tuple[str, float, bool]:
+    """(aligned, distance, fallback): the part of the reference that base stands for, cut where its pieces are like the base's ends; base itself if it can't be found.
+
+    shares: the reference's reference_shares, if they are known.
+    """
+    if not any(c in weights for c in base) or not any(c in weights for c in reference):
         return base, float("inf"), True
-    distance, path = dtw(cosine_distances(sliding_histograms(base, weights, width)[::step], sliding_histograms(reference, weights, width)[::step]))
-    if not path or distance >= limit:
+    shares = reference_shares(reference, weights, width, step) if shares is None else shares
+    distance, first, last = warp_ends(unit_rows(sliding_histograms(base, weights, width)[::step]), shares)
+    if distance >= limit:
         return base, distance, True
-    lo, hi = path[0][1] * step, path[-1][1] * step + 1
-    cuts = [0, *[i for i, c in enumerate(reference) if c in " \t\n.,;!?()[]{}"], len(reference)]
-    left = max(c for c in cuts if c <= lo)
-    right = min(c for c in cuts if c >= hi)
-    return reference[left:right].strip(), distance, False
+    left, right = reference_edges(base, reference, first * step, last * step, weights)
+    aligned = reference[left:right].strip()
+    return (aligned, distance, False) if aligned else (base, distance, True)
 
 
 def align_splits(splits: DataFrame, keys: list[str], *, width: int = 20, limit: float = 0.35, step: int = 1) -> DataFrame:
@@ -133,7 +197,11 @@ def align_splits(splits: DataFrame, keys: list[str], *, width: int = 20, limit:
         scaled = (log - log.min()) / (log.max() - log.min()) if len(log) and log.max() > log.min() else np.zeros(len(log))
         rare = np.exp(1 - scaled)
         weights = dict(zip(chars, rare / rare.sum() if len(rare) else rare, strict=True))
-        got = [align_text(b or "", r or "", weights, width=width, limit=limit, step=step) for b, r in zip(pdf["base"], pdf["reference"], strict=True)]
+        got, known, shares = [], None, None
+        for b, r in zip(pdf["base"], pdf["reference"], strict=True):
+            if r and r != known:  # splits of an entry mostly share their reference
+                known, shares = r, reference_shares(r, weights, width, step)
+            got.append(align_text(b or "", r or "", weights, width=width, limit=limit, step=step, shares=shares))
         return pdf.assign(aligned=[g[0] for g in got], alignment_distance=[g[1] for g in got], is_fallback=[g[2] for g in got])
 
     columns = [*keys, "split_idx", "base", "reference"]

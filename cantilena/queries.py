@@ -371,7 +371,7 @@ def window_hist_search(spark, sf):
 def dtw_align(spark, sf):
     whole = R.ordered_concat(_captions(spark, sf), "conv_id", "turn", "text", " ").withColumnRenamed("text", "reference")
     splits = _captions(spark, sf).select("conv_id", F.col("turn").cast("int").alias("split_idx"), F.col("text").alias("base"))
-    return M.align_splits(splits.join(whole, "conv_id"), ["conv_id"], step=3)
+    return M.align_splits(splits.join(whole, "conv_id"), ["conv_id"])
 
 
 @query

@@ -198,6 +198,32 @@ def test_matching(spark):
     assert df.select(M.locate_text(F.col("w"), F.col("q"), [10, 50], F.lit(300))).first()[0] == 291
 
 
+def test_ends_of_the_warp():
+    r = np.random.default_rng(5)
+    for n, m in [(1, 1), (7, 2), (20, 1), (40, 90), (33, 200)]:
+        a, b = r.random((n, 6)), r.random((m, 6))
+        distance, path = M.dtw(M.cosine_distances(a, b))
+        assert M.warp_ends(M.unit_rows(a), M.unit_rows(b).T) == (pytest.approx(distance), path[0][1], path[-1][1])
+
+
+def test_edges_are_the_pieces_like_the_query():
+    reference = "nothing like it. the quick brown fox jumps over the lazy dog, and then some more words"
+    weights = {c: 1.0 for c in reference}
+    assert M.align_text("quick brown fox jumps over", reference, weights, width=8)[0] == "quick brown fox jumps over"
+    a, b = M.reference_edges("brown fox jumps", reference, 24, 41, weights)  # the warp is some characters off
+    assert reference[a:b].strip() == "brown fox jumps"
+    assert M.align_text("then some more words", reference, weights, width=8)[0] == "then some more words"
+
+
+def test_every_character_is_compared(spark, monkeypatch):
+    from cantilena.queries import QUERIES
+
+    steps, real = [], M.align_splits
+    monkeypatch.setattr(M, "align_splits", lambda *a, **k: steps.append(k.get("step", 1)) or real(*a, **k))
+    QUERIES["dtw_align"](spark, "/root/testdata/sf0.001")
+    assert steps == [1]
+
+
 def test_scores(spark):
     words = spark.createDataFrame([("e", 0, 0.0, 1.0, 0.5, 1.0), ("e", 0, 1.0, 1.0, 0.7, 0.0), ("e", 1, 2.0, 4.0, 0.1, 2.0)], "entry string, seg long, start double, end double, prob double, duration double")
     durations = spark.createDataFrame([("e", 4.0)], "entry string, duration double")
