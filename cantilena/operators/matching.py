@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Sequence
+from collections import Counter
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
@@ -45,6 +46,71 @@ def window_search(texts: DataFrame, queries: DataFrame, alphabet: str, *, key: s
     return rows.where("similarity is not null").withColumn("rank", rank).where(F.col("rank") <= best).select(key, "query", "at", "similarity", "rank")
 
 
+def weighted_counts(text: str, weights: dict[str, float], starts: np.ndarray, width: int) -> np.ndarray:
+    """Weighted counts of the alphabet in the windows of width that begin at starts."""
+    codes = np.asarray([ord(c) for c in text], np.int64)
+    out = np.zeros((len(starts), len(weights)))
+    for k, c in enumerate(sorted(weights)):
+        total = np.concatenate([[0], (codes == ord(c)).cumsum()])
+        out[:, k] = (total[starts + width] - total[starts]) * weights[c]
+    return out
+
+
+def best_starts(text: str, query: str, weights: dict[str, float], ranges: Sequence[tuple[int, int]], stride: int, best: int) -> list[tuple[int, float]]:
+    """(start, similarity) of the windows of the query's length inside ranges most like it; of like ones the first. Windows without a known character are skipped."""
+    starts = np.unique(np.concatenate([np.arange(a, b - len(query) + 1, stride) for a, b in ranges]).astype(np.int64)) if ranges else np.zeros(0, np.int64)
+    if not len(starts) or not any(c in weights for c in query):
+        return []
+    got = weighted_counts(text, weights, starts, len(query))
+    want = np.asarray([query.count(c) * weights[c] for c in sorted(weights)])
+    norm = np.linalg.norm(got, axis=1)
+    like = np.where(norm > 0, got @ want / np.maximum(norm, 1e-300) / np.linalg.norm(want), -1.0).round(12)
+    return [(int(starts[i]), float(like[i])) for i in np.argsort(-like, kind="stable")[:best] if like[i] >= 0]
+
+
+def union_ranges(ranges: Sequence[tuple[int, int]]) -> list[tuple[int, int]]:
+    out: list[tuple[int, int]] = []
+    for a, b in sorted(ranges):
+        if out and a <= out[-1][1]:
+            out[-1] = (out[-1][0], max(b, out[-1][1]))
+        else:
+            out.append((a, b))
+    return out
+
+
+def find_start(text: str, query: str, weights: dict[str, float], *, coarse: tuple[int, int, int] = (150, 50, 5), fine: tuple[int, int] = (250, 5)) -> tuple[int, float] | None:
+    """Where the query begins in the text, and how like it is: a coarse search (characters of the query, stride, hits), then a fine one
+    (characters, stride) over the union of the ranges around its hits."""
+    width, stride, best = coarse
+    hits = best_starts(text, query[:width], weights, [(0, len(text))], stride, best)
+    ranges = union_ranges([(max(0, at - 2 * width), min(len(text), at + 3 * width)) for at, _ in hits])
+    return next(iter(best_starts(text, query[: fine[0]], weights, ranges, fine[1], 1)), None)
+
+
+def fine_search(texts: DataFrame, queries: DataFrame, *, key: str = "doc_id") -> DataFrame:
+    """(key, query, at, similarity): find_start of each query (query, query_text) in the text (key, text) of its key, by all characters of the text with their rarity."""
+    kinds = dict(queries.dtypes) | dict(texts.dtypes)
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            rows = []
+            for k, text, query, wanted in zip(pdf[key], pdf["text"], pdf["query"], pdf["query_text"], strict=True):
+                if text and wanted and (got := find_start(text, wanted, rarity(text))):
+                    rows.append((k, query, *got))
+            yield pd.DataFrame(rows, columns=[key, "query", "at", "similarity"])
+
+    rows = texts.join(queries, key).select(key, "text", "query", "query_text")
+    return rows.mapInPandas(run, f"`{key}` {kinds[key]}, query {kinds['query']}, at int, similarity double")
+
+
+def rarity(text: str) -> dict[str, float]:
+    """The weights of character_weights for one text."""
+    count = Counter(re.sub(r"[\s,.?]+", " ", text))
+    log = np.log(list(count.values()))
+    rare = np.exp(1 - (log - log.min()) / ((log.max() - log.min()) or 1.0))
+    return dict(zip(count, (rare / rare.sum()).tolist(), strict=True))
+
+
 def sliding_histograms(text: str, weights: dict[str, float], width: int) -> np.ndarray:
     """For each character, the weighted shares of the alphabet in the window of width centred on it."""
     letters = {c: i for i, c in enumerate(sorted(weights))}

@@ -367,6 +367,15 @@ def window_hist_search(spark, sf):
     return M.window_search(texts, last.select(F.col("conv_id").alias("doc_id"), F.col("conv_id").alias("query"), "query_text"), "aeinrst", best=3).select("doc_id", "query", "at", F.round("similarity", 6).alias("similarity"))
 
 
+@query
+def window_fine_search(spark, sf):
+    turns = _captions(spark, sf)
+    texts = R.ordered_concat(turns, "conv_id", "turn", "text", " ").withColumnRenamed("conv_id", "doc_id")
+    last = turns.groupBy("conv_id").agg(F.max_by("text", "turn").alias("query_text")).where("length(query_text) > 0")
+    found = M.fine_search(texts, last.select(F.col("conv_id").alias("doc_id"), F.col("conv_id").alias("query"), "query_text"))
+    return found.select("doc_id", "query", "at", F.round("similarity", 6).alias("similarity"))
+
+
 @query
 def dtw_align(spark, sf):
     whole = R.ordered_concat(_captions(spark, sf), "conv_id", "turn", "text", " ").withColumnRenamed("text", "reference")

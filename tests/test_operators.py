@@ -2,6 +2,7 @@
 
 import itertools
 import math
+import random
 
 import numpy as np
 import pandas as pd
@@ -198,6 +199,18 @@ def test_matching(spark):
     assert df.select(M.locate_text(F.col("w"), F.col("q"), [10, 50], F.lit(300))).first()[0] == 291
 
 
+def test_fine_search_finds_what_begins_between_strides(spark):
+    r = random.Random(4)
+    text = " ".join("".join(r.choice("abcdefghijklmnop") for _ in range(r.randint(2, 9))) for _ in range(700))
+    places = [35, 1015, 1230, 2485]
+    assert [M.find_start(text, text[at : at + 400], M.rarity(text))[0] for at in places] == places
+    assert M.union_ranges([(5, 9), (0, 5), (20, 30), (22, 25)]) == [(0, 9), (20, 30)] and M.find_start("short", "a longer query", M.rarity("short")) is None
+    weights = {c["char"]: c["weight"] for c in M.character_weights(spark.createDataFrame([(1, text)], "k long, text string"), ["k"]).collect()}
+    assert M.rarity(text) == pytest.approx(weights)
+    rows = M.fine_search(spark.createDataFrame([(1, text)], "doc_id long, text string"), spark.createDataFrame([(1, i, text[at : at + 400]) for i, at in enumerate(places)], "doc_id long, query long, query_text string"))
+    assert sorted((x["query"], x["at"]) for x in rows.collect()) == list(enumerate(places))
+
+
 def test_ends_of_the_warp():
     r = np.random.default_rng(5)
     for n, m in [(1, 1), (7, 2), (20, 1), (40, 90), (33, 200)]:
