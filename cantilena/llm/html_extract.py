@@ -30,8 +30,12 @@ _PARTS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])|[0-9]+")
 
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 #: Their content is not text of the page.
-RAW = frozenset("script style title textarea noscript template iframe svg math object canvas audio video select option datalist head".split())
-INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark nobr q rp rt ruby s samp small span strike strong sub sup time tt u var wbr img".split())
+RAW = frozenset("script style title textarea noscript template iframe svg canvas audio video select option datalist head annotation annotation-xml".split())
+#: Those that run to the end of the page if they are not closed.
+TO_END = frozenset("script style title textarea noscript iframe".split())
+#: Where an unclosed svg is left.
+_LEAVES = re.compile(r"(?=</?(?:p|div|body|h[1-6]|ul|ol|dl|li|table|blockquote|pre|section|article)[\s>/])", re.I)
+INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark nobr q rp rt ruby s samp small span strike strong sub sup time tt u var wbr img object param math mi mn mo ms mtext mrow msup msub msubsup mfrac msqrt mroot munder mover munderover mstyle mpadded mspace semantics annotation annotation-xml".split())
 #: What an opening tag closes, up to the nearest element of the second kind.
 CLOSES = {"li": ({"li"}, {"ul", "ol", "menu"}), "dt": ({"dt", "dd"}, {"dl"}), "dd": ({"dt", "dd"}, {"dl"}), "tr": ({"tr", "td", "th"}, {"table"}), "td": ({"td", "th"}, {"tr", "table"}), "th": ({"td", "th"}, {"tr", "table"})}
 #: Around them a paragraph stays open.
@@ -119,7 +123,10 @@ def blocks_of(page: str) -> list[tuple[str, str, tuple, int, float]]:
                     pos = end.end()
                 continue
             end = re.compile(rf"</{tag}\s*>", re.I).search(page, pos)
-            pos = end.end() if end else n
+            if end or tag in TO_END:
+                pos = end.end() if end else n
+            elif tag == "svg":
+                pos = m.end() if (m := _LEAVES.search(page, pos)) else n
             if tag not in INLINE:
                 flush()
             continue

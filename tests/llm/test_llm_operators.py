@@ -403,6 +403,15 @@ def test_extraction(spark):
     assert html_extract.extract_pages(df.limit(0)).count() == 0
 
 
+def test_formulas_stay_and_unclosed_elements_end():
+    text = lambda page: [b[0] for b in html_extract.blocks_of(page)]
+    assert text("<p>so <math><mi>x</mi><mo>=</mo><mn>2</mn><annotation>x=2</annotation></math> holds") == ["so x=2 holds"]
+    assert text("<p>see <object data=a><param name=b>the map</object> here</p>") == ["see the map here"]
+    assert text("<p>one</p><svg><text>drawn<p>two</p><div>three</div>") == ["one", "two", "three"]
+    assert text("<p>one</p><canvas><p>two</p><option>a<p>three") == ["one", "two", "a", "three"]
+    assert text("<p>one</p><script>x<p>two</p>") == ["one"]
+
+
 # PII
 
 
