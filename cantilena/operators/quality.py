@@ -107,6 +107,16 @@ def quantised_mode(frames: DataFrame, keys: list[str], value: str = "prob") -> D
     return counted.groupBy(*keys).agg(F.max_by("_v", F.struct("_n", -F.col("_v"))).alias("mode"))
 
 
+def max_logprob(segments: DataFrame, keys: list[str], value: str = "avg_logprob") -> DataFrame:
+    """The highest log probability over the segments of each key; negative infinity if none has one."""
+    return segments.groupBy(*keys).agg(F.coalesce(F.max(value).cast("double"), F.lit(float("-inf"))).alias("max_logprob"))
+
+
+def lags_within(samples: DataFrame, value: str, expected: Column, buffer: float = 120.0) -> DataFrame:
+    """The lag estimates within buffer seconds of the expected lag, both ends included."""
+    return samples.where(F.col(value).between(expected - buffer, expected + buffer))
+
+
 #: 97.5 % quantiles of Student's t by degrees of freedom: fixed values.
 T_975 = {4: 2.776445, 5: 2.570582, 6: 2.446912, 7: 2.364624, 8: 2.306004, 9: 2.262157, 10: 2.228139, 11: 2.200985, 12: 2.178813, 13: 2.160369, 14: 2.144787, 15: 2.131450, 16: 2.119905, 17: 2.109816, 18: 2.100922, 19: 2.093024, 20: 2.085963, 21: 2.079614, 22: 2.073873, 23: 2.068658, 24: 2.063899, 25: 2.059539, 26: 2.055529, 27: 2.051831, 28: 2.048407, 29: 2.045230, 30: 2.042272, 31: 2.039513, 32: 2.036933, 33: 2.034515, 34: 2.032245}
 

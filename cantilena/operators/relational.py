@@ -180,3 +180,8 @@ def first_entity(rows: DataFrame, order: list[Column], **equal) -> DataFrame:
     for c, v in equal.items():
         rows = rows.where(F.col(c) == v)
     return rows.orderBy(*order).limit(1)
+
+
+def head(rows: DataFrame, n: int | None, *order: str) -> DataFrame:
+    """The first n rows by a total order, after all filters; all of them if n is None."""
+    return rows if n is None else rows.orderBy(*order).limit(n)

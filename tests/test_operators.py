@@ -246,6 +246,13 @@ def test_scores(spark):
     assert Q.zero_length(words).first()["zero_share"] == pytest.approx(1 / 3)
 
 
+def test_maximum_range_and_head(spark):
+    df = spark.createDataFrame([(1, -0.5, 80.0), (1, -0.2, 79.9), (2, None, 320.0), (3, -1.0, 320.1)], "k long, avg_logprob double, lag double")
+    assert {r["k"]: r["max_logprob"] for r in Q.max_logprob(df, ["k"]).collect()} == {1: -0.2, 2: float("-inf"), 3: -1.0}
+    assert sorted(r["lag"] for r in Q.lags_within(df, "lag", F.lit(200.0)).collect()) == [80.0, 320.0]
+    assert [r["lag"] for r in R.head(df.where("k < 3"), 2, "lag").collect()] == [79.9, 80.0] and R.head(df, None).count() == 4
+
+
 def test_controller():
     words = [(f"w{i}", float(i), float(i + 1)) for i in range(400)]
 
