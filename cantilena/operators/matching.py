@@ -272,7 +272,9 @@ def align_splits(splits: DataFrame, keys: list[str], *, width: int = 20, limit:
 
     columns = [*keys, "split_idx", "base", "reference"]
     schema = ", ".join([*(f"`{c}` {kinds[c]}" for c in columns), "aligned string", "alignment_distance double", "is_fallback boolean"])
-    return splits.select(*columns).groupBy(*keys).applyInPandas(run, schema)
+    # Little data and much work: adaptive execution would gather all of it in one task, but leaves a number of partitions that is asked for.
+    spread = splits.select(*columns).repartition(int(splits.sparkSession.conf.get("spark.sql.shuffle.partitions")), *keys)
+    return spread.groupBy(*keys).applyInPandas(run, schema)
 
 
 def locate_text(window: Column, wanted: Column, radii: Sequence[int], centre: Column) -> Column:

@@ -72,17 +72,32 @@ def trailing_window(words: DataFrame, key: str = "entry", *, span: float = 120.0
 
     Null until the words of the window last warm_up seconds.
     """
-    w = W.partitionBy(key).orderBy("end").rangeBetween(-int(span), 0)
-    total = F.sum(F.greatest(F.col("duration"), F.lit(LEAST))).over(w)
-    out = words.withColumns({"_b": F.sum(bad_duration()).over(w), "_g": F.sum(good_duration()).over(w), "_t": total, "_p": F.avg("prob").over(w)})
+    # As SQL text: there a range of fractions of a second can be written.
+    over = f"over (partition by `{key}` order by `end` range between {float(span)!r}D preceding and current row)"
+    rows = words.withColumns({"_bad": bad_duration(), "_good": good_duration(), "_long": F.greatest(F.col("duration"), F.lit(LEAST))})
+    out = rows.withColumns({"_b": F.expr(f"sum(_bad) {over}"), "_g": F.expr(f"sum(_good) {over}"), "_t": F.expr(f"sum(_long) {over}"), "_p": F.expr(f"avg(prob) {over}")}).drop("_bad", "_good", "_long")
     warm = F.col("_t") >= warm_up
     out = out.withColumns({"ratio": F.when(warm, bad_good_ratio(F.col("_b"), F.col("_g"))), "mean_prob": F.when(warm, F.col("_p"))})
     return out.withColumn("broken", F.coalesce(F.col("ratio") > limit, F.lit(False))).drop("_b", "_g", "_t", "_p")
 
 
+def first_break(words: DataFrame, key: str = "entry", *, span: float = 120.0, warm_up: float = 10.0, limit: float = 0.8, silence: float = 60.0) -> DataFrame:
+    """(key, at, reason): where an aligner that commits these words gives up: the end of the first word whose trailing window is over the
+    limit ("ratio"), or silence seconds behind a word that the next one doesn't follow by then ("silence"), whichever comes first."""
+    gap = F.lead("end").over(W.partitionBy(key).orderBy("end")) - F.col("end")
+    rows = trailing_window(words, key, span=span, warm_up=warm_up, limit=limit).withColumn("_gap", gap)
+    at = F.when(F.col("broken"), F.struct(F.col("end").alias("at"), F.lit("ratio").alias("reason"))).when(F.col("_gap") > silence, F.struct((F.col("end") + silence).alias("at"), F.lit("silence").alias("reason")))
+    return rows.groupBy(key).agg(F.min(at).alias("_b")).where("_b is not null").select(key, "_b.at", "_b.reason")
+
+
 def probable_segment_before(segments: DataFrame, times: DataFrame, key: str = "entry", *, hop: float = 30.0, hops: int = 6, least: float = 0.8) -> DataFrame:
-    """For each (key, t), the earliest segment of the nearest window of hop seconds before t that has one with mean probability >= least."""
-    rows = times.join(segments, key).where((F.col("prob") >= least) & (F.col("start") < F.col("t")))
+    """For each (key, t), the earliest segment of the nearest window of hop seconds before t that has one with mean probability >= least.
+
+    Segments are dealt to slots of hop * hops seconds, so a time meets those of two slots alone.
+    """
+    slot = lambda c: F.floor(F.col(c) / (hop * hops))
+    asked = times.withColumn("_slot", F.explode(F.array(slot("t") - 1, slot("t"))))
+    rows = asked.join(segments.where(F.col("prob") >= least).withColumn("_slot", slot("start")), [key, "_slot"]).where(F.col("start") < F.col("t"))
     rows = rows.withColumn("hop", F.floor((F.col("t") - F.col("start")) / hop)).where(F.col("hop") < hops)
     return rows.groupBy(key, "t").agg(F.min(F.struct("hop", "start", "prob")).alias("_m")).select(key, "t", "_m.hop", "_m.start", "_m.prob")
 

@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
+from ..storage import cut
+
 
 def pending(inputs: DataFrame, done: DataFrame, keys: list[str]) -> DataFrame:
     """Inputs whose output doesn't exist yet."""
@@ -76,10 +78,17 @@ def joined_text(segments: Column) -> Column:
 
 
 def source_statistics(rows: DataFrame) -> DataFrame:
-    """rows: (source, splits), splits an array of (start, end). Totals and durations by source."""
+    """rows: (source, splits), splits an array of (start, end). Totals, counts, summed and longest durations by source, all combined before
+    the shuffle; split_durations has the durations themselves."""
     last = F.when(F.size("splits") > 0, F.element_at("splits", -1)["end"]).otherwise(0.0)
     durations = F.transform("splits", lambda s: s["end"] - s["start"])
-    return rows.groupBy("source").agg(F.sum(last).alias("total"), F.count("*").alias("episodes"), F.sum(F.size("splits")).alias("segments"), F.flatten(F.collect_list(durations)).alias("durations"))
+    summed = F.aggregate(durations, F.lit(0.0), lambda a, x: a + x)
+    return rows.groupBy("source").agg(F.sum(last).alias("total"), F.count("*").alias("episodes"), F.sum(F.size("splits")).alias("segments"), F.sum(summed).alias("duration"), F.max(F.array_max(durations)).alias("longest"))
+
+
+def split_durations(rows: DataFrame) -> DataFrame:
+    """(source, duration), one row a split: a source's list of durations without gathering it in one row."""
+    return rows.select("source", F.explode("splits").alias("_s")).select("source", (F.col("_s.end") - F.col("_s.start")).alias("duration"))
 
 
 def coverage(files: DataFrame, hours: Column, covered: Column) -> DataFrame:
@@ -100,14 +109,24 @@ def earliest(rows: DataFrame, key: str, time: str) -> DataFrame:
 
 
 def keep_first(rows: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:
-    """One row a key, the first by order: deterministic, unlike dropDuplicates."""
+    """One row a key, the first by order: deterministic, unlike dropDuplicates. Spark limits the window's groups before the shuffle too, so a
+    key sends one row from each task, however many rows it has."""
     return rows.withColumn("_n", F.row_number().over(W.partitionBy(*keys).orderBy(*order))).where("_n = 1").drop("_n")
 
 
 def batches(rows: DataFrame, order: list[Column], size: int, partitions: str | None = None) -> DataFrame:
-    """rows with batch: runs of size rows, inside each value of partitions if given."""
-    w = (W.partitionBy(partitions) if partitions else W.partitionBy()).orderBy(*order)
-    return rows.withColumn("batch", F.floor((F.row_number().over(w) - 1) / size))
+    """rows with batch: runs of size rows, inside each value of partitions if given. order must be total."""
+    nth = numbered(rows, order) if partitions is None else rows.withColumn("_at", F.row_number().over(W.partitionBy(partitions).orderBy(*order)) - 1)
+    return nth.withColumn("batch", F.floor(F.col("_at") / size)).drop("_at")
+
+
+def numbered(rows: DataFrame, order: list[Column]) -> DataFrame:
+    """rows with _at, their place from 0 in the whole order: places inside ranges of the order, and the counts of the ranges before."""
+    ranged = cut(rows.repartitionByRange(*order).withColumn("_range", F.spark_partition_id()))
+    counted = ranged.groupBy("_range").agg(F.count("*").alias("_n"))  # a row a task
+    before = counted.select("_range", (F.sum("_n").over(W.orderBy("_range")) - F.col("_n")).alias("_before"))
+    placed = ranged.withColumn("_in", F.row_number().over(W.partitionBy("_range").orderBy(*order)) - 1)
+    return placed.join(before, "_range").withColumn("_at", F.col("_before") + F.col("_in")).drop("_range", "_in", "_before")
 
 
 def union_splits(**named: DataFrame) -> DataFrame:
@@ -132,14 +151,19 @@ def ordered_concat(rows: DataFrame, key: str, order: str, text: str, separator:
 
 
 def descendants(items: DataFrame) -> DataFrame:
-    """items (id, parent, title, url): leaves (root, id, title, url), however deep; a query with a recursive view."""
-    items.createOrReplaceTempView("_items")
-    return items.sparkSession.sql(
-        """WITH RECURSIVE tree AS (
-             SELECT id AS root, id, title, url FROM _items WHERE parent IS NULL
-             UNION ALL SELECT t.root, i.id, i.title, i.url FROM tree t JOIN _items i ON i.parent = t.id)
-           SELECT * FROM tree WHERE id NOT IN (SELECT parent FROM _items WHERE parent IS NOT NULL)"""
-    )
+    """items (id, parent, title, url): leaves (root, id, title, url), however deep. Items that no root leads to, those on a cycle among
+    them, go.
+
+    Each round doubles the distance that an item's pointer reaches, so 20 rounds serve a depth of a million; every round is written.
+    """
+    parents = items.where("parent is not null").select(F.col("parent").alias("id")).distinct()
+    up = cut(items.select("id", "title", "url", F.coalesce("parent", "id").alias("up"), F.col("parent").isNull().alias("done")))
+    open_before = -1
+    while (still := up.where("not done").count()) not in (0, open_before):
+        further = up.select(F.col("id").alias("up"), F.col("up").alias("_up"), F.col("done").alias("_done"))
+        moved = up.where("not done").join(further, "up").select("id", "title", "url", F.col("_up").alias("up"), F.col("_done").alias("done"))
+        up, open_before = cut(up.where("done").unionByName(moved)), still
+    return up.where("done").join(parents, "id", "left_anti").select(F.col("up").alias("root"), "id", "title", "url")
 
 
 def enclosure(links: Column) -> Column:

@@ -12,6 +12,8 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+from pyspark.sql import Window as W
 
 PACK_LIMIT = 29.9
 
@@ -43,37 +45,32 @@ def merge_near_ranges(parts: Sequence[tuple[float, str]], gap: float = 3.0) -> l
 def repair_by_differences(times: Sequence[int]) -> list[int]:
     """Makes times non-decreasing: each most negative step is paid for by the largest positive steps around it.
 
-    The first time becomes the least positive one. The last step is never in a window. A step that no window can pay for is
-    set to zero, and the rest stays as it is.
+    The first time becomes the least positive one. A window grows by one step either side until it can pay; the last step is never in it. If
+    it would have to grow beyond both ends first, the step is set to zero and the rest stays as it is.
     """
-    x = np.asarray(times, dtype=np.int64)
+    x = np.asarray(times, dtype=np.int64).copy()
     if not len(x) or not (x > 0).any():
         return x.tolist()
     x[0] = x[x > 0].min()
-    d = np.diff(x)
-    while len(d) and d.min() < 0:
-        k = int(d.argmin())
-        reach, paid = 1, False
-        while True:
-            lo, hi = max(0, k - reach), min(len(d) - 1, k + reach + 1)
-            if d[lo:hi].sum() >= 0:
-                paid = True
-                break
-            if k - reach < 0 and k + reach + 1 > len(d) - 1:
-                break
+    steps = np.diff(x)
+    last = len(steps) - 1
+    while len(steps) and steps.min() < 0:
+        k, reach = int(steps.argmin()), 1
+        payers = steps[max(0, k - reach) : min(last, k + reach + 1)]  # a view: paying changes the steps
+        while payers.sum() < 0:
             reach += 1
-        if not paid or not lo <= k < hi:
-            d[k] = 0
-            break
-        owed = -int(d[k])
-        d[k] = 0
-        for j in sorted((j for j in range(lo, hi) if d[j] > 0), key=lambda j: (-d[j], j)):
-            take = min(owed, int(d[j]))
-            d[j] -= take
-            owed -= take
-            if not owed:
+            if reach > k and k + reach >= last:
+                payers = None
                 break
-    return np.concatenate([x[:1], x[0] + np.cumsum(d)]).tolist()
+            payers = steps[max(0, k - reach) : min(last, k + reach + 1)]
+        owed, steps[k] = -int(steps[k]), 0
+        if payers is None:
+            break
+        for j in np.argsort(-payers, kind="stable"):
+            paid = min(owed, max(0, int(payers[j])))
+            payers[j] -= paid
+            owed -= paid
+    return np.concatenate([x[:1], x[0] + np.cumsum(steps)]).tolist()
 
 
 def repair_by_jumps(times: Sequence[float], most: float = 30.0) -> list[float]:
@@ -224,8 +221,18 @@ def build_segments(text: str, slices: Sequence[tuple[int, int, float]], settings
 
 
 def split_words(words: Sequence[str], cuts: Sequence[int]) -> list[int]:
-    """The part of each word: how many cuts (character positions) lie at or before the word's end."""
-    return np.searchsorted(np.asarray(cuts), np.cumsum([len(w) for w in words]), side="right").tolist()
+    """The part of each word: how many cuts (character positions, in order) lie at or before the word's begin, so the word that reaches a
+    cut is the last of its part."""
+    ends = np.cumsum([len(w) for w in words])
+    return [0, *np.searchsorted(np.asarray(cuts), ends[:-1], side="right").tolist()] if len(ends) else []
+
+
+def words_by_part(words: DataFrame, cuts: DataFrame, keys: list[str], order: list[str], word: str = "word") -> DataFrame:
+    """words with part: split_words for each entry, in DataFrame functions. cuts: (keys, cuts), an array of positions in order."""
+    w = W.partitionBy(*keys).orderBy(*order)
+    begin = F.coalesce(F.sum(F.length(word)).over(w.rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
+    rows = words.withColumn("_begin", begin).join(cuts.select(*keys, F.col("cuts").alias("_cuts")), keys, "left")
+    return rows.withColumn("part", F.when(F.col("_cuts").isNull() | (F.row_number().over(w) == 1), 0).otherwise(F.size(F.filter("_cuts", lambda c: c <= F.col("_begin"))))).drop("_begin", "_cuts")
 
 
 def per_entry(rows: DataFrame, keys: list[str], schema: str, f: Callable[[pd.DataFrame], list[tuple]], order: list[str]) -> DataFrame:

@@ -78,26 +78,29 @@ def union_ranges(ranges: DataFrame, keys: list[str]) -> DataFrame:
 def nearest(left: DataFrame, right: DataFrame, keys: list[str], ts: str, payload: list[str]) -> DataFrame:
     """Each left row with the payload of the right row of its keys nearest in time (ties: the earlier), and the gap.
 
-    One shuffle: both sides are sorted together, and the last and the next right row are carried along. Right rows must differ in time.
+    One shuffle: both sides are sorted together, and the last right row is carried along, forwards and backwards: linear in the rows of a
+    key. Of right rows of one time the least payload counts. Without any right row the payload and the gap are null.
     """
     held = F.struct(F.col(ts).alias("ts"), *[F.col(c) for c in payload])
     lcols = [c for c in left.columns if c not in (*keys, ts)]
     a = left.select(*keys, ts, F.struct(*lcols).alias("_l"), F.lit(None).cast(right.select(held.alias("r")).schema["r"].dataType).alias("_r"))
     b = right.select(*keys, ts, F.lit(None).cast(a.schema["_l"].dataType).alias("_l"), held.alias("_r"))
     both = a.unionByName(b)
-    w = W.partitionBy(*keys).orderBy(F.col(ts), F.col("_r").isNull())
-    both = both.withColumns({
-        "_before": F.last("_r", True).over(w.rowsBetween(W.unboundedPreceding, W.currentRow)),
-        "_after": F.first("_r", True).over(w.rowsBetween(W.currentRow, W.unboundedFollowing)),
-    }).where("_l is not null")
+    carried = lambda at: F.last("_r", True).over(W.partitionBy(*keys).orderBy(at, F.col("_r").isNull(), F.col("_r").desc()).rowsBetween(W.unboundedPreceding, W.currentRow))
+    both = both.withColumns({"_before": carried(F.col(ts)), "_after": carried(F.col(ts).desc())}).where("_l is not null")
     gap_b, gap_a = F.col(ts) - F.col("_before.ts"), F.col("_after.ts") - F.col(ts)
     pick = F.when(gap_a.isNull() | (gap_b <= gap_a), F.col("_before")).otherwise(F.col("_after"))
     return both.withColumn("_p", pick).select(*keys, ts, "_l.*", *[F.col("_p")[c].alias(c) for c in payload], F.abs(F.col("_p.ts") - F.col(ts)).alias("gap"))
 
 
-def containing(points: DataFrame, ranges: DataFrame, keys: list[str], at: str, start: str, end: str) -> DataFrame:
-    """Each point with the first range of its keys that holds it, both ends included; points without one go."""
-    rows = points.withColumn("_id", F.struct(*points.columns)).join(ranges, keys).where((F.col(start) <= F.col(at)) & (F.col(at) <= F.col(end)))
+def containing(points: DataFrame, ranges: DataFrame, keys: list[str], at: str, start: str, end: str, span: float = 1000.0) -> DataFrame:
+    """Each point with the first range of its keys that holds it, both ends included; points without one go.
+
+    span: the length of the slots that ranges are dealt to, so that a point meets the ranges of its slot alone.
+    """
+    slot = lambda c: F.floor(F.col(c) / span)
+    dealt = ranges.withColumn("_slot", F.explode(F.sequence(slot(start), F.greatest(slot(start), slot(end)))))
+    rows = points.withColumn("_id", F.struct(*points.columns)).withColumn("_slot", slot(at)).join(dealt, [*keys, "_slot"]).where((F.col(start) <= F.col(at)) & (F.col(at) <= F.col(end)))
     rest = [c for c in ranges.columns if c not in keys]
     return rows.groupBy("_id").agg(F.min(F.struct(start, *[c for c in rest if c != start])).alias("_r")).select("_id.*", *[F.col("_r")[c].alias(c) for c in rest])
 
@@ -120,10 +123,11 @@ def overlapping(a: DataFrame, b: DataFrame, keys: list[str], span: float) -> Dat
 
 def slice_text(index: DataFrame, ranges: DataFrame, text: DataFrame, keys: list[str], pad: float = 0.0) -> DataFrame:
     """ranges with the text of the slices (keys, ts, start_loc, end_loc) from the one nearest to start - pad to the one nearest to
-    end + pad, grown outwards to natural cuts. Ranges without a slice raise an error."""
-    best = lambda at: F.min(F.struct(F.abs(F.col("ts") - at), F.col("ts"), F.col("start_loc"), F.col("end_loc")))
-    rows = ranges.join(index, keys).groupBy(*ranges.columns).agg(best(F.col("start") - pad).alias("_a"), best(F.col("end") + pad).alias("_b"))
-    rows = rows.withColumns({"_lo": F.least("_a.start_loc", "_b.start_loc"), "_hi": F.greatest("_a.end_loc", "_b.end_loc")}).join(text, keys)
+    end + pad, grown outwards to natural cuts. Ranges without text raise an error; those of keys without a slice go."""
+    rows, found = ranges.distinct(), index.select(*keys, "ts", "start_loc", "end_loc")
+    for name, at in (("a", F.col("start") - pad), ("b", F.col("end") + pad)):
+        rows = nearest(rows.withColumn("ts", at), found, keys, "ts", ["start_loc", "end_loc"]).drop("ts", "gap").withColumnsRenamed({"start_loc": f"_{name}_start", "end_loc": f"_{name}_end"})
+    rows = rows.where("_a_start is not null").withColumns({"_lo": F.least("_a_start", "_b_start"), "_hi": F.greatest("_a_end", "_b_end")}).join(text, keys)
     cuts = F.filter(F.transform(F.split("text", ""), lambda c, i: F.when(c.rlike(r"(?U)^[\s.,;!?()\[\]{}]$"), i)), lambda i: i.isNotNull())
     rows = rows.withColumn("_cuts", F.concat(F.array(F.lit(0)), cuts))
     lo = F.coalesce(F.array_max(F.filter("_cuts", lambda c: c < F.col("_lo"))), F.lit(0))

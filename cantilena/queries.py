@@ -88,7 +88,7 @@ def source_stats(spark, sf):
     n = F.col("n_chars").cast("double")
     splits = F.array(F.struct(F.lit(0.0).alias("start"), (n / 2).alias("end")), F.struct((n / 2).alias("start"), n.alias("end")))
     out = R.source_statistics(_t(spark, sf, "documents").select("source", splits.alias("splits")))
-    return out.select("source", "total", "episodes", "segments", F.aggregate("durations", F.lit(0.0), lambda a, x: a + x).alias("duration"), F.array_max("durations").alias("longest"))
+    return out.select("source", "total", "episodes", "segments", "duration", "longest")
 
 
 @query
@@ -394,8 +394,12 @@ def locate_prefix(spark, sf):
 def cosine_topk(spark, sf):
     rows = _t(spark, sf, "embeddings").select("vec_id", "embedding")
     # The stated query set, every row whose id is divisible by 100, against all rows.
-    asked = rows.where("vec_id % 100 = 0").select(F.col("vec_id").alias("query"), F.col("embedding").alias("_q"))
-    scored = asked.join(rows, F.col("query") != F.col("vec_id")).select("query", "vec_id", cosine(F.col("_q"), F.col("embedding")).alias("similarity"))
+    # It is cut into blocks of bounded size, which rows join by number: no nested loop, and no broadcast but of what Spark finds small.
+    asked = R.batches(rows.where("vec_id % 100 = 0"), [F.col("vec_id")], 256).withColumnRenamed("batch", "block")
+    blocks = asked.groupBy("block").agg(F.collect_list(F.struct("vec_id", "embedding")).alias("_asked"))
+    n = asked.agg(F.max("block")).first()[0]
+    pairs = rows.withColumn("block", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(n).cast("long")))).join(blocks, "block").select("vec_id", "embedding", F.explode("_asked").alias("_a"))
+    scored = pairs.where("_a.vec_id != vec_id").select(F.col("_a.vec_id").alias("query"), "vec_id", cosine(F.col("_a.embedding"), F.col("embedding")).alias("similarity"))
     best = scored.withColumn("rank", F.row_number().over(W.partitionBy("query").orderBy(F.round("similarity", 9).desc(), "vec_id"))).where("rank <= 5")
     return best.select("query", "vec_id", "rank", F.round("similarity", 5).alias("similarity"))
 

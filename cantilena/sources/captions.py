@@ -2,23 +2,26 @@
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
+from pyspark.sql.types import StringType
 
 from ..functions.text import clean_for_alignment, clock_seconds, frame_clock_seconds
 
-_CUE = r"(\d{1,2}:\d{2}:\d{2}\.\d{3})\s+-->\s+(\d{1,2}:\d{2}:\d{2}\.\d{3})"
+# Fixed value: the format's cue times.
+_CUE = r"(\d{1,2}:\d{2}:\d{2}\.\d{3})\s*-->\s*(\d{1,2}:\d{2}:\d{2}\.\d{3})"
 
 
 def vtt_segments(files: DataFrame) -> DataFrame:
-    """(path, id, start, end, text) of WebVTT cues. Cues without hours and NOTE blocks are left out; lines of a cue join by spaces."""
+    """(path, id, start, end, text) of WebVTT cues: of each block the first line with cue times, and the lines below it, joined by spaces.
+    Cues without hours are left out, and so are header and NOTE lines above the times."""
     text = F.regexp_replace(F.regexp_replace("content", "^﻿", ""), "\r\n?", "\n")
     blocks = files.select("path", F.posexplode(F.split(text, r"\n[ \t]*\n")).alias("_at", "_b"))
     lines = F.filter(F.split("_b", "\n"), lambda x: F.trim(x) != "")
-    blocks = blocks.withColumn("_l", F.filter(lines, lambda x: ~x.startswith("WEBVTT"))).where(~F.coalesce(F.get("_l", F.lit(0)).startswith("NOTE"), F.lit(True)))
-    times = F.transform("_l", lambda x, i: F.when(x.rlike(f"^\\s*{_CUE}"), i))
-    blocks = blocks.withColumn("_t", F.array_min(F.filter(times, lambda i: i.isNotNull()))).where(F.col("_t") <= 1)
+    times = F.transform("_l", lambda x, i: F.when(x.rlike(_CUE) & ~x.rlike(r"(?i)^\s*(WEBVTT|NOTE)"), i))
+    blocks = blocks.withColumn("_l", lines).withColumn("_t", F.array_min(F.filter(times, lambda i: i.isNotNull()))).where("_t is not null")
     cue = F.get("_l", F.col("_t"))
     body = F.slice("_l", F.col("_t") + 2, F.size("_l"))
     said = F.concat(F.lit(" "), F.array_join(F.transform(body, F.trim), " "))
@@ -33,6 +36,23 @@ def vtt_time_index(segments: DataFrame) -> DataFrame:
     return segments.select("path", (end - F.length("text")).alias("start_loc"), end.alias("end_loc"), F.floor("start").cast("double").alias("timestamp"), "id")
 
 
+@F.pandas_udf(StringType())
+def decoded(content: pd.Series) -> pd.Series:
+    """Bytes as text: by their byte order mark, else as UTF-8 if they are that, else as Hebrew Windows text."""
+
+    def text(raw: bytes | None) -> str | None:
+        if raw is None:
+            return None
+        if raw[:2] in (b"\xff\xfe", b"\xfe\xff"):
+            return raw.decode("utf-16", "replace")
+        try:
+            return raw.decode("utf-8-sig")
+        except UnicodeDecodeError:
+            return raw.decode("cp1255", "replace")
+
+    return content.map(text)
+
+
 def subtitle_rows(files: DataFrame, *, fps: int = 25, offset: float = 3600.0) -> DataFrame:
     """(path, at, start_time, end_time, text) of broadcast subtitles: a line of two frame clocks between the begin and end marks, then one or
     two lines of text. Programme time begins offset seconds into the tape."""

@@ -28,6 +28,22 @@ def downloads(items: DataFrame) -> DataFrame:
     return rows.select("feed", "title", "published", safe_file_name(F.concat_ws(" ", feed_date(F.col("published")), F.col("title"))).alias("name"), link["href"].alias("url"), extension_of(link["type"]).alias("extension"))
 
 
+def feed_text(items: DataFrame, keys: list[str]) -> DataFrame:
+    """(keys, content): a feed of each channel. items: the keys, channel_title, channel_link and channel_description, and at (their order), id, title,
+    description, uploaded (yyyymmdd) and url. A missing title is "No title"; items without a date have none."""
+    safe = lambda c: F.replace(F.replace(F.replace(F.replace(c, F.lit("&"), F.lit("&amp;")), F.lit("<"), F.lit("&lt;")), F.lit(">"), F.lit("&gt;")), F.lit('"'), F.lit("&quot;"))
+    tag = lambda name, c: F.concat(F.lit(f"<{name}>"), safe(F.coalesce(c, F.lit(""))), F.lit(f"</{name}>"))
+    day = F.date_format(F.try_to_timestamp("uploaded", F.lit("yyyyMMdd")), "EEE, dd MMM yyyy HH:mm:ss")
+    kind = F.when(F.col("url").contains("soundcloud"), "soundcloud").otherwise("video/mp4")
+    link = F.concat(F.lit('<enclosure url="'), safe(F.coalesce("url", F.lit(""))), F.lit('" length="0" type="'), kind, F.lit('"/>'))
+    date = F.coalesce(F.concat(F.lit("<pubDate>"), day, F.lit(" +0000</pubDate>")), F.lit(""))
+    item = F.concat(F.lit("<item>"), tag("title", F.coalesce("title", F.lit("No title"))), tag("link", F.col("url")), tag("guid", F.col("id")), tag("description", F.col("description")), date, link, F.lit("</item>"))
+    said = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("at", "id", item.alias("item")))), lambda x: x["item"]), "\n")
+    rows = items.groupBy(*keys).agg(said.alias("_i"), *[F.min(f"channel_{c}").alias(f"_{c}") for c in ("title", "link", "description")])
+    head = F.concat(*[tag(c, F.col(f"_{c}")) for c in ("title", "link", "description")])
+    return rows.select(*keys, F.concat(F.lit('<?xml version="1.0" encoding="UTF-8"?>\n<rss version="2.0"><channel>'), head, F.lit("\n"), F.col("_i"), F.lit("\n</channel></rss>\n")).alias("content"))
+
+
 def write_feed(items: DataFrame, path: str) -> None:
     """items as RSS item elements."""
     items.write.format("xml").option("rootTag", "channel").option("rowTag", "item").mode("overwrite").save(path)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import io
+import itertools
 import re
 import zipfile
 from collections.abc import Iterator
@@ -14,6 +15,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
+from ..operators.sequential import merge_near_ranges, repair_by_jumps
+
 # First classes of elements that hold no speech.
 SKIPPED = frozenset("SUBJECT SPEAKER SPEAKER_INTERRUPTION SPEAKER_CONTINUE YOR VOTING_TOP VOTING_MID VOTING_BOTTOM".split())
 _MARK = re.compile(r"txt_(\d+)$")
@@ -47,13 +50,16 @@ def gathered_html(files: DataFrame) -> DataFrame:
 class _Walk(HTMLParser):
     """Text parts and marks of a fragment in order."""
 
-    def __init__(self):
+    def __init__(self, known: frozenset | None = None):
         super().__init__(convert_charrefs=True)
+        self.known = known
         self.out: list[tuple[str, str]] = []
         self.open: list[tuple[str, bool, str | None]] = []
 
     def handle_starttag(self, tag, attrs):
         a = dict(attrs)
+        if self.known is not None and tag not in self.known:
+            raise ValueError(f"unknown element {tag}")
         if tag == "br":
             self.out.append(("text", "\n"))
             return
@@ -76,34 +82,43 @@ class _Walk(HTMLParser):
             self.out.append(("text", data.replace("\n", " ")))
 
 
-def html_parts(html: str) -> list[tuple[str, str]]:
-    """("text", part) and ("start" or "end", index) in order; spans of skipped classes go with what is in them."""
-    walk = _Walk()
+def html_parts(html: str, known: frozenset | None = None) -> list[tuple[str, str]]:
+    """("text", part) and ("start" or "end", index) in order; spans of skipped classes go with what is in them. known: the elements that may occur, others
+    raise an error; None: any."""
+    walk = _Walk(known)
     walk.feed(html or "")
     walk.close()
     return walk.out
 
 
-def transcript_parts(pages: DataFrame, key: str = "id") -> DataFrame:
-    """(key, at, kind, value) of (key, html)."""
+#: The elements of a protocol's fragments.
+ELEMENTS = frozenset({"span", "font", "div", "br"})
+
+
+def transcript_parts(pages: DataFrame, key: str = "id", known: frozenset | None = None) -> DataFrame:
+    """(key, at, kind, value) of (key, html); known as in html_parts, ELEMENTS for instance."""
     kind = dict(pages.dtypes)[key]
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            rows = [(k, i, *p) for k, h in zip(pdf[key], pdf["html"], strict=True) for i, p in enumerate(html_parts(h))]
+            rows = [(k, i, *p) for k, h in zip(pdf[key], pdf["html"], strict=True) for i, p in enumerate(html_parts(h, known))]
             yield pd.DataFrame(rows, columns=[key, "at", "kind", "value"])
 
     return pages.select(key, "html").mapInPandas(run, f"`{key}` {kind}, at long, kind string, value string")
 
 
-def timed_transcript(parts: DataFrame, pointers: DataFrame, key: str = "id") -> tuple[DataFrame, DataFrame]:
+def timed_transcript(parts: DataFrame, pointers: DataFrame, key: str = "id", lead_in: float = 3.0) -> tuple[DataFrame, DataFrame]:
     """(key, text), and slices (key, ts, start_loc, end_loc). Text before the first accepted mark goes; marks count only if their time lies
-    beyond all before; spaces but line ends are squeezed."""
+    beyond all before; marks of time zero before any other stand lead_in seconds before the first time of the pointers; spaces but line ends
+    are squeezed."""
     w = W.partitionBy(key).orderBy("at")
     known = pointers.select(key, F.col("idx").cast("string").alias("value"), F.lit("start").alias("kind"), F.col("sec").alias("_sec"))
-    rows = parts.join(known, [key, "kind", "value"], "left")
-    best = F.max("_sec").over(w.rowsBetween(W.unboundedPreceding, -1))
-    rows = rows.withColumn("_ts", F.when((F.col("kind") == "start") & (F.col("_sec") > F.coalesce(best, F.lit(0))), F.col("_sec")))
+    first = pointers.where("sec > 0").groupBy(key).agg(F.min_by("sec", "idx").alias("_first"))
+    rows = parts.join(known, [key, "kind", "value"], "left").join(first, key, "left")
+    seen = F.max("_sec").over(w.rowsBetween(W.unboundedPreceding, W.currentRow)) > 0
+    rows = rows.withColumn("_at", F.when(F.col("_sec").isNotNull(), F.when(seen, F.col("_sec")).otherwise(F.col("_first") - lead_in)).cast("double"))
+    best = F.max("_at").over(w.rowsBetween(W.unboundedPreceding, -1))
+    rows = rows.withColumn("_ts", F.when(F.col("_at") > F.greatest(best, F.lit(0.0)), F.col("_at")))
     rows = rows.withColumn("ts", F.last("_ts", True).over(w.rowsBetween(W.unboundedPreceding, 0))).where("kind = 'text' and ts is not null")
     rows = rows.withColumn("_t", F.regexp_replace("value", r"(?U)[^\S\n]+", " "))
     end = F.sum(F.length("_t")).over(w.rowsBetween(W.unboundedPreceding, 0))
@@ -112,29 +127,61 @@ def timed_transcript(parts: DataFrame, pointers: DataFrame, key: str = "id") ->
     return text, slices
 
 
-def docx_parts(content: bytes) -> list[tuple[float, str]]:
-    """(seconds, text) by bookmark: _ETM_Q1_<ms> bookmarks are times; text under ET_ bookmarks and between << marks is left out."""
+# Bookmarks of times and of what isn't speech, and text that stands for a missing one of the latter.
+_TIME, _OTHER, _ASIDE = "_ETM_Q1_", "ET_", re.compile(r"<< \S+ >>")
+
+
+def docx_parts(content: bytes) -> list[tuple[float | None, str]]:
+    """(seconds, text) by time bookmark; None before the first. Runs under other bookmarks, and those from one with << x >> up to the next
+    such one, are left out; neither lasts beyond its paragraph. A paragraph with speech ends in a line end."""
     with zipfile.ZipFile(io.BytesIO(content)) as z:
         root = ElementTree.fromstring(z.read("word/document.xml"))
-    out: list[list] = []
-    names: dict[str, str] = {}
-    aside, forced = 0, False
-    for el in root.iter():
-        if el.tag == f"{_W}bookmarkStart":
-            name = el.get(f"{_W}name") or ""
-            names[el.get(f"{_W}id") or ""] = name
-            if m := re.match(r"_ETM_Q1_(\d+)", name):
-                out.append([int(m[1]) / 1000, ""])
-            elif name.startswith("ET_"):
-                aside += 1
-        elif el.tag == f"{_W}bookmarkEnd":
-            aside -= names.get(el.get(f"{_W}id") or "", "").startswith("ET_")
-        elif el.tag == f"{_W}t":
-            for i, part in enumerate(re.split(r"(<<.*?>>)", el.text or "")):
-                if i % 2:
-                    forced = not forced
-                elif out and not aside and not forced:
-                    out[-1][1] += part
-        elif el.tag == f"{_W}p" and out and out[-1][1]:
-            out[-1][1] += "\n"
-    return [(a, b) for a, b in out]
+    out: list[tuple[float | None, list[str]]] = [(None, [])]
+    for paragraph in root.iter(f"{_W}p"):
+        other, aside, spoke = None, False, False
+        for el in paragraph:
+            if el.tag == f"{_W}bookmarkStart":
+                name = el.get(f"{_W}name") or ""
+                if name.startswith(_TIME):
+                    out.append((int(name.split(_TIME)[1]) / 1000, []))
+                elif name.startswith(_OTHER):
+                    other = el.get(f"{_W}id")
+            elif el.tag == f"{_W}bookmarkEnd" and el.get(f"{_W}id") == other:
+                other = None
+            elif el.tag == f"{_W}r":
+                text = "".join(t.text or "" if t.tag == f"{_W}t" else {"tab": "\t", "br": "\n", "cr": "\n"}.get(t.tag.removeprefix(_W), "") for t in el)
+                marked = _ASIDE.search(text) is not None
+                if other is None and marked:
+                    aside = not aside
+                if other is None and not marked and not aside:
+                    out[-1][1].append(text)
+                    spoke = True
+        if spoke:
+            out[-1][1].append("\n")
+    return [(at, "".join(text)) for at, text in out if at is not None or text]
+
+
+def docx_index(content: bytes) -> tuple[str, list[tuple[int, int, float]]]:
+    """The text, and its slices (start_loc, end_loc, seconds): short and blank ones are merged with the one before, times are repaired."""
+    parts = docx_parts(content)
+    head = parts[0][1] if parts and parts[0][0] is None else ""
+    timed = merge_near_ranges([p for p in parts if p[0] is not None])
+    ends = list(itertools.accumulate((len(t) for _, t in timed), initial=len(head)))
+    slices = [(a, b, s) for a, b, s in zip(ends, ends[1:], repair_by_jumps([s for s, _ in timed]), strict=False)]
+    return head + "".join(t for _, t in timed), sorted(slices, key=lambda x: x[2])
+
+
+def docx_transcripts(files: DataFrame, key: str = "path") -> tuple[DataFrame, DataFrame]:
+    """(key, text), and slices (key, ts, start_loc, end_loc) of files (key, content), content being the bytes of a DOCX."""
+    kind = dict(files.dtypes)[key]
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            rows = []
+            for k, content in zip(pdf[key], pdf["content"], strict=True):
+                text, slices = docx_index(content)
+                rows.append((k, text, [{"start_loc": a, "end_loc": b, "ts": t} for a, b, t in slices]))
+            yield pd.DataFrame(rows, columns=[key, "text", "slices"])
+
+    read = files.select(key, "content").mapInPandas(run, f"`{key}` {kind}, text string, slices array<struct<start_loc:long,end_loc:long,ts:double>>")
+    return read.select(key, "text"), read.select(key, F.explode("slices").alias("_s")).select(key, "_s.ts", "_s.start_loc", "_s.end_loc")

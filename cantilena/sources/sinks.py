@@ -9,11 +9,11 @@ from ..functions.text import seconds_clock, seconds_clock_whole
 from ..operators.relational import manifest
 
 
-def write_manifest(entries: DataFrame, columns: list[str], path: str) -> None:
-    """CSV with fixed columns; missing ones are empty, nested ones JSON."""
+def write_manifest(entries: DataFrame, columns: list[str], path: str, files: int | None = None) -> None:
+    """CSV with fixed columns; missing ones are empty, nested ones JSON. files: at most so many files; None: as many as there are tasks."""
     out = manifest([entries], columns)
     out = out.select(*[F.to_json(c).alias(c) if t.startswith(("array", "struct", "map")) else F.col(c) for c, t in out.dtypes])
-    out.coalesce(1).write.csv(path, header=True, mode="overwrite")
+    (out if files is None else out.coalesce(files)).write.csv(path, header=True, mode="overwrite")
 
 
 def write_time_index(index: DataFrame, path: str) -> None:

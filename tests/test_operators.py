@@ -95,6 +95,37 @@ def test_relational(spark):
         one(spark, R.enclosure, [("enclosure", "b"), ("enclosure", "c")], links)
 
 
+def test_descendants_however_deep(spark):
+    chain = [(str(i), None if i == 0 else str(i - 1), f"t{i}", None) for i in range(1000)]
+    extra = [("x", "3", "tx", "u"), ("o", "nowhere", "to", None), ("c1", "c2", "t", None), ("c2", "c1", "t", None), ("r", None, "tr", None), ("x", "3", "tx", "u")]
+    got = R.descendants(spark.createDataFrame(chain + extra, "id string, parent string, title string, url string")).collect()
+    assert sorted(map(tuple, got), key=str) == sorted([("0", "999", "t999", None), ("0", "x", "tx", "u"), ("0", "x", "tx", "u"), ("r", "r", "tr", None)], key=str)
+
+
+def test_places_in_the_whole_order(spark):
+    rows = spark.range(1000).selectExpr("(id * 7919) % 1000 as v").repartition(7)
+    assert sorted(map(tuple, R.numbered(rows, [F.col("v")]).select("v", "_at").collect())) == [(i, i) for i in range(1000)]
+    assert R.batches(rows, [F.col("v").desc()], 300).groupBy("batch").count().orderBy("batch").collect()[-1]["count"] == 100
+    plan = R.keep_first(rows.withColumn("k", F.col("v") % 3), ["k"], [F.col("v")])._jdf.queryExecution().toString()
+    assert "WindowGroupLimit" in plan and "Partial" in plan
+
+
+def test_parts_breaks_and_durations(spark):
+    words, cuts = ["ab", "cde", "f", "", "gh"], [2, 4, 6]
+    assert S.split_words(words, cuts) == [0, 1, 2, 3, 3] and S.split_words([], cuts) == []
+    rows = spark.createDataFrame([("e", i, w) for i, w in enumerate(words)], "k string, i long, word string")
+    got = S.words_by_part(rows, spark.createDataFrame([("e", cuts)], "k string, cuts array<int>"), ["k"], ["i"]).orderBy("i")
+    assert [r["part"] for r in got.collect()] == S.split_words(words, cuts)
+    heard = [("a", float(i), 1.0, 0.9) for i in range(1, 30)] + [("a", 120.0, 1.0, 0.9), ("b", 20.0, 19.0, 0.9), ("b", 40.25, 20.0, 0.1), ("c", 5.0, 5.0, 0.1)]
+    df = spark.createDataFrame(heard, "entry string, end double, duration double, prob double")
+    assert sorted(map(tuple, Q.first_break(df).collect())) == [("a", 89.0, "silence"), ("b", 40.25, "ratio")]
+    out = Q.trailing_window(df, span=20.125, warm_up=1.0).where("entry = 'b'").orderBy("end").collect()
+    assert out[1]["mean_prob"] == pytest.approx(0.1)  # the other word lies 20.25 seconds before
+    spans = spark.createDataFrame([("s", [(0.0, 2.0), (2.0, 5.0)]), ("s", [])], "source string, splits array<struct<start:double,end:double>>")
+    assert tuple(R.source_statistics(spans).first()) == ("s", 5.0, 2, 2, 5.0, 3.0)
+    assert sorted(r["duration"] for r in R.split_durations(spans).collect()) == [2.0, 3.0]
+
+
 def test_timeline(spark):
     r = spark.createDataFrame([("e", 0.0, 2.0), ("e", 1.0, 3.0), ("e", 3.0, 4.0), ("e", 6.0, 7.0)], "k string, start double, end double")
     assert [tuple(x) for x in L.union_ranges(r, ["k"]).select("start", "end", "n").orderBy("start").collect()] == [(0.0, 4.0, 3), (6.0, 7.0, 1)]
@@ -104,6 +135,9 @@ def test_timeline(spark):
     left = spark.createDataFrame([("e", t, i) for i, t in enumerate([0.0, 5.0, 7.5, 99.0])], "k string, ts double, id long")
     right = spark.createDataFrame([("e", 5.0, "a"), ("e", 10.0, "b")], "k string, ts double, v string")
     assert {x["id"]: (x["v"], x["gap"]) for x in L.nearest(left, right, ["k"], "ts", ["v"]).collect()} == {0: ("a", 5.0), 1: ("a", 0.0), 2: ("a", 2.5), 3: ("b", 89.0)}
+    same = spark.createDataFrame([("e", 5.0, "z"), ("e", 5.0, "a"), ("f", 1.0, "q")], "k string, ts double, v string")
+    assert {x["id"]: x["v"] for x in L.nearest(left, same, ["k"], "ts", ["v"]).collect()} == dict.fromkeys(range(4), "a")
+    assert L.nearest(left, same.where("k = 'f'"), ["k"], "ts", ["v"]).first()["v"] is None
     assert L.tightened(r, 0.5).count() == 2
     times = spark.createDataFrame([("e", i, t) for i, t in enumerate([0.0, 0.0, 5.0, 4.0, 6.0])], "k string, i long, ts double")
     assert [x["ts"] for x in L.monotone(times, ["k"], ["i"]).orderBy("i").collect()] == [2.0, 5.0, 6.0]
@@ -153,10 +187,38 @@ def test_repairs(times):
     b = S.repair_by_jumps(times)
     first = next((i for i, v in enumerate(b) if v > 0), len(b))
     assert len(b) == len(times) and all(x <= y for x, y in zip(b[first:], b[first + 1 :], strict=False))
-    a = S.repair_by_differences(times)
-    assert len(a) == len(times)
-    if any(t > 0 for t in times):
-        assert a[0] == min(t for t in times if t > 0)
+    assert S.repair_by_differences(times) == paid_steps(times)
+
+
+def paid_steps(times):
+    """Repair A step by step, as it is defined."""
+    if max(times) <= 0:
+        return times
+    x = [min(t for t in times if t > 0), *times[1:]]
+    d = [b - a for a, b in itertools.pairwise(x)]
+    while d and min(d) < 0:
+        k, top, r = d.index(min(d)), len(d) - 1, 1
+        place = lambda r: range(max(0, k - r), max(max(0, k - r), min(top, k + r + 1)))  # noqa: B023, E731
+        gave_up = False
+        while sum(d[i] for i in place(r)) < 0 and not gave_up:
+            r += 1
+            gave_up = k - r < 0 and k + r + 1 > top
+        need, d[k] = -d[k], 0
+        if gave_up:
+            break
+        for i in sorted(place(r), key=lambda i: (-d[i], i)):
+            if d[i] > 0 and need:
+                take = min(need, d[i])
+                d[i], need = d[i] - take, need - take
+    return list(itertools.accumulate([x[0], *d]))
+
+
+def test_repair_by_differences_on_many_series():
+    r = random.Random(11)
+    for _ in range(4000):
+        times = [r.randint(0, 60) for _ in range(r.randint(2, 9))]
+        assert S.repair_by_differences(times) == paid_steps(times)
+    assert S.repair_by_differences([37, 60, 6, 57, 20]) == [6, 6, 6, 20, 20]
 
 
 def test_repair_examples():

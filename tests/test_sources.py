@@ -3,22 +3,24 @@
 import io
 import json
 import zipfile
+from xml.etree import ElementTree
 
+import pytest
 from pyspark.sql import functions as F
 
 from cantilena.sources import captions, feeds, files, protocols, sinks
 from cantilena.streaming import words as stream
 
-VTT = "﻿WEBVTT\n\nNOTE a remark\n\n1\n00:00:01.500 --> 00:00:03.000\nfirst (line)\nand: second\n\n00:05.000 --> 00:06.000\nno hours\n\n0:00:07.000 --> 0:00:08.250\nשָׁלוֹם\n"
+VTT = "﻿WEBVTT\n\nNOTE a remark\n\n1\n00:00:01.500 --> 00:00:03.000\nfirst (line)\nand: second\n\n00:05.000 --> 00:06.000\nno hours\n\n0:00:07.000-->0:00:08.250\nשָׁלוֹם\nWEBVTT too\n"
 SUBTITLES = "head\n01:00:00:00 01:00:01:00\nnot yet\n<begin subtitles>\n01:00:01:00 01:00:02:12\none line\n\n01:00:03:00 01:00:04:24\ntwo\nlines\n<end subtitles>\n"
 
 
 def test_vtt(spark):
     df = spark.createDataFrame([("p", VTT)], "path string, content string")
     got = [tuple(r) for r in captions.vtt_segments(df).orderBy("id").collect()]
-    assert got == [("p", 0, 1.5, 3.0, " first line and second"), ("p", 1, 7.0, 8.25, " שלום")]
+    assert got == [("p", 0, 1.5, 3.0, " first line and second"), ("p", 1, 7.0, 8.25, " שלום WEBVTT too")]
     index = [tuple(r) for r in captions.vtt_time_index(captions.vtt_segments(df)).orderBy("id").select("start_loc", "end_loc", "timestamp").collect()]
-    assert index == [(0, 22, 1.0), (22, 27, 7.0)]
+    assert index == [(0, 22, 1.0), (22, 38, 7.0)]
 
 
 def test_subtitles(spark):
@@ -57,14 +59,66 @@ def test_protocol(spark):
     assert sorted((r["ts"], r["start_loc"], r["end_loc"]) for r in slices.collect()) == [(5, 0, 11), (9, 11, 22)]
 
 
-def test_docx():
-    w = "http://schemas.openxmlformats.org/wordprocessingml/2006/main"
-    body = f'<w:document xmlns:w="{w}"><w:p><w:bookmarkStart w:id="1" w:name="_ETM_Q1_1500"/><w:t>said &lt;&lt;aside&gt;&gt;hidden&lt;&lt;aside&gt;&gt; shown</w:t></w:p><w:p><w:bookmarkStart w:id="2" w:name="ET_x"/><w:t>title</w:t><w:bookmarkEnd w:id="2"/><w:t>end</w:t></w:p></w:document>'
+def docx(*paragraphs):
+    """Paragraphs of ("t", seconds), ("o", id), ("/", id) and texts, as a DOCX."""
+    w, made = "http://schemas.openxmlformats.org/wordprocessingml/2006/main", ""
+    for p in paragraphs:
+        made += "<w:p>"
+        for x in p:
+            if isinstance(x, str):
+                made += f"<w:r><w:t>{x.replace('<', '&lt;').replace('>', '&gt;')}</w:t></w:r>"
+            elif x[0] == "t":
+                made += f'<w:bookmarkStart w:id="t{x[1]}" w:name="_ETM_Q1_{int(x[1] * 1000)}"/>'
+            else:
+                made += f'<w:bookmarkStart w:id="{x[1]}" w:name="ET_x"/>' if x[0] == "o" else f'<w:bookmarkEnd w:id="{x[1]}"/>'
+        made += "</w:p>"
     data = io.BytesIO()
     with zipfile.ZipFile(data, "w") as z:
-        z.writestr("word/document.xml", body)
-    (at, text), = protocols.docx_parts(data.getvalue())
-    assert at == 1.5 and text.split() == ["said", "shown", "end"]
+        z.writestr("word/document.xml", f'<w:document xmlns:w="{w}"><w:body>{made}</w:body></w:document>')
+    return data.getvalue()
+
+
+def test_docx(spark):
+    file = docx(["head"], [("t", 1.5), "said ", "<< x >>", "hidden", "<< x >>", "shown"], [("o", 2), "title", ("/", 2), "end"], ["<< y >>", "lost"], ["<< x >> y"], ["kept", ("o", 3), "name"], [("t", 20.0), " "], [("t", 30.0), "late"], [("t", 32.0), "later"])
+    assert protocols.docx_parts(file) == [(None, "head\n"), (1.5, "said shown\nend\nkept\n"), (20.0, " \n"), (30.0, "late\n"), (32.0, "later\n")]
+    text, slices = protocols.docx_transcripts(spark.createDataFrame([("p", file)], "path string, content binary"))
+    whole = "head\nsaid shown\nend\nkept\n \nlate\nlater\n"
+    assert tuple(text.first()) == ("p", whole)
+    got = sorted(map(tuple, slices.select("ts", "start_loc", "end_loc").collect()))
+    assert [whole[a:b] for _, a, b in got] == ["said shown\nend\nkept\n \n", "late\nlater\n"] and got[-1][0] == 30.0
+
+
+def test_encodings_feeds_and_other_sinks(spark, tmp_path):
+    raw = [("שלום".encode(),), ("שלום".encode("cp1255"),), ("שלום".encode("utf-16"),), (b"\xef\xbb\xbfabc",), (None,)]
+    df = spark.createDataFrame(raw, "b binary").select(captions.decoded("b").alias("t"))
+    assert [r["t"] for r in df.collect()] == ["שלום", "שלום", "שלום", "abc", None]
+    items = [("C & D", "l", "d", 2, "i2", None, "x", "20240102", "https://soundcloud.com/a?b=1&c=2"), ("C & D", "l", "d", 1, "i1", "T <1>", None, None, "u")]
+    feed = feeds.feed_text(spark.createDataFrame(items, "channel_title string, channel_link string, channel_description string, at long, id string, title string, description string, uploaded string, url string").withColumn("feed", F.lit("f")), ["feed"]).first()["content"]
+    root = ElementTree.fromstring(feed.encode())
+    assert root.findtext("channel/title") == "C & D" and [i.findtext("title") for i in root.iter("item")] == ["T <1>", "No title"]
+    assert [i.find("enclosure").get("type") for i in root.iter("item")] == ["video/mp4", "soundcloud"] and root.findall(".//item")[1].findtext("pubDate") == "Tue, 02 Jan 2024 00:00:00 +0000"
+    index = spark.createDataFrame([(0, 3, 1.5)], "start_loc long, end_loc long, timestamp double")
+    sinks.write_time_index(index, str(tmp_path / "i"))
+    assert tuple(spark.read.csv(str(tmp_path / "i"), header=True, inferSchema=True).first()) == (0, 3, 1.5)
+    rows = spark.createDataFrame([("s", "e", 1, "train"), ("s", "f", 2, "test")], "source string, episode string, v long, split string")
+    sinks.write_entries(rows, str(tmp_path / "e"))
+    assert sorted((r["source"], r["episode"], r["v"]) for r in spark.read.json(str(tmp_path / "e")).collect()) == [("s", "e", 1), ("s", "f", 2)]
+    sinks.publish(rows, str(tmp_path / "p"), "split")
+    assert spark.read.parquet(str(tmp_path / "p")).where("split = 'test'").first()["v"] == 2
+    feeds.write_feed(rows.select("episode", "v"), str(tmp_path / "w"))
+    assert spark.read.format("xml").option("rowTag", "item").load(str(tmp_path / "w")).count() == 2
+
+
+def test_marks_before_the_first_time(spark):
+    pointers = spark.createDataFrame([("7", i, s) for i, s in enumerate([0, 0, 50, 60])], "id string, idx long, sec long")
+    html = "<div>no<span id='txt_0'>early </span><span id='txt_1'>too </span><span id='txt_2'>first </span><span id='txt_0'>on </span><span id='txt_9'>and on </span><span id='txt_3'>last</span></div>"
+    pages = spark.createDataFrame([("7", html)], "id string, html string")
+    text, slices = protocols.timed_transcript(protocols.transcript_parts(pages), pointers)
+    assert text.first()["text"] == "early too first on and on last"
+    assert sorted((r["ts"], r["start_loc"]) for r in slices.collect()) == [(47.0, 0), (50.0, 10), (60.0, 26)]
+    assert protocols.transcript_parts(pages, known=protocols.ELEMENTS).count() > 0
+    with pytest.raises(Exception, match="unknown element b"):
+        protocols.transcript_parts(spark.createDataFrame([("7", "<b>x</b>")], "id string, html string"), known=protocols.ELEMENTS).collect()
 
 
 def test_feed(spark, tmp_path):
