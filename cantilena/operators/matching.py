@@ -251,30 +251,35 @@ def align_text(base: str, reference: str, weights: dict[str, float], *, width: i
     return (aligned, distance, False) if aligned else (base, distance, True)
 
 
+def raw_weights(texts: DataFrame, keys: list[str], text: str) -> DataFrame:
+    """(keys, weights): a map from each character of the texts of a key, repeated rows counted, to its rarity."""
+    several = texts.groupBy(*keys, text).agg(F.count("*").alias("_n"))
+    counted = several.select(*keys, "_n", F.explode(F.split(F.col(text), "")).alias("_c")).where("_c != ''").groupBy(*keys, "_c").agg(F.ln(F.sum("_n")).alias("_log"))
+    span = counted.groupBy(*keys).agg(F.min("_log").alias("_lo"), F.max("_log").alias("_hi"), F.collect_list(F.struct("_c", "_log")).alias("_all"))  # a row an alphabet
+    rare = F.transform("_all", lambda x: F.struct(x["_c"].alias("c"), F.exp(1 - F.when(F.col("_hi") > F.col("_lo"), (x["_log"] - F.col("_lo")) / (F.col("_hi") - F.col("_lo"))).otherwise(0.0)).alias("w")))
+    total = F.aggregate("_rare", F.lit(0.0), lambda a, x: a + x["w"])
+    return span.select(*keys, rare.alias("_rare")).select(*keys, F.map_from_entries(F.transform("_rare", lambda x: F.struct(x["c"], x["w"] / total))).alias("weights"))
+
+
 def align_splits(splits: DataFrame, keys: list[str], *, width: int = 20, limit: float = 0.35, step: int = 1) -> DataFrame:
     """splits (keys, split_idx, base, reference): with aligned, alignment_distance and is_fallback; weights come from an entry's references.
-    step: every which character is compared."""
+    step: every which character is compared.
+
+    Splits are dealt out one by one, so a long entry is shared by many tasks; a split meets its own reference only.
+    """
     kinds = dict(splits.dtypes)
+    columns = [*keys, "split_idx", "base", "reference"]
 
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        every = "".join(x or "" for x in pdf["reference"])
-        chars, n = np.unique(list(every), return_counts=True) if every else ([], np.zeros(0))
-        log = np.log(np.maximum(n, 1))
-        scaled = (log - log.min()) / (log.max() - log.min()) if len(log) and log.max() > log.min() else np.zeros(len(log))
-        rare = np.exp(1 - scaled)
-        weights = dict(zip(chars, rare / rare.sum() if len(rare) else rare, strict=True))
-        got, known, shares = [], None, None
-        for b, r in zip(pdf["base"], pdf["reference"], strict=True):
-            if r and r != known:  # splits of an entry mostly share their reference
-                known, shares = r, reference_shares(r, weights, width, step)
-            got.append(align_text(b or "", r or "", weights, width=width, limit=limit, step=step, shares=shares))
-        return pdf.assign(aligned=[g[0] for g in got], alignment_distance=[g[1] for g in got], is_fallback=[g[2] for g in got])
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            got = [align_text(b or "", r or "", dict(w or {}), width=width, limit=limit, step=step) for b, r, w in zip(pdf["base"], pdf["reference"], pdf.pop("weights"), strict=True)]
+            yield pdf.assign(aligned=[g[0] for g in got], alignment_distance=[g[1] for g in got], is_fallback=[g[2] for g in got])
 
-    columns = [*keys, "split_idx", "base", "reference"]
     schema = ", ".join([*(f"`{c}` {kinds[c]}" for c in columns), "aligned string", "alignment_distance double", "is_fallback boolean"])
-    # Little data and much work: adaptive execution would gather all of it in one task, but leaves a number of partitions that is asked for.
-    spread = splits.select(*columns).repartition(int(splits.sparkSession.conf.get("spark.sql.shuffle.partitions")), *keys)
-    return spread.groupBy(*keys).applyInPandas(run, schema)
+    rows = splits.select(*columns).join(raw_weights(splits.select(*keys, "reference"), keys, "reference"), keys, "left")
+    # Little data and much work: adaptive execution would gather it in one task, but leaves a number of partitions that is asked for.
+    tasks = max(int(splits.sparkSession.conf.get("spark.sql.shuffle.partitions")), 4 * splits.sparkSession.sparkContext.defaultParallelism)
+    return rows.repartition(tasks, F.xxhash64(*columns)).mapInPandas(run, schema)
 
 
 def locate_text(window: Column, wanted: Column, radii: Sequence[int], centre: Column) -> Column:
