@@ -78,16 +78,17 @@ def format_chats(turns: DataFrame, template: Template = DEFAULT, *, conv_col: st
     (from 0) without a move, the number of turns if the conversation ends in a state that doesn't accept, else null.
     Invalid conversations are formatted too.
 
-    Turns sort by turn, then role, then text, nulls first; repeated rows are turns of their own. Null role or text: empty.
+    Turns sort by turn, then role, then text as it stands in turns, nulls first; repeated rows are turns of their own. Null role or text: empty.
     Null conv_id: one conversation. Other columns are dropped. An empty table gives no rows.
     """
-    role, text = F.coalesce(F.col(role_col), F.lit("")), escape(F.coalesce(F.col(text_col), F.lit("")), template)
+    role, raw = F.coalesce(F.col(role_col), F.lit("")), F.coalesce(F.col(text_col), F.lit(""))
+    text = escape(raw, template)
     head = F.concat(F.lit(template.open_with), escape_role(role), F.lit(template.open_end))
-    pieces = turns.select(F.col(conv_col).alias("conv_id"), F.struct(F.col(turn_col).alias("turn"), role.alias("role"), text.alias("text"), head.alias("head")).alias("_p"))
+    pieces = turns.select(F.col(conv_col).alias("conv_id"), F.struct(F.col(turn_col).alias("turn"), role.alias("role"), raw.alias("raw"), F.when(text != raw, text).alias("escaped"), head.alias("head")).alias("_p"))
     got = pieces.groupBy("conv_id").agg(F.array_sort(F.collect_list("_p")).alias("_p"))
     part = lambda text, loss: F.struct(text.alias("text"), loss.alias("loss"))
     no = F.lit(False)
-    segments = F.flatten(F.transform("_p", lambda p: F.array(part(p["head"], no), part(p["text"], p["role"].isin(list(template.loss))), part(F.lit(template.close), no))))
+    segments = F.flatten(F.transform("_p", lambda p: F.array(part(p["head"], no), part(F.coalesce(p["escaped"], p["raw"]), p["role"].isin(list(template.loss))), part(F.lit(template.close), no))))
     got = got.select("conv_id", segments.alias("segments"), F.col("_p.role").alias("roles"))
     moves = F.create_map(*[F.lit(x) for (state, name), to in template.moves.items() for x in (f"{state}\n{name}", to)])
     step = lambda s, r: F.when(s["err"].isNotNull(), s).otherwise(

@@ -5,12 +5,13 @@ from __future__ import annotations
 import contextlib
 import ctypes
 import functools
-import tempfile
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..storage import cut, remove_folder, shared_folder  # noqa: F401
+
 #: ASCII white space, \x20 and \x09-\x0D: what separates words in every operator here.
 SPACES = " \t\n\x0b\f\r"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -26,20 +27,6 @@ def small_batches(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
 
 
-def shared_folder(spark: SparkSession) -> str:
-    """The checkpoint folder, which the cluster names in spark.checkpoint.dir; one of our own only where none is set."""
-    sc = spark.sparkContext
-    if sc.getCheckpointDir() is None:
-        sc.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="cantilena-"))
-    return sc.getCheckpointDir()
-
-
-def cut(df: DataFrame) -> DataFrame:
-    """df computed once and written to the shared checkpoint folder; its lineage ends there."""
-    shared_folder(df.sparkSession)
-    return df.checkpoint(eager=True)
-
-
 def keeps_columns(operator: Callable[..., DataFrame]) -> Callable[..., DataFrame]:
     """For operators that pass columns through: columns whose names begin with an underscore, as the operators' own do, go by other
     names meanwhile, so none is overwritten."""

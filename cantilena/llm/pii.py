@@ -1,13 +1,17 @@
 """PII: bootstrapped contextual extraction.
 
-Exact detectors find seed entities. The words around them induce lexical patterns: the word before, the two words before, the words
-either side, or a label glued to the front (as in mail:x). Patterns and what stands in their slots, whatever its characters, are a bipartite
-graph. Spark scores it round by round until no instance is new: a pattern's confidence is the share of all its slots in the corpus that
-hold an accepted instance; an instance's is what its confident patterns leave no doubt of, if enough of its own occurrences stand in
-them. Accepted instances are seeds of the next round, wherever they stand. What stands in the slots of confident patterns gives new spans.
+Exact detectors find seed entities: the four base kinds, and secrets of published formats. Names of secrets, such as password, are seed
+patterns. Patterns are lexical: the word before, the two words before, the words either side, a label glued to the front (as in
+mail:x), and the shape of a code of letters and digits (its alphabet and length). Patterns and what stands in their slots, whatever its
+characters, are a bipartite graph. Spark scores it round by round until no instance is new: a pattern's confidence is the share of all
+its slots in the corpus that hold an accepted instance (for a name of a secret: that hold a code); an instance's is what its confident
+patterns leave no doubt of, if enough of its own occurrences stand in them. Accepted instances are seeds of the next round, wherever they
+stand. What stands in the slots of confident patterns gives new spans.
 
 A slot is up to MOST words between two words; behind a word or label it is one word, or as many as go together: groups of digits, and
-words tied by one in brackets. Passes over the corpus look only for what is wanted, through filters of fixed size.
+words tied by one in brackets. Passes over the corpus look only for what is new in a round, through filters of fixed size; a document
+without a wanted word costs its splitting alone. What looks like a base kind and fails its check (a card number's last digit, say) is no
+code and has no shape, so it is only found by its words.
 """
 
 from __future__ import annotations
@@ -26,10 +30,22 @@ from pyspark.sql import functions as F
 from .common import cut, release_memory, text_of
 
 KINDS = ("email", "ip", "card", "phone")
+#: What discovery adds beside the kinds of the detectors.
+SECRET = "secret"
+# Published formats of keys and tokens by how they begin, and words that name a secret before = or :.
+FORMATS = {
+    "AKIA": r"(?<![A-Za-z0-9])AKIA[A-Z0-9]{16}(?![A-Za-z0-9])",
+    "ASIA": r"(?<![A-Za-z0-9])ASIA[A-Z0-9]{16}(?![A-Za-z0-9])",
+    "ghp_": r"(?<![A-Za-z0-9])ghp_[A-Za-z0-9]{36,}",
+    "xox": r"(?<![A-Za-z0-9])xox[abprs]-[A-Za-z0-9-]{10,}",
+    "sk_live_": r"(?<![A-Za-z0-9])sk_live_[A-Za-z0-9]{16,}",
+    "eyJ": r"(?<![A-Za-z0-9])eyJ[A-Za-z0-9_-]{10,}\.eyJ[A-Za-z0-9_-]{10,}\.[A-Za-z0-9_-]+",
+}
+NAMES = "password passwd passphrase pwd secret token apikey api_key api-key access_key access-key auth_token credential credentials".split()
 MIN_SEEDS, MIN_CONFIDENCE, MIN_SCORE = 3, 0.5, 0.8
 #: The least share of an instance's occurrences that stands in confident patterns (words of any text have next to none), and the most words of a slot.
 MIN_SHARE, MOST = 0.1, 5
-FILTER_BITS = 2**20
+FILTER_BITS, CODE, KNOWN = 2**20, 16, 200_000
 
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 _DOMAIN = re.compile(r"[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)+")
@@ -37,11 +53,13 @@ _IP = re.compile(r"(?<![0-9])[0-9]++(?:\.[0-9]++){3}")
 _CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _OPENING = "\"'([{<"
-_TRAILING = ".,;:!?\"')]}>"
+_TRAILING = ".,;:!?\"')]}>#$%&*|"
 _WORD = re.compile(r"\S+")
 _DIGITS = re.compile(r"[+(]{0,2}[0-9][0-9().-]*")
 _TIE = re.compile(r"\[[^\s\[\]]{1,8}\]|\([^\W\d]{1,8}\)|\{[^\s{}]{1,8}\}")
-_LABEL = re.compile(r"[^\s:=]{1,30}[:=]")
+_LABEL = re.compile(r"[^\s:=]+[:=]")
+_HEX = re.compile("[0-9a-f]+")
+_SECRETS = {k: re.compile(v) for k, v in FORMATS.items()}
 
 
 def _luhn(digits: str) -> bool:
@@ -81,8 +99,37 @@ def base_spans(text: str) -> list[tuple[str, int, int]]:
     return sorted(out, key=lambda x: (x[1], KINDS.index(x[0])))
 
 
+def seed_spans(text: str) -> list[tuple[str, int, int]]:
+    """(kind, start, end) of secrets of published formats, by start, that overlap none of the base spans."""
+    begun = [k for k in FORMATS if k in text]
+    if not begun:
+        return []
+    apart, out = _apart(base_spans(text)), []
+    for a, b in sorted(m.span() for k in begun for m in _SECRETS[k].finditer(text)):
+        if apart(a, b) and not (out and a < out[-1][2]):
+            out.append((SECRET, a, b))
+    return out
+
+
+def _coded(word: str) -> bool:
+    """Whether a word looks made up by a machine: at least eight ASCII characters with digits and letters among them."""
+    return len(word) >= 8 and word.isascii() and any(map(str.isdigit, word)) and any(map(str.isalpha, word))
+
+
+def shape(code: str) -> str:
+    """The pattern of a code's alphabet and length; empty if it is no code of at least CODE letters and digits, both among them."""
+    if len(code) < CODE or not code.isascii() or not code.isalnum() or code.isalpha() or code.isdigit():
+        return ""
+    return f"S {'x' if _HEX.fullmatch(code.lower()) else 'a'}{len(code)}"
+
+
 def contexts(text: str, places: list[tuple[int, int]], start: int, end: int) -> list[str]:
     """The patterns in which the span stands; places: those of the text's words."""
+    found = shape(text[start:end])
+    return _around_span(text, places, start, end) + ([found] if found else [])
+
+
+def _around_span(text: str, places: list[tuple[int, int]], start: int, end: int) -> list[str]:
     i, j = bisect.bisect_right(places, (start, len(text))) - 1, bisect.bisect_left(places, (end, 0)) - 1
     word = lambda k: text[slice(*places[k])].lower()
     if prefix := text[places[i][0] : start].rstrip(_OPENING):
@@ -121,18 +168,34 @@ def norm(text: str) -> str:
 
 
 _SPANS = "array<struct<kind:string,start:long,end:long>>"
-_EDGES = "array<struct<pattern:string,instance:string,kind:string>>"
+_EDGES = "array<struct<pattern:string,instance:string,kind:string,low:long>>"
+
+
+def _before(words: list[str]) -> Counter:
+    """How many slots the pattern L has for each word of a text, at the least."""
+    return Counter(words[:-1])
+
+
+def _edges(text: str, found: list[tuple[str, int, int]]) -> Iterator[tuple[str, str, str, int]]:
+    """(pattern, instance, kind, slots): slots, told once a pattern, is how many slots it has in this text, at the least."""
+    if found:
+        places, counted = [m.span() for m in _WORD.finditer(text)], _before(text.lower().split())
+        told = set()
+        for k, a, b in found:
+            for p in contexts(text, places, a, b):
+                yield p, norm(text[a:b]), k, 0 if p in told else counted[p[2:]] if p[0] == "L" else 0
+                told.add(p)
 
 
 def _find(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for pdf in batches:
-        spans, graph = [], []
+        spans, more, graph = [], [], []
         for text in pdf.pop("text"):
-            found = base_spans(text)
-            places = [m.span() for m in _WORD.finditer(text)] if found else []
+            found, secrets = base_spans(text), seed_spans(text)
             spans.append([{"kind": k, "start": a, "end": b} for k, a, b in found])
-            graph.append([{"pattern": p, "instance": norm(text[a:b]), "kind": k} for k, a, b in found for p in contexts(text, places, a, b)])
-        pdf["base"], pdf["edges"] = spans, graph
+            more.append([{"kind": k, "start": a, "end": b} for k, a, b in secrets])
+            graph.append([{"pattern": p, "instance": x, "kind": k, "low": n} for p, x, k, n in _edges(text, found + secrets)])
+        pdf["base"], pdf["more"], pdf["edges"] = spans, more, graph
         yield pdf
     release_memory()
 
@@ -141,18 +204,24 @@ class Filter:
     """Which strings may be wanted: a bit for each hash."""
 
     def __init__(self, bits: bytes):
-        self.bits, self.known = bits, {}
+        self.bits = bits
 
     def __contains__(self, x: str) -> bool:
         h = zlib.crc32(x.encode("utf-8", "surrogatepass")) % FILTER_BITS
         return bool(self.bits[h >> 3] >> (h & 7) & 1)
 
-    def of_word(self, key: str, work):
-        """work(key), remembered for the words that were met last."""
-        if (out := self.known.get(key)) is None:
-            if len(self.known) >= 50_000:
-                self.known.clear()
-            out = self.known[key] = work(key)
+
+class Known(dict):
+    """work(word) of the words that were met last."""
+
+    def __init__(self, work):
+        super().__init__()
+        self.work = work
+
+    def __missing__(self, word: str):
+        if len(self) >= KNOWN:
+            self.clear()
+        out = self[word] = self.work(word)
         return out
 
 
@@ -172,16 +241,39 @@ def _pattern_bits(patterns: DataFrame) -> bytes:
     return _bits(patterns.select(F.explode(keys).alias("key")))
 
 
-def slots(words: list[str], wanted: Filter) -> Iterator[tuple[str, int, int | None]]:
+def label_of(word: str) -> str:
+    """The label that is glued to the front of a word, if something is behind it."""
+    return m[0] if (m := _LABEL.match(word)) and m.end() < len(word) else ""
+
+
+def core(word: str) -> tuple[int, int]:
+    """Where what a word holds begins and ends, behind its label and inside what opens and closes."""
+    return trimmed(word, len(label_of(word)), len(word))
+
+
+def _flags(wanted: Filter):
+    """What a lower-case word can be a part of: 1 L, 2 the second of B, 4 the first of A, 8 the last of A, 16 G, 32 S."""
+
+    def work(w: str) -> int:
+        g, s = label_of(w), shape(w[slice(*core(w))]) if len(w) >= CODE else ""
+        return (f"L {w}" in wanted) + 2 * (f"b {w}" in wanted) + 4 * (f"a {w}" in wanted) + 8 * (f"r {w}" in wanted) + 16 * bool(g and f"G {g}" in wanted) + 32 * bool(s and s in wanted)
+
+    return work
+
+
+def slots(words: list[str], wanted: Filter, known: Known) -> Iterator[tuple[str, int, int | None]]:
     """(pattern, first word, last word) of the slots of wanted patterns in lower-case words; the last is None if it isn't fixed by the pattern."""
+    if not any(map(known.__getitem__, set(words))):
+        return
     n = len(words)
-    label = lambda w: f"G {m[0]}" if (m := _LABEL.match(w)) and m.end() < len(w) else ""
-    flags = [wanted.of_word(w, lambda w: (f"L {w}" in wanted) + 2 * (f"b {w}" in wanted) + 4 * (f"a {w}" in wanted) + 8 * (f"r {w}" in wanted) + 16 * bool((g := label(w)) and g in wanted)) for w in words]
+    flags = list(map(known.__getitem__, words))
     for i, f in enumerate(flags):
         if not f:
             continue
         if f & 16:
-            yield label(words[i]), i, None
+            yield f"G {label_of(words[i])}", i, None
+        if f & 32:
+            yield shape(words[i][slice(*core(words[i]))]), i, i
         if i + 1 == n:
             break
         if f & 1:
@@ -197,15 +289,20 @@ def slots(words: list[str], wanted: Filter) -> Iterator[tuple[str, int, int | No
 
 
 def _occurrences(bits: bytes):
-    """Counts, a batch at a time, the slots of the wanted patterns."""
+    """Counts, a batch at a time, the slots of the wanted patterns, and those that hold a code."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         wanted = Filter(bits)
+        known = Known(_flags(wanted))
         for pdf in batches:
-            seen: Counter = Counter()
+            seen, codes = Counter(), Counter()
             for text in pdf["text"]:
-                seen.update(p for p, *_ in slots(text.lower().split(), wanted))
-            yield _counted(seen, "pattern")
+                words = text.lower().split()
+                for p, i, _ in slots(words, wanted, known):
+                    seen[p] += 1
+                    codes[p] += _coded(words[i][slice(*core(words[i]))] if p[0] == "G" else words[i][slice(*trimmed(words[i], 0, len(words[i])))])
+            yield _counted(seen, "pattern").assign(coded=[codes[p] for p in seen]).astype({"coded": "int64"})
+        release_memory()
 
     return run
 
@@ -215,14 +312,14 @@ def _counted(seen: Counter, name: str) -> pd.DataFrame:
 
 
 def _totals(texts: DataFrame, patterns: DataFrame) -> DataFrame:
-    """Rows (pattern, n): how many slots each pattern has in the corpus, whatever stands in them."""
-    found = texts.select("text").mapInPandas(_occurrences(_pattern_bits(patterns)), "pattern string, n long").groupBy("pattern").agg(F.sum("n").alias("n"))
-    return patterns.select("pattern").join(found, "pattern", "left").select("pattern", F.coalesce("n", F.lit(0)).alias("n"))
+    """Rows (pattern, n, coded): how many slots each pattern has in the corpus, whatever stands in them, and how many hold a code."""
+    found = texts.select("text").mapInPandas(_occurrences(_pattern_bits(patterns)), "pattern string, n long, coded long").groupBy("pattern").agg(F.sum("n").alias("n"), F.sum("coded").alias("coded"))
+    return patterns.select("pattern").join(found, "pattern", "left").select("pattern", F.coalesce("n", F.lit(0)).alias("n"), F.coalesce("coded", F.lit(0)).alias("coded"))
 
 
-def _apart(text: str):
-    """Whether a span overlaps none of the detectors'."""
-    base = sorted((a, b) for _, a, b in base_spans(text))
+def _apart(spans: list[tuple[str, int, int]]):
+    """Whether a place overlaps none of the spans."""
+    base = sorted((a, b) for _, a, b in spans)
     ends = list(itertools.accumulate((b for _, b in base), max))
     return lambda a, b: not ((i := bisect.bisect_left(base, (b, 0))) and ends[i - 1] > a)
 
@@ -234,42 +331,51 @@ def _rows(rows: list[tuple]) -> pd.DataFrame:
     return pd.DataFrame(rows, columns=["doc_id", "_row", "pattern", "instance", "start", "end"]).astype({"doc_id": "Int64", "_row": "int64", "pattern": "object", "instance": "object", "start": "int64", "end": "int64"})
 
 
-def _stand_in(bits: bytes):
-    """What stands in the slots of wanted patterns and overlaps no base span."""
+def placed_in(text: str, wanted: Filter, known: Known) -> Iterator[tuple[str, str, int, int]]:
+    """(pattern, instance, start, end) of what stands in the slots of wanted patterns and overlaps no span of a detector."""
+    if not (found := list(slots(text.lower().split(), wanted, known))):
+        return
+    places, apart = [m.span() for m in _WORD.finditer(text)], _apart(base_spans(text) + seed_spans(text))
+    for p, i, j in found:
+        start, word = places[i][0], text[slice(*places[i])]
+        if p[0] == "S":
+            a, b = (start + x for x in core(word))
+        else:
+            start += len(label_of(word)) if p[0] == "G" else 0
+            a, b = trimmed(text, start, places[last_of(text, places, i, start) if j is None else j][1])
+        if a < b and (p[0] != "A" or b == places[j][1]) and apart(a, b):
+            yield p, norm(text[a:b]), a, b
+
 
+def _stand_in(bits: bytes):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         wanted = Filter(bits)
+        known = Known(_flags(wanted))
         for pdf in batches:
-            out = []
-            for doc, row, text in zip(pdf["doc_id"], pdf["_row"], pdf["text"], strict=True):
-                if not (found := list(slots(text.lower().split(), wanted))):
-                    continue
-                places, apart = [m.span() for m in _WORD.finditer(text)], _apart(text)
-                for p, i, j in found:
-                    start = places[i][0]
-                    if p[0] == "G":
-                        start += _LABEL.match(text, start).end()
-                    a, b = trimmed(text, start, places[last_of(text, places, i, start) if j is None else j][1])
-                    if a < b and (j is None or b == places[j][1]) and apart(a, b):
-                        out.append((None if pd.isna(doc) else int(doc), row, p, norm(text[a:b]), a, b))
-            yield _rows(out)
+            yield _rows([(None if pd.isna(doc) else int(doc), row, *x) for doc, row, text in zip(pdf["doc_id"], pdf["_row"], pdf["text"], strict=True) for x in placed_in(text, wanted, known)])
+        release_memory()
 
     return run
 
 
-def _instances(text: str, wanted: Filter) -> Iterator[tuple[str, int, int]]:
-    """(instance, start, end): where wanted instances may stand, behind white space, an opening mark or a label."""
+def _starts(wanted: Filter):
+    """Where in a word a wanted instance may begin: at its begin, or behind its label."""
 
-    def starts(word: str) -> list[int]:
-        out = [0, m.end()] if (m := _LABEL.match(word)) and m.end() < len(word) else [0]
+    def work(word: str) -> list[int]:
+        out = [0, m] if (m := len(label_of(word))) else [0]
         return [x for x in out if any(y and f"1 {y}" in wanted for y in (norm(word[slice(*trimmed(word, x, len(word)))]), norm(word[x:].lstrip(_OPENING)), norm(word[x:])))]
 
+    return work
+
+
+def _instances(text: str, wanted: Filter, known: Known) -> Iterator[tuple[str, int, int]]:
+    """(instance, start, end): where wanted instances may stand, behind white space, an opening mark or a label."""
     words = text.split()
-    if not any([wanted.of_word(w, starts) for w in words]):
+    if not any(map(known.__getitem__, set(words))):
         return
     places = [m.span() for m in _WORD.finditer(text)]
     for i, w in enumerate(words):
-        for x in wanted.of_word(w, starts):
+        for x in known[w]:
             met = set()
             for j in range(i, min(i + MOST, len(words))):
                 a, b = trimmed(text, places[i][0] + x, places[j][1])
@@ -282,84 +388,103 @@ def _instance_bits(instances: DataFrame) -> bytes:
     return _bits(instances.select(F.explode(F.array("instance", F.concat(F.lit("1 "), F.split("instance", " ")[0]))).alias("key")))
 
 
-def _instance_counts(bits: bytes):
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        wanted = Filter(bits)
-        for pdf in batches:
-            seen: Counter = Counter()
-            for text in pdf["text"]:
-                seen.update(x for x, *_ in _instances(text, wanted))
-            yield _counted(seen, "instance")
-
-    return run
+_AROUND = "pattern string, instance string, n long, low long"
 
 
 def _around(bits: bytes):
-    """The patterns in which wanted instances stand, wherever they are."""
+    """How often wanted instances stand anywhere (pattern null), and in which patterns where they overlap no span of a detector."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         wanted = Filter(bits)
+        known = Known(_starts(wanted))
         for pdf in batches:
-            seen: Counter = Counter()
+            seen, low = Counter(), Counter()
             for text in pdf["text"]:
-                if found := list(_instances(text, wanted)):
-                    places, apart = [m.span() for m in _WORD.finditer(text)], _apart(text)
-                    seen.update((p, x) for x, a, b in found if apart(a, b) for p in contexts(text, places, a, b))
-            yield pd.DataFrame([(*k, n) for k, n in seen.items()], columns=["pattern", "instance", "n"]).astype({"pattern": "object", "instance": "object", "n": "int64"})
+                if found := list(_instances(text, wanted, known)):
+                    apart = _apart(base_spans(text) + seed_spans(text))
+                    seen.update((None, x) for x, _, _ in found)
+                    places, counted, told = [m.span() for m in _WORD.finditer(text)], _before(text.lower().split()), set()
+                    for x, a, b in found:
+                        for p in contexts(text, places, a, b) if apart(a, b) else ():
+                            seen[p, x] += 1
+                            if p[0] == "L" and p not in told:
+                                low[p, x] += counted[p[2:]]
+                                told.add(p)
+            yield pd.DataFrame([(*k, n, low[k]) for k, n in seen.items()], columns=["pattern", "instance", "n", "low"]).astype({"pattern": "object", "instance": "object", "n": "int64", "low": "int64"})
+        release_memory()
 
     return run
 
 
+def seed_patterns() -> list[str]:
+    """Where a secret stands behind its name: glued to it, after its sign, or after a sign that stands alone."""
+    return [p for x in NAMES for c in "=:" for p in (f"G {x}{c}", f"L {x}{c}", f"B {x} {c}")]
+
+
 def discover(graph: DataFrame, texts: DataFrame, *, min_seeds: int = MIN_SEEDS, min_confidence: float = MIN_CONFIDENCE, min_score: float = MIN_SCORE, min_share: float = MIN_SHARE) -> DataFrame | None:
     """Rows (doc_id, _row, kind, start, end): what stands in confident patterns; None if there is nothing.
 
-    graph: rows (pattern, instance, kind) of the detectors' spans; texts: rows (doc_id, _row, text). A pattern needs
-    min_seeds different instances and at least min_confidence. Rounds go on until no instance is new.
+    graph: rows (pattern, instance, kind, low) of the detectors' spans; texts: rows (doc_id, _row, text). A pattern needs
+    min_seeds different instances, or a name of a secret, and at least min_confidence. A pattern that has too many slots already in the
+    documents of its instances (low) isn't counted in the others. Rounds go on until no instance is new.
     """
-    pairs = cut(graph.groupBy("pattern", "instance").agg(F.max("kind").alias("kind"), F.count("*").alias("n")))
-    accepted, done = None, None
+    spark = texts.sparkSession
+    named = spark.createDataFrame([(p,) for p in seed_patterns()], "pattern string")
+    pairs = cut(graph.groupBy("pattern", "instance").agg(F.max("kind").alias("kind"), F.count("*").alias("n"), F.sum("low").alias("low")))
+    accepted = totals = placed = sure = met = done = None
+
+    def beside(old: DataFrame | None, new: DataFrame) -> DataFrame:
+        return cut(new) if old is None else cut(old.unionByName(new))
+
     while True:
-        support = pairs.groupBy("pattern").agg(F.count("*").alias("seeds"), F.sum("n").alias("hits"), F.mode("kind", True).alias("kind"))
-        fit = cut(support.where(F.col("seeds") >= min_seeds))
-        if fit.isEmpty():
-            return done
-        sure = cut(fit.join(_totals(texts, fit), "pattern").withColumn("confidence", F.least(F.col("hits") / F.greatest("n", "hits"), F.lit(0.999))).where(F.col("confidence") >= min_confidence).select("pattern", "kind", "confidence"))
-        if sure.isEmpty():
-            return done
-        placed = cut(texts.mapInPandas(_stand_in(_pattern_bits(sure)), _PLACED).join(sure, "pattern"))
+        support = pairs.groupBy("pattern").agg(F.count("*").alias("seeds"), F.sum("n").alias("hits"), F.greatest(F.sum("low"), F.sum("n")).alias("low"), F.mode("kind", True).alias("kind"))
+        support = support.join(named.withColumn("named", F.lit(True)), "pattern", "full").withColumns({"named": F.coalesce("named", F.lit(False)), "kind": F.coalesce("kind", F.lit(SECRET)), "hits": F.coalesce("hits", F.lit(0))})
+        fit = cut(support.where("named").unionByName(support.where(~F.col("named") & (F.col("seeds") >= min_seeds) & (F.col("hits") >= min_confidence * F.col("low")))))
+        fresh = fit.select("pattern") if totals is None else cut(fit.select("pattern").join(totals, "pattern", "left_anti"))
+        if totals is None or not fresh.isEmpty():
+            totals = beside(totals, _totals(texts, fresh))
+        share = F.greatest(F.col("hits") / F.greatest("n", "hits"), F.when(F.col("named"), F.col("coded") / F.col("n")).otherwise(0.0))
+        before, sure = sure, cut(fit.join(totals, "pattern").where("n > 0 or hits > 0").withColumn("confidence", F.least(share, F.lit(0.999))).where(F.col("confidence") >= min_confidence).select("pattern", "kind", "confidence"))
+        fresh = sure if before is None else cut(sure.join(before, "pattern", "left_anti"))
+        if not fresh.isEmpty():
+            placed = beside(placed, texts.mapInPandas(_stand_in(_pattern_bits(fresh)), _PLACED).join(fresh.select("pattern"), "pattern"))
+        if placed is None:
+            return None
+        now = placed.join(sure, "pattern")
         doubt = F.exp(F.sum(F.ln(1 - F.col("confidence"))))
-        scored = placed.select("pattern", "instance", "kind", "confidence").distinct().groupBy("instance").agg((1 - doubt).alias("score"), F.mode("kind", True).alias("as_kind")).where(F.col("score") >= min_score)
-        likely = cut(scored.join(placed.groupBy("instance").agg(F.count_distinct("doc_id", "_row", "start", "end").alias("inside")), "instance"))
-        if likely.isEmpty():
-            return done
-        every = texts.select("text").mapInPandas(_instance_counts(_instance_bits(likely)), "instance string, n long").groupBy("instance").agg(F.sum("n").alias("n"))
-        got = cut(likely.join(every, "instance", "left").where(F.col("inside") >= min_share * F.coalesce("n", F.lit(0))).select("instance", F.col("as_kind").alias("kind")))
-        if got.isEmpty():
+        scored = now.select("pattern", "instance", "kind", "confidence").distinct().groupBy("instance").agg((1 - doubt).alias("score"), F.mode("kind", True).alias("kind")).where(F.col("score") >= min_score)
+        likely = cut(scored.join(now.groupBy("instance").agg(F.count_distinct("doc_id", "_row", "start", "end").alias("inside")), "instance"))
+        fresh = likely.select("instance") if met is None else cut(likely.select("instance").join(met.where("pattern is null"), "instance", "left_anti"))
+        if not fresh.isEmpty():
+            around = texts.select("text").mapInPandas(_around(_instance_bits(fresh)), _AROUND).groupBy("pattern", "instance").agg(F.sum("n").alias("n"), F.sum("low").alias("low"))
+            met = beside(met, around.join(fresh, "instance", "left_semi"))
+        if met is None:
             return done
-        done = cut(placed.drop("confidence").join(got.select("instance"), "instance", "left_semi").select("doc_id", "_row", "kind", "start", "end").distinct())
-        new = cut(got if accepted is None else got.join(accepted, "instance", "left_anti"))
+        every = met.where("pattern is null").select("instance", "n")
+        got = cut(likely.join(every, "instance", "left").where(F.col("inside") >= min_share * F.coalesce("n", F.lit(0))).select("instance", "kind"))
+        done = cut(now.drop("confidence").join(got.select("instance"), "instance", "left_semi").select("doc_id", "_row", "kind", "start", "end").distinct())
+        new = got if accepted is None else cut(got.join(accepted, "instance", "left_anti"))
         if new.isEmpty():
             return done
-        accepted = new.select("instance") if accepted is None else cut(accepted.unionByName(new.select("instance")))
-        around = texts.select("text").mapInPandas(_around(_instance_bits(new)), "pattern string, instance string, n long").groupBy("pattern", "instance").agg(F.sum("n").alias("n"))
-        pairs = cut(pairs.unionByName(around.join(new, "instance").select(pairs.columns)))
+        accepted = beside(accepted, new.select("instance"))
+        pairs = beside(pairs, met.where("pattern is not null").join(new, "instance").select(pairs.columns))
 
 
 def find_pii(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", **how) -> DataFrame:
     """Rows (doc_id, base, spans): arrays of (kind, start, end) by start, then kind; code points, end exclusive.
 
-    base: what the detectors find. spans: base, and the discovered spans that overlap none of it; of discovered spans that
-    overlap each other the first, and of those that begin together the longest.
+    base: what the detectors of KINDS find. spans: base, secrets of published formats that overlap none of it, and the discovered spans
+    that overlap neither; of discovered spans that overlap each other the first, and of those that begin together the longest.
 
     Null or empty text: no spans. Null or repeated ids: each row is answered for itself. An empty table gives no
     rows. Other columns are dropped.
     """
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), text_of(text_col).alias("text"))
     named = texts.select("doc_id", F.xxhash64("text").alias("_row"), "text")
-    found = cut(named.mapInPandas(_find, f"doc_id long, _row long, base {_SPANS}, edges {_EDGES}"))
+    found = cut(named.mapInPandas(_find, f"doc_id long, _row long, base {_SPANS}, more {_SPANS}, edges {_EDGES}"))
     new = discover(found.select(F.explode("edges").alias("e")).select("e.*"), named, **how)
     if new is None:
-        return found.select("doc_id", "base", F.col("base").alias("spans"))
+        return found.select("doc_id", "base", in_order(F.concat("base", "more")).alias("spans"))
     key = F.coalesce("doc_id", F.lit(-(2**63)))
     spans = new.groupBy(key.alias("_id"), "_row").agg(F.collect_set(F.struct("start", (-F.col("end")).alias("back"), "kind")).alias("_new"))
     apart = F.aggregate(
@@ -367,12 +492,12 @@ def find_pii(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
         F.expr(f"cast(array() as {_SPANS})"),
         lambda out, s: F.when((F.size(out) == 0) | (F.try_element_at(out, F.lit(-1))["end"] <= s["start"]), F.concat(out, F.array(F.struct(s["kind"].alias("kind"), s["start"].alias("start"), (-s["back"]).alias("end"))))).otherwise(out),
     )
-    both = found.select("doc_id", "_row", "base").withColumn("_id", key).join(spans.select("_id", "_row", apart.alias("_new")), ["_id", "_row"], "left")
-    return both.select("doc_id", "base", in_order(F.concat("base", F.coalesce("_new", F.expr(f"cast(array() as {_SPANS})")))).alias("spans"))
+    both = found.select("doc_id", "_row", "base", "more").withColumn("_id", key).join(spans.select("_id", "_row", apart.alias("_new")), ["_id", "_row"], "left")
+    return both.select("doc_id", "base", in_order(F.concat("base", "more", F.coalesce("_new", F.expr(f"cast(array() as {_SPANS})")))).alias("spans"))
 
 
 def in_order(spans: Column) -> Column:
-    rank = lambda k: F.array_position(F.array(*map(F.lit, KINDS)), k)
+    rank = lambda k: F.array_position(F.array(*map(F.lit, (*KINDS, SECRET))), k)
     keyed = F.array_sort(F.transform(spans, lambda s: F.struct(s["start"].alias("start"), rank(s["kind"]).alias("rank"), s["end"].alias("end"), s["kind"].alias("kind"))))
     return F.transform(keyed, lambda s: F.struct(s["kind"].alias("kind"), s["start"].alias("start"), s["end"].alias("end")))
 

@@ -183,13 +183,14 @@ def held_out(id_col: str = "doc_id") -> Column:
 def train(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality", max_labelled: int = MAX_LABELLED) -> Model:
     """A model from the labelled documents that are not held out, max_labelled of them at most.
 
-    Labels without a document, null labels and null ids are left out. The sample is small by its bound, so it is broadcast.
+    Labels without a document, null labels and null ids are left out; of documents that share an id the one with the least statistics is
+    taken. The sample is small by its bound, so it is broadcast.
     """
     seen = labels.where(~held_out(id_col)).where(F.col(label_col).isin(0, 1)).groupBy(F.col(id_col).alias("_id")).agg(F.max(label_col).alias("_y"))
     seen = seen.orderBy(F.xxhash64("_id"), "_id").limit(max_labelled)
     rows = docs.join(F.broadcast(seen), F.col(id_col) == F.col("_id")).select("_id", "_y", F.col(text_col).alias("text"))
-    rows = text_statistics(rows).select("_id", "_y", "_stats.*").orderBy("_id", *NAMES).limit(2 * max_labelled).collect()
-    data = np.asarray([list(r)[1:] for r in rows], dtype=float).reshape(-1, len(NAMES) + 1)
+    rows = text_statistics(rows).groupBy("_id").agg(F.min(F.struct("_y", "_stats")).alias("_m")).select("_id", "_m._y", "_m._stats.*").collect()  # at most max_labelled
+    data = np.asarray([list(r)[1:] for r in sorted(rows)], dtype=float).reshape(-1, len(NAMES) + 1)
     return fit(data[:, 1:], data[:, 0])
 
 

@@ -98,12 +98,12 @@ def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from .pii import KINDS, as_text, find_pii
+    from .pii import KINDS, SECRET, as_text, find_pii
 
     small_batches(spark)
     out = find_pii(table(spark, sf_dir, "documents").select("doc_id", "text"))
     n = [F.size(F.expr(f"filter(base, s -> s.kind = '{k}')")).cast("long").alias(f"n_{k}") for k in KINDS]
-    return out.select("doc_id", *n, F.sha2(as_text(F.col("base")), 256).alias("base_sha256"), as_text(F.col("spans")).alias("spans"))
+    return out.select("doc_id", *n, F.sha2(as_text(F.col("base")), 256).alias("base_sha256"), as_text(F.col("spans")).alias("spans"), F.size(F.expr(f"filter(spans, s -> s.kind = '{SECRET}')")).cast("long").alias("n_secret"), F.size("spans").cast("long").alias("n_spans"))
 
 
 QUERIES = {f.__name__: f for f in (op1_chat_format, op2_quality_classifier, op3_mixing, op4_quality_rules, op5_jaccard_join, op6_packing, op7_fingerprints, op8_html_extract, op9_line_dedup, op10_pii)}

@@ -3,6 +3,7 @@
 import collections
 import hashlib
 import itertools
+import random
 import re
 import zlib
 
@@ -112,6 +113,12 @@ def test_chat_round_trip(spark):
     assert not got[None]["valid"] and got[None]["error_at"] == 1
 
 
+def test_turns_of_one_number_sort_by_their_own_text(spark):
+    rows = [(1, 0, "user", "<turn role=x"), (1, 0, "user", "<a"), (1, 0, "user", "<turn role=" + "y" * 50_000), (1, 1, "assistant", "ok")]
+    got = chat_format.format_chats(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string"))
+    assert [t["text"] for t in got.select(chat_format.read_turns(F.col("formatted")).alias("t")).first()["t"]] == ["<a", "<turn role=x", rows[2][3], "ok"]
+
+
 def test_chat_machine(spark):
     def ends(roles):
         df = spark.createDataFrame([(1, i, r, "t") for i, r in enumerate(roles)], "conv_id long, turn long, role string, text string")
@@ -489,6 +496,137 @@ def test_pii_counts_whatever_stands_in_wide_slots(spark):
     assert len(cards) >= pii.MIN_SEEDS and not discovered(spark, texts)
 
 
+def plainly(texts):
+    """Discovery over all texts at once, with dictionaries: what find_pii adds, as (document, kind, text found)."""
+    label = lambda w: m[0] if (m := re.match(r"[^\s:=]+[:=]", w)) and m.end() < len(w) else ""
+    lows = [t.lower().split() for t in texts]
+    places = [[m.span() for m in re.finditer(r"\S+", t)] for t in texts]
+    held = [[(a, b) for _, a, b in pii.base_spans(t) + pii.seed_spans(t)] for t in texts]
+    free = lambda d, a, b: all(b <= x or a >= y for x, y in held[d])
+
+    def core(d, i):
+        t, (a, b) = texts[d], places[d][i]
+        return pii.trimmed(t, a + len(label(t[a:b])), b)
+
+    def slots_of(p):
+        kind, *w = p.split(" ")
+        for d, low in enumerate(lows):
+            for i in range(len(low)):
+                if kind == "L" and i and low[i - 1] == w[0] or kind == "B" and i > 1 and low[i - 2 : i] == w or kind == "G" and label(low[i]) == w[0]:
+                    yield d, i, None
+                elif kind == "S" and pii.shape(texts[d][slice(*core(d, i))]) == p:
+                    yield d, i, i
+                elif kind == "A" and i and low[i - 1] == w[0]:
+                    end = next((j for j in range(i + 1, min(i + pii.MOST + 1, len(low))) if low[j] == w[1]), None)
+                    if end is not None:
+                        yield d, i, end - 1
+
+    def fill(p, d, i, j):
+        t, start = texts[d], places[d][i][0]
+        if p[0] == "S":
+            return core(d, i)
+        start += len(label(t[slice(*places[d][i])])) if p[0] == "G" else 0
+        last = pii.last_of(t, places[d], i, start) if j is None else j
+        a, b = pii.trimmed(t, start, places[d][last][1])
+        return (a, b) if p[0] != "A" or b == places[d][last][1] else (a, a)
+
+    def coded(p, d, i):
+        t, (a, b) = texts[d], places[d][i]
+        x = t[slice(*(core(d, i) if p[0] == "G" else pii.trimmed(t, a, b)))]
+        return len(x) >= 8 and x.isascii() and any(c.isdigit() for c in x) and any(c.isalpha() for c in x)
+
+    def whole(x):
+        """Where an instance stands, wherever that is."""
+        out = set()
+        for d, t in enumerate(texts):
+            for i, (a, b) in enumerate(places[d]):
+                for s in {0, len(label(t[a:b]))}:
+                    for j in range(i, min(i + pii.MOST, len(places[d]))):
+                        u, v = pii.trimmed(t, a + s, places[d][j][1])
+                        if u < v and pii.norm(t[u:v]) == x:
+                            out.add((d, u, v, i, s))
+        return out
+
+    pairs, kinds = collections.Counter(), {}
+    for d, t in enumerate(texts):
+        for k, a, b in pii.base_spans(t) + pii.seed_spans(t):
+            for p in pii.contexts(t, places[d], a, b):
+                pairs[p, pii.norm(t[a:b])] += 1
+                kinds[p, pii.norm(t[a:b])] = k
+    accepted, done, named = set(), [], set(pii.seed_patterns())
+    while True:
+        by = collections.defaultdict(list)
+        for (p, x), n in pairs.items():
+            by[p].append((x, n))
+        sure = {}
+        for p in named | {p for p in by if len(by[p]) >= pii.MIN_SEEDS}:
+            hits, found = sum(n for _, n in by[p]), list(slots_of(p))
+            if found or hits:
+                share = hits / max(hits, len(found))
+                if p in named and found:
+                    share = max(share, sum(coded(p, d, i) for d, i, _ in found) / len(found))
+                if share >= pii.MIN_CONFIDENCE:
+                    of = collections.Counter(kinds[p, x] for x, _ in by[p])
+                    sure[p] = (min(share, 0.999), min(of, key=lambda k: (-of[k], k)) if of else "secret")
+        filled = {(p, d, *fill(p, d, i, j)) for p in sure for d, i, j in slots_of(p)}
+        filled = {f for f in filled if f[2] < f[3] and free(*f[1:])}
+        inside = collections.defaultdict(set)
+        for p, d, a, b in filled:
+            inside[pii.norm(texts[d][a:b])].add((p, d, a, b))
+        got = {}
+        for x, at in inside.items():
+            score = 1 - np.prod([1 - sure[p][0] for p in {f[0] for f in at}])
+            if score >= pii.MIN_SCORE and len({f[1:] for f in at}) >= pii.MIN_SHARE * len(whole(x)):
+                of = collections.Counter(sure[p][1] for p in {f[0] for f in at})
+                got[x] = min(of, key=lambda k: (-of[k], k))
+        done = {(d, sure[p][1], a, b) for x in got for p, d, a, b in inside[x]}
+        new = set(got) - accepted
+        if not new:
+            break
+        accepted |= new
+        for x in new:
+            for d, a, b, _, _ in whole(x):
+                if free(d, a, b):
+                    for p in pii.contexts(texts[d], places[d], a, b):
+                        pairs[p, x] += 1
+                        kinds[p, x] = got[x]
+    out = set()
+    for d in range(len(texts)):
+        last = 0
+        for a, _, k, b in sorted((a, -b, k, b) for e, k, a, b in done if e == d):
+            if a >= last:
+                out.add((d, k, texts[d][a:b]))
+                last = b
+    return out
+
+
+def test_pii_discovery_is_the_definition(spark):
+    r, hexes = random.Random(8), "0123456789abcdef"
+    word = lambda: r.choice("the of and to a is in ember lago stern riva".split()) + r.choice(["", "", "s", "en", "ly"])
+    code = lambda n: "".join(r.choice(hexes) for _ in range(n - 2)) + "a1"
+    made = [lambda: f"mail to: u{r.randint(1, 99)}@h{r.randint(1, 9)}.example.com", lambda: f"mail to: {word()}.{word()}", lambda: f'token = "{code(40)}"', lambda: f"password={code(18)},", lambda: "password: required here",
+            lambda: f"call desk +1 (212) 555-{r.randint(1000, 9999)} or", lambda: f"call desk 030 {r.randint(10**6, 10**7)} or", lambda: f"AKIA{code(16).upper()}", lambda: f"see {code(40)}", lambda: f"from {r.randint(1, 255)}.7.9.{r.randint(1, 255)} by", lambda: f"id:{code(9)}", lambda: f"id:10.0.0.{r.randint(1, 9)}"]
+    texts = [" ".join(x for _ in range(r.randint(1, 6)) for x in (*(word() for _ in range(r.randint(0, 12))), r.choice(made)())) for _ in range(300)]
+    want = plainly(texts)
+    found = discovered(spark, texts)
+    seeds = {(d, k, t[a:b]) for d, t in enumerate(texts) for k, a, b in pii.seed_spans(t)}
+    assert len(want) > 100 and {k for _, k, _ in want} >= {"secret", "phone"}
+    assert found == want | seeds
+
+
+def test_pii_on_edges(spark, edge_docs, no_docs):
+    got = pii.find_pii(edge_docs).collect()
+    assert len(got) == edge_docs.count() and sorted(str(r["doc_id"]) for r in got) == sorted(str(r["doc_id"]) for r in edge_docs.collect())
+    (full,) = [r for r in got if r["doc_id"] == 15]
+    assert [s["kind"] for s in full["base"]] == ["email", "phone", "ip", "card"]
+    assert all(r["base"] == [] for r in got if r["doc_id"] != 15)
+    assert pii.find_pii(no_docs).count() == 0
+    long = "x " * 400_000 + 'token = "24be64439e3e49cf46b2d7c90f3602a3d0b907ff" ' + "y" * 300_000
+    rows = [(None, long, "b"), (None, long, "b"), (7, long, "c"), (7, "password=abc123def456", "d"), (8, None, None)]
+    found = pii.find_pii(spark.createDataFrame(rows, "doc_id long, text string, base string")).collect()
+    assert sorted(len(r["spans"]) for r in found) == [0, 1, 1, 1, 1] and all(s["kind"] == "secret" for r in found for s in r["spans"])
+
+
 # Quality classifier
 
 
@@ -506,6 +644,45 @@ def test_classifier(spark, many_docs, edge_docs):
     assert none.rules == () and 0 <= quality_classifier.score_quality(many_docs, none).first()["score"] <= 1
 
 
+def test_trees_and_lasso_are_the_plain_ones():
+    """The first split is the best of all splits of all statistics by gain, and the weights can't be improved one by one."""
+    r = np.random.default_rng(2)
+    x = r.random((300, len(quality_classifier.NAMES))).round(2)
+    y = ((x[:, 3] > 0.6) & (x[:, 5] < 0.7) | (r.random(300) < 0.1)).astype(float)
+    rules = quality_classifier.grow_rules(x, y)
+    p = y.mean()
+    grad, hess = y - p, np.full(300, p * (1 - p))
+
+    def gain(low):
+        part = lambda m: grad[m].sum() ** 2 / (hess[m].sum() + 1)
+        return part(low) + part(~low) if min(low.sum(), (~low).sum()) >= quality_classifier.LEAF else 0.0
+
+    cuts = {f: np.unique(np.quantile(x[:, f], np.linspace(0, 1, quality_classifier.BINS + 2)[1:-1])) for f in range(x.shape[1])}
+    best = max(gain(x[:, f] <= c) for f, cs in cuts.items() for c in cs)
+    (name, _, bound), = rules[0].tests
+    assert gain(x[:, quality_classifier.NAMES.index(name)] <= bound) == pytest.approx(best)
+    z = np.stack([q.array(x) for q in rules[:12]], axis=1).astype(float)
+    b, w = quality_classifier.lasso(z, y)
+    spread = np.maximum(z.std(0), 0.05)
+
+    def loss(b, w):
+        s = z @ w + b
+        return np.mean(np.log1p(np.exp(s)) - y * s) + quality_classifier.LASSO * np.abs(w * spread).sum()
+
+    for k in range(len(w)):
+        for step in (-0.05, 0.05):
+            other = w.copy()
+            other[k] += step
+            assert loss(b, other) >= loss(b, w) - 1e-6
+    assert (w == 0).any() and loss(b + 0.05, w) >= loss(b, w) - 1e-6 and loss(b - 0.05, w) >= loss(b, w) - 1e-6
+
+
+def test_a_label_has_one_document(spark, many_docs):
+    labels = many_docs.select("doc_id", F.when(F.col("text").contains("###"), 0).otherwise(1).alias("quality"))
+    one = quality_classifier.train(many_docs, labels)
+    assert quality_classifier.train(many_docs.unionByName(many_docs).unionByName(many_docs), labels, max_labelled=1000) == one
+
+
 def test_compiled_rules_are_the_rules(spark, many_docs):
     stats = quality_classifier.text_statistics(many_docs).select("doc_id", "_stats")
     rules = [quality_classifier.Rule((("words", True, 100.0), ("symbols", False, 0.01))), quality_classifier.Rule((("stops", False, 0.05),))]
