@@ -24,6 +24,7 @@ from collections import Counter
 from collections.abc import Iterator
 
 import pandas as pd
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -45,7 +46,9 @@ NAMES = "password passwd passphrase pwd secret token apikey api_key api-key acce
 MIN_SEEDS, MIN_CONFIDENCE, MIN_SCORE = 3, 0.5, 0.8
 #: The least share of an instance's occurrences that stands in confident patterns (words of any text have next to none), and the most words of a slot.
 MIN_SHARE, MOST = 0.1, 5
-FILTER_BITS, CODE, KNOWN = 2**20, 16, 200_000
+CODE = 16
+#: Up to EXACT strings are looked for themselves, more through a filter of FILTER_BITS; KNOWN words are remembered by a worker.
+EXACT, FILTER_BITS, KNOWN = 50_000, 2**20, 200_000
 
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 _DOMAIN = re.compile(r"[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)+")
@@ -201,14 +204,16 @@ def _find(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 
 class Filter:
-    """Which strings may be wanted: a bit for each hash."""
+    """Which strings may be wanted: the strings themselves, or a bit for each hash."""
 
-    def __init__(self, bits: bytes):
-        self.bits = bits
+    def __init__(self, held: frozenset | bytes):
+        self.held, self.exact = held, isinstance(held, frozenset)
 
     def __contains__(self, x: str) -> bool:
+        if self.exact:
+            return x in self.held
         h = zlib.crc32(x.encode("utf-8", "surrogatepass")) % FILTER_BITS
-        return bool(self.bits[h >> 3] >> (h & 7) & 1)
+        return bool(self.held[h >> 3] >> (h & 7) & 1)
 
 
 class Known(dict):
@@ -225,20 +230,30 @@ class Known(dict):
         return out
 
 
-def _bits(keys: DataFrame) -> bytes:
-    """keys: rows of one string column."""
-    bits = bytearray(FILTER_BITS // 8)
-    places = keys.select((F.crc32(F.col(keys.columns[0]).cast("binary")) % FILTER_BITS).cast("int").alias("h")).distinct()
-    for r in places.toLocalIterator():  # at most FILTER_BITS numbers
-        bits[r["h"] >> 3] |= 1 << (r["h"] & 7)
-    return bytes(bits)
-
-
-def _pattern_bits(patterns: DataFrame) -> bytes:
-    """Patterns, and the words by which a pass knows where to look for them: b and a before a slot, r behind one."""
-    p, word = F.col("pattern"), lambda i: F.split("pattern", " ")[i]
-    keys = F.when(p.startswith("B "), F.array(p, F.concat(F.lit("b "), word(2)))).when(p.startswith("A "), F.array(p, F.concat(F.lit("a "), word(1)), F.concat(F.lit("r "), word(2)))).otherwise(F.array(p))
-    return _bits(patterns.select(F.explode(keys).alias("key")))
+def _wanted(keys: DataFrame, exact: int | None = None) -> Broadcast:
+    """What Filter holds, for rows of one string column: at most EXACT strings, or FILTER_BITS bits."""
+    name, most = keys.columns[0], EXACT if exact is None else exact
+    keys = cut(keys.distinct())
+    if keys.count() <= most:
+        held = frozenset(r[0] for r in keys.collect())
+    else:
+        bits = bytearray(FILTER_BITS // 8)
+        for r in keys.select((F.crc32(F.col(name).cast("binary")) % FILTER_BITS).cast("int").alias("h")).distinct().toLocalIterator():  # at most FILTER_BITS numbers
+            bits[r["h"] >> 3] |= 1 << (r["h"] & 7)
+        held = bytes(bits)
+    return keys.sparkSession.sparkContext.broadcast(held)
+
+
+def _wanted_patterns(patterns: DataFrame) -> Broadcast:
+    """Patterns, and the words by which a pass knows where to look for them: w any word of one, b and a before a slot, r behind one."""
+    p, word, key = F.col("pattern"), lambda i: F.split("pattern", " ")[i], lambda kind, x: F.concat(F.lit(f"{kind} "), x)
+    keys = (
+        F.when(p.startswith("L "), F.array(p, key("w", word(1))))
+        .when(p.startswith("B "), F.array(p, key("w", word(2)), key("b", word(2))))
+        .when(p.startswith("A "), F.array(p, key("w", word(1)), key("a", word(1)), key("w", word(2)), key("r", word(2))))
+        .otherwise(F.array(p))
+    )
+    return _wanted(patterns.select(F.explode(keys).alias("key")))
 
 
 def label_of(word: str) -> str:
@@ -255,8 +270,14 @@ def _flags(wanted: Filter):
     """What a lower-case word can be a part of: 1 L, 2 the second of B, 4 the first of A, 8 the last of A, 16 G, 32 S."""
 
     def work(w: str) -> int:
-        g, s = label_of(w), shape(w[slice(*core(w))]) if len(w) >= CODE else ""
-        return (f"L {w}" in wanted) + 2 * (f"b {w}" in wanted) + 4 * (f"a {w}" in wanted) + 8 * (f"r {w}" in wanted) + 16 * bool(g and f"G {g}" in wanted) + 32 * bool(s and s in wanted)
+        found = 0
+        if f"w {w}" in wanted:
+            found = (f"L {w}" in wanted) + 2 * (f"b {w}" in wanted) + 4 * (f"a {w}" in wanted) + 8 * (f"r {w}" in wanted)
+        if ("=" in w or ":" in w) and (g := label_of(w)) and f"G {g}" in wanted:
+            found |= 16
+        if len(w) >= CODE and not w.isalpha() and (s := shape(w[slice(*core(w))])) and s in wanted:
+            found |= 32
+        return found
 
     return work
 
@@ -288,11 +309,11 @@ def slots(words: list[str], wanted: Filter, known: Known) -> Iterator[tuple[str,
                     yield p, i + 1, j - 1
 
 
-def _occurrences(bits: bytes):
+def _occurrences(held: Broadcast):
     """Counts, a batch at a time, the slots of the wanted patterns, and those that hold a code."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        wanted = Filter(bits)
+        wanted = Filter(held.value)
         known = Known(_flags(wanted))
         for pdf in batches:
             seen, codes = Counter(), Counter()
@@ -313,7 +334,7 @@ def _counted(seen: Counter, name: str) -> pd.DataFrame:
 
 def _totals(texts: DataFrame, patterns: DataFrame) -> DataFrame:
     """Rows (pattern, n, coded): how many slots each pattern has in the corpus, whatever stands in them, and how many hold a code."""
-    found = texts.select("text").mapInPandas(_occurrences(_pattern_bits(patterns)), "pattern string, n long, coded long").groupBy("pattern").agg(F.sum("n").alias("n"), F.sum("coded").alias("coded"))
+    found = texts.select("text").mapInPandas(_occurrences(_wanted_patterns(patterns)), "pattern string, n long, coded long").groupBy("pattern").agg(F.sum("n").alias("n"), F.sum("coded").alias("coded"))
     return patterns.select("pattern").join(found, "pattern", "left").select("pattern", F.coalesce("n", F.lit(0)).alias("n"), F.coalesce("coded", F.lit(0)).alias("coded"))
 
 
@@ -347,9 +368,9 @@ def placed_in(text: str, wanted: Filter, known: Known) -> Iterator[tuple[str, st
             yield p, norm(text[a:b]), a, b
 
 
-def _stand_in(bits: bytes):
+def _stand_in(held: Broadcast):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        wanted = Filter(bits)
+        wanted = Filter(held.value)
         known = Known(_flags(wanted))
         for pdf in batches:
             yield _rows([(None if pd.isna(doc) else int(doc), row, *x) for doc, row, text in zip(pdf["doc_id"], pdf["_row"], pdf["text"], strict=True) for x in placed_in(text, wanted, known)])
@@ -362,6 +383,8 @@ def _starts(wanted: Filter):
     """Where in a word a wanted instance may begin: at its begin, or behind its label."""
 
     def work(word: str) -> list[int]:
+        if word.isalpha():
+            return [0] if f"1 {word.lower()}" in wanted else []
         out = [0, m] if (m := len(label_of(word))) else [0]
         return [x for x in out if any(y and f"1 {y}" in wanted for y in (norm(word[slice(*trimmed(word, x, len(word)))]), norm(word[x:].lstrip(_OPENING)), norm(word[x:])))]
 
@@ -384,18 +407,19 @@ def _instances(text: str, wanted: Filter, known: Known) -> Iterator[tuple[str, i
                     yield k, a, b
 
 
-def _instance_bits(instances: DataFrame) -> bytes:
-    return _bits(instances.select(F.explode(F.array("instance", F.concat(F.lit("1 "), F.split("instance", " ")[0]))).alias("key")))
+def _wanted_instances(instances: DataFrame) -> Broadcast:
+    """Instances, and their first words by which a pass knows where to look for them."""
+    return _wanted(instances.select(F.explode(F.array("instance", F.concat(F.lit("1 "), F.split("instance", " ")[0]))).alias("key")))
 
 
 _AROUND = "pattern string, instance string, n long, low long"
 
 
-def _around(bits: bytes):
+def _around(held: Broadcast):
     """How often wanted instances stand anywhere (pattern null), and in which patterns where they overlap no span of a detector."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        wanted = Filter(bits)
+        wanted = Filter(held.value)
         known = Known(_starts(wanted))
         for pdf in batches:
             seen, low = Counter(), Counter()
@@ -447,7 +471,7 @@ def discover(graph: DataFrame, texts: DataFrame, *, min_seeds: int = MIN_SEEDS,
         before, sure = sure, cut(fit.join(totals, "pattern").where("n > 0 or hits > 0").withColumn("confidence", F.least(share, F.lit(0.999))).where(F.col("confidence") >= min_confidence).select("pattern", "kind", "confidence"))
         fresh = sure if before is None else cut(sure.join(before, "pattern", "left_anti"))
         if not fresh.isEmpty():
-            placed = beside(placed, texts.mapInPandas(_stand_in(_pattern_bits(fresh)), _PLACED).join(fresh.select("pattern"), "pattern"))
+            placed = beside(placed, texts.mapInPandas(_stand_in(_wanted_patterns(fresh)), _PLACED).join(fresh.select("pattern"), "pattern"))
         if placed is None:
             return None
         now = placed.join(sure, "pattern")
@@ -456,7 +480,7 @@ def discover(graph: DataFrame, texts: DataFrame, *, min_seeds: int = MIN_SEEDS,
         likely = cut(scored.join(now.groupBy("instance").agg(F.count_distinct("doc_id", "_row", "start", "end").alias("inside")), "instance"))
         fresh = likely.select("instance") if met is None else cut(likely.select("instance").join(met.where("pattern is null"), "instance", "left_anti"))
         if not fresh.isEmpty():
-            around = texts.select("text").mapInPandas(_around(_instance_bits(fresh)), _AROUND).groupBy("pattern", "instance").agg(F.sum("n").alias("n"), F.sum("low").alias("low"))
+            around = texts.select("text").mapInPandas(_around(_wanted_instances(fresh)), _AROUND).groupBy("pattern", "instance").agg(F.sum("n").alias("n"), F.sum("low").alias("low"))
             met = beside(met, around.join(fresh, "instance", "left_semi"))
         if met is None:
             return done

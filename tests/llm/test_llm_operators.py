@@ -600,7 +600,9 @@ def plainly(texts):
     return out
 
 
-def test_pii_discovery_is_the_definition(spark):
+@pytest.mark.parametrize("exact", [0, pii.EXACT])
+def test_pii_discovery_is_the_definition(spark, monkeypatch, exact):
+    monkeypatch.setattr(pii, "EXACT", exact)
     r, hexes = random.Random(8), "0123456789abcdef"
     word = lambda: r.choice("the of and to a is in ember lago stern riva".split()) + r.choice(["", "", "s", "en", "ly"])
     code = lambda n: "".join(r.choice(hexes) for _ in range(n - 2)) + "a1"
