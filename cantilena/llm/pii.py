@@ -8,6 +8,9 @@ its slots in the corpus that hold an accepted instance (for a name of a secret:
 patterns leave no doubt of, if enough of its own occurrences stand in them. Accepted instances are seeds of the next round, wherever they
 stand. What stands in the slots of confident patterns gives new spans.
 
+The first pass finds the seeds and all codes; a round counts the slots of new patterns, finds what stands in the confident ones, and where
+else accepted instances stand. Patterns of one word that ends a pattern of two go along, so that the next round rarely needs a pass.
+
 A slot is up to MOST words between two words; behind a word or label it is one word, or as many as go together: groups of digits, and
 words tied by one in brackets. Passes over the corpus look only for what is new in a round, through filters of fixed size; a document
 without a wanted word costs its splitting alone. What looks like a base kind and fails its check (a card number's last digit, say) is no
@@ -61,7 +64,7 @@ _WORD = re.compile(r"\S+")
 _DIGITS = re.compile(r"[+(]{0,2}[0-9][0-9().-]*")
 _TIE = re.compile(r"\[[^\s\[\]]{1,8}\]|\([^\W\d]{1,8}\)|\{[^\s{}]{1,8}\}")
 _LABEL = re.compile(r"[^\s:=]+[:=]")
-_HEX = re.compile("[0-9a-f]+")
+_HEX, _DIGIT = re.compile("[0-9a-f]+"), re.compile("[0-9]")
 _SECRETS = {k: re.compile(v) for k, v in FORMATS.items()}
 
 
@@ -172,6 +175,7 @@ def norm(text: str) -> str:
 
 _SPANS = "array<struct<kind:string,start:long,end:long>>"
 _EDGES = "array<struct<pattern:string,instance:string,kind:string,low:long>>"
+_CODES = "array<struct<pattern:string,instance:string,start:long,end:long,free:boolean>>"
 
 
 def _before(words: list[str]) -> Counter:
@@ -190,15 +194,28 @@ def _edges(text: str, found: list[tuple[str, int, int]]) -> Iterator[tuple[str,
                 told.add(p)
 
 
+def codes_in(text: str, found: list[tuple[str, int, int]]) -> Iterator[tuple[str, str, int, int, bool]]:
+    """(pattern, instance, start, end, free) of the words whose core has a shape; free: it overlaps none of the spans found."""
+    if not _DIGIT.search(text) or not any(len(w) >= CODE for w in text.split()):
+        return
+    apart = _apart(found)
+    for m in _WORD.finditer(text):
+        if m.end() - m.start() >= CODE:
+            a, b = (m.start() + x for x in core(m[0]))
+            if p := shape(text[a:b]):
+                yield p, norm(text[a:b]), a, b, apart(a, b)
+
+
 def _find(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for pdf in batches:
-        spans, more, graph = [], [], []
+        spans, more, graph, codes = [], [], [], []
         for text in pdf.pop("text"):
             found, secrets = base_spans(text), seed_spans(text)
             spans.append([{"kind": k, "start": a, "end": b} for k, a, b in found])
             more.append([{"kind": k, "start": a, "end": b} for k, a, b in secrets])
             graph.append([{"pattern": p, "instance": x, "kind": k, "low": n} for p, x, k, n in _edges(text, found + secrets)])
-        pdf["base"], pdf["more"], pdf["edges"] = spans, more, graph
+            codes.append([{"pattern": p, "instance": x, "start": a, "end": b, "free": f} for p, x, a, b, f in codes_in(text, found + secrets)])
+        pdf["base"], pdf["more"], pdf["edges"], pdf["codes"] = spans, more, graph, codes
         yield pdf
     release_memory()
 
@@ -267,7 +284,7 @@ def core(word: str) -> tuple[int, int]:
 
 
 def _flags(wanted: Filter):
-    """What a lower-case word can be a part of: 1 L, 2 the second of B, 4 the first of A, 8 the last of A, 16 G, 32 S."""
+    """What a lower-case word can be a part of: 1 L, 2 the second of B, 4 the first of A, 8 the last of A, 16 G."""
 
     def work(w: str) -> int:
         found = 0
@@ -275,8 +292,6 @@ def _flags(wanted: Filter):
             found = (f"L {w}" in wanted) + 2 * (f"b {w}" in wanted) + 4 * (f"a {w}" in wanted) + 8 * (f"r {w}" in wanted)
         if ("=" in w or ":" in w) and (g := label_of(w)) and f"G {g}" in wanted:
             found |= 16
-        if len(w) >= CODE and not w.isalpha() and (s := shape(w[slice(*core(w))])) and s in wanted:
-            found |= 32
         return found
 
     return work
@@ -293,8 +308,6 @@ def slots(words: list[str], wanted: Filter, known: Known) -> Iterator[tuple[str,
             continue
         if f & 16:
             yield f"G {label_of(words[i])}", i, None
-        if f & 32:
-            yield shape(words[i][slice(*core(words[i]))]), i, i
         if i + 1 == n:
             break
         if f & 1:
@@ -310,7 +323,8 @@ def slots(words: list[str], wanted: Filter, known: Known) -> Iterator[tuple[str,
 
 
 def _occurrences(held: Broadcast):
-    """Counts, a batch at a time, the slots of the wanted patterns, and those that hold a code."""
+    """Counts, a batch at a time, the slots of the wanted patterns, and those of names of secrets that hold a code."""
+    named = frozenset(seed_patterns())
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         wanted = Filter(held.value)
@@ -321,7 +335,8 @@ def _occurrences(held: Broadcast):
                 words = text.lower().split()
                 for p, i, _ in slots(words, wanted, known):
                     seen[p] += 1
-                    codes[p] += _coded(words[i][slice(*core(words[i]))] if p[0] == "G" else words[i][slice(*trimmed(words[i], 0, len(words[i])))])
+                    if p in named:
+                        codes[p] += _coded(words[i][slice(*core(words[i]))] if p[0] == "G" else words[i][slice(*trimmed(words[i], 0, len(words[i])))])
             yield _counted(seen, "pattern").assign(coded=[codes[p] for p in seen]).astype({"coded": "int64"})
         release_memory()
 
@@ -333,7 +348,7 @@ def _counted(seen: Counter, name: str) -> pd.DataFrame:
 
 
 def _totals(texts: DataFrame, patterns: DataFrame) -> DataFrame:
-    """Rows (pattern, n, coded): how many slots each pattern has in the corpus, whatever stands in them, and how many hold a code."""
+    """Rows (pattern, n, coded): how many slots each pattern has in the corpus, whatever stands in them, and how many of a name's hold a code."""
     found = texts.select("text").mapInPandas(_occurrences(_wanted_patterns(patterns)), "pattern string, n long, coded long").groupBy("pattern").agg(F.sum("n").alias("n"), F.sum("coded").alias("coded"))
     return patterns.select("pattern").join(found, "pattern", "left").select("pattern", F.coalesce("n", F.lit(0)).alias("n"), F.coalesce("coded", F.lit(0)).alias("coded"))
 
@@ -359,11 +374,8 @@ def placed_in(text: str, wanted: Filter, known: Known) -> Iterator[tuple[str, st
     places, apart = [m.span() for m in _WORD.finditer(text)], _apart(base_spans(text) + seed_spans(text))
     for p, i, j in found:
         start, word = places[i][0], text[slice(*places[i])]
-        if p[0] == "S":
-            a, b = (start + x for x in core(word))
-        else:
-            start += len(label_of(word)) if p[0] == "G" else 0
-            a, b = trimmed(text, start, places[last_of(text, places, i, start) if j is None else j][1])
+        start += len(label_of(word)) if p[0] == "G" else 0
+        a, b = trimmed(text, start, places[last_of(text, places, i, start) if j is None else j][1])
         if a < b and (p[0] != "A" or b == places[j][1]) and apart(a, b):
             yield p, norm(text[a:b]), a, b
 
@@ -385,6 +397,10 @@ def _starts(wanted: Filter):
     def work(word: str) -> list[int]:
         if word.isalpha():
             return [0] if f"1 {word.lower()}" in wanted else []
+        if not any(c in word for c in "(=:"):
+            low = word.lower()
+            opened = low.lstrip(_OPENING)
+            return [0] if any(y and f"1 {y}" in wanted for y in {low, opened, low.rstrip(_TRAILING).lstrip(_OPENING)}) else []
         out = [0, m] if (m := len(label_of(word))) else [0]
         return [x for x in out if any(y and f"1 {y}" in wanted for y in (norm(word[slice(*trimmed(word, x, len(word)))]), norm(word[x:].lstrip(_OPENING)), norm(word[x:])))]
 
@@ -445,17 +461,22 @@ def seed_patterns() -> list[str]:
     return [p for x in NAMES for c in "=:" for p in (f"G {x}{c}", f"L {x}{c}", f"B {x} {c}")]
 
 
-def discover(graph: DataFrame, texts: DataFrame, *, min_seeds: int = MIN_SEEDS, min_confidence: float = MIN_CONFIDENCE, min_score: float = MIN_SCORE, min_share: float = MIN_SHARE) -> DataFrame | None:
+def discover(graph: DataFrame, codes: DataFrame, texts: DataFrame, *, min_seeds: int = MIN_SEEDS, min_confidence: float = MIN_CONFIDENCE, min_score: float = MIN_SCORE, min_share: float = MIN_SHARE) -> DataFrame | None:
     """Rows (doc_id, _row, kind, start, end): what stands in confident patterns; None if there is nothing.
 
-    graph: rows (pattern, instance, kind, low) of the detectors' spans; texts: rows (doc_id, _row, text). A pattern needs
+    graph: rows (pattern, instance, kind, low) of the detectors' spans; codes: rows (doc_id, _row, pattern, instance, start, end, free) of
+    all codes; texts: rows (doc_id, _row, text). A pattern needs
     min_seeds different instances, or a name of a secret, and at least min_confidence. A pattern that has too many slots already in the
     documents of its instances (low) isn't counted in the others. Rounds go on until no instance is new.
     """
     spark = texts.sparkSession
     named = spark.createDataFrame([(p,) for p in seed_patterns()], "pattern string")
     pairs = cut(graph.groupBy("pattern", "instance").agg(F.max("kind").alias("kind"), F.count("*").alias("n"), F.sum("low").alias("low")))
-    accepted = totals = placed = sure = met = done = None
+    placed, sought = cut(codes.where("free").drop("free").select(*[c.split()[0] for c in _PLACED.split(", ")])), None
+    totals = cut(codes.groupBy("pattern").agg(F.count("*").alias("n"), F.lit(0).cast("long").alias("coded")))
+    accepted = met = done = None
+
+    last_word = F.concat(F.lit("L "), F.split("pattern", " ")[2]).alias("pattern")
 
     def beside(old: DataFrame | None, new: DataFrame) -> DataFrame:
         return cut(new) if old is None else cut(old.unionByName(new))
@@ -464,16 +485,19 @@ def discover(graph: DataFrame, texts: DataFrame, *, min_seeds: int = MIN_SEEDS,
         support = pairs.groupBy("pattern").agg(F.count("*").alias("seeds"), F.sum("n").alias("hits"), F.greatest(F.sum("low"), F.sum("n")).alias("low"), F.mode("kind", True).alias("kind"))
         support = support.join(named.withColumn("named", F.lit(True)), "pattern", "full").withColumns({"named": F.coalesce("named", F.lit(False)), "kind": F.coalesce("kind", F.lit(SECRET)), "hits": F.coalesce("hits", F.lit(0))})
         fit = cut(support.where("named").unionByName(support.where(~F.col("named") & (F.col("seeds") >= min_seeds) & (F.col("hits") >= min_confidence * F.col("low")))))
-        fresh = fit.select("pattern") if totals is None else cut(fit.select("pattern").join(totals, "pattern", "left_anti"))
-        if totals is None or not fresh.isEmpty():
+        common = support.where(~F.col("named") & (F.col("hits") < min_confidence * F.col("low"))).select("pattern")
+        asked = fit.select("pattern").unionByName(fit.where("pattern like 'B %'").select(last_word).join(common, "pattern", "left_anti")).distinct()
+        fresh = cut(asked.join(totals, "pattern", "left_anti"))
+        if not fresh.isEmpty():
             totals = beside(totals, _totals(texts, fresh))
         share = F.greatest(F.col("hits") / F.greatest("n", "hits"), F.when(F.col("named"), F.col("coded") / F.col("n")).otherwise(0.0))
-        before, sure = sure, cut(fit.join(totals, "pattern").where("n > 0 or hits > 0").withColumn("confidence", F.least(share, F.lit(0.999))).where(F.col("confidence") >= min_confidence).select("pattern", "kind", "confidence"))
-        fresh = sure if before is None else cut(sure.join(before, "pattern", "left_anti"))
+        sure = cut(fit.join(totals, "pattern").where("n > 0 or hits > 0").withColumn("confidence", F.least(share, F.lit(0.999))).where(F.col("confidence") >= min_confidence).select("pattern", "kind", "confidence"))
+        ends = sure.where("pattern like 'B %'").join(totals, "pattern").groupBy(last_word).agg(F.sum("n").alias("_n")).join(totals, "pattern").where(F.col("_n") >= min_confidence * F.col("n"))
+        asked = sure.where("pattern not like 'S %'").select("pattern").unionByName(ends.select("pattern")).distinct()
+        fresh = cut(asked if sought is None else asked.join(sought, "pattern", "left_anti"))
         if not fresh.isEmpty():
-            placed = beside(placed, texts.mapInPandas(_stand_in(_wanted_patterns(fresh)), _PLACED).join(fresh.select("pattern"), "pattern"))
-        if placed is None:
-            return None
+            sought = beside(sought, fresh)
+            placed = beside(placed, texts.mapInPandas(_stand_in(_wanted_patterns(fresh)), _PLACED).join(fresh, "pattern").select(placed.columns))
         now = placed.join(sure, "pattern")
         doubt = F.exp(F.sum(F.ln(1 - F.col("confidence"))))
         scored = now.select("pattern", "instance", "kind", "confidence").distinct().groupBy("instance").agg((1 - doubt).alias("score"), F.mode("kind", True).alias("kind")).where(F.col("score") >= min_score)
@@ -505,8 +529,8 @@ def find_pii(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
     """
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), text_of(text_col).alias("text"))
     named = texts.select("doc_id", F.xxhash64("text").alias("_row"), "text")
-    found = cut(named.mapInPandas(_find, f"doc_id long, _row long, base {_SPANS}, more {_SPANS}, edges {_EDGES}"))
-    new = discover(found.select(F.explode("edges").alias("e")).select("e.*"), named, **how)
+    found = cut(named.mapInPandas(_find, f"doc_id long, _row long, base {_SPANS}, more {_SPANS}, edges {_EDGES}, codes {_CODES}"))
+    new = discover(found.select(F.explode("edges").alias("e")).select("e.*"), found.select("doc_id", "_row", F.explode("codes").alias("c")).select("doc_id", "_row", "c.*"), named, **how)
     if new is None:
         return found.select("doc_id", "base", in_order(F.concat("base", "more")).alias("spans"))
     key = F.coalesce("doc_id", F.lit(-(2**63)))
