@@ -33,28 +33,23 @@ SELECT conv_id, n_turns, turns_sha256, length(loss)::BIGINT AS loss_chars, sha25
 """
 
 _WORD_LIST = r"list_filter(regexp_split_to_array(text, '[\x20\x09-\x0D]+'), lambda x: x <> '')"
-_STATS = {"word_length": ("word_chars / n_words", 2.0), "symbol_share": ("n_symbols / word_chars", 0.05), "dup_line_share": ("n_dup_lines / n_words", 0.05), "repeat_share": ("n_repeat_words / n_words", 0.5)}
+_STATS = {"word_length": ("word_chars / n_words", 3), "symbols": ("(n_symbols + 1) / (word_chars + 100)", 3), "dup_lines": ("(n_dup_lines + 1) / (n_text_lines + 10)", 2), "repeats": ("(n_repeat_words + 3) / (n_words + 100)", 3)}
 
 
 def _bucket(value: str) -> str:
-    return f"CASE WHEN {value} <= 1e-6 THEN 0 ELSE ceil(round(ln({value}) / ln(1.01::DOUBLE / 0.99::DOUBLE), 6))::INT + 1000 END"
-
-
-def _value(b: str) -> str:
-    return f"CASE WHEN {b} = 0 THEN 0.0 ELSE pow(1.01::DOUBLE / 0.99::DOUBLE, {b} - 1000) * 2 / (1.01::DOUBLE / 0.99::DOUBLE + 1) END"
+    return f"ceil(round(ln({value}) / ln(1.01::DOUBLE / 0.99::DOUBLE), 6))::INT"
 
 
 def _fence(name: str, by: str) -> str:
-    """Quartiles of each group and statistic, and with them its limits."""
+    """Quartiles of each group and statistic."""
     return f"""{name} AS (SELECT {by}, stat, any_value(total) AS n, min(b) FILTER (cum >= ceil(total * 0.25)) AS lo, min(b) FILTER (cum >= ceil(total * 0.75)) AS hi
   FROM (SELECT {by}, stat, b, sum(n) OVER (PARTITION BY {by}, stat ORDER BY b) AS cum, sum(n) OVER (PARTITION BY {by}, stat) AS total
     FROM (SELECT {by}, stat, b, sum(n) AS n FROM hist GROUP BY ALL)) GROUP BY {by}, stat)"""
 
 
 def _judge(stat: str) -> str:
-    least = _STATS[stat][1]
-    lo, hi = (f"(SELECT coalesce(CASE WHEN f1.n >= 100 THEN f1.{x} END, CASE WHEN f2.n >= 100 THEN f2.{x} END, f3.{x}))" for x in ("lo", "hi"))
-    return f"""l_{stat} AS (SELECT f1.lang, f1.source, {_value(lo)} AS lo, {_value(hi)} AS hi, greatest(3.0 * ({_value(hi)} - {_value(lo)}), {least}) AS reach
+    lo, hi = (f"CASE WHEN f1.n >= 100 AND f1.lo < f1.hi THEN f1.{x} WHEN f2.n >= 100 AND f2.lo < f2.hi THEN f2.{x} ELSE f3.{x} END" for x in ("lo", "hi"))
+    return f"""l_{stat} AS (SELECT f1.lang, f1.source, {lo} AS lo, {hi} AS hi, {_STATS[stat][1]} * (({hi}) - ({lo})) AS reach
   FROM f1 JOIN f2 ON f2.stat = f1.stat AND f2.lang IS NOT DISTINCT FROM f1.lang JOIN f3 ON f3.stat = f1.stat WHERE f1.stat = '{stat}')"""
 
 
@@ -62,9 +57,9 @@ def _quality() -> str:
     each = " UNION ALL ".join(f"SELECT lang, source, '{k}' AS stat, {_bucket(f'({v[0]})')} AS b FROM base WHERE NOT base_failed" for k, v in _STATS.items())
     tests = []
     for k, v in _STATS.items():
-        x = _value(f"({_bucket(f'({v[0]})')})")
-        low = f" OR {x} < (l_{k}.lo - l_{k}.reach) * (1 - 1e-9)" if k == "word_length" else ""
-        tests.append(f"WHEN {x} > (l_{k}.hi + l_{k}.reach) * (1 + 1e-9){low} THEN '{k}'")
+        x = _bucket(f"({v[0]})")
+        low = f" OR {x} < l_{k}.lo - l_{k}.reach" if k == "word_length" else ""
+        tests.append(f"WHEN {x} > l_{k}.hi + l_{k}.reach{low} THEN '{k}'")
     joins = " ".join(f"LEFT JOIN l_{k} ON l_{k}.lang IS NOT DISTINCT FROM base.lang AND l_{k}.source IS NOT DISTINCT FROM base.source" for k in _STATS)
     return f"""
 WITH d AS (SELECT row_number() OVER () AS r, doc_id, lang, source, {_TEXT} AS text FROM documents),
@@ -74,13 +69,13 @@ x AS (SELECT r, i FROM g QUALIFY count(*) OVER (PARTITION BY r, gram) > 1),
 y AS (SELECT r, count(DISTINCT i + j) AS n FROM x, (VALUES (0), (1), (2)) v(j) GROUP BY r),
 c AS (SELECT doc_id, lang, source, len(words)::BIGINT AS n_words, coalesce(list_sum(list_transform(words, lambda q: length(q))), 0)::BIGINT AS word_chars,
   CASE WHEN len(words) = 0 THEN 0 ELSE length(text) - length(regexp_replace(text, '[#*$%&|<>]', '', 'g')) END::BIGINT AS n_symbols,
-  (len(lines) - len(list_distinct(lines)))::BIGINT AS n_dup_lines, coalesce(y.n, 0)::BIGINT AS n_repeat_words FROM w LEFT JOIN y USING (r)),
+  len(lines)::BIGINT AS n_text_lines, (len(lines) - len(list_distinct(lines)))::BIGINT AS n_dup_lines, coalesce(y.n, 0)::BIGINT AS n_repeat_words FROM w LEFT JOIN y USING (r)),
 base AS (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM c),
 hist AS (SELECT lang, source, 1 AS every, stat, b, count(*) AS n FROM ({each}) GROUP BY ALL),
 {_fence('f1', 'lang, source')}, {_fence('f2', 'lang')}, {_fence('f3', 'every')},
 {', '.join(_judge(k) for k in _STATS)},
 j AS (SELECT base.*, CASE WHEN base_failed THEN 'base' {' '.join(tests)} END AS rule FROM base {joins})
-SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, rule IS NULL AS kept, rule FROM j
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, n_text_lines, base_failed, rule IS NULL AS kept, rule FROM j
 """
 
 

@@ -2,8 +2,12 @@
 
 A sketch here is a histogram over logarithmic buckets: a quantile read from it is within 1 % of the true one,
 histograms add up in any order, and equal inputs give equal sketches whatever the partitions. Sketches of a language
-are sums of those of its sources, and serve where a source has too few documents; the sum of all serves
-where a language has too few.
+are sums of those of its sources, and serve where a source has too few documents or quartiles that are equal; the sum
+of all serves where a language has, too.
+
+A statistic is a rate with a little added above and below, so it is never 0 and a long text needs a smaller share of
+symbols than a short one to be as odd. A limit is the upper quartile times the quartiles' ratio to the power of the
+statistic's reach, which in buckets is a whole number: nothing of it is fixed but the reach.
 """
 
 from __future__ import annotations
@@ -21,26 +25,26 @@ from .common import cut, keeps_columns, text_of
 
 SYMBOLS = "#*$%&|<>"
 GAMMA = 1.01 / 0.99
-#: name: (value from the counts, the least spread either side of the quartiles, whether low values fail too)
+#: name: (value from the counts, reach, whether low values fail too)
 STATISTICS = {
-    "word_length": ("word_chars / n_words", 2.0, True),
-    "symbol_share": ("n_symbols / word_chars", 0.05, False),
-    "dup_line_share": ("n_dup_lines / n_words", 0.05, False),
-    "repeat_share": ("n_repeat_words / n_words", 0.5, False),
+    "word_length": ("word_chars / n_words", 3, True),
+    "symbols": ("(n_symbols + 1) / (word_chars + 100)", 3, False),
+    "dup_lines": ("(n_dup_lines + 1) / (n_text_lines + 10)", 2, False),
+    "repeats": ("(n_repeat_words + 3) / (n_words + 100)", 3, False),
 }
-COUNTS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
-SPREAD, MIN_DOCS, MIN_WORDS, MAX_REPEATED = 3.0, 100, 50, 50
-#: Files of a small table, and the most rows (of about 300 bytes) of limits that are broadcast.
-FEW, MAX_BROADCAST = 8, 20_000
+COUNTS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_text_lines"]
+MIN_DOCS, MIN_WORDS, MAX_REPEATED = 100, 50, 50
+#: The most rows (of about 300 bytes) of limits that are broadcast.
+MAX_BROADCAST = 20_000
 
 
-def counts_of(text: str) -> tuple[int, int, int, int, int]:
+def counts_of(text: str) -> tuple[int, int, int, int, int, int]:
     """The counts of COUNTS for one whole text."""
     raw = text.encode()
     words = raw.split()  # bytes split at ASCII white space alone
     n = len(words)
     if not n:
-        return 0, 0, 0, 0, 0
+        return 0, 0, 0, 0, 0, 0
     chars = len(text) - sum(text.count(c) for c in " \t\n\x0b\f\r")
     symbols = sum(map(text.count, SYMBOLS))
     lines = [x for x in raw.split(b"\n") if x.strip()]
@@ -54,7 +58,7 @@ def counts_of(text: str) -> tuple[int, int, int, int, int]:
             if seen[x] > 1:
                 repeats += i + 3 - max(i, end)
                 end = i + 3
-    return n, chars, symbols, dup, repeats
+    return n, chars, symbols, dup, repeats, len(lines)
 
 
 @F.pandas_udf(T.StructType([T.StructField(c, T.LongType()) for c in COUNTS]))
@@ -70,12 +74,12 @@ def text_counts(docs: DataFrame, text_col: str = "text") -> DataFrame:
 
 
 def bucket(value: Column) -> Column:
-    """0 for 0; else the bucket (GAMMA^(b-1), GAMMA^b], shifted so that all are positive."""
-    return F.when(value <= 1e-6, 0).otherwise(F.ceil(F.round(F.ln(value) / math.log(GAMMA), 6)) + 1000).cast("int")
+    """The bucket (GAMMA^(b-1), GAMMA^b] of a value above 0."""
+    return F.ceil(F.round(F.ln(value) / math.log(GAMMA), 6)).cast("int")
 
 
 def bucket_value(b: Column) -> Column:
-    return F.when(b == 0, 0.0).otherwise(F.pow(F.lit(GAMMA), (b - 1000).cast("double")) * 2 / (GAMMA + 1))
+    return F.pow(F.lit(GAMMA), b.cast("double")) * 2 / (GAMMA + 1)
 
 
 def sketches(counted: DataFrame, by: list[str]) -> DataFrame:
@@ -88,45 +92,41 @@ def merged(sketch: DataFrame, by: list[str]) -> DataFrame:
     return sketch.groupBy(*by, "stat", "b").agg(F.sum("n").alias("n"))
 
 
-def fences(sketch: DataFrame, by: list[str]) -> DataFrame:
-    """Rows (by..., n, bounds): bounds maps a statistic to its lowest and highest allowed value."""
-    group = W.partitionBy(*by, "stat")
+def quartiles(sketch: DataFrame, by: list[str]) -> DataFrame:
+    """Rows (by..., stat, n, lo, hi): the documents of a group, and the buckets of its quartiles."""
+    group = W.partitionBy(*by, "stat")  # as many rows as buckets
     rows = sketch.withColumns({"_cum": F.sum("n").over(group.orderBy("b")), "_all": F.sum("n").over(group)})
-    quart = lambda q: F.min(F.when(F.col("_cum") >= F.ceil(F.col("_all") * q), F.col("b")))
-    rows = rows.groupBy(*by, "stat").agg(F.first("_all").alias("n"), quart(0.25).alias("_lo"), quart(0.75).alias("_hi"))
-    lo, hi = bucket_value(F.col("_lo")), bucket_value(F.col("_hi"))
-    least = F.coalesce(*[F.when(F.col("stat") == k, v[1]) for k, v in STATISTICS.items()])
-    low_too = F.col("stat").isin([k for k, v in STATISTICS.items() if v[2]])
-    reach = F.greatest(SPREAD * (hi - lo), least)
-    return rows.groupBy(*by).agg(
-        F.max("n").alias("n"),
-        F.map_from_entries(F.collect_list(F.struct("stat", F.struct(F.when(low_too, lo - reach).alias("low"), (hi + reach).alias("high"))))).alias("bounds"),
-    )
+    at = lambda q: F.min(F.when(F.col("_cum") >= F.ceil(F.col("_all") * q), F.col("b")))
+    return rows.groupBy(*by, "stat").agg(F.first("_all").alias("n"), at(0.25).alias("lo"), at(0.75).alias("hi"))
 
 
 def thresholds(counted: DataFrame, *, lang_col: str = "lang", source_col: str = "source", min_docs: int = MIN_DOCS) -> DataFrame:
-    """Rows (lang, source, bounds, level): level tells whose sketch it is: source, lang or all."""
-    pair = cut(sketches(counted.select(F.col(lang_col).alias("_lang"), F.col(source_col).alias("_source"), *COUNTS, "base_failed"), ["_lang", "_source"]).coalesce(FEW))
-    own = fences(pair, ["_lang", "_source"]).withColumnsRenamed({"n": "_n1", "bounds": "_b1"})
-    lang = fences(merged(pair, ["_lang"]), ["_lang"]).select(F.col("_lang").alias("_l2"), F.col("n").alias("_n2"), F.col("bounds").alias("_b2"))
-    every = fences(merged(pair.withColumn("_all", F.lit(0)), ["_all"]), ["_all"]).select(F.col("bounds").alias("_b3"))
-    out = own.join(lang, F.col("_lang").eqNullSafe(F.col("_l2")), "left").join(F.broadcast(every))  # every: one row
-    use1, use2 = F.col("_n1") >= min_docs, F.col("_n2") >= min_docs
-    return out.select("_lang", "_source", F.when(use1, F.col("_b1")).when(use2, F.col("_b2")).otherwise(F.col("_b3")).alias("_bounds"), F.when(use1, "source").when(use2, "lang").otherwise("all").alias("_level"))
+    """Rows (_lang, _source, _bounds): for each statistic the lowest and the highest bucket allowed, and whose sketch says so: source, lang or all."""
+    pair = cut(sketches(counted.select(F.col(lang_col).alias("_lang"), F.col(source_col).alias("_source"), *COUNTS, "base_failed"), ["_lang", "_source"]))
+    own = quartiles(pair, ["_lang", "_source"]).withColumnsRenamed({"n": "_n1", "lo": "_lo1", "hi": "_hi1"})
+    lang = quartiles(merged(pair, ["_lang"]), ["_lang"]).select(F.col("_lang").alias("_l2"), F.col("stat").alias("_s2"), F.col("n").alias("_n2"), F.col("lo").alias("_lo2"), F.col("hi").alias("_hi2"))
+    every = quartiles(merged(pair, []), []).select("stat", F.col("lo").alias("_lo3"), F.col("hi").alias("_hi3"))
+    rows = own.join(lang, F.col("_lang").eqNullSafe(F.col("_l2")) & (F.col("stat") == F.col("_s2")), "left").join(F.broadcast(every), "stat")  # every: a row a statistic
+    fit = lambda i: (F.col(f"_n{i}") >= min_docs) & (F.col(f"_lo{i}") < F.col(f"_hi{i}"))
+    level = F.when(fit(1), "source").when(fit(2), "lang").otherwise("all")
+    lo, hi = (F.when(fit(1), F.col(f"_{x}1")).when(fit(2), F.col(f"_{x}2")).otherwise(F.col(f"_{x}3")) for x in ("lo", "hi"))
+    reach = F.coalesce(*[F.when(F.col("stat") == k, v[1]) for k, v in STATISTICS.items()]) * (hi - lo)
+    bounds = F.struct("stat", F.struct((lo - reach).alias("low"), (hi + reach).alias("high"), level.alias("level")))
+    return rows.groupBy("_lang", "_source").agg(F.map_from_entries(F.collect_list(bounds)).alias("_bounds"))  # four entries
 
 
 def judged(counted: DataFrame, limits: DataFrame, *, lang_col: str = "lang", source_col: str = "source") -> DataFrame:
     """counted with kept, and rule: what failed first ("base" or a statistic; null if kept)."""
-    limits = cut(limits.coalesce(FEW))  # a row for each language and source
+    limits = cut(limits)  # a row for each language and source
     if limits.count() <= MAX_BROADCAST:  # else the rows of counted are shuffled to them
         limits = F.broadcast(limits)
     counted = counted.drop("kept", "rule")
     joined = counted.join(limits, counted[lang_col].eqNullSafe(limits["_lang"]) & counted[source_col].eqNullSafe(limits["_source"]), "left")
     rule = F.when(F.col("base_failed"), "base")
     for k, v in STATISTICS.items():
-        value, bound = bucket_value(bucket(F.expr(v[0]))), F.col("_bounds")[k]
-        bad = value > bound["high"] * (1 + 1e-9)
-        rule = rule.when(bad | (value < bound["low"] * (1 - 1e-9)) if v[2] else bad, k)
+        value, bound = bucket(F.expr(v[0])), F.col("_bounds")[k]
+        bad = value > bound["high"]
+        rule = rule.when(bad | (value < bound["low"]) if v[2] else bad, k)
     return joined.withColumn("rule", rule).select(*counted.columns, F.col("rule").isNull().alias("kept"), "rule")
 
 
@@ -134,8 +134,8 @@ def judged(counted: DataFrame, limits: DataFrame, *, lang_col: str = "lang", sou
 def quality_rules(docs: DataFrame, *, text_col: str = "text", lang_col: str = "lang", source_col: str = "source", keep_texts: bool = True) -> DataFrame:
     """docs with COUNTS, base_failed, kept and rule.
 
-    A document fails by the base rules (too few words, too many repeated ones), or if a statistic lies beyond its fence:
-    the quartile of its language and source plus SPREAD times the distance of the quartiles (or the least spread).
+    A document fails by the base rules (too few words, too many repeated ones), or if a statistic lies beyond its fence, the
+    quartile of its language and source times the quartiles' ratio to the power of the statistic's reach.
     keep_texts: counts run twice over the texts instead of carrying texts through a shuffle or a checkpoint; without it
     the text column goes and counts are made once.
 

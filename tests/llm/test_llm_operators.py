@@ -58,7 +58,7 @@ def counts(text):
     seen = collections.Counter(zip(words, words[1:], words[2:], strict=False))
     marked = {i + j for i, x in enumerate(zip(words, words[1:], words[2:], strict=False)) if seen[x] > 1 for j in range(3)}
     lines = [x for x in text.split("\n") if x.strip(SPACES)]
-    return (len(words), sum(map(len, words)), sum(text.count(c) for c in "#*$%&|<>"), sum(x in lines[:i] for i, x in enumerate(lines)), len(marked))
+    return (len(words), sum(map(len, words)), sum(text.count(c) for c in "#*$%&|<>"), sum(x in lines[:i] for i, x in enumerate(lines)), len(marked), len(lines) if words else 0)
 
 
 @settings(max_examples=200, deadline=None)
@@ -82,6 +82,57 @@ def test_quality_rules(edge_docs, many_docs):
     assert all(r["base_failed"] and not r["kept"] for r in edge if not (r["text"] or "").strip())
 
 
+def verdicts(rows):
+    """(id, rule) by sorting whole groups."""
+    spec = {"word_length": (lambda c: c[1] / c[0], 3), "symbols": (lambda c: (c[2] + 1) / (c[1] + 100), 3), "dup_lines": (lambda c: (c[3] + 1) / (c[5] + 10), 2), "repeats": (lambda c: (c[4] + 3) / (c[0] + 100), 3)}
+    step = np.log(1.01 / 0.99)
+    counted = [(i, lang, source, counts(t or "")) for i, t, lang, source in rows]
+    fine = [r for r in counted if r[3][0] >= 50 and 100 * r[3][4] <= 50 * r[3][0]]
+    out = {}
+    for i, lang, source, c in counted:
+        if (i, lang, source, c) not in fine:
+            out[i] = "base"
+            continue
+        out[i] = None
+        for name, (f, reach) in reversed(spec.items()):
+            bucket = lambda c: int(np.ceil(round(np.log(f(c)) / step, 6)))  # noqa: B023, E731
+            for group in ([r for r in fine if r[1:3] == (lang, source)], [r for r in fine if r[1] == lang], fine):
+                b = sorted(bucket(r[3]) for r in group)
+                lo, hi = b[-(-len(b) // 4) - 1], b[-(-3 * len(b) // 4) - 1]
+                if len(b) >= 100 and lo < hi:
+                    break
+            if bucket(c) > hi + reach * (hi - lo) or name == "word_length" and bucket(c) < lo - reach * (hi - lo):
+                out[i] = name
+    return out
+
+
+def test_verdicts_come_from_the_groups(spark):
+    r, rows = random.Random(5), []
+    word = lambda k: "".join(r.choice("abcdefghij") for _ in range(max(1, round(r.gauss(k, 2)))))
+    for i in range(700):
+        source, lang = ["s1", "s2", "s3", None][i % 4 if i % 40 else 3], "en" if i % 5 else "de"
+        long = {"s1": 5, "s2": 8}.get(source, 6)
+        lines = [" ".join(word(long) for _ in range(r.randint(8, 20))) for _ in range(r.randint(8, 25))]
+        odd = i % 50
+        if odd == 1:
+            lines = [" ".join(x + x for x in line.split()) for line in lines]
+        if odd in (2, 3):
+            lines = [line.replace("a", "%#") for line in lines]
+        if odd == 4:
+            lines += lines[:6] * 2
+        if odd == 5:
+            lines = ["one two three four " + line for line in lines]
+        rows.append((i, "\n".join(lines), lang, source))
+    rows += [(900 + i, "same words in all of them here " * 1 + " ".join(f"w{j}" for j in range(60)), "xx", "flat") for i in range(120)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    got = {x["doc_id"]: x["rule"] for x in quality_rules.quality_rules(docs).collect()}
+    assert got == verdicts(rows)
+    assert set(got.values()) >= {None, "word_length", "symbols", "dup_lines", "repeats"}
+    limits = {(x["_lang"], x["_source"]): x["_bounds"] for x in quality_rules.thresholds(quality_rules.text_counts(docs)).collect()}
+    assert {b["level"] for v in limits.values() for b in v.values()} == {"source", "lang", "all"}
+    assert all(len({v[k]["high"] for v in limits.values()}) > 1 for k in quality_rules.STATISTICS)
+
+
 def test_sketch_quantiles(spark):
     values = np.random.default_rng(1).lognormal(1, 1, 4000)
     df = spark.createDataFrame([(float(v),) for v in values], "v double")
