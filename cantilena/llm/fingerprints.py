@@ -10,15 +10,18 @@ at the rightmost place.
 
 from __future__ import annotations
 
+import itertools
 import math
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from .common import text_of
+from .common import cut, text_of
 
 GRAM, WINDOW = 12, 25
+#: Bytes of text in a range of documents and in a task, and how many bounds of ranges are looked up.
+RANGE, TASK, BOUNDS = 2**20, 2**24, 1024
 _LAST = 2**32 - 1
 _HIGH = 2**63 - 2**32
 
@@ -87,46 +90,66 @@ def as_text(entries: Column) -> Column:
     return F.array_join(F.transform(entries, lambda x: F.lpad(F.hex(x), 16, "0")), " ")
 
 
-def range_bucket(df: DataFrame, column: str, buckets: int) -> Column:
-    """The bucket, by value, of a long column; buckets hold about equally many rows. Two levels keep the search short."""
-    if buckets < 2:
-        return F.lit(0)
-    at = [i / buckets for i in range(1, buckets)]
-    bounds = df.agg(F.percentile_approx(column, at, max(10_000, 10 * buckets))).first()[0]
-    bounds = sorted(set(bounds or []))
-    if not bounds:
-        return F.lit(0)
+def ranges_by_bytes(rows: DataFrame) -> tuple[Column, int]:
+    """For rows (doc_id, text): the number of a row's range in the order by descending id, null last, then descending hash of the text, and how
+    many tasks the ranges need. Ranges hold RANGE bytes of text on average.
+
+    Quantiles of the ids bound the ranges; more ranges than bounds divide the ids between two bounds evenly. An id that fills ranges by itself,
+    null among them, is divided by the hash. One pass over the texts for their size.
+    """
+    size = rows.agg(
+        F.sum(F.octet_length("text")).alias("bytes"),
+        F.count("*").alias("n"),
+        F.count("doc_id").alias("ids"),
+        F.min("doc_id").alias("low"),
+        F.max("doc_id").alias("high"),
+        F.percentile_approx("doc_id", [i / BOUNDS for i in range(1, BOUNDS)], 10 * BOUNDS).alias("bounds"),
+    ).first()
+    wanted, tasks = math.ceil((size["bytes"] or 0) / RANGE) or 1, math.ceil((size["bytes"] or 0) / TASK) or 1
+    down = (F.lit(float(2**63)) - F.xxhash64("text").cast("double")) / float(2**64)  # 0 to 1, by descending hash
+    part = lambda n: F.least(F.floor(down * n), n - 1).cast("long")
+    nulls = F.lit(math.ceil(wanted * (size["n"] - size["ids"]) / max(1, size["n"])) or 1)
+    if not size["ids"]:
+        return part(nulls), tasks
+    every = max(1, BOUNDS // wanted)  # of the bounds, as many as there are ranges
+    met = [(b, len(list(same))) for b, same in itertools.groupby([size["low"], *size["bounds"]])]
+    kept = [m for k, m in enumerate(met) if m[1] > 1 or k % every == 0]
+    bounds, own = [b for b, _ in kept], [math.ceil(wanted * m / BOUNDS) if m > 1 else 1 for _, m in kept]
+    per = math.ceil(wanted / BOUNDS)
     step = math.isqrt(len(bounds)) + 1
-    value, top = F.col(column), F.array(*[F.lit(x) for x in bounds[::step]])
-    rows = F.array(F.array(F.lit(bounds[0])), *[F.array(*[F.lit(x) for x in bounds[i : i + step]]) for i in range(0, len(bounds), step)])
-    i = F.size(F.filter(top, lambda b: b <= value))
-    return F.when(i == 0, 0).otherwise((i - 1) * step + F.size(F.filter(F.get(rows, i), lambda b: b <= value))).cast("int")
+    of = lambda values: F.array(*[F.lit(x) for x in values])
+    block = F.size(F.filter(of(bounds[::step]), lambda b: b <= F.col("doc_id"))) - 1
+    i = block * step + F.size(F.filter(F.get(F.array(*[of(bounds[k : k + step]) for k in range(0, len(bounds), step)]), block), lambda b: b <= F.col("doc_id"))) - 1
+    low, high, parts = (F.get(of(x), i) for x in (bounds, [*bounds[1:], size["high"] + 1], own))
+    share = (F.col("doc_id") - low).cast("double") / F.greatest(high - low, F.lit(1)).cast("double")
+    inside = F.when((F.col("doc_id") == low) & (parts > 1), per + part(parts)).otherwise(per - 1 - F.least(F.floor(share * per), F.lit(per - 1)))
+    span = per + max(own)
+    return F.when(F.col("doc_id").isNull(), len(bounds) * span + part(nulls)).otherwise((len(bounds) - 1 - i) * span + inside).cast("long"), tasks
 
 
 def edited_fingerprints(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Rows (doc_id, text, edited, entries, edited_entries, near_edited, near_next), one a document.
 
     The edited text has its last third replaced by as much of the next document's beginning, by descending id; the first
-    follows the last. Documents are dealt by ranges of the id: one shuffle of the texts; only the first document of each range
-    crosses over to another one.
+    follows the last. Documents are dealt by ranges of the id of a bounded size in bytes, and the tasks grow in number with the bytes: one
+    shuffle of the texts; only the first document of each range crosses over to another one.
 
     Null or empty text: empty, without entries. Null ids come last; rows that repeat an id go by hash and text. A single document
     is its own next. An empty table gives no rows. Other columns are dropped.
     """
-    spark = docs.sparkSession
-    ids = docs.select(F.col(id_col).cast("long").alias("doc_id"))
-    bucket = range_bucket(ids, "doc_id", 4 * int(spark.conf.get("spark.sql.shuffle.partitions")))
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), text_of(text_col).alias("text")).withColumn("_bucket", F.coalesce(-bucket - 1, F.lit(0)).cast("int"))
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), text_of(text_col).alias("text"))
+    bucket, tasks = ranges_by_bytes(rows)
+    plain = rows.withColumn("_bucket", bucket)
+    rows = plain.repartition(tasks, "_bucket")
     order = [F.col("doc_id").desc_nulls_last(), F.xxhash64("text").desc(), F.col("text").desc()]
     here = W.partitionBy("_bucket").orderBy(*order)
-    # The first document of each bucket, and the bucket before it.
-    firsts = rows.groupBy("_bucket").agg(F.max_by("text", F.struct(F.coalesce("doc_id", F.lit(-(2**63))), F.xxhash64("text"), "text")).alias("_text"))
-    firsts = winnow(firsts, "_text", "_entries").withColumn("_hashes", hashes(F.col("_entries"))).drop("_entries")
-    every = W.partitionBy().orderBy("_bucket")  # one row a bucket
-    whole = every.rowsBetween(W.unboundedPreceding, W.unboundedFollowing)
-    after = lambda c: F.coalesce(F.lead(c).over(every), F.first(c).over(whole))
-    # Buckets count upwards from the largest ids; null ids have bucket 0, the last.
-    firsts = firsts.select("_bucket", after("_text").alias("_over_text"), after("_hashes").alias("_over_hashes"))
+    # The first document of each range goes to the range before it.
+    firsts = plain.groupBy("_bucket").agg(F.max_by("text", F.struct(F.coalesce("doc_id", F.lit(-(2**63))), F.xxhash64("text"), "text")).alias("_text"))
+    firsts = cut(winnow(firsts, "_text", "_entries").select("_bucket", "_text", hashes(F.col("_entries")).alias("_hashes")))
+    every = W.partitionBy().orderBy("_bucket")  # a number a range
+    following = firsts.select("_bucket").withColumn("_after", F.coalesce(F.lead("_bucket").over(every), F.first("_bucket").over(every)))
+    over = firsts.select(F.col("_bucket").alias("_after"), F.col("_text").alias("_over_text"), F.col("_hashes").alias("_over_hashes"))
+    firsts = following.join(over, "_after").drop("_after")
     rows = rows.withColumn("_next", F.lead("text").over(here)).join(firsts, "_bucket").withColumn("_last", F.col("_next").isNull()).withColumn("_next", F.coalesce("_next", "_over_text")).drop("_over_text")
     n = F.length("text")
     rows = rows.withColumn("_q", F.floor(n / 3).cast("int")).withColumn("_p", n - F.col("_q"))

@@ -413,6 +413,23 @@ def test_fingerprints(spark, edge_docs, many_docs):
             assert r["near_edited"] == pytest.approx(like(hashes(own), hashes(new))) and r["near_next"] == pytest.approx(like(hashes(own), hashes(following)))
 
 
+def test_fingerprints_of_hot_ids_and_long_texts(spark, edge_docs, monkeypatch):
+    monkeypatch.setattr(fingerprints, "RANGE", 700)
+    monkeypatch.setattr(fingerprints, "TASK", 9000)
+    r = random.Random(6)
+    some = [(None if i % 3 == 0 else 5 if i % 3 == 1 else r.randint(-(2**62), 2**62), " ".join(r.choice("abc") * r.randint(1, 9) for _ in range(r.randint(0, 60)))) for i in range(240)]
+    some += [(None, some[0][1])] * 40
+    for docs in (spark.createDataFrame(some, "doc_id long, text string"), edge_docs.select("doc_id", "text")):
+        hashed = [tuple(x) for x in docs.select("doc_id", F.coalesce("text", F.lit("")), F.xxhash64(F.coalesce("text", F.lit("")))).collect()]
+        rows = sorted(hashed, key=lambda x: (x[0] is None, -(x[0] or 0), -x[2]))
+        texts = [t for _, t, _ in rows]
+        edited = [t[: len(t) - len(t) // 3] + texts[(k + 1) % len(texts)][: len(t) // 3] for k, t in enumerate(texts)]
+        got = fingerprints.edited_fingerprints(docs).collect()
+        assert sorted((str(x["doc_id"]), x["text"], x["edited"]) for x in got) == sorted((str(i), t, e) for (i, t, _), e in zip(rows, edited, strict=True))
+        bucket, tasks = fingerprints.ranges_by_bytes(docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")))
+        assert tasks > 1 and docs.withColumn("text", F.coalesce("text", F.lit(""))).select(bucket.alias("b")).distinct().count() > 5
+
+
 def test_fingerprints_of_edges(spark, edge_docs):
     got = fingerprints.edited_fingerprints(edge_docs)
     assert got.count() == edge_docs.count()
