@@ -24,7 +24,9 @@ from pyspark.sql import Window as W
 from .common import cut, keeps_columns, release_memory, text_of
 
 WORDS, THRESHOLD, RECALL, BAND_ROWS = 5, 0.8, 0.9999, 6
-BLOCK, BIN, CACHED_WORDS, CHUNK = 512, 2000, 200_000, 4096
+CACHED_WORDS, CHUNK = 200_000, 4096
+#: The most nodes of a block, and how many n-grams (of 8 bytes) a block and a bin of small units hold about.
+BLOCK, GRAMS = 512, 2**20
 FIRST_ID = -(2**63)
 
 
@@ -239,10 +241,10 @@ def components(edges: DataFrame) -> DataFrame:
     return edges.groupBy("a").agg(F.min("b").alias("comp")).select(F.col("a").alias("node"), "comp").unionByName(edges.select(F.col("b").alias("node"), F.col("b").alias("comp")).distinct())
 
 
-def _units(rows: DataFrame, group: str, n: str, block: int, bins: int) -> DataFrame:
-    """rows with _bin, _unit, _side, _pair: work of bounded size. A group of at most block rows is a unit, and bins hold many; a larger one
+def _units(rows: DataFrame, group: str, n: str, grams: str, bins: int) -> DataFrame:
+    """rows with _bin, _unit, _side, _pair: work of bounded size. A group of at most BLOCK rows and GRAMS n-grams is a unit, and bins hold many; a larger one
     is cut into blocks by hash, and each pair of blocks is a unit and a bin."""
-    blocks = F.ceil(F.col(n) / block).cast("int")
+    blocks = F.greatest(F.ceil(F.col(n) / BLOCK), F.least(F.ceil(F.col(grams) / GRAMS), F.col(n))).cast("int")
     mine = F.pmod(F.xxhash64("node"), blocks).cast("int")
     rows = rows.withColumn("_b", mine).withColumn("_o", F.explode(F.sequence(F.lit(0), blocks - 1)))
     low, high = F.least("_b", "_o"), F.greatest("_b", "_o")
@@ -268,38 +270,39 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     key = F.coalesce("doc_id", F.lit(FIRST_ID))
     nodes = signed.groupBy("_key").agg(F.min(key).alias("first"), F.count("*").alias("copies"), F.first("_size").alias("size"), F.first("_bands").alias("_bands"))
     nodes = cut(nodes.withColumn("node", F.monotonically_increasing_id()))
-    banded = nodes.select("node", F.explode("_bands").alias("_band"))
+    banded = nodes.select("node", "size", F.explode("_bands").alias("_band"))
     buckets = cut(banded.groupBy("_band").agg(F.count("*").alias("_n"), F.min("node").alias("pivot")).where("_n > 1"))
-    members = cut(banded.join(buckets, "_band").where("node != pivot").select("_band", "_n", "node", "pivot"))
+    members = cut(banded.join(buckets, "_band").where("node != pivot").select("_band", "_n", "node", "size", "pivot"))
     node_sizes = nodes.select("node", "size")
     pairs = members.select("node", "pivot").distinct().join(node_sizes, "node").join(node_sizes.select(F.col("node").alias("pivot"), F.col("size").alias("_pivot_size")), "pivot")
     pairs = pairs.where(F.least("size", "_pivot_size") >= threshold * F.greatest("size", "_pivot_size") - 1e-9).select("node", "pivot")
     wanted = cut(members.select("node").unionByName(members.select(F.col("pivot").alias("node"))).distinct().join(nodes.select("node", "_key", "first"), "node"))
     first = wanted.select(F.col("first").alias("_first")).distinct()
     some = texts.withColumn("_first", key).join(first, "_first", "left_semi").select("text")
-    sets = cut(some.mapInPandas(_set_rows(words), "_key binary, _set array<long>").join(wanted.select("_key", "node"), "_key").select("node", "_set"))
+    # Copies under one id, null among them, are read together: one set a node.
+    sets = cut(some.mapInPandas(_set_rows(words), "_key binary, _set array<long>").groupBy("_key").agg(F.first("_set").alias("_set")).join(wanted.select("_key", "node"), "_key").select("node", "_set"))
     both = pairs.join(sets, "node").join(sets.select(F.col("node").alias("pivot"), F.col("_set").alias("_other")), "pivot")
     common = F.size(F.array_intersect("_set", "_other"))
     links = cut(both.where(common * (1 + threshold) >= threshold * (F.size("_set") + F.size("_other")) - 1e-6).select(F.col("node").alias("a"), F.col("pivot").alias("b")))
     comps = cut(components(links))
     # Buckets whose members, the pivot aside, lie in several components.
-    placed = members.where("_n > 2").select("_band", "node").join(comps, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
-    mixed = placed.groupBy("_band").agg(F.count("*").alias("_n"), F.min("comp").alias("_lo"), F.max("comp").alias("_hi"), F.sum(F.xxhash64("node").cast("decimal(38,0)")).alias("_sum")).where("_lo != _hi")
-    mixed = cut(mixed.groupBy("_n", "_sum").agg(F.min("_band").alias("_band")).select("_band", "_n"))  # the same members: once
+    placed = members.where("_n > 2").select("_band", "node", "size").join(comps, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
+    mixed = placed.groupBy("_band").agg(F.count("*").alias("_n"), F.min("comp").alias("_lo"), F.max("comp").alias("_hi"), F.sum(F.xxhash64("node").cast("decimal(38,0)")).alias("_sum"), F.sum("size").alias("_grams")).where("_lo != _hi")
+    mixed = cut(mixed.groupBy("_n", "_sum").agg(F.min(F.struct("_band", "_grams")).alias("_m")).select("_m._band", "_n", "_m._grams"))  # the same members: once
     if not mixed.isEmpty():
         rows = placed.join(mixed, "_band").join(sets, "node")
-        bins = max(1, mixed.agg(F.sum("_n")).first()[0] // BIN)
-        found = _units(rows, "_band", "_n", BLOCK, bins).select("_bin", "_unit", "_side", "_pair", "node", "comp", "_set").groupBy("_bin").applyInPandas(_bridges(threshold), "a long, b long")
+        bins = max(1, mixed.agg(F.sum("_grams")).first()[0] // GRAMS)
+        found = _units(rows, "_band", "_n", "_grams", bins).select("_bin", "_unit", "_side", "_pair", "node", "comp", "_set").groupBy("_bin").applyInPandas(_bridges(threshold), "a long, b long")
         found = cut(found)
         if not found.isEmpty():
             comps = cut(components(links.unionByName(found)))
-    sizes = cut(comps.groupBy("comp").agg(F.count("*").alias("_n")))
+    linked = comps.join(nodes.select("node", "copies", "first", "size"), "node")
+    sizes = cut(linked.groupBy("comp").agg(F.count("*").alias("_n"), F.sum("size").alias("_grams")))
     several = sizes.where("_n > 2")
-    linked = comps.join(nodes.select("node", "copies", "first"), "node")
-    total = several.agg(F.sum("_n")).first()[0] or 0
+    total = several.agg(F.sum("_grams")).first()[0] or 0
     if total:
         rows = linked.join(several, "comp").join(sets, "node")
-        rows = _units(rows, "comp", "_n", BLOCK, max(1, total // BIN)).select("_bin", "_unit", "_side", "_pair", "node", "copies", "_set")
+        rows = _units(rows, "comp", "_n", "_grams", max(1, total // GRAMS)).select("_bin", "_unit", "_side", "_pair", "node", "copies", "_set")
         counted = rows.groupBy("_bin").applyInPandas(_counts(threshold), "node long, links long").groupBy("node").agg(F.sum("links").alias("links"))
     else:
         counted = spark.createDataFrame([], "node long, links long")

@@ -276,7 +276,7 @@ def test_groups_beyond_a_block(spark, monkeypatch):
     import random
 
     monkeypatch.setattr(near_duplicates, "BLOCK", 8)
-    monkeypatch.setattr(near_duplicates, "BIN", 16)
+    monkeypatch.setattr(near_duplicates, "GRAMS", 2000)
     r, base, passage = random.Random(1), [f"w{i}" for i in range(120)], [f"p{i}" for i in range(70)]
     rows = []
     for i in range(60):
@@ -289,6 +289,17 @@ def test_groups_beyond_a_block(spark, monkeypatch):
     assert sorted(map(tuple, got.select("doc_id", "class_id", "class_size", "n_links").collect()), key=str) == classes(rows)
 
 
+def test_many_copies_without_an_id(spark, monkeypatch):
+    """Copies under one id, or none, are one node with one set."""
+    seen, real = [], near_duplicates.similar
+    monkeypatch.setattr(near_duplicates, "similar", lambda *a: seen.append(1) or real(*a))
+    words = [f"w{i}" for i in range(100)]
+    near = [*words[:50], "other", *words[51:]]
+    docs = spark.createDataFrame([(None, " ".join(words)), (None, " ".join(near)), (3, " ".join(words))], "doc_id long, text string").withColumn("_k", F.explode(F.sequence(F.lit(1), F.when(F.col("doc_id").isNull(), 10_000).otherwise(2)))).drop("_k")
+    got = near_duplicates.near_duplicates(docs)
+    assert [tuple(r) for r in got.groupBy("class_id", "class_size", "n_links").count().collect()] == [(None, 20_002, 20_001, 20_002)]
+
+
 def test_similar_at_the_threshold():
     """216 of 270 is 0.8 exactly, and counts."""
     a, b = np.arange(244), np.arange(28, 270)
