@@ -1,18 +1,22 @@
 """HTML extraction by minimum-cut labelling.
 
-A page becomes blocks of text in page order. A linear classifier gives each block a score, whose positive part is the cost
-of calling it boilerplate and whose negative part that of calling it content: the capacities to the two terminals. Neighbours in
-page order, and blocks whose containers are the same, are tied by smoothness edges. The minimum cut, found by maximum
-flow, is the labelling of least cost. Blocks whose score exceeds all their edges are settled first, which is exact
-and leaves small graphs. Pages are labelled one by one inside Arrow batches.
+A page becomes blocks of text in page order. A linear classifier over a block's own text (words, links, whether it ends like a sentence, whether it
+is a heading) gives a score, whose positive part is the cost of calling it boilerplate and whose negative part that of calling it content: the
+capacities to the two terminals. Elements that tags or names mark as content or as boilerplate are nodes of the graph, too, and the blocks
+below them are tied to them: that is DOM proximity, and what most labels follow from. Neighbours in page order, and blocks whose
+containers are the same, are tied by smoothness edges, as far as they are from each other in the tree. The minimum cut, found by
+maximum flow, is the labelling of least cost. Nodes whose score exceeds all their edges are settled first, which is exact and leaves
+small graphs. Pages are labelled one by one inside Arrow batches, in time linear in the page but for the flow.
 """
 
 from __future__ import annotations
 
 import html
 import re
-from collections import deque
+from collections import Counter, deque
+from typing import NamedTuple
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -55,9 +59,25 @@ BAD_NAMES = frozenset(
 #: On an article itself, words of the page's layout say nothing; on a heading, neither does "header", nor beside a good name.
 LAYOUT = frozenset("nav navigation menu header masthead footer foot sidebar sidebars aside widget share sharing social follow form search notice related".split())
 GOOD_NAMES = frozenset("article content main post entry story body text prose".split())
-#: The classifier, and the smoothness between neighbours of one container, of near ones, and between blocks of a container.
-WEIGHTS = {"bad": -12.0, "header": -12.0, "good_tag": 4.0, "good_name": 2.0, "word": 0.1, "most_words": 40, "links": -6.0, "no_sentence": -0.5, "bias": -0.6, "heading_in_article": 3.0}
-NEAR, FAR, SAME = 1.5, 3.0, 0.75
+#: The classifier: what fit_weights gives over 1,500 pages, but for the bias, which is set: a few words that nothing marks are rarely prose.
+WEIGHTS = {"word": 0.1, "links": -3.0, "no_sentence": -0.7, "heading": 1.8, "bias": -0.6}
+MOST_WORDS = 40
+#: What ties a block to the marked element around it: bad ones, article and main, and good names; and the smoothness between neighbours of
+#: one container, of near ones (beyond TOO_FAR steps in the tree there is none), and between blocks of a container.
+BAD, GOOD, NAMED, NEAR, FAR, SAME, TOO_FAR = 8.0, 6.0, 2.5, 1.5, 3.0, 0.75, 16
+
+
+class Block(NamedTuple):
+    """text; its element's tag and number, and that of the element around it (-1: none); link characters; and the marked element around it, with
+    how strong the mark is, below 0 for boilerplate (0: none)."""
+
+    text: str
+    tag: str
+    element: int
+    holder: int
+    links: int
+    hub: int
+    mark: float
 
 
 def _names(attr: str) -> list[str]:
@@ -68,31 +88,110 @@ def _names(attr: str) -> list[str]:
     return out
 
 
-def blocks_of(page: str) -> list[tuple[str, str, tuple, int, float]]:
-    """(text, tag, container, link characters, score of the ancestors) of each block with text, in page order."""
-    out: list[tuple] = []
-    stack: list[tuple[str, float, bool, int]] = []  # tag, score with its ancestors, in an article, number
-    seen: dict[str, tuple] = {}
-    buffer: list[str] = []
-    links = serial = 0
-    pos, n = 0, len(page)
+def _mark(tag: str, attr: str) -> float:
+    """What an element's tag and names say of what is in it."""
+    names = _names(attr) if "=" in attr else []
+    wrong, right = {x for x in names if x in BAD_NAMES}, any(x in GOOD_NAMES for x in names)
+    if tag in GOOD_TAGS:
+        wrong -= LAYOUT
+    elif right or tag in HEADINGS:
+        wrong -= {"header"}
+    if tag in BAD_TAGS or _HIDDEN.search(attr) is not None or wrong and tag not in ("html", "body"):
+        return -BAD
+    return GOOD if tag in GOOD_TAGS else NAMED if right else 0.0
+
+
+class Tree:
+    """The blocks of a page and the tree of its block elements, from tokens in page order."""
+
+    def __init__(self):
+        self.blocks: list[Block] = []
+        self.parent: list[int] = []  # of block elements, by number
+        self.depth: list[int] = []
+        self.tags: list[str] = []
+        self.stack: list[tuple[str, int, int, float, bool]] = []  # tag, block element, hub, mark, in an article
+        self.open = Counter()
+        self.buffer: list[str] = []
+        self.links = self.hubs = 0
+        self.seen: dict[tuple[str, str], float] = {}
 
-    def flush() -> None:
-        nonlocal links
-        if buffer:
-            text = " ".join(html.unescape("".join(buffer)).split())
+    def text(self, s: str) -> None:
+        self.buffer.append(s)
+        if self.open["a"]:
+            self.links += len(s.strip())
+
+    def flush(self) -> None:
+        if self.buffer:
+            text = " ".join(html.unescape("".join(self.buffer)).split())
             if text:
-                top = next((x for x in reversed(stack) if x[0] not in INLINE), ("", 0.0, False, -1))
-                holder = next((x[3] for x in reversed(stack) if x[0] not in INLINE and x[3] != top[3]), -1)
-                out.append((text, top[0], tuple(x[3] for x in stack if x[0] not in INLINE), holder, links, stack[-1][1] if stack else 0.0, top[2]))
-            buffer.clear()
-        links = 0
+                _, element, hub, mark, _ = self.stack[-1] if self.stack else ("", -1, -1, 0.0, False)
+                holder = self.parent[element] if element >= 0 else -1
+                self.blocks.append(Block(text, self.tags[element] if element >= 0 else "", element, holder, self.links, hub, mark))
+            self.buffer.clear()
+        self.links = 0
+
+    def push(self, tag: str, attr: str) -> None:
+        if (key := (tag, attr)) not in self.seen:
+            self.seen[key] = _mark(tag, attr)
+        _, element, hub, mark, inside = self.stack[-1] if self.stack else ("", -1, -1, 0.0, False)
+        own = -BAD if tag == "header" and not inside else self.seen[key]
+        if own and mark >= 0:  # what lies in boilerplate stays there
+            hub, mark, self.hubs = self.hubs, own, self.hubs + 1
+        if tag not in INLINE:
+            self.parent.append(element)
+            self.depth.append(self.depth[element] + 1 if element >= 0 else 0)
+            self.tags.append(tag)
+            element = len(self.parent) - 1
+        self.stack.append((tag, element, hub, mark, inside or tag in GOOD_TAGS))
+        self.open[tag] += 1
+
+    def pop(self, to: int) -> None:
+        if any(x[0] not in INLINE for x in self.stack[to:]):
+            self.flush()
+        self.open.subtract(x[0] for x in self.stack[to:])
+        del self.stack[to:]
+
+    def end(self, tag: str) -> None:
+        at = next(i for i in range(len(self.stack) - 1, -1, -1) if self.stack[i][0] == tag) if self.open[tag] > 0 else None
+        if at is None:
+            if tag == "br":
+                self.buffer.append(" ")
+            elif tag not in INLINE:
+                self.flush()
+        elif tag not in INLINE or not any(x[0] in SCOPE for x in self.stack[at + 1 :]):
+            self.pop(at)
+
+    def closes(self, tag: str) -> None:
+        """What the opening tag of a block element closes."""
+        kinds, until = CLOSES.get(tag, ({"p"}, SCOPE))
+        if all(self.open[k] <= 0 for k in kinds):
+            return
+        at = None
+        for i in range(len(self.stack) - 1, -1, -1):
+            if self.stack[i][0] in kinds:
+                at = i
+            if self.stack[i][0] in until:
+                break
+        if at is not None:
+            self.pop(at)
+
+    def apart(self, a: int, b: int) -> int:
+        """Steps between two block elements in the tree, TOO_FAR at most."""
+        steps = 0
+        while a != b and steps < TOO_FAR:
+            da, db = (self.depth[x] if x >= 0 else -1 for x in (a, b))
+            if da >= db:
+                a = self.parent[a]
+                steps += 1
+            if db >= da:
+                b = self.parent[b]
+                steps += 1
+        return min(steps, TOO_FAR)
 
-    def pop(to: int) -> None:
-        if any(x[0] not in INLINE for x in stack[to:]):
-            flush()
-        del stack[to:]
 
+def tree_of(page: str) -> Tree:
+    tree = Tree()
+    pos, n = 0, len(page)
     while pos < n:
         m = _TOKEN.match(page, pos)
         pos = m.end()
@@ -100,20 +199,11 @@ def blocks_of(page: str) -> list[tuple[str, str, tuple, int, float]]:
         if tag is None:
             s = m[0]
             if s[0] != "<" or s == "<":
-                buffer.append(s)
-                if any(x[0] == "a" for x in stack):
-                    links += len(s.strip())
+                tree.text(s)
             continue
         tag = tag.lower()
         if m["end"] or m["end2"]:
-            at = next((i for i in range(len(stack) - 1, -1, -1) if stack[i][0] == tag), None)
-            if at is None:
-                if tag == "br":
-                    buffer.append(" ")
-                elif tag not in INLINE:
-                    flush()
-            elif tag not in INLINE or not any(x[0] in SCOPE for x in stack[at + 1 :]):
-                pop(at)
+            tree.end(tag)
             continue
         attr = m["attr"] if m["tag"] else m["attr2"] or ""
         if tag in RAW and not attr.endswith("/"):
@@ -128,60 +218,51 @@ def blocks_of(page: str) -> list[tuple[str, str, tuple, int, float]]:
             elif tag == "svg":
                 pos = m.end() if (m := _LEAVES.search(page, pos)) else n
             if tag not in INLINE:
-                flush()
+                tree.flush()
             continue
         if tag == "br":
-            buffer.append(" ")
+            tree.buffer.append(" ")
             continue
         if tag in VOID:
             if tag not in INLINE:
-                flush()
+                tree.flush()
             continue
         if tag not in INLINE:
-            flush()
-            kinds, until = CLOSES.get(tag, ({"p"}, SCOPE))
-            at = None
-            for i in range(len(stack) - 1, -1, -1):
-                if stack[i][0] in kinds:
-                    at = i
-                if stack[i][0] in until:
-                    break
-            if at is not None:
-                pop(at)
+            tree.flush()
+            tree.closes(tag)
         if attr.endswith("/") and tag in ("path", "use"):
             continue
-        serial += 1
-        key = f"{tag} {attr}"
-        if key not in seen:
-            names = _names(attr) if "=" in attr else []
-            wrong, right = {x for x in names if x in BAD_NAMES}, any(x in GOOD_NAMES for x in names)
-            if tag in GOOD_TAGS:
-                wrong -= LAYOUT
-            elif right or tag in HEADINGS:
-                wrong -= {"header"}
-            bad = tag in BAD_TAGS or _HIDDEN.search(attr) is not None or wrong and tag not in ("html", "body")
-            seen[key] = (WEIGHTS["bad"] if bad else 0.0) + (WEIGHTS["good_tag"] if tag in GOOD_TAGS else 0.0) + (WEIGHTS["good_name"] if right and not bad else 0.0)
-        score, inside = (stack[-1][1], stack[-1][2]) if stack else (0.0, False)
-        if tag == "header" and not inside:
-            score += WEIGHTS["header"]
-        stack.append((tag, score + seen[key], inside or tag in GOOD_TAGS, serial))
-    stack_end = len(stack)
-    if stack_end:
-        flush()
-    flush()
-    return out
+        tree.push(tag, attr)
+    tree.flush()
+    return tree
+
+
+def blocks_of(page: str) -> list[Block]:
+    """The blocks with text, in page order."""
+    return tree_of(page).blocks
+
+
+def features(block: Block) -> list[float]:
+    """What the classifier sees, in the order of WEIGHTS: the block's own text, and whether it is a heading."""
+    words = min(block.text.count(" ") + 1, MOST_WORDS)
+    ends = re.search(r"[.!?…。！？:;\"'”’)][\s\"'”’)]*$", block.text)
+    return [float(words), min(1.0, block.links / len(block.text)), float(not ends), float(block.tag in HEADINGS), 1.0]
 
 
-def score(text: str, tag: str, links: int, around: float, inside: bool) -> float:
-    """Above 0: content."""
-    w = WEIGHTS
-    words = text.count(" ") + 1
-    s = w["bias"] + around + w["word"] * min(words, w["most_words"]) + w["links"] * min(1.0, links / len(text))
-    if not re.search(r"[.!?…。！？:;\"'”’)][\s\"'”’)]*$", text):
-        s += w["no_sentence"]
-    if inside and tag in HEADINGS:
-        s += w["heading_in_article"]
-    return s
+def score(block: Block) -> float:
+    """Above 0: content, as far as its own text tells."""
+    return sum(w * x for w, x in zip(WEIGHTS.values(), features(block), strict=True))
+
+
+def fit_weights(pages: list[str], steps: int = 3000, strength: float = 0.003) -> dict[str, float]:
+    """The weights of a logistic regression that tells blocks in elements marked as content from those in elements marked as boilerplate."""
+    found = [b for page in pages for b in blocks_of(page) if b.mark]
+    x, y = np.asarray([features(b) for b in found]).reshape(-1, len(WEIGHTS)), np.asarray([float(b.mark > 0) for b in found])
+    scale = np.asarray([10.0, 1.0, 1.0, 1.0, 1.0])
+    x, w = x / scale, np.zeros(len(WEIGHTS))
+    for _ in range(steps):
+        w -= x.T @ (1 / (1 + np.exp(-x @ w)) - y) / max(1, len(y)) + strength * np.append(w[:-1], 0.0)
+    return dict(zip(WEIGHTS, (w / scale).tolist(), strict=True))
 
 
 def min_cut(scores: list[float], edges: dict[tuple[int, int], float]) -> list[bool]:
@@ -250,25 +331,32 @@ def min_cut(scores: list[float], edges: dict[tuple[int, int], float]) -> list[bo
     return label
 
 
+def graph_of(tree: Tree) -> tuple[list[float], dict[tuple[int, int], float]]:
+    """Scores of the blocks and, behind them, of the marked elements; and edges."""
+    found = tree.blocks
+    scores, edges, last, hubs = [score(b) for b in found], {}, {}, {}
+    for i, b in enumerate(found):
+        if i:
+            other = found[i - 1]
+            apart = tree.apart(other.element, b.element)
+            if apart < TOO_FAR:
+                edges[i - 1, i] = NEAR if apart <= 2 and other.tag == b.tag else FAR / (apart + 1)
+        if b.holder in last and last[b.holder] != i - 1:
+            edges[last[b.holder], i] = SAME
+        last[b.holder] = i
+        if b.mark:
+            if b.hub not in hubs:
+                hubs[b.hub] = len(scores)
+                scores.append(0.0)
+            scores[hubs[b.hub]] += b.mark  # a marked element is as sure as all that ties it to its blocks
+            edges[i, hubs[b.hub]] = abs(b.mark)
+    return scores, edges
+
+
 def labelled(page: str) -> list[tuple[str, bool]]:
     """The blocks of a page in order, each with whether it is content."""
-    found = blocks_of(page)
-    edges: dict[tuple[int, int], float] = {}
-    last: dict[int, int] = {}
-    for i, (_, _, chain, holder, *_) in enumerate(found):
-        if i:
-            other, common = found[i - 1][2], 0
-            for a, b in zip(chain, other, strict=False):
-                if a != b:
-                    break
-                common += 1
-            apart = len(chain) + len(other) - 2 * common
-            edges[i - 1, i] = NEAR if apart <= 2 and found[i - 1][1] == found[i][1] else FAR / (apart + 1)
-        if holder in last and last[holder] != i - 1:
-            edges[last[holder], i] = SAME
-        last[holder] = i
-    labels = min_cut([score(b[0], b[1], b[4], b[5], b[6]) for b in found], edges)
-    return [(b[0], x) for b, x in zip(found, labels, strict=True)]
+    tree = tree_of(page)
+    return [(b.text, x) for b, x in zip(tree.blocks, min_cut(*graph_of(tree)), strict=False)]  # marked elements have no text
 
 
 @F.pandas_udf(T.StructType([T.StructField("text", T.StringType()), T.StructField("n_blocks", T.LongType()), T.StructField("n_content", T.LongType())]))

@@ -7,6 +7,7 @@ import random
 import re
 import zlib
 
+import duckdb
 import numpy as np
 import pytest
 from hypothesis import given, settings
@@ -489,6 +490,50 @@ def test_extraction(spark):
     assert html_extract.extract_pages(df.limit(0)).count() == 0
 
 
+def test_the_cut_decides():
+    long = "This sentence of the story goes on for quite a while, as sentences do in such stories, and then some."
+    pages = {
+        f"<div><p>{long}</p><p>Short</p><p>{long}</p></div>": {"Short": True},  # no mark at all: the neighbours decide
+        f"<div><a href=1>One</a></div><div><a href=2>Two words</a></div><div><p>{long}</p></div>": {"One": False, "Two words": False, long: True},
+        f"<article><p>{long}</p><ul><li>Milk</li><li>Eggs and flour</li></ul><table><tr><td>12</td><td>13</td></tr></table></article>": dict.fromkeys(["Milk", "Eggs and flour", "12", "13"], True),
+        f"<main><p>{long}</p><div class=ad>{long}</div></main><footer>{long}</footer><aside><div class=content><p>{long}</p></div></aside>": {},
+    }
+    kept = []
+    for page, want in pages.items():
+        tree = html_extract.tree_of(page)
+        labels = dict(html_extract.labelled(page))
+        assert {k: labels[k] for k in want} == want
+        kept.append([x for _, x in html_extract.labelled(page)])
+        sign = [html_extract.score(b) > 0 for b in tree.blocks]
+        assert (sign != kept[-1]) == ("One" not in labels)
+    assert kept[-1] == [True, False, False, False]
+
+
+def test_marks_agree_with_the_fit():
+    """Blocks below marks get the marks' labels whatever their text says, and the weights are those of a fit on such blocks."""
+    rows = duckdb.sql("select html from '/root/testdata/sf0.01/pages.parquet' where html is not null order by page_id").fetchall()
+    flips = 0
+    for (page,) in rows:
+        for b, (_, x) in zip(html_extract.blocks_of(page), html_extract.labelled(page), strict=True):
+            assert not b.mark or x == (b.mark > 0)
+            flips += (html_extract.score(b) > 0) != x
+    assert flips > 100
+    fit = html_extract.fit_weights([r[0] for r in rows])
+    assert all(abs(fit[k] - w) < 0.35 * max(1, abs(w)) for k, w in html_extract.WEIGHTS.items() if k != "bias")
+
+
+def test_deep_nesting_is_linear():
+    import time
+
+    def seconds(n):
+        began = time.perf_counter()
+        assert len(html_extract.labelled("<div>x." * n)) == n
+        return time.perf_counter() - began
+
+    seconds(2000)
+    assert seconds(16_000) < 20 * max(seconds(2000), 0.01)
+
+
 def test_formulas_stay_and_unclosed_elements_end():
     text = lambda page: [b[0] for b in html_extract.blocks_of(page)]
     assert text("<p>so <math><mi>x</mi><mo>=</mo><mn>2</mn><annotation>x=2</annotation></math> holds") == ["so x=2 holds"]
