@@ -1,15 +1,20 @@
 """Best-fit packing of tokenised documents into sequences, bulk-synchronously.
 
-Lengths are whole numbers up to the capacity, so pieces and gaps are kept sorted as runs: (length, how many) and (gap, runs
-of sequences). A superstep takes the next shorter length, sweeps the gaps for the smallest that holds it (its successor),
-gives the places there to pieces by rank, moves the sequences to their new gaps, and goes on. The runs
-number at most the capacity, whatever the number of documents. Ranks of pieces inside their length are
-counted in parallel, in parts of a bounded size, so that a length that a third of all pieces have is no hot spot.
+Pieces are placed from long to short in bands of lengths. A superstep sorts the pieces of a band and the gaps of all sequences along one axis,
+the length, and sweeps it from above: a gap puts its slots on a stack, a piece takes the slot on top, which is the smallest that holds it, its
+successor. Nobody walks the stack: how high it is at each length follows from the counts of each length, and the rank of a piece among those of its
+length tells which height it takes its slot from, the rank of a slot at which height it lies. Slots and pieces of one height meet in a shuffle,
+and there each piece's slot is the last one above it, so ranks resolve all conflicts. Then the gaps are updated. A band is swept again until nothing moves;
+what is left opens new sequences, as many to one as the longest piece left allows; in the last band, which nothing fills up after, only as
+many sequences as the ids left need at the least, and the sweeps go on.
+
+Only tables of a row a length (at most the capacity) are in one task; pieces and gaps are shuffled by rank and height, so a length that a third of all
+pieces have is no hot spot.
 """
 
 from __future__ import annotations
 
-import bisect
+import functools
 import os
 import sys
 import zlib
@@ -25,7 +30,9 @@ from pyspark.sql import Window as W
 
 from .common import cut, release_memory, text_of
 
-CAPACITY, PART, CACHED_WORDS = 2048, 128, 220_000
+CAPACITY, CACHED_WORDS = 2048, 220_000
+#: The longest piece of each band is the capacity divided by these.
+BANDS = (1, 2, 3, 4, 6, 9, 14, 24, 64, 256)
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
 
@@ -37,7 +44,8 @@ def _byte_letters() -> dict[int, str]:
 
 
 class WordTokenizer(dict):
-    """The ids of each word seen, for tokenizers whose tokens never reach across white space: each word is encoded once.
+    """The ids of each word seen, for tokenizers whose tokens never reach across white space: each word is encoded once. If probes of
+    several words show that a model isn't like that, whole texts are encoded.
 
     A word of Latin letters is one unit of a lower-casing byte-level model, and the marks behind it are another: the
     model's merges are asked for the letters directly. All other words go through the whole tokenizer. Probes at the start
@@ -56,6 +64,8 @@ class WordTokenizer(dict):
         words = ["the", "The", "éèçœ", "Ñandú", "straße", "ÀÉÎÕÜ", "Ǆon", "Łódź", "zyzzyvas"]
         probes = [x.encode() + m for x in words for m in (b"", b".", b",%%%", b"!!", b")", b"-;")]
         self.short = [self._short(w) for w in probes] == [self._whole(w) for w in probes]
+        texts = ["the end of it", "Two words", "a  b", "one\ntwo\tthree ", " 1 000, no.\r\n", "of the and of the", "é à\x0bç"]
+        self.whole = any(b"".join(map(self._whole, t.encode().split())) != self._whole(t.encode()) for t in texts)
 
     def _packed(self, ids: list[int]) -> bytes:
         return array("I", ids).tobytes() if sys.byteorder == "little" else np.asarray(ids, dtype="<u4").tobytes()
@@ -103,6 +113,8 @@ class WordTokenizer(dict):
 
     def encode(self, text: str) -> bytes:
         """Little-endian unsigned 32-bit ids."""
+        if self.whole:
+            return self._packed(self.model.encode(text, add_special_tokens=False).ids)
         return b"".join(map(self.__getitem__, text.encode("utf-8", "surrogatepass").split()))  # at ASCII white space alone
 
 
@@ -137,79 +149,99 @@ def tokenized(docs: DataFrame, tokenizer_path: str, *, capacity: int = CAPACITY,
     return docs.select(F.col(id_col).cast("long").alias("doc_id"), text_of(text_col).alias("text")).mapInPandas(run, PIECES + ", ids array<long>" * keep_ids)
 
 
-def plan(counts: dict[int, int], capacity: int = CAPACITY) -> list[tuple[int, int, int, int, int]]:
-    """Rows (length, first rank, number, first sequence, offset): rank first + k lies in sequence first + k at offset.
+def _ranked(events: DataFrame, parts: int) -> tuple[DataFrame, DataFrame]:
+    """events (kind, v, w, id) with _before, the sum of w over the events of the same kind and length that come first; and rows (kind, v,
+    _n), sums of w. Ranks are counted in parts of a length, by id."""
+    events = events.withColumn("_part", F.pmod(F.xxhash64("id"), F.lit(parts)).cast("int"))
+    counts = events.groupBy("kind", "v", "_part").agg(F.sum("w").alias("_n"))
+    earlier = counts.withColumn("_base", F.sum("_n").over(W.partitionBy("kind", "v").orderBy("_part")) - F.col("_n"))
+    own = F.sum("w").over(W.partitionBy("kind", "v", "_part").orderBy("id").rowsBetween(W.unboundedPreceding, W.currentRow)) - F.col("w")
+    ranked = events.withColumn("_own", own).join(earlier.drop("_n"), ["kind", "v", "_part"]).withColumn("_before", F.col("_base") + F.col("_own"))
+    return ranked.drop("_part", "_own", "_base"), counts
 
-    Best fit, longest first. A run of equal sequences takes as many pieces of a length as fit before the sweep goes on to the next gap.
+
+def heights(counts: DataFrame) -> DataFrame:
+    """For rows (kind, v, _n): by length v, swept from above, how high the stack of slots is before its slots come (_low) and
+    before its pieces go (_high), how low it ever gets from there on (_least), and how many longer pieces found it empty (_missed)."""
+    by = counts.groupBy("v").agg(F.sum(F.when(F.col("kind") == 0, F.col("_n")).otherwise(0)).alias("_slots"), F.sum(F.when(F.col("kind") == 1, F.col("_n")).otherwise(0)).alias("_pieces"))
+    down = W.partitionBy().orderBy(F.col("v").desc())  # a row a length
+    sofar, on = down.rowsBetween(W.unboundedPreceding, W.currentRow), down.rowsBetween(W.currentRow, W.unboundedFollowing)
+    rows = by.withColumn("_c", F.sum(F.col("_slots") - F.col("_pieces")).over(sofar))
+    rows = rows.withColumn("_h", F.col("_c") - F.least(F.lit(0), F.min("_c").over(sofar)))
+    rows = rows.withColumn("_low", F.lag("_h", 1, 0).over(down)).withColumn("_high", F.col("_low") + F.col("_slots"))
+    rows = rows.withColumns({"_least": F.min("_h").over(on), "_none": F.greatest(F.lit(0), F.col("_pieces") - F.col("_high"))})
+    return rows.select("v", "_low", "_high", "_least", (F.sum("_none").over(sofar) - F.col("_none")).alias("_missed"))
+
+
+def sweep(pieces: DataFrame, gaps: DataFrame, top: int) -> DataFrame:
+    """pieces (id, length), none longer than top, with the sequence whose gap each takes, or null and the rank among those that get none.
+
+    gaps: (sequence, gap). A gap offers as many slots as pieces of top fit, or one if it is smaller than that: each holds every piece
+    that can take it.
     """
-    out, runs, gaps, opened = [], {}, [], 0
-
-    def put(gap: int, first: int, n: int) -> None:
-        if n and gap:
-            if gap not in runs:
-                runs[gap] = []
-                bisect.insort(gaps, gap)
-            runs[gap].append((first, n))
-
-    for length in sorted(counts, reverse=True):
-        left, rank = counts[length], 0
-        while left:
-            at = bisect.bisect_left(gaps, length)
-            if at < len(gaps):
-                gap = gaps[at]
-                first, n = runs[gap].pop()
-                if not runs[gap]:
-                    del runs[gap], gaps[at]
-            else:
-                gap, each = capacity, capacity // length
-                first, n = opened, -(-left // each)
-                opened += n
-            each = gap // length
-            full = min(n, left // each)  # sequences of the run that get all that fit
-            for j in range(each if full else 0):
-                out.append((length, rank, full, first, capacity - gap + j * length))
-                rank += full
-            left -= full * each
-            put(gap - each * length, first, full)
-            if full < n:
-                some = min(left, each) if left else 0
-                for j in range(some):
-                    out.append((length, rank, 1, first + full, capacity - gap + j * length))
-                    rank += 1
-                left -= some
-                put(gap - some * length, first + full, 1)
-                put(gap, first + full + 1, n - full - 1)
-    return out
+    parts = int(pieces.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    slots = F.greatest(F.floor(F.col("gap") / top), F.lit(1)).cast("long")
+    events = gaps.select(F.lit(0).alias("kind"), F.col("gap").alias("v"), slots.alias("w"), F.col("sequence").alias("id")).unionByName(pieces.select(F.lit(1).alias("kind"), F.col("length").alias("v"), F.lit(1).cast("long").alias("w"), "id"))
+    ranked, counts = _ranked(events, parts)
+    ranked = ranked.join(F.broadcast(heights(counts)), "v")  # a row a length
+    # A slot above the least height to come is taken; the others aren't listed.
+    first = F.greatest(F.col("_low") + F.col("_before"), F.col("_least")) + 1
+    taken = ranked.where("kind = 0").withColumn("_first", first).where(F.col("_first") <= F.col("_low") + F.col("_before") + F.col("w"))
+    taken = taken.select("kind", "v", "id", F.explode(F.sequence("_first", F.col("_low") + F.col("_before") + F.col("w"))).alias("_height"), F.lit(None).cast("long").alias("_rank"))
+    asking = ranked.where("kind = 1").withColumn("_height", F.col("_high") - F.col("_before"))
+    none = F.when(F.col("_height") < 1, F.col("_missed") - F.col("_height"))
+    # Those who get none meet nobody, so they are spread by their rank.
+    asking = asking.select("kind", "v", "id", F.coalesce(-none - 1, F.col("_height")).alias("_height"), none.alias("_rank"))
+    slot = F.lag(F.when(F.col("kind") == 0, F.col("id"))).over(W.partitionBy("_height").orderBy(F.col("v").desc(), "kind"))
+    met = taken.unionByName(asking).withColumn("_slot", slot).where("kind = 1")
+    return met.select("id", F.col("v").alias("length"), F.when(F.col("_rank").isNull(), F.col("_slot")).alias("sequence"), F.col("_rank").alias("rank"))
 
 
 def pack(pieces: DataFrame, *, capacity: int = CAPACITY) -> DataFrame:
     """pieces with sequence_id and offset: sequences of at most capacity ids, gapless from 0.
 
-    pieces needs doc_id, piece and length (1 to capacity); it should be a written or checkpointed table, as it is read three
-    times. Ranks go by doc_id, then piece; rows that are equal in both get ranks of their own. An empty table gives an empty one.
+    pieces needs length (1 to capacity); it should be a written or checkpointed table, as it is read several times. Rows that are equal are
+    pieces of their own. An empty table gives an empty one.
     """
-    spark, columns = pieces.sparkSession, pieces.columns
-    counts = {int(r[0]): int(r[1]) for r in pieces.groupBy("length").count().collect()}  # at most capacity rows
-    if any(not 0 < n <= capacity for n in counts):
+    columns = pieces.columns
+    if not pieces.where(~F.col("length").between(1, capacity)).isEmpty():
         raise ValueError("a piece is empty or longer than a sequence")
-    steps = sorted(plan(counts, capacity))
-    keys = spark.sparkContext.broadcast(np.asarray([(a << 42) + b for a, b, *_ in steps], dtype="int64"))
-    to = spark.sparkContext.broadcast(np.asarray([x[1:] for x in steps], dtype="int64").reshape(-1, 4))
-    parts = F.broadcast(spark.createDataFrame([(n, -(-c // PART)) for n, c in counts.items()], "length long, _parts long"))  # at most capacity rows
-    rows = pieces.join(parts, "length").withColumn("_part", F.pmod(F.xxhash64("doc_id", "piece"), F.col("_parts")))
-    before = rows.groupBy("length", "_part").agg(F.count("*").alias("_n"))
-    before = before.select("length", "_part", (F.sum("_n").over(W.partitionBy("length").orderBy("_part")) - F.col("_n")).alias("_before"))
-    nth = F.row_number().over(W.partitionBy("length", "_part").orderBy("doc_id", "piece"))
-    ranked = rows.withColumn("_nth", nth).join(before, ["length", "_part"]).withColumn("_rank", F.col("_before") + F.col("_nth") - 1)
-
-    def place(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            rank = pdf.pop("_rank").to_numpy()
-            step = to.value[np.searchsorted(keys.value, (pdf["length"].to_numpy() << 42) + rank, side="right") - 1] if len(pdf) else np.zeros((0, 4), "int64")
-            yield pdf.assign(sequence_id=step[:, 2] + rank - step[:, 0], offset=step[:, 3])
-
-    schema = ", ".join(f"`{c}` {t}" for c, t in pieces.dtypes) + ", sequence_id long, offset long"
-    return ranked.select(*columns, "_rank").mapInPandas(place, schema)
+    pieces = cut(pieces.withColumn("_id", F.monotonically_increasing_id()))
+    narrow = pieces.select(F.col("_id").alias("id"), F.col("length").cast("long").alias("length"))
+    tops = sorted({capacity // k for k in BANDS if k <= capacity}, reverse=True)
+    band = F.coalesce(*[F.when(F.col("length") > low, i) for i, low in enumerate(tops[1:])], F.lit(len(tops) - 1))
+    some = {r[0]: r[1:] for r in narrow.groupBy(band.alias("b")).agg(F.min("length"), F.max("length")).collect()}  # a row a band
+    placed, opened, gaps = [], 0, pieces.sparkSession.createDataFrame([], "sequence long, gap long")
+    used = lambda rows: rows.groupBy("sequence").agg(F.sum("length").alias("_used"))
+    for i in sorted(some):
+        least, longest, left = min(n for b, (n, _) in some.items() if b >= i), some[i][1], narrow.where(band == i)
+        while True:
+            found, waits = cut(sweep(left, gaps.where(F.col("gap") >= least), longest)), F.when(F.col("rank").isNotNull(), F.col("length"))
+            moved, over, shortest, longest, ids = found.agg(F.count("sequence"), F.count("rank"), F.min(waits), F.max(waits), F.sum(waits)).first()
+            if moved:
+                went = found.where("rank is null")
+                placed.append(went.select("id", "sequence"))
+                gaps = cut(gaps.join(used(went), "sequence", "left").select("sequence", (F.col("gap") - F.coalesce("_used", F.lit(0))).alias("gap")).where("gap > 0"))
+            if not over:
+                break
+            left = found.where("rank is not null")
+            stuck = not moved or (gaps.agg(F.max("gap")).first()[0] or 0) < shortest  # nothing moves any more
+            if stuck and i == max(some) and over > capacity // longest:
+                fresh = -(-ids // capacity)
+                gaps = gaps.unionByName(narrow.sparkSession.range(opened, opened + fresh).select(F.col("id").alias("sequence"), F.lit(capacity).cast("long").alias("gap")))
+                opened += fresh
+            elif stuck:
+                each = capacity // longest
+                went = left.select("id", "length", (F.lit(opened) + F.floor(F.col("rank") / each)).alias("sequence"))
+                placed.append(went.select("id", "sequence"))
+                gaps = cut(gaps.unionByName(used(went).select("sequence", (F.lit(capacity) - F.col("_used")).alias("gap")).where("gap > 0")))
+                opened -= -over // each
+                break
+            left = left.select("id", "length")
+    where = functools.reduce(DataFrame.unionByName, placed) if placed else pieces.sparkSession.createDataFrame([], "id long, sequence long")
+    rows = pieces.join(where.select(F.col("id").alias("_id"), F.col("sequence").alias("sequence_id")), "_id")
+    offset = F.sum("length").over(W.partitionBy("sequence_id").orderBy(F.col("length").desc(), "_id").rowsBetween(W.unboundedPreceding, W.currentRow)) - F.col("length")
+    return rows.withColumn("offset", offset.cast("long")).select(*columns, "sequence_id", "offset")
 
 
 def best_fit_pack(docs: DataFrame, tokenizer_path: str, *, capacity: int = CAPACITY, keep_ids: bool = False, **columns) -> DataFrame:

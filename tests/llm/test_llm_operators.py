@@ -1,5 +1,6 @@
 """Operators against brute force, and their defined results on edge cases."""
 
+import bisect
 import collections
 import hashlib
 import itertools
@@ -341,24 +342,76 @@ def test_one_of_each(edge_docs):
 # Packing
 
 
-@settings(max_examples=60, deadline=None)
-@given(st.dictionaries(st.integers(1, 64), st.integers(1, 30), max_size=20))
-def test_plan_fills_without_gaps(counts):
-    steps, taken, at = packing.plan(counts, 64), collections.Counter(), collections.defaultdict(list)
-    for length, first, n, seq, offset in steps:
-        assert taken[length] == first
-        taken[length] += n
-        for k in range(n):
-            at[seq + k].append((offset, length))
-    assert taken == collections.Counter(counts)
-    for parts in at.values():
-        end = 0
+def decreasing(lengths, capacity):
+    """Best fit, longest first: how many sequences."""
+    gaps, n = [], 0
+    for x in sorted(lengths, reverse=True):
+        at = bisect.bisect_left(gaps, x)
+        if at < len(gaps):
+            gap = gaps.pop(at)
+        else:
+            gap, n = capacity, n + 1
+        bisect.insort(gaps, gap - x)
+    return n
+
+
+@pytest.mark.parametrize("kind", ["mixed", "hot", "halves", "tiny", "full", "odd"])
+def test_packing_is_near_decreasing_best_fit(spark, kind):
+    r = random.Random(9)
+    lengths = {
+        "mixed": [min(2048, int(r.lognormvariate(5.5, 1.5)) + 1) for _ in range(3000)],
+        "hot": [700] * 1000 + [r.randint(1, 2048) for _ in range(1500)],
+        "halves": [r.randint(600, 1400) for _ in range(1500)],
+        "tiny": [r.randint(1, 9) for _ in range(4000)],
+        "full": [2048] * 50 + [1],
+        "odd": [683] * 7 + [1] * 3 + [1024] * 3 + [1025] * 2,
+    }[kind]
+    rows = [(None if i % 3 else 7, i % 2, n, str(i)) for i, n in enumerate(lengths)]
+    got = packing.pack(spark.createDataFrame(rows, "doc_id long, piece int, length long, offset_name string")).collect()
+    assert collections.Counter((r["length"], r["offset_name"]) for r in got) == collections.Counter((n, x) for _, _, n, x in rows)
+    ends = collections.defaultdict(list)
+    for row in got:
+        ends[row["sequence_id"]].append((row["offset"], row["length"]))
+    for parts in ends.values():
+        at = 0
         for offset, length in sorted(parts):
-            assert offset == end
-            end += length
-        assert end <= 64
-    fills = [sum(length for _, length in parts) for parts in at.values()]
-    assert sum(f <= 32 for f in fills) <= 1  # else two sequences would fit into one
+            assert offset == at
+            at += length
+        assert at <= 2048
+    assert len(ends) <= 1.01 * decreasing(lengths, 2048) + 1
+
+
+def test_a_sweep_is_the_stack(spark):
+    """Pieces from long to short, each to the slot put down last; ties go by rank, so counts by length are compared, and that slots fit."""
+    r = random.Random(3)
+    for _ in range(3):
+        gaps, lengths, top = [r.randint(1, 60) for _ in range(40)], [r.randint(1, 20) for _ in range(80)], 20
+        got = packing.sweep(spark.createDataFrame(list(enumerate(lengths)), "id long, length long"), spark.createDataFrame(list(enumerate(gaps)), "sequence long, gap long"), top).collect()
+        stack, taken, none = [], collections.Counter(), 0
+        for v in range(60, 0, -1):
+            stack += [g for g in gaps if g == v for _ in range(max(1, g // top))]
+            for _ in range(lengths.count(v)):
+                if stack:
+                    taken[v, stack.pop()] += 1
+                else:
+                    none += 1
+        assert collections.Counter((x["length"], gaps[x["sequence"]]) for x in got if x["rank"] is None) == taken
+        assert sorted(x["rank"] for x in got if x["rank"] is not None) == list(range(none))
+        used = collections.Counter()
+        for x in got:
+            if x["rank"] is None:
+                used[x["sequence"]] += x["length"]
+        assert all(n <= gaps[k] for k, n in used.items())
+
+
+def test_models_that_join_words_read_whole_texts(tmp_path):
+    from tokenizers import Tokenizer, models, pre_tokenizers
+
+    model = Tokenizer(models.WordLevel({"a b": 1, "a": 2, "b": 3, "?": 0}, unk_token="?"))
+    model.pre_tokenizer = pre_tokenizers.Split("|", "removed")
+    words = packing.WordTokenizer(model.to_str())
+    assert words.whole and words.encode("a b|b") == np.asarray([1, 3], "<u4").tobytes()
+    assert not packing._tokenizer(open(TOKENIZER, encoding="utf-8").read()).whole
 
 
 def test_packing(spark, edge_docs):
