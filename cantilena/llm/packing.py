@@ -4,7 +4,7 @@ Pieces are placed from long to short in bands of lengths. A superstep sorts the
 the length, and sweeps it from above: a gap puts its slots on a stack, a piece takes the slot on top, which is the smallest that holds it, its
 successor. Nobody walks the stack: how high it is at each length follows from the counts of each length, and the rank of a piece among those of its
 length tells which height it takes its slot from, the rank of a slot at which height it lies. Slots and pieces of one height meet in a shuffle,
-and there each piece's slot is the last one above it, so ranks resolve all conflicts. Then the gaps are updated. A band is swept again until nothing moves;
+and there each piece's slot is the last one above it, so ranks resolve all conflicts. Then the gaps are updated. A band is swept again until next to nothing moves;
 what is left opens new sequences, as many to one as the longest piece left allows; in the last band, which nothing fills up after, only as
 many sequences as the ids left need at the least, and the sweeps go on.
 
@@ -31,8 +31,10 @@ from pyspark.sql import Window as W
 from .common import cut, release_memory, text_of
 
 CAPACITY, CACHED_WORDS = 2048, 220_000
+#: Rows of a task where little is known of each, and how many of the pieces that wait must move for another sweep: one of so many.
+ROWS, WORTH, LATER = 100_000, 50, 2**62
 #: The longest piece of each band is the capacity divided by these.
-BANDS = (1, 2, 3, 4, 6, 9, 14, 24, 64, 256)
+BANDS = (1, 2, 3, 4, 6, 9, 14, 24, 96)
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
 
@@ -207,38 +209,43 @@ def pack(pieces: DataFrame, *, capacity: int = CAPACITY) -> DataFrame:
     if not pieces.where(~F.col("length").between(1, capacity)).isEmpty():
         raise ValueError("a piece is empty or longer than a sequence")
     pieces = cut(pieces.withColumn("_id", F.monotonically_increasing_id()))
-    narrow = pieces.select(F.col("_id").alias("id"), F.col("length").cast("long").alias("length"))
+    few = lambda rows, n: rows.coalesce(n // ROWS + 1)  # as a sweep has many stages
+    n = pieces.count()
+    narrow = cut(few(pieces.select(F.col("_id").alias("id"), F.col("length").cast("long").alias("length")), n))
     tops = sorted({capacity // k for k in BANDS if k <= capacity}, reverse=True)
     band = F.coalesce(*[F.when(F.col("length") > low, i) for i, low in enumerate(tops[1:])], F.lit(len(tops) - 1))
-    some = {r[0]: r[1:] for r in narrow.groupBy(band.alias("b")).agg(F.min("length"), F.max("length")).collect()}  # a row a band
-    placed, opened, gaps = [], 0, pieces.sparkSession.createDataFrame([], "sequence long, gap long")
+    some = {r[0]: r[1:] for r in narrow.where(2 * F.col("length") <= capacity).groupBy(band.alias("b")).agg(F.min("length"), F.max("length")).collect()}  # a row a band
+    # Of pieces longer than half of a sequence no two fit together: each opens one, numbered as itself; others are numbered from LATER on.
+    alone = narrow.where(2 * F.col("length") > capacity).withColumn("sequence", F.col("id"))
+    narrow = narrow.where(2 * F.col("length") <= capacity)
+    placed, opened, gaps = [alone.select("id", "sequence")], LATER, cut(alone.select("sequence", (capacity - F.col("length")).alias("gap")).where("gap > 0"))
     used = lambda rows: rows.groupBy("sequence").agg(F.sum("length").alias("_used"))
     for i in sorted(some):
         least, longest, left = min(n for b, (n, _) in some.items() if b >= i), some[i][1], narrow.where(band == i)
         while True:
-            found, waits = cut(sweep(left, gaps.where(F.col("gap") >= least), longest)), F.when(F.col("rank").isNotNull(), F.col("length"))
+            found, waits = cut(few(sweep(left, gaps.where(F.col("gap") >= least), longest), n)), F.when(F.col("rank").isNotNull(), F.col("length"))
             moved, over, shortest, longest, ids = found.agg(F.count("sequence"), F.count("rank"), F.min(waits), F.max(waits), F.sum(waits)).first()
             if moved:
                 went = found.where("rank is null")
                 placed.append(went.select("id", "sequence"))
-                gaps = cut(gaps.join(used(went), "sequence", "left").select("sequence", (F.col("gap") - F.coalesce("_used", F.lit(0))).alias("gap")).where("gap > 0"))
+                gaps = cut(few(gaps.join(used(went), "sequence", "left").select("sequence", (F.col("gap") - F.coalesce("_used", F.lit(0))).alias("gap")).where("gap > 0"), n))
             if not over:
                 break
             left = found.where("rank is not null")
-            stuck = not moved or (gaps.agg(F.max("gap")).first()[0] or 0) < shortest  # nothing moves any more
+            stuck = WORTH * moved < over or (gaps.agg(F.max("gap")).first()[0] or 0) < shortest  # nothing moves any more
             if stuck and i == max(some) and over > capacity // longest:
                 fresh = -(-ids // capacity)
                 gaps = gaps.unionByName(narrow.sparkSession.range(opened, opened + fresh).select(F.col("id").alias("sequence"), F.lit(capacity).cast("long").alias("gap")))
                 opened += fresh
             elif stuck:
                 each = capacity // longest
-                went = left.select("id", "length", (F.lit(opened) + F.floor(F.col("rank") / each)).alias("sequence"))
+                went = left.select("id", "length", (F.floor(F.col("rank") / each) + opened).alias("sequence"))
                 placed.append(went.select("id", "sequence"))
-                gaps = cut(gaps.unionByName(used(went).select("sequence", (F.lit(capacity) - F.col("_used")).alias("gap")).where("gap > 0")))
                 opened -= -over // each
+                gaps = cut(few(gaps.unionByName(used(went).select("sequence", (F.lit(capacity) - F.col("_used")).alias("gap")).where("gap > 0")), n))
                 break
             left = left.select("id", "length")
-    where = functools.reduce(DataFrame.unionByName, placed) if placed else pieces.sparkSession.createDataFrame([], "id long, sequence long")
+    where = functools.reduce(DataFrame.unionByName, placed)
     rows = pieces.join(where.select(F.col("id").alias("_id"), F.col("sequence").alias("sequence_id")), "_id")
     offset = F.sum("length").over(W.partitionBy("sequence_id").orderBy(F.col("length").desc(), "_id").rowsBetween(W.unboundedPreceding, W.currentRow)) - F.col("length")
     return rows.withColumn("offset", offset.cast("long")).select(*columns, "sequence_id", "offset")
