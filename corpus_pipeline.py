@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cantilena.llm.common import shared_folder, small_batches
+from cantilena.llm.common import remove_folder, shared_folder, small_batches
 from cantilena.llm.line_dedup import drop_repeated_lines
 from cantilena.llm.mixing import mixed_rows
 from cantilena.llm.near_duplicates import one_of_each
@@ -69,9 +69,13 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over documents; each result but the last is written to the shared folder and read again."""
+    """All stages over documents; each result but the last is written to the shared folder and read again. Packing has read the last of
+    them when it returns, so they are deleted then."""
     folder, docs = f"{shared_folder(spark)}/pipeline-{uuid.uuid4().hex}", spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for i, (name, stage) in enumerate(STAGES[:-1]):
-        stage(spark, docs, sf_dir).write.parquet(f"{folder}/{i}-{name}")
-        docs = spark.read.parquet(f"{folder}/{i}-{name}")
-    return STAGES[-1][1](spark, docs, sf_dir)
+    try:
+        for i, (name, stage) in enumerate(STAGES[:-1]):
+            stage(spark, docs, sf_dir).write.parquet(f"{folder}/{i}-{name}")
+            docs = spark.read.parquet(f"{folder}/{i}-{name}")
+        return STAGES[-1][1](spark, docs, sf_dir)
+    finally:
+        remove_folder(spark, folder)
