@@ -1,6 +1,7 @@
 """The stages on edge cases and against what they are made of."""
 
 import collections
+import os
 
 import corpus_pipeline as P
 from pyspark.sql import functions as F
@@ -32,6 +33,15 @@ def test_decisions_take_effect(spark, many_docs):
     assert set(times.values()) <= {1, 2, 3} and len(times) < 240
 
 
+def test_whole_run_on_edges_and_nothing(spark, edge_docs, no_docs, tmp_path):
+    for name, docs in (("edges", edge_docs), ("nothing", no_docs)):
+        docs.write.parquet(str(tmp_path / name / "documents.parquet"))
+        rows = P.run(spark, str(tmp_path / name)).collect()
+        assert bool(rows) == (name == "edges") and all(0 < r["length"] <= 2048 for r in rows)
+        folder = spark.sparkContext.getCheckpointDir()
+        assert not [f for f in os.listdir(folder.removeprefix("file:")) if f.startswith("pipeline-")]
+
+
 def test_whole_run(spark, many_docs, tmp_path):
     many_docs.write.parquet(str(tmp_path / "documents.parquet"))
     rows = P.run(spark, str(tmp_path)).collect()
