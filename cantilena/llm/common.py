@@ -58,8 +58,11 @@ def digest(text: Column, seeds: tuple[int, int] = (11, 29)) -> list[Column]:
 
 def release_memory() -> None:
     """Gives freed memory of a Python worker back to the system: workers serve many tasks, of other operators too."""
+    import gc
+
     import pyarrow
 
+    gc.collect()
     pyarrow.default_memory_pool().release_unused()
     with contextlib.suppress(OSError, AttributeError):  # of glibc alone
         ctypes.CDLL(None).malloc_trim(0)

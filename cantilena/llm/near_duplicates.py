@@ -24,7 +24,7 @@ from pyspark.sql import Window as W
 from .common import cut, keeps_columns, release_memory, text_of
 
 WORDS, THRESHOLD, RECALL, BAND_ROWS = 5, 0.8, 0.9999, 6
-CACHED_WORDS, CHUNK = 200_000, 4096
+CACHED_WORDS, CHUNK = 100_000, 4096
 #: The most nodes of a block, and how many n-grams (of 8 bytes) a block and a bin of small units hold about.
 BLOCK, GRAMS = 512, 2**20
 FIRST_ID = -(2**63)

@@ -30,11 +30,11 @@ from pyspark.sql import Window as W
 
 from .common import cut, release_memory, text_of
 
-CAPACITY, CACHED_WORDS = 2048, 220_000
+CAPACITY, CACHED_WORDS = 2048, 140_000
 #: Rows of a task where little is known of each, and how many of the pieces that wait must move for another sweep: one of so many.
-ROWS, WORTH, LATER = 100_000, 50, 2**62
+ROWS, WORTH, LATER = 100_000, 12, 2**62
 #: The longest piece of each band is the capacity divided by these.
-BANDS = (1, 2, 3, 4, 6, 9, 14, 24, 96)
+BANDS = (1, 2, 3, 4, 6, 9, 16, 64)
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
 
@@ -146,6 +146,7 @@ def tokenized(docs: DataFrame, tokenizer_path: str, *, capacity: int = CAPACITY,
             out = pd.DataFrame(rows, columns=["doc_id", "piece", "start", "length", "ids_crc32"] + ["ids"] * keep_ids)
             out["doc_id"] = out["doc_id"].astype("Int64")
             yield out
+        words.old = {}
         release_memory()
 
     return docs.select(F.col(id_col).cast("long").alias("doc_id"), text_of(text_col).alias("text")).mapInPandas(run, PIECES + ", ids array<long>" * keep_ids)
