@@ -291,10 +291,8 @@ def test_groups_beyond_a_block(spark, monkeypatch):
     assert sorted(map(tuple, got.select("doc_id", "class_id", "class_size", "n_links").collect()), key=str) == classes(rows)
 
 
-def test_many_copies_without_an_id(spark, monkeypatch):
+def test_many_copies_without_an_id(spark):
     """Copies under one id, or none, are one node with one set."""
-    seen, real = [], near_duplicates.similar
-    monkeypatch.setattr(near_duplicates, "similar", lambda *a: seen.append(1) or real(*a))
     words = [f"w{i}" for i in range(100)]
     near = [*words[:50], "other", *words[51:]]
     docs = spark.createDataFrame([(None, " ".join(words)), (None, " ".join(near)), (3, " ".join(words))], "doc_id long, text string").withColumn("_k", F.explode(F.sequence(F.lit(1), F.when(F.col("doc_id").isNull(), 10_000).otherwise(2)))).drop("_k")
