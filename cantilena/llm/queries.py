@@ -106,4 +106,37 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", *n, F.sha2(as_text(F.col("base")), 256).alias("base_sha256"), as_text(F.col("spans")).alias("spans"), F.size(F.expr(f"filter(spans, s -> s.kind = '{SECRET}')")).cast("long").alias("n_secret"), F.size("spans").cast("long").alias("n_spans"))
 
 
-QUERIES = {f.__name__: f for f in (op1_chat_format, op2_quality_classifier, op3_mixing, op4_quality_rules, op5_jaccard_join, op6_packing, op7_fingerprints, op8_html_extract, op9_line_dedup, op10_pii)}
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .whitening import whitened
+
+    out = whitened(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"))
+    return out.select("vec_id", "n", "deviation", "identity_error", F.explode("parts").alias("_p")).select("vec_id", "_p.component", "n", "deviation", "_p.whitened", "_p.explained", "identity_error")
+
+
+def op12_token_alignment(spark: SparkSession, sf_dir: str, byte_level: str | None = None, pieces: str | None = None) -> DataFrame:
+    import public_tokenizers
+
+    from .token_alignment import align_corpus
+
+    small_batches(spark)
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    digest = lambda d: d.withColumn("groups_sha256", F.when(F.col("groups") == "", "").otherwise(F.sha2("groups", 256))).drop("groups")
+    out = align_corpus(docs, byte_level or public_tokenizers.path("byte_bpe_50k.json"), pieces or public_tokenizers.path("piece_bpe_32k.model"), digest)
+    return out.select("doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256")
+
+
+def op13_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .sharding import shuffled_shards
+
+    text = text_of()
+    docs = table(spark, sf_dir, "documents").select("doc_id", (F.octet_length(text) + 1).cast("long").alias("size"), F.crc32(text.cast("binary")).alias("text_crc32"))
+    return shuffled_shards(docs, 16).select("doc_id", "size", "text_crc32", "law", "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
+
+
+QUERIES = {
+    f.__name__: f
+    for f in (
+        op1_chat_format, op2_quality_classifier, op3_mixing, op4_quality_rules, op5_jaccard_join, op6_packing, op7_fingerprints, op8_html_extract, op9_line_dedup, op10_pii,
+        op11_whitening, op12_token_alignment, op13_sharding,
+    )
+}
