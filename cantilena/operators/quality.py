@@ -81,10 +81,11 @@ def trailing_window(words: DataFrame, key: str = "entry", *, span: float = 120.0
     return out.withColumn("broken", F.coalesce(F.col("ratio") > limit, F.lit(False))).drop("_b", "_g", "_t", "_p")
 
 
-def first_break(words: DataFrame, key: str = "entry", *, span: float = 120.0, warm_up: float = 10.0, limit: float = 0.8, silence: float = 60.0) -> DataFrame:
+def first_break(words: DataFrame, key: str = "entry", *, span: float = 120.0, warm_up: float = 10.0, limit: float = 0.8, silence: float = 60.0, until: float | None = None) -> DataFrame:
     """(key, at, reason): where an aligner that commits these words gives up: the end of the first word whose trailing window is over the
-    limit ("ratio"), or silence seconds behind a word that the next one doesn't follow by then ("silence"), whichever comes first."""
-    gap = F.lead("end").over(W.partitionBy(key).orderBy("end")) - F.col("end")
+    limit ("ratio"), or silence seconds behind a word that the next one doesn't follow by then ("silence"), whichever comes first.
+    until: how far the audio was heard, which counts behind the last word."""
+    gap = F.coalesce(F.lead("end").over(W.partitionBy(key).orderBy("end")), F.lit(until).cast("double")) - F.col("end")
     rows = trailing_window(words, key, span=span, warm_up=warm_up, limit=limit).withColumn("_gap", gap)
     at = F.when(F.col("broken"), F.struct(F.col("end").alias("at"), F.lit("ratio").alias("reason"))).when(F.col("_gap") > silence, F.struct((F.col("end") + silence).alias("at"), F.lit("silence").alias("reason")))
     return rows.groupBy(key).agg(F.min(at).alias("_b")).where("_b is not null").select(key, "_b.at", "_b.reason")

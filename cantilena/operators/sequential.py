@@ -5,6 +5,7 @@ An entry is one recording, so a group is bounded by a recording's length.
 
 from __future__ import annotations
 
+import heapq
 import re
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
@@ -16,6 +17,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
 PACK_LIMIT = 29.9
+#: Steps that a paying window reaches one by one.
+SMALL = 32
 
 
 def greedy_groups(spans: Sequence[tuple[float, float]], limit: float = PACK_LIMIT, least: int = 3) -> list[tuple[int, int]]:
@@ -42,34 +45,70 @@ def merge_near_ranges(parts: Sequence[tuple[float, str]], gap: float = 3.0) -> l
     return out
 
 
+def _paying_window(steps: np.ndarray, seen: memoryview, k: int, last: int) -> tuple[int, int] | None:
+    """The least window around step k, grown by one step either side and never with the last one, whose sum isn't negative; None if it would
+    have to grow beyond both ends. seen: the same steps, which single ones are read from."""
+    lo, hi, reach, most = max(0, k - 1), min(last, k + 2), 1, max(k, last - 1 - k)
+    total = sum(seen[lo:hi])
+    while total < 0 and reach < SMALL:  # most windows are small
+        reach += 1
+        if reach > most:
+            return None
+        if k - reach >= 0:
+            lo = k - reach
+            total += seen[lo]
+        if k + reach < last:
+            hi = k + reach + 1
+            total += seen[hi - 1]
+    chunk = 4 * SMALL
+    while total < 0:
+        if reach >= most:
+            return None
+        grown = np.zeros(min(chunk, most - reach), np.int64)
+        left, right = steps[max(0, lo - len(grown)) : lo][::-1], steps[hi : min(last, hi + len(grown))]
+        grown[: len(left)] += left
+        grown[: len(right)] += right
+        sums = total + np.cumsum(grown)
+        n = int((sums >= 0).argmax()) + 1 if (sums >= 0).any() else len(grown)
+        total, reach, chunk = int(sums[n - 1]), reach + n, chunk * 2
+        lo, hi = max(0, k - reach), max(hi, min(last, k + reach + 1))
+    return lo, hi
+
+
 def repair_by_differences(times: Sequence[int]) -> list[int]:
     """Makes times non-decreasing: each most negative step is paid for by the largest positive steps around it.
 
     The first time becomes the least positive one. A window grows by one step either side until it can pay; the last step is never in it. If
-    it would have to grow beyond both ends first, the step is set to zero and the rest stays as it is.
+    it would have to grow beyond both ends first, the step is set to zero and the rest stays as it is. Paying makes no step negative, so
+    a heap of the negative ones, made once, tells which is next; a window's sum grows with it, step by step while it is small and in doubling chunks beyond.
     """
     x = np.asarray(times, dtype=np.int64).copy()
     if not len(x) or not (x > 0).any():
         return x.tolist()
     x[0] = x[x > 0].min()
     steps = np.diff(x)
-    last = len(steps) - 1
-    while len(steps) and steps.min() < 0:
-        k, reach = int(steps.argmin()), 1
-        payers = steps[max(0, k - reach) : min(last, k + reach + 1)]  # a view: paying changes the steps
-        while payers.sum() < 0:
-            reach += 1
-            if reach > k and k + reach >= last:
-                payers = None
-                break
-            payers = steps[max(0, k - reach) : min(last, k + reach + 1)]
-        owed, steps[k] = -int(steps[k]), 0
-        if payers is None:
+    seen, last = memoryview(steps), len(steps) - 1
+    owing = [(v, i) for i, v in enumerate(steps.tolist()) if v < 0]
+    heapq.heapify(owing)
+    while owing:
+        owed, k = heapq.heappop(owing)
+        window, owed = _paying_window(steps, seen, k, last), -owed
+        seen[k] = 0
+        if window is None:
             break
-        for j in np.argsort(-payers, kind="stable"):
-            paid = min(owed, max(0, int(payers[j])))
-            payers[j] -= paid
-            owed -= paid
+        lo, hi = window
+        if hi - lo <= 2 * SMALL:
+            for j in sorted(range(lo, hi), key=lambda j: -seen[j]):
+                if owed <= 0 or seen[j] <= 0:
+                    break
+                paid = min(owed, seen[j])
+                seen[j] -= paid
+                owed -= paid
+        else:
+            while owed > 0 and seen[j := lo + int(steps[lo:hi].argmax())] > 0:  # the largest, the first of equal ones
+                paid = min(owed, seen[j])
+                seen[j] -= paid
+                owed -= paid
     return np.concatenate([x[:1], x[0] + np.cumsum(steps)]).tolist()
 
 
@@ -250,17 +289,6 @@ def per_entry(rows: DataFrame, keys: list[str], schema: str, f: Callable[[pd.Dat
     return rows.groupBy(*keys).applyInPandas(run, ", ".join([*(f"`{k}` {kinds[k]}" for k in keys), schema]))
 
 
-def pack_captions(cues: DataFrame, keys: list[str], limit: float = PACK_LIMIT) -> DataFrame:
-    """Captions (keys, pos, start, end, text) as groups (keys, grp, first_pos, last_pos, start, end, text)."""
-
-    def f(pdf: pd.DataFrame) -> list[tuple]:
-        groups = greedy_groups(list(zip(pdf["start"], pdf["end"], strict=True)), limit)
-        s, e, t, p = (pdf[c].tolist() for c in ("start", "end", "text", "pos"))
-        return [(g, int(p[a]), int(p[b]), s[a], e[b], " ".join((x or "").replace("\n", " ") for x in t[a : b + 1])) for g, (a, b) in enumerate(groups)]
-
-    return per_entry(cues, keys, "grp long, first_pos long, last_pos long, start double, end double, text string", f, ["pos"])
-
-
 def repaired_times(pointers: DataFrame, keys: list[str], how: Callable[[Sequence], list] = repair_by_differences) -> DataFrame:
     """Time pointers (keys, idx, sec) with repaired sec."""
     return per_entry(pointers, keys, "idx long, sec double", lambda p: list(zip(p["idx"].tolist(), [float(x) for x in how(p["sec"].tolist())], strict=True)), ["idx"])

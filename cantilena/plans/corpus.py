@@ -1,8 +1,8 @@
-"""Whole plans: sources by name, normalising entries, the alignment controller, publishing."""
+"""Whole plans: sources by name, normalising entries, models as steps. The alignment controller is in recovery.py."""
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable
 from dataclasses import dataclass, field
 from typing import Protocol
 
@@ -11,10 +11,6 @@ from pyspark.sql import functions as F
 
 from ..operators.quality import entry_scores, entry_statistics, segment_scores
 
-Segment = dict  # start, end, text, words: list of (word, start, end, probability)
-#: Aligns a text to the audio from a time on; given by the caller, as models are no part of this library.
-Aligner = Callable[[float, float | None, str], list[Segment]]
-
 
 class Normalizer(Protocol):
     """What a source must give: its entries, their words and their durations."""
@@ -60,88 +56,4 @@ def modelled(rows: DataFrame, schema: str, model: Callable, **options) -> DataFr
     return rows.mapInPandas(run, schema)
 
 
-@dataclass(frozen=True)
-class ControlSettings:
-    window: float = 120.0
-    hop: float = 30.0
-    limit: float = 0.8
-    bad: float = 0.4
-    tries: int = 2
-    least_skip: float = 15.0
-    most_skip: float = 120.0
-    back: float = 30.0
-    hops: int = 6
-    sure: float = 0.8
-    probe: int = 90
-
-
-def zone_of(words: Sequence[tuple], s: ControlSettings) -> tuple[float, float] | None:
-    """The first window whose bad words outlast its good ones too far."""
-    if not words:
-        return None
-    at, last = words[0][1], words[-1][2]
-    while at + s.window < last:
-        inside = [w for w in words if w[1] < at + s.window and w[2] > at]
-        bad = sum(max(0.1, w[2] - w[1]) for w in inside if w[3] < s.bad)
-        good = sum(w[2] - w[1] for w in inside if w[3] >= s.bad)
-        if not good or bad / good > s.limit:
-            return at, at + s.window
-        at += s.hop
-    return None
-
-
-def anchor_before(segments: Sequence[Segment], t: float, s: ControlSettings) -> int | None:
-    """The earliest sure segment of the nearest window before t that has one."""
-    best = None
-    for i, seg in enumerate(segments):
-        probs = [w[3] for w in seg["words"]]
-        if seg["start"] < t and probs and sum(probs) / len(probs) >= s.sure:
-            hop = int((t - seg["start"]) // s.back)
-            if hop < s.hops and (best is None or hop < best[0]):
-                best = (hop, i)
-    return None if best is None else best[1]
-
-
-def align_with_recovery(original: Sequence[Segment], align: Aligner, settings: ControlSettings = ControlSettings()) -> list[Segment]:
-    """Aligns an entry's segments; where words lose the audio, goes back to a sure segment, tries again, and at last skips the stretch.
-
-    original: the transcript's rough segments (start, end, text). What is skipped is aligned inside its bounds.
-    """
-    s, out, start, left = settings, [], 0.0, list(original)
-    tries, known = 0, None
-    while left:
-        text = " ".join(x["text"] for x in left)
-        got = align(start, None, text)
-        words = [w for seg in got for w in seg["words"]]
-        if not words:
-            break
-        zone = (start, start + s.least_skip) if words[0][1] == words[-1][2] else zone_of(words, s)
-        if zone is None:
-            out += got
-            break
-        if known is None or zone[0] > known[1]:
-            known, tries = zone, 0
-        else:
-            known = (min(known[0], zone[0]), max(known[1], zone[1]))
-        at = anchor_before(got, zone[0], s)
-        if at is not None:
-            kept = got[: at + 1]
-            out += kept
-            start = kept[-1]["end"]
-            said = sum(len(x["text"].split()) for x in kept)
-            while left and said >= len(left[0]["text"].split()):
-                said -= len(left.pop(0)["text"].split())
-            if said and left:
-                left[0] = {**left[0], "text": " ".join(left[0]["text"].split()[said:])}
-            if not left:
-                break
-        if tries < s.tries and (at is not None or tries == 0):
-            tries += 1
-            continue
-        stop = min(max(known[1], start + s.least_skip), start + s.most_skip)
-        later = next((i for i, x in enumerate(left) if x["start"] >= stop), len(left))
-        later = max(1, later)
-        skipped = " ".join(x["text"] for x in left[:later])
-        out += [{**seg, "start": min(max(seg["start"], start), stop), "end": min(max(seg["end"], start), stop)} for seg in align(start, stop, skipped)]
-        left, start, known, tries = left[later:], stop, None, 0
-    return out
+from .recovery import Aligner, ControlSettings, Segment, align_with_recovery, recovered  # noqa: E402, F401

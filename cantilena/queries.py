@@ -15,6 +15,7 @@ from pyspark.sql import Window as W
 from .functions import text as T
 from .functions.vectors import cosine
 from .operators import matching as M
+from .operators import packing as P
 from .operators import quality as Q
 from .operators import relational as R
 from .operators import sequential as S
@@ -315,7 +316,7 @@ def ema_word_duration(spark, sf):
 def greedy_packing(spark, sf):
     rows = L.text_offsets(_captions(spark, sf), ["conv_id"], ["turn"])
     cues = rows.select("conv_id", F.col("turn").alias("pos"), (F.col("start_loc") / 20).alias("start"), (F.col("end_loc") / 20).alias("end"), "text")
-    return S.pack_captions(cues, ["conv_id"]).select("conv_id", "grp", "first_pos", "last_pos", "start", "end")
+    return P.pack_captions(cues, ["conv_id"]).select("conv_id", "grp", "first_pos", "last_pos", "start", "end")
 
 
 def _pointers(spark, sf):

@@ -32,8 +32,8 @@ def window_step(held: list[tuple[float, float, float]], new: list[tuple[float, f
     return held, out
 
 
-def word_window_stream(words: DataFrame, key: str = "entry", *, span: float = 120.0, warm_up: float = 10.0) -> DataFrame:
-    """A stream of words (key, end, duration, prob) with the ratio and mean probability of the trailing window; state holds a window a key.
+def word_window_stream(words: DataFrame, key: str = "entry", *, span: float = 120.0, warm_up: float = 10.0, limit: float = 0.8) -> DataFrame:
+    """A stream of words (key, end, duration, prob) with the ratio and mean probability of the trailing window, and broken: over the limit; state holds a window a key.
 
     Words of a key must come in order from batch to batch; inside a batch they are sorted.
     """
@@ -46,9 +46,9 @@ def word_window_stream(words: DataFrame, key: str = "entry", *, span: float = 12
         state.update(tuple([float(w[i]) for w in held] for i in range(3)))
         got = pd.DataFrame(out, columns=["end", "ratio", "mean_prob"]).astype("float64")
         got.insert(0, key, [group[0]] * len(got))
-        yield got
+        yield got.assign(broken=got["ratio"] > limit)
 
-    schema = f"`{key}` {kind}, end double, ratio double, mean_prob double"
+    schema = f"`{key}` {kind}, end double, ratio double, mean_prob double, broken boolean"
     return words.groupBy(key).applyInPandasWithState(run, schema, "ends array<double>, durations array<double>, probs array<double>", "append", GroupStateTimeout.NoTimeout)
 
 
@@ -64,12 +64,14 @@ def tumbling(events: DataFrame, ts: str, length: str, *aggregates: Column, late:
     return out.select(F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"), *[c for c in out.columns if c != "w"])
 
 
-def sliding(events: DataFrame, keys: list[str], ts: str, length: str, hop: str, *aggregates: Column) -> DataFrame:
+def sliding(events: DataFrame, keys: list[str], ts: str, length: str, hop: str, *aggregates: Column, late: str | None = None) -> DataFrame:
+    events = events.withWatermark(ts, late) if late else events
     out = events.groupBy(*keys, F.window(ts, length, hop).alias("w")).agg(*aggregates)
     return out.select(*keys, F.col("w.start").alias("window_start"), *[c for c in out.columns if c not in (*keys, "w")])
 
 
-def sessions(events: DataFrame, keys: list[str], ts: str, gap: str, *aggregates: Column) -> DataFrame:
+def sessions(events: DataFrame, keys: list[str], ts: str, gap: str, *aggregates: Column, late: str | None = None) -> DataFrame:
+    events = events.withWatermark(ts, late) if late else events
     out = events.groupBy(*keys, F.session_window(ts, gap).alias("w")).agg(*aggregates)
     return out.select(*keys, F.col("w.start").alias("session_start"), F.col("w.end").alias("session_end"), *[c for c in out.columns if c not in (*keys, "w")])
 
