@@ -27,7 +27,7 @@ from pyspark.sql import types as T
 
 from .common import cut, keeps_columns, release_memory
 
-#: A pair of ids is one number: the first times WIDE plus the second. Remembered states, texts encoded at once (characters), rows and characters of a chunk.
+#: A pair of ids is one number: the first times WIDE plus the second. Remembered states and words, texts encoded at once (characters), rows and characters of a chunk.
 WIDE, REMEMBERED, TOGETHER = 2**31, 200_000, 1_000_000
 CHUNK_ROWS, CHUNK_CHARS = 500, 1_000_000
 #: Groups of more links than this are counted by their distinct ids.
@@ -42,15 +42,7 @@ def byte_level_letters() -> dict[str, int]:
 
 
 class ByteLevel:
-    """The first side: a byte-level model; texts get a space before them.
-
-    If ids follow the order of merges and words are cut by the usual pattern, a rank encoder gives the same ids sooner; it takes texts of Latin letters and
-    common marks, about which both pattern engines agree. All others go through the model itself.
-    """
-
-    #: Fixed value: how byte-level models of this kind cut words.
-    PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
-    OTHER = re.compile("[^\x00-\x1b\x20-\x84\x86-\u024f\u2010-\u2027]")
+    """The first side: a byte-level model; texts get a space before them."""
 
     def __init__(self, model: bytes):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # tasks are parallel already
@@ -59,24 +51,12 @@ class ByteLevel:
         self.model, letters, plan = Tokenizer.from_str(model.decode()), byte_level_letters(), json.loads(model)
         self.model.encode_special_tokens = True
         self.said = {i: bytes(letters[c] for c in t) if all(c in letters for c in t) else t.encode() for t, i in self.model.get_vocab().items()}
-        self.ranked = self._ranked(plan)
-
-    def _ranked(self, plan: dict):
-        """The rank encoder, or None if this model can't be read as one."""
-        vocab, cut = plan["model"]["vocab"], plan.get("pre_tokenizer") or {}
-        made = [vocab.get("".join(m.split(" ") if isinstance(m, str) else m), -1) for m in plan["model"]["merges"]]
-        if made != sorted(made) or -1 in made or cut.get("type") != "ByteLevel" or cut.get("add_prefix_space") or not cut.get("use_regex", True) or plan.get("normalizer"):
-            return None
-        import tiktoken
-
-        added = {t["id"] for t in plan.get("added_tokens", ())}
-        return tiktoken.Encoding("ranks", pat_str=self.PATTERN, mergeable_ranks={self.said[i]: i for i in vocab.values() if i not in added}, special_tokens={})
+        cut = plan.get("pre_tokenizer") or {}
+        #: No token reaches from one word into the next.
+        self.by_word = cut.get("type") == "ByteLevel" and cut.get("use_regex", True) and not cut.get("add_prefix_space") and not plan.get("normalizer")
 
     def encode(self, texts: list[str]) -> list[list[int]]:
-        spaced = [f" {t}" for t in texts]
-        short = [self.ranked is not None and not self.OTHER.search(t) for t in spaced]
-        rest = iter(self.model.encode_batch_fast([t for t, s in zip(spaced, short, strict=True) if not s], add_special_tokens=False))
-        return [self.ranked.encode_ordinary(t) if s else next(rest).ids for t, s in zip(spaced, short, strict=True)]
+        return [e.ids for e in self.model.encode_batch_fast([f" {t}" for t in texts], add_special_tokens=False)]
 
 
 class Pieces:
@@ -88,11 +68,50 @@ class Pieces:
         self.model = sentencepiece.SentencePieceProcessor(model_proto=model)
         names = [self.model.id_to_piece(i) for i in range(self.model.get_piece_size())]
         self.said = {i: bytes([int(p[3:-1], 16)]) if self.model.is_byte(i) else p.replace("▁", " ").encode() for i, p in enumerate(names)}
+        self.by_word = not any(re.search("[^▁]▁", p) for p in names)
 
     def encode(self, texts: list[str]) -> list[list[int]]:
         return self.model.encode(texts, num_threads=1)
 
 
+class Words(dict):
+    """The ids that both sides give to each word seen. Where a lone space stands between two other characters, tokens of neither side cross it, so words are
+    encoded once; if the models aren't like that, whole texts are."""
+
+    #: A space beside other white space.
+    BESIDE = re.compile(r" \s|\s |^ | $")
+    LONE = re.compile(r"(?<=\S) (?=\S)")
+
+    def __init__(self, first: ByteLevel, second: Pieces):
+        super().__init__()
+        self.sides = (first, second)
+        probes = ["the end of it", "Two  words\n and\n\nmore ", " a\u00a0 b <s> </s>", "éè çœ 𝄞 1 000, no.\r\n", "▁x ▁ y <|endoftext|> z"]
+        self.by_word = first.by_word and second.by_word and self._joined(probes) == self._whole(probes)
+
+    def _whole(self, texts: list[str]) -> list[tuple[list[int], list[int]]]:
+        return list(zip(*(side.encode(texts) for side in self.sides), strict=True))
+
+    def _joined(self, texts: list[str]) -> list[tuple[list[int], list[int]]]:
+        cut = [self.LONE.split(t) if self.BESIDE.search(t) else t.split(" ") for t in texts]
+        used = {w for words in cut for w in words}
+        if len(self) > REMEMBERED:
+            self.clear()
+        new = list(used - self.keys())
+        self.update(zip(new, self._whole(new), strict=True) if new else ())
+        out = []
+        for words in cut:
+            a, b = [], []
+            for word in words:
+                x, y = self[word]
+                a += x
+                b += y
+            out.append((a, b))
+        return out
+
+    def encode(self, texts: list[str]) -> list[tuple[list[int], list[int]]]:
+        return self._joined(texts) if self.by_word else self._whole(texts)
+
+
 class State(dict):
     """What one side has said beyond the other, and the states that follow after each token of the side behind, as far as they were asked for."""
 
@@ -242,7 +261,7 @@ def token_groups(docs: DataFrame, byte_level: str, pieces: str, text: str = "tex
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         sides = (ByteLevel(models.value[0]), Pieces(models.value[1]))
-        walk, texts = Transducer(sides[0].said, sides[1].said), GroupTexts(*(max(s.said) + 1 for s in sides))
+        words, walk, texts = Words(*sides), Transducer(sides[0].said, sides[1].said), GroupTexts(*(max(s.said) + 1 for s in sides))
         chunk, n_rows, n_chars = TaskContext.get().partitionId() << 33, 0, 0
         for pdf in batches:
             values, out, at = [t or "" for t in pdf.pop("_text")], [], 0
@@ -251,7 +270,7 @@ def token_groups(docs: DataFrame, byte_level: str, pieces: str, text: str = "tex
                 while end < len(values) and size + len(values[end]) <= TOGETHER:
                     size, end = size + len(values[end]), end + 1
                 some = values[at:end]
-                for value, a, b in zip(some, sides[0].encode(some), sides[1].encode(some), strict=True):
+                for value, (a, b) in zip(some, words.encode(some), strict=True):
                     if n_rows and (n_rows >= CHUNK_ROWS or n_chars + len(value) > CHUNK_CHARS):
                         chunk, n_rows, n_chars = chunk + 1, 0, 0
                     n_rows, n_chars = n_rows + 1, n_chars + len(value)
