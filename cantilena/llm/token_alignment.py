@@ -16,10 +16,12 @@ import os
 import re
 from array import array
 from collections.abc import Callable, Iterator
+from dataclasses import dataclass
 from pathlib import Path
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -27,8 +29,8 @@ from pyspark.sql import types as T
 
 from .common import cut, keeps_columns, release_memory
 
-#: A pair of ids is one number: the first times WIDE plus the second. Remembered states and words, texts encoded at once (characters), rows and characters of a chunk.
-WIDE, REMEMBERED, TOGETHER = 2**31, 200_000, 1_000_000
+#: A pair of ids is one number of PAIR_BITS bits at most: the first times WIDE plus the second. Remembered states, texts encoded at once (characters), rows and characters of a chunk.
+WIDE, PAIR_BITS, REMEMBERED, TOGETHER = 2**24, 48, 200_000, 1_000_000
 CHUNK_ROWS, CHUNK_CHARS = 500, 1_000_000
 #: Groups of more links than this are counted by their distinct ids.
 LARGE = 64
@@ -42,21 +44,47 @@ def byte_level_letters() -> dict[str, int]:
 
 
 class ByteLevel:
-    """The first side: a byte-level model; texts get a space before them."""
+    """The first side: a byte-level model; texts get a space before them.
+
+    If ids follow the order of merges and words are cut by the usual pattern, a rank encoder gives the same ids sooner; it takes texts of Latin letters and
+    common marks, about which both pattern engines agree. All others go through the model itself.
+    """
+
+    #: Fixed value: how byte-level models of this kind cut words.
+    PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+    OTHER = re.compile("[^\x00-\x1b\x20-\x84\x86-\u024f\u2010-\u2027]")
 
     def __init__(self, model: bytes):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # tasks are parallel already
         from tokenizers import Tokenizer
 
-        self.model, letters, plan = Tokenizer.from_str(model.decode()), byte_level_letters(), json.loads(model)
+        self.model, letters = Tokenizer.from_str(model.decode()), byte_level_letters()
         self.model.encode_special_tokens = True
         self.said = {i: bytes(letters[c] for c in t) if all(c in letters for c in t) else t.encode() for t, i in self.model.get_vocab().items()}
-        cut = plan.get("pre_tokenizer") or {}
-        #: No token reaches from one word into the next.
-        self.by_word = cut.get("type") == "ByteLevel" and cut.get("use_regex", True) and not cut.get("add_prefix_space") and not plan.get("normalizer")
+        self.ranked = self._ranked(json.loads(model))
 
-    def encode(self, texts: list[str]) -> list[list[int]]:
-        return [e.ids for e in self.model.encode_batch_fast([f" {t}" for t in texts], add_special_tokens=False)]
+    def _ranked(self, plan: dict):
+        """The rank encoder, or None if this model can't be read as one."""
+        vocab, cut = plan["model"]["vocab"], plan.get("pre_tokenizer") or {}
+        made = [vocab.get("".join(m.split(" ") if isinstance(m, str) else m), -1) for m in plan["model"]["merges"]]
+        if made != sorted(made) or -1 in made or cut.get("type") != "ByteLevel" or cut.get("add_prefix_space") or not cut.get("use_regex", True) or plan.get("normalizer"):
+            return None
+        import tiktoken
+
+        added = {t["id"] for t in plan.get("added_tokens", ())}
+        return tiktoken.Encoding("ranks", pat_str=self.PATTERN, mergeable_ranks={self.said[i]: i for i in vocab.values() if i not in added}, special_tokens={})
+
+    def encode(self, texts: list[str]) -> list[list[int] | None]:
+        """The ids of each text; None if their bytes aren't the text's. The rank encoder keeps all bytes by its making: its pattern leaves nothing out, and merges join what is there."""
+        out = []
+        for text in texts:
+            text = f" {text}"
+            if self.ranked and not self.OTHER.search(text):
+                out.append(self.ranked.encode_ordinary(text))
+            else:
+                ids = self.model.encode(text, add_special_tokens=False).ids
+                out.append(ids if b"".join([self.said[i] for i in ids]) == text.encode() else None)
+        return out
 
 
 class Pieces:
@@ -68,50 +96,11 @@ class Pieces:
         self.model = sentencepiece.SentencePieceProcessor(model_proto=model)
         names = [self.model.id_to_piece(i) for i in range(self.model.get_piece_size())]
         self.said = {i: bytes([int(p[3:-1], 16)]) if self.model.is_byte(i) else p.replace("▁", " ").encode() for i, p in enumerate(names)}
-        self.by_word = not any(re.search("[^▁]▁", p) for p in names)
 
     def encode(self, texts: list[str]) -> list[list[int]]:
         return self.model.encode(texts, num_threads=1)
 
 
-class Words(dict):
-    """The ids that both sides give to each word seen. Where a lone space stands between two other characters, tokens of neither side cross it, so words are
-    encoded once; if the models aren't like that, whole texts are."""
-
-    #: A space beside other white space.
-    BESIDE = re.compile(r" \s|\s |^ | $")
-    LONE = re.compile(r"(?<=\S) (?=\S)")
-
-    def __init__(self, first: ByteLevel, second: Pieces):
-        super().__init__()
-        self.sides = (first, second)
-        probes = ["the end of it", "Two  words\n and\n\nmore ", " a\u00a0 b <s> </s>", "éè çœ 𝄞 1 000, no.\r\n", "▁x ▁ y <|endoftext|> z"]
-        self.by_word = first.by_word and second.by_word and self._joined(probes) == self._whole(probes)
-
-    def _whole(self, texts: list[str]) -> list[tuple[list[int], list[int]]]:
-        return list(zip(*(side.encode(texts) for side in self.sides), strict=True))
-
-    def _joined(self, texts: list[str]) -> list[tuple[list[int], list[int]]]:
-        cut = [self.LONE.split(t) if self.BESIDE.search(t) else t.split(" ") for t in texts]
-        used = {w for words in cut for w in words}
-        if len(self) > REMEMBERED:
-            self.clear()
-        new = list(used - self.keys())
-        self.update(zip(new, self._whole(new), strict=True) if new else ())
-        out = []
-        for words in cut:
-            a, b = [], []
-            for word in words:
-                x, y = self[word]
-                a += x
-                b += y
-            out.append((a, b))
-        return out
-
-    def encode(self, texts: list[str]) -> list[tuple[list[int], list[int]]]:
-        return self._joined(texts) if self.by_word else self._whole(texts)
-
-
 class State(dict):
     """What one side has said beyond the other, and the states that follow after each token of the side behind, as far as they were asked for."""
 
@@ -152,84 +141,105 @@ class Transducer:
             found = self.states[(first_speaks, residual)] = State(self, first_speaks, residual)
         return found
 
-    def groups(self, first: list[int], second: list[int]) -> tuple[list[int], list[int]] | None:
-        """Where groups end, in tokens of each side; None if the sides don't say the same."""
+    def groups(self, first: list[int], second: list[int], ends_a: array, ends_b: array) -> bool:
+        """Adds where groups end, in tokens of each side; False, with nothing added, if the sides don't say the same."""
         if len(self.states) > REMEMBERED:
             self.forget()
-        ends_a, ends_b, i, j, n, empty = [], [], 0, 0, len(first), self.empty
+        i, j, empty, n = 0, 0, self.empty, len(ends_a)
+        say_a, say_b = iter(first), iter(second)
         try:
-            while i < n:
-                s = empty[first[i]]
+            for token in say_a:
+                s = empty[token]
                 i += 1
                 while s is not empty:
                     if s.first_speaks:
-                        s = s[first[i]]
+                        s = s[next(say_a)]
                         i += 1
                     else:
-                        s = s[second[j]]
+                        s = s[next(say_b)]
                         j += 1
                 ends_a.append(i)
                 ends_b.append(j)
-        except (IndexError, ValueError):
-            return None
-        return (ends_a, ends_b) if j == len(second) else None
-
-
-def linked(first: np.ndarray, second: np.ndarray, ends_a: np.ndarray, ends_b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The distinct pairs of ids of tokens that share a group, and how many links each has."""
-    na, nb = np.diff(ends_a, prepend=0), np.diff(ends_b, prepend=0)
-    n = na * nb
-    one = n == 1
-    keys = [first[ends_a[one] - 1] * WIDE + second[ends_b[one] - 1]]
-    # All links of the other groups at once: link k of a group joins token k // nb of one side with token k % nb of the other.
-    group = np.repeat(np.flatnonzero(~one & (n <= LARGE)), n[~one & (n <= LARGE)])
-    if len(group):
-        begins = np.flatnonzero(np.diff(group, prepend=-1))
-        k = np.arange(len(group)) - np.repeat(begins, np.diff(begins, append=len(group)))
-        keys.append(first[(ends_a - na)[group] + k // nb[group]] * WIDE + second[(ends_b - nb)[group] + k % nb[group]])
-    found, times = _counted(np.concatenate(keys), None)
-    large = np.flatnonzero(n > LARGE)
-    if len(large):
-        keys, counts = [found], [times]
-        for g in large:
-            ua, ca = np.unique(first[ends_a[g] - na[g] : ends_a[g]], return_counts=True)
-            ub, cb = np.unique(second[ends_b[g] - nb[g] : ends_b[g]], return_counts=True)
-            keys.append((ua[:, None] * WIDE + ub).ravel())
-            counts.append((ca[:, None] * cb).ravel())
-        found, times = _counted(np.concatenate(keys), np.concatenate(counts))
-    return found, times
-
-
-def _counted(keys: np.ndarray, times: np.ndarray | None) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct keys in order, and how often each comes, or the sum of its times."""
-    if times is None:
-        keys.sort()
-    else:
-        order = np.argsort(keys)
-        keys, times = keys[order], times[order]
-    begins = np.flatnonzero(np.diff(keys, prepend=-1))
-    return keys[begins], np.diff(begins, append=len(keys)) if times is None else np.add.reduceat(times, begins) if len(begins) else times
+        except (StopIteration, ValueError):
+            j = -1
+        if j != len(second):
+            del ends_a[n:], ends_b[n:]
+        return j == len(second)
+
+
+@dataclass
+class Aligned:
+    """Some texts' tokens in a row: ids of both sides, and where groups end in them; which text each group belongs to."""
+
+    first: np.ndarray
+    second: np.ndarray
+    ends_a: np.ndarray
+    ends_b: np.ndarray
+    text: np.ndarray
+
+    def __post_init__(self):
+        self.na, self.nb = np.diff(self.ends_a, prepend=0), np.diff(self.ends_b, prepend=0)
+
+    def linked(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The distinct pairs of ids of tokens that share a group of a text, in order: (text, pair, links)."""
+        n = self.na * self.nb
+        one, some = n == 1, np.flatnonzero((n > 1) & (n <= LARGE))
+        keys = [self.first[self.ends_a[one] - 1] * WIDE + self.second[self.ends_b[one] - 1]]
+        texts = [self.text[one]]
+        # All links of the other groups at once: link k of a group joins token k // nb of one side with token k % nb of the other.
+        group = np.repeat(some, n[some])
+        k = np.arange(len(group)) - np.repeat(np.cumsum(n[some]) - n[some], n[some])
+        i, nb = k // self.nb[group], self.nb[group]
+        keys.append(self.first[(self.ends_a - self.na)[group] + i] * WIDE + self.second[(self.ends_b - self.nb)[group] + k - i * nb])
+        texts.append(self.text[group])
+        times = None
+        if len(large := np.flatnonzero(n > LARGE)):  # by their distinct ids
+            times = [np.ones(sum(map(len, keys)), dtype=np.int64)]
+            for g in large:
+                ua, ca = np.unique(self.first[self.ends_a[g] - self.na[g] : self.ends_a[g]], return_counts=True)
+                ub, cb = np.unique(self.second[self.ends_b[g] - self.nb[g] : self.ends_b[g]], return_counts=True)
+                keys.append((ua[:, None] * WIDE + ub).ravel())
+                texts.append(np.full(len(keys[-1]), self.text[g]))
+                times.append((ca[:, None] * cb).ravel())
+        key = (np.concatenate(texts) << PAIR_BITS) + np.concatenate(keys)
+        if times is None:
+            key.sort()
+            begins = np.flatnonzero(np.diff(key, prepend=-1))
+            links = np.diff(begins, append=len(key))
+        else:
+            order = np.argsort(key)
+            key, begins = key[order], np.flatnonzero(np.diff(key[order], prepend=-1))
+            links = np.add.reduceat(np.concatenate(times)[order], begins)
+        found = key[begins]
+        return found >> PAIR_BITS, found & (2**PAIR_BITS - 1), links
 
 
 class GroupTexts:
-    """Writes groups: an id with what stands behind it is looked up, and all are put in their places at once."""
+    """Writes groups: rows of digits with the mark that stands behind an id are looked up, put in their places, and read off without their empty ends."""
 
     def __init__(self, most_a: int, most_b: int):
-        written = lambda n, mark: np.array([f"{i}{mark}" for i in range(n)], dtype=object)
-        self.inner, self.last = (written(most_a, ","), written(most_b, ",")), (written(most_a, "|"), written(most_b, ";"))
-
-    def write(self, first: np.ndarray, second: np.ndarray, ends_a: np.ndarray, ends_b: np.ndarray) -> str:
-        out = np.empty(len(first) + len(second), dtype=object)
-        na, nb = np.diff(ends_a, prepend=0), np.diff(ends_b, prepend=0)
-        for side, ids, ends, shift in ((0, first, ends_a, np.repeat(ends_b - nb, na)), (1, second, ends_b, np.repeat(ends_a, nb))):
-            texts = self.inner[side][ids]
-            texts[ends - 1] = self.last[side][ids[ends - 1]]
-            out[np.arange(len(ids)) + shift] = texts
-        return "".join(out.tolist())[:-1]
-
-
-def _said(ids: list[int], words: dict[int, bytes]) -> bytes:
-    return b"".join([words[i] for i in ids])
+        most = max(most_a, most_b)
+        self.width = len(str(most)) + 1
+        written = [str(i).encode() for i in range(most)]
+        self.digits = np.frombuffer(b"".join(w.ljust(self.width) for w in written), dtype=np.uint8).reshape(most, self.width)
+        self.length = np.array([len(w) for w in written], dtype=np.int64)
+
+    def write(self, x: Aligned, texts: int) -> tuple[bytes, np.ndarray]:
+        """The groups of all texts, one behind the other, and the length of each text's."""
+        n = len(x.first) + len(x.second)
+        ids, mark = np.empty(n, dtype=np.int64), np.full(n, ord(","), dtype=np.uint8)
+        ids[np.arange(len(x.first)) + np.repeat(x.ends_b - x.nb, x.na)] = x.first
+        ids[np.arange(len(x.second)) + np.repeat(x.ends_a, x.nb)] = x.second
+        ends = x.ends_a + x.ends_b
+        mark[ends - x.nb - 1], mark[ends - 1] = ord("|"), ord(";")
+        rows, length = self.digits[ids], self.length[ids]
+        rows[np.arange(n), length] = mark
+        length += 1
+        last = ends[np.flatnonzero(np.diff(x.text, append=-1))] - 1  # no mark behind a text's last group
+        length[last] -= 1
+        total = np.concatenate([[0], np.cumsum(length)])
+        sizes = np.bincount(x.text, weights=total[ends] - total[ends - x.na - x.nb], minlength=texts).astype(np.int64)
+        return rows[np.arange(self.width) < length[:, None]].tobytes(), sizes
 
 
 COUNTS = T.StructType([*[T.StructField(c, T.LongType()) for c in ("n_a", "n_b", "n_groups", "n_links")], T.StructField("groups", T.StringType()), T.StructField("pairs", T.ArrayType(T.LongType())), T.StructField("times", T.ArrayType(T.LongType())), T.StructField("chunk", T.LongType())])
@@ -248,39 +258,49 @@ def token_groups(docs: DataFrame, byte_level: str, pieces: str, text: str = "tex
     rows = docs.drop(*[c for c in COUNTS.names if c != text]).withColumnRenamed(text, "_text")
     schema = T.StructType([*[f for f in rows.schema.fields if f.name != "_text"], *COUNTS.fields])
 
-    def one(value: str, a: list[int], b: list[int], sides: tuple, walk: Transducer, texts: GroupTexts) -> tuple:
-        none = (0, 0, 0, 0, "", np.zeros(0, np.int64), np.zeros(0, np.int64))
-        if not value or _said(a, sides[0].said) != b" " + value.encode():
-            return none
-        ends = walk.groups(a, b)
-        if ends is None:
-            return none
-        ids = (*(np.asarray(x, dtype=np.int64) for x in (a, b)), *(np.asarray(e, dtype=np.int64) for e in ends))
-        pairs, times = linked(*ids)
-        return len(a), len(b), len(ends[0]), int(times.sum()), texts.write(*ids), pairs, times
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def aligned(values: list[str], sides: tuple, walk: Transducer, written: GroupTexts) -> list[pa.Array]:
+        """The columns of COUNTS but the last, for some texts."""
+        first, second, ends_a, ends_b = (array("q") for _ in range(4))
+        counts = np.zeros((len(values), 3), dtype=np.int64)
+        for k, (value, a, b) in enumerate(zip(values, sides[0].encode(values), sides[1].encode(values), strict=True)):
+            before = len(ends_a)
+            if value and a is not None and walk.groups(a, b, ends_a, ends_b):
+                first.extend(a)
+                second.extend(b)
+                counts[k] = len(a), len(b), len(ends_a) - before
+        base = np.cumsum(counts, axis=0) - counts
+        text = np.repeat(np.arange(len(values)), counts[:, 2])
+        x = Aligned(*(np.frombuffer(v, dtype=np.int64) for v in (first, second)), np.frombuffer(ends_a, dtype=np.int64) + base[text, 0], np.frombuffer(ends_b, dtype=np.int64) + base[text, 1], text)
+        of, pairs, times = x.linked()
+        links = np.bincount(of, weights=times, minlength=len(values)).astype(np.int64)
+        offsets = pa.array(np.searchsorted(of, np.arange(len(values) + 1)).astype(np.int32))
+        said, sizes = written.write(x, len(values))
+        strings = pa.LargeStringArray.from_buffers(len(values), pa.py_buffer(np.concatenate([[0], np.cumsum(sizes)]).astype(np.int64)), pa.py_buffer(said)).cast(pa.string())
+        return [*(pa.array(c) for c in counts.T), pa.array(links), strings, pa.ListArray.from_arrays(offsets, pa.array(pairs)), pa.ListArray.from_arrays(offsets, pa.array(times.astype(np.int64)))]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sides = (ByteLevel(models.value[0]), Pieces(models.value[1]))
-        words, walk, texts = Words(*sides), Transducer(sides[0].said, sides[1].said), GroupTexts(*(max(s.said) + 1 for s in sides))
+        walk, written = Transducer(sides[0].said, sides[1].said), GroupTexts(*(max(s.said) + 1 for s in sides))
         chunk, n_rows, n_chars = TaskContext.get().partitionId() << 33, 0, 0
-        for pdf in batches:
-            values, out, at = [t or "" for t in pdf.pop("_text")], [], 0
+        for batch in batches:
+            values, at = [t or "" for t in batch.column("_text").to_pylist()], 0
+            kept = batch.select([i for i, name in enumerate(batch.schema.names) if name != "_text"])
             while at < len(values):  # some at once, by their length
                 end, size = at + 1, len(values[at])
                 while end < len(values) and size + len(values[end]) <= TOGETHER:
                     size, end = size + len(values[end]), end + 1
-                some = values[at:end]
-                for value, (a, b) in zip(some, words.encode(some), strict=True):
+                chunks = []
+                for value in values[at:end]:
                     if n_rows and (n_rows >= CHUNK_ROWS or n_chars + len(value) > CHUNK_CHARS):
                         chunk, n_rows, n_chars = chunk + 1, 0, 0
                     n_rows, n_chars = n_rows + 1, n_chars + len(value)
-                    out.append((*one(value, a, b, sides, walk, texts), chunk))
+                    chunks.append(chunk)
+                made = [*aligned(values[at:end], sides, walk, written), pa.array(chunks, pa.int64())]
+                yield pa.RecordBatch.from_arrays([*(kept.slice(at, end - at).columns), *made], names=[*kept.schema.names, *COUNTS.names])
                 at = end
-            yield pdf.assign(**dict(zip(COUNTS.names, zip(*out, strict=True), strict=True))) if out else pdf.reindex(columns=schema.names)
-            del values, out
         release_memory()
 
-    return rows.mapInPandas(run, schema)
+    return rows.mapInArrow(run, schema)
 
 
 def with_link_counts(aligned: DataFrame) -> DataFrame:
