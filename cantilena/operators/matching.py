@@ -28,21 +28,22 @@ def character_weights(texts: DataFrame, keys: list[str], text: str = "text") ->
     return counted.withColumn("_r", rare).select(*keys, "char", "n", (F.col("_r") / F.sum("_r").over(w)).alias("weight"))
 
 
-def window_search(texts: DataFrame, queries: DataFrame, alphabet: str, *, key: str = "doc_id", stride: int = 50, best: int = 5) -> DataFrame:
-    """The windows of texts (key, text) most like each query (query, query_text) of the same key, by the cosine of character histograms.
+def window_search(texts: DataFrame, queries: DataFrame, *, key: str = "doc_id", stride: int = 50, best: int = 5) -> DataFrame:
+    """The windows of texts (key, text) most like each query (query, query_text) of the same key, by the cosine of their characters' counts, weighted by rarity in the key's text.
 
-    Windows have the query's length and start every stride characters. Windows without a character of the alphabet are skipped.
+    All characters of the text count. Windows have the query's length and start every stride characters; those without a known character are skipped.
     """
     from ..functions.vectors import cosine, letter_counts
 
-    letters = F.array(*[F.lit(c) for c in alphabet])
-    rows = texts.join(queries, key).withColumn("_q", letter_counts(F.col("query_text"), letters))
+    known = F.array_sort(F.collect_list(F.struct("char", "weight")))  # a row a text: its alphabet
+    alphabet = character_weights(texts, [key]).groupBy(key).agg(known.alias("_k")).select(key, F.transform("_k", lambda x: x["char"]).alias("_c"), F.transform("_k", lambda x: x["weight"]).alias("_weights"))
+    weighted = lambda text: F.zip_with(letter_counts(text, F.col("_c")), F.col("_weights"), lambda n, w: n * w)
+    rows = texts.join(queries, key).join(alphabet, key).withColumn("_q", weighted(F.col("query_text")))
     last = F.length("text") - F.length("query_text")
     rows = rows.where(last >= 0).withColumn("at", F.explode(F.sequence(F.lit(0), last, F.lit(stride))))
-    # A cosine doesn't change with the scale, so counts do. Each step is a column, so that it runs once.
-    rows = rows.withColumn("_w", F.substring(F.col("text"), F.col("at") + 1, F.length("query_text"))).withColumn("_h", letter_counts(F.col("_w"), letters))
+    rows = rows.withColumn("_w", F.substring(F.col("text"), F.col("at") + 1, F.length("query_text"))).withColumn("_h", weighted(F.col("_w")))
     rows = rows.select(key, "query", "at", cosine(F.col("_h"), F.col("_q")).alias("similarity"))
-    rank = F.row_number().over(W.partitionBy(key, "query").orderBy(F.col("similarity").desc(), "at"))
+    rank = F.row_number().over(W.partitionBy(key, "query").orderBy(F.round("similarity", 12).desc(), "at"))
     return rows.where("similarity is not null").withColumn("rank", rank).where(F.col("rank") <= best).select(key, "query", "at", "similarity", "rank")
 
 

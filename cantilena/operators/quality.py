@@ -137,10 +137,13 @@ def lags_within(samples: DataFrame, value: str, expected: Column, buffer: float
 T_975 = {4: 2.776445, 5: 2.570582, 6: 2.446912, 7: 2.364624, 8: 2.306004, 9: 2.262157, 10: 2.228139, 11: 2.200985, 12: 2.178813, 13: 2.160369, 14: 2.144787, 15: 2.131450, 16: 2.119905, 17: 2.109816, 18: 2.100922, 19: 2.093024, 20: 2.085963, 21: 2.079614, 22: 2.073873, 23: 2.068658, 24: 2.063899, 25: 2.059539, 26: 2.055529, 27: 2.051831, 28: 2.048407, 29: 2.045230, 30: 2.042272, 31: 2.039513, 32: 2.036933, 33: 2.034515, 34: 2.032245}
 
 
+def t_975(freedom: Column) -> Column:
+    return F.try_element_at(F.create_map(*[F.lit(x) for k, v in T_975.items() for x in (k, v)]), freedom.cast("int"))
+
+
 def lag_confidence(samples: DataFrame, key: str, value: str, order: Column, *, most: int = 35, least: int = 5, width: float = 8.0) -> DataFrame:
     """Mean of the first samples of a key (at most most), its 95 % interval, and whether it is narrow enough."""
     first = samples.withColumn("_n", F.row_number().over(W.partitionBy(key).orderBy(order))).where(F.col("_n") <= most)
     out = first.groupBy(key).agg(F.count("*").alias("n"), F.avg(value).alias("mean"), (F.stddev_samp(value) / F.sqrt(F.count("*"))).alias("_se"))
-    t = F.create_map(*[F.lit(x) for k, v in T_975.items() for x in (k, v)])
-    half = F.try_element_at(t, (F.col("n") - 1).cast("int")) * F.col("_se")
+    half = t_975(F.col("n") - 1) * F.col("_se")
     return out.withColumns({"low": F.col("mean") - half, "high": F.col("mean") + half}).withColumn("confident", (F.col("n") >= least) & ((F.col("high") - F.col("low") <= width) | (F.col("n") >= most))).drop("_se")

@@ -93,16 +93,30 @@ def nearest(left: DataFrame, right: DataFrame, keys: list[str], ts: str, payload
     return both.withColumn("_p", pick).select(*keys, ts, "_l.*", *[F.col("_p")[c].alias(c) for c in payload], F.abs(F.col("_p.ts") - F.col(ts)).alias("gap"))
 
 
+def _level(length: Column, span: float) -> Column:
+    """The level of a dyadic hierarchy of bins, span * 2 ** level long, at which a range of this length lies in two bins at most."""
+    return F.greatest(F.ceil(F.log2(F.greatest(length, F.lit(float(span))) / span)), F.lit(0)).cast("int")
+
+
+def _bin(at: Column, level: Column, span: float) -> Column:
+    return F.floor(at / (F.lit(float(span)) * F.pow(F.lit(2.0), level)))
+
+
 def containing(points: DataFrame, ranges: DataFrame, keys: list[str], at: str, start: str, end: str, span: float = 1000.0) -> DataFrame:
     """Each point with the first range of its keys that holds it, both ends included; points without one go.
 
-    span: the length of the slots that ranges are dealt to, so that a point meets the ranges of its slot alone.
+    Ranges lie in bins of the level that fits their length, two at most; a point looks into one bin of each level that ranges have. span: the length of the least bins. Equal
+    points share one search and come back as often as they are.
     """
-    slot = lambda c: F.floor(F.col(c) / span)
-    dealt = ranges.withColumn("_slot", F.explode(F.sequence(slot(start), F.greatest(slot(start), slot(end)))))
-    rows = points.withColumn("_id", F.struct(*points.columns)).withColumn("_slot", slot(at)).join(dealt, [*keys, "_slot"]).where((F.col(start) <= F.col(at)) & (F.col(at) <= F.col(end)))
+    leveled = ranges.withColumn("_level", _level(F.col(end) - F.col(start), span))
+    levels = [r[0] for r in leveled.select("_level").distinct().sort("_level").collect() if r[0] is not None]  # one a level: at most 64
+    dealt = leveled.withColumn("_bin", F.explode(F.sequence(_bin(F.col(start), F.col("_level"), span), F.greatest(_bin(F.col(start), F.col("_level"), span), _bin(F.col(end), F.col("_level"), span)))))
+    once = points.groupBy(*points.columns).agg(F.count("*").alias("_n"))
+    asked = once.withColumn("_id", F.struct(*points.columns)).withColumn("_level", F.explode(F.array(*[F.lit(x) for x in levels]).cast("array<int>"))).withColumn("_bin", _bin(F.col(at), F.col("_level"), span))
+    rows = asked.join(dealt, [*keys, "_level", "_bin"]).where((F.col(start) <= F.col(at)) & (F.col(at) <= F.col(end)))
     rest = [c for c in ranges.columns if c not in keys]
-    return rows.groupBy("_id").agg(F.min(F.struct(start, *[c for c in rest if c != start])).alias("_r")).select("_id.*", *[F.col("_r")[c].alias(c) for c in rest])
+    best = rows.groupBy("_id").agg(F.min(F.struct(start, *[c for c in rest if c != start])).alias("_r"), F.first("_n").alias("_n"))
+    return best.select("_id", "_r", F.explode(F.sequence(F.lit(1).cast("long"), "_n"))).select("_id.*", *[F.col("_r")[c].alias(c) for c in rest])
 
 
 def interpolated_time(at: Column, start_loc: Column, end_loc: Column, ts: Column, next_ts: Column) -> Column:
@@ -112,13 +126,22 @@ def interpolated_time(at: Column, start_loc: Column, end_loc: Column, ts: Column
 
 
 def overlapping(a: DataFrame, b: DataFrame, keys: list[str], span: float) -> DataFrame:
-    """Pairs of ranges that overlap (open ends). span: the length of the time slots that the ranges are dealt to; a pair is
-    made in the slot where the later one starts, so once."""
-    slots = lambda s, e: F.explode(F.sequence(F.floor(F.col(s) / span), F.floor(F.col(e) / span)))
-    left = a.withColumn("_slot", slots("start", "end"))
-    right = b.select(*keys, *[F.col(c).alias(f"other_{c}") for c in b.columns if c not in keys]).withColumn("_slot", slots("other_start", "other_end"))
-    hit = left.join(right, [*keys, "_slot"]).where((F.col("start") < F.col("other_end")) & (F.col("end") > F.col("other_start")))
-    return hit.where(F.col("_slot") == F.floor(F.greatest("start", "other_start") / span)).drop("_slot")
+    """Pairs of ranges that overlap (open ends). span: the length of the least bins of a dyadic hierarchy.
+
+    Ranges lie in the bins, two at most, of each level from the one that fits their length up to the highest of the other side. A pair is made at the level of its longer range, in the bin
+    where its later start lies, so once. Rows of a range grow with the logarithm of lengths, not with its length.
+    """
+    left = a.withColumn("_fits", _level(F.col("end") - F.col("start"), span))
+    right = b.select(*keys, *[F.col(c).alias(f"other_{c}") for c in b.columns if c not in keys]).withColumn("_other_fits", _level(F.col("other_end") - F.col("other_start"), span))
+    top_a, top_b = left.agg(F.max("_fits")).first()[0] or 0, right.agg(F.max("_other_fits")).first()[0] or 0
+
+    def dealt(rows: DataFrame, start: str, end: str, fits: str, top: int) -> DataFrame:
+        rows = rows.withColumn("_level", F.explode(F.sequence(F.col(fits), F.greatest(F.col(fits), F.lit(top)))))
+        return rows.withColumn("_bin", F.explode(F.sequence(_bin(F.col(start), F.col("_level"), span), F.greatest(_bin(F.col(start), F.col("_level"), span), _bin(F.col(end), F.col("_level"), span)))))
+
+    hit = dealt(left, "start", "end", "_fits", top_b).join(dealt(right, "other_start", "other_end", "_other_fits", top_a), [*keys, "_level", "_bin"])
+    hit = hit.where((F.col("start") < F.col("other_end")) & (F.col("end") > F.col("other_start")) & (F.col("_level") == F.greatest("_fits", "_other_fits")))
+    return hit.where(F.col("_bin") == _bin(F.greatest("start", "other_start"), F.col("_level"), span)).drop("_level", "_bin", "_fits", "_other_fits")
 
 
 def slice_text(index: DataFrame, ranges: DataFrame, text: DataFrame, keys: list[str], pad: float = 0.0) -> DataFrame:

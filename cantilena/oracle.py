@@ -121,12 +121,59 @@ SQL["char_rarity_weights"] = """WITH c AS (SELECT lang, unnest(string_split(rege
 n AS (SELECT lang, char, count(*) AS n FROM c WHERE char <> '' GROUP BY 1, 2),
 w AS (SELECT *, exp(1 - CASE WHEN max(ln(n)) OVER p > min(ln(n)) OVER p THEN (ln(n) - min(ln(n)) OVER p) / (max(ln(n)) OVER p - min(ln(n)) OVER p) ELSE 0 END) AS r FROM n WINDOW p AS (PARTITION BY lang))
 SELECT lang, char, n, round(r / sum(r) OVER (PARTITION BY lang), 8) AS weight FROM w"""
-_HIST = lambda t: "[" + ", ".join(f"(length({t}) - length(replace({t}, '{c}', '')))::DOUBLE" for c in "aeinrst") + "]"
-SQL["window_hist_search"] = f"""WITH {_CAPTIONS}, d AS (SELECT conv_id, string_agg(text, ' ' ORDER BY turn) AS text, arg_max(text, turn) AS q FROM cap GROUP BY conv_id),
-k AS (SELECT conv_id, text, q, unnest(generate_series(0, length(text) - length(q), 50)) AS spot FROM d WHERE length(q) > 0),
-h AS (SELECT conv_id, spot, {_HIST('q')} AS a, {_HIST('substr(text, spot + 1, length(q))')} AS b FROM k),
-s AS (SELECT conv_id, spot, list_dot_product(a, b) / sqrt(list_dot_product(a, a)) / sqrt(list_dot_product(b, b)) AS s FROM h WHERE list_sum(a) > 0 AND list_sum(b) > 0)
-SELECT conv_id AS doc_id, conv_id AS query, spot::INT AS "at", round(s, 6) AS similarity FROM s QUALIFY row_number() OVER (PARTITION BY conv_id ORDER BY s DESC, spot) <= 3"""
+_LIKE = """d AS (SELECT conv_id, string_agg(text, ' ' ORDER BY turn) AS text, arg_max(text, turn) AS q FROM cap GROUP BY conv_id),
+ch AS (SELECT conv_id, unnest(string_split(regexp_replace(text, '[\\s,.?]+', ' ', 'g'), '')) AS ch FROM d),
+cn AS (SELECT conv_id, ch, ln(count(*)) AS n FROM ch WHERE ch <> '' GROUP BY 1, 2),
+cr AS (SELECT conv_id, ch, exp(1 - CASE WHEN max(n) OVER p > min(n) OVER p THEN (n - min(n) OVER p) / (max(n) OVER p - min(n) OVER p) ELSE 0 END) AS r FROM cn WINDOW p AS (PARTITION BY conv_id)),
+cw AS (SELECT conv_id, ch, r / sum(r) OVER (PARTITION BY conv_id) AS w FROM cr)"""
+
+
+def _scored(name: str, windows: str) -> str:
+    """Cosines of the weighted characters of windows (conv_id, spot, p, q)."""
+    return f"""{name}_h AS (SELECT conv_id, spot, w * (length(p) - length(replace(p, ch, ''))) AS a, w * (length(q) - length(replace(q, ch, ''))) AS b FROM {windows} JOIN cw USING (conv_id)),
+{name} AS (SELECT conv_id, spot, round(sum(a * b) / sqrt(sum(a * a)) / sqrt(sum(b * b)), 12) AS s FROM {name}_h GROUP BY 1, 2 HAVING sum(a) > 0 AND sum(b) > 0)"""
+
+
+SQL["window_hist_search"] = f"""WITH {_CAPTIONS}, {_LIKE}, k AS (SELECT conv_id, text, q, unnest(generate_series(0, length(text) - length(q), 50)) AS spot FROM d WHERE length(q) > 0),
+v AS (SELECT conv_id, spot, substr(text, spot + 1, length(q)) AS p, q FROM k), {_scored("c", "v")}
+SELECT conv_id AS doc_id, conv_id AS query, spot::INT AS "at", round(s, 6) AS similarity FROM c QUALIFY row_number() OVER (PARTITION BY conv_id ORDER BY s DESC, spot) <= 3"""
+SQL["window_fine_search"] = f"""WITH {_CAPTIONS}, {_LIKE}, d1 AS (SELECT conv_id, text, substr(q, 1, 150) AS q FROM d WHERE length(q) > 0),
+k AS (SELECT conv_id, text, q, unnest(generate_series(0, length(text) - length(q), 50)) AS spot FROM d1), v AS (SELECT conv_id, spot, substr(text, spot + 1, length(q)) AS p, q FROM k), {_scored("c", "v")},
+h AS (SELECT conv_id, spot FROM c QUALIFY row_number() OVER (PARTITION BY conv_id ORDER BY s DESC, spot) <= 5),
+g AS (SELECT conv_id, greatest(0, spot - 300) AS a, least(length(text), spot + 450) AS b FROM h JOIN d USING (conv_id)),
+i AS (SELECT *, CASE WHEN a <= max(b) OVER (PARTITION BY conv_id ORDER BY a, b ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) THEN 0 ELSE 1 END AS f FROM g),
+u AS (SELECT *, sum(f) OVER (PARTITION BY conv_id ORDER BY a, b ROWS UNBOUNDED PRECEDING) AS u FROM i), m AS (SELECT conv_id, min(a) AS a, max(b) AS b FROM u GROUP BY conv_id, u),
+k2 AS (SELECT DISTINCT conv_id, substr(q, 1, 250) AS q, text, unnest(generate_series(a, b - length(substr(q, 1, 250)), 5)) AS spot FROM m JOIN d USING (conv_id)),
+v2 AS (SELECT conv_id, spot, substr(text, spot + 1, length(q)) AS p, q FROM k2), {_scored("e", "v2")}
+SELECT conv_id AS doc_id, conv_id AS query, spot::INT AS "at", round(s, 6) AS similarity FROM e QUALIFY row_number() OVER (PARTITION BY conv_id ORDER BY s DESC, spot) = 1"""
+_NEAR = "list_filter(v, lambda x: abs(x - c0) <= abs(x - c1))"
+_FAR = "list_filter(v, lambda x: abs(x - c0) > abs(x - c1))"
+SQL["kmeans_2"] = f"""WITH RECURSIVE {_WORDS}, l AS (SELECT entry, list(prob) AS v FROM words GROUP BY entry),
+r AS (SELECT entry, v, 0::DOUBLE AS c0, 1::DOUBLE AS c1, 1 AS i FROM l
+  UNION ALL SELECT entry, v, a, b, i + 1 FROM (SELECT *, coalesce(list_avg({_NEAR}), c0) AS a, coalesce(list_avg({_FAR}), c1) AS b FROM r)
+  WHERE i < 20 AND NOT (abs(a - c0) <= 1e-8 + 1e-5 * abs(c0) AND abs(b - c1) <= 1e-8 + 1e-5 * abs(c1))),
+f AS (SELECT entry, arg_max(c0, i) AS c0, arg_max(c1, i) AS c1 FROM r GROUP BY entry)
+SELECT entry, event_id, CASE WHEN abs(prob - c0) <= abs(prob - c1) THEN 0 ELSE 1 END::BIGINT AS cls FROM words JOIN f USING (entry)"""
+SQL["first_break"] = f"""WITH {_WORDS}, w AS (SELECT entry, "end" AS e, sum({_BAD}) OVER x AS b, sum({_GOOD}) OVER x AS g, sum(greatest(duration, 0.1)) OVER x AS t, lead("end") OVER (PARTITION BY entry ORDER BY "end") - "end" AS gap
+  FROM words WINDOW x AS (PARTITION BY entry ORDER BY "end" RANGE BETWEEN 172800 PRECEDING AND CURRENT ROW)),
+r AS (SELECT entry, e, gap, t >= 5 AND (g = 0 OR b / g > 0.05) AS broken FROM w),
+f AS (SELECT entry, CASE WHEN broken THEN e WHEN gap > 43200 THEN e + 43200 END AS spot, CASE WHEN broken THEN 'ratio' ELSE 'silence' END AS reason FROM r)
+SELECT entry, round(spot, 3) AS "at", reason FROM f WHERE spot IS NOT NULL QUALIFY row_number() OVER (PARTITION BY entry ORDER BY spot, reason) = 1"""
+SQL["lag_stopping"] = f"""WITH {_WORDS}, e AS (SELECT entry, row_number() OVER (PARTITION BY entry ORDER BY event_id) - 1 AS draw, CASE WHEN event_id % 10 <> 0 THEN duration * 4 END AS lag FROM words),
+p AS (SELECT entry, draw, lag, CASE WHEN lag BETWEEN 2 AND 18 THEN lag END AS i FROM e),
+a AS (SELECT entry, draw, count(i) OVER u AS n, count(lag) OVER u AS n_all, avg(i) OVER u AS m, stddev_samp(i) OVER u AS sd FROM p WINDOW u AS (PARTITION BY entry ORDER BY draw ROWS UNBOUNDED PRECEDING)),
+j AS (SELECT a.*, m - t * sd / sqrt(n) AS low, m + t * sd / sqrt(n) AS high FROM a LEFT JOIN (VALUES {_T}) q(df, t) ON df = n - 1),
+s AS (SELECT *, coalesce(n >= 5 AND high - low <= 8, FALSE) OR n_all >= 35 AS stopped FROM j),
+k AS (SELECT *, row_number() OVER (PARTITION BY entry ORDER BY CASE WHEN stopped THEN draw ELSE 1e9 - draw END) AS k FROM s)
+SELECT entry, draw + 1 AS draws, n, round(coalesce(m, 10), 5) AS lag, round(low, 5) AS low, round(high, 5) AS high, stopped FROM k WHERE k = 1"""
+SQL["time_index_repair_b"] = f"""WITH RECURSIVE {_WORDS}, p AS (SELECT entry, row_number() OVER (PARTITION BY entry ORDER BY event_id) - 1 AS idx,
+  greatest(floor((start - 1704067200) / 60) + event_id % 97 - 48, 0)::DOUBLE AS sec FROM words),
+l AS (SELECT entry, list(sec ORDER BY idx) AS x, count(*) AS n, arg_min(idx, sec + idx / 1e9) FILTER (sec > 0) AS f FROM p GROUP BY entry),
+m AS (SELECT entry, idx, sec, f, n, greatest(1, f) AS s, list_filter([x[idx + 3], x[idx + 5], x[idx + 7], x[idx + 9]], lambda v: v IS NOT NULL) AS ahead FROM p JOIN l USING (entry)),
+r AS (SELECT entry, idx, sec AS cur, ahead FROM m WHERE idx = s AND f IS NOT NULL
+  UNION ALL SELECT m.entry, m.idx, CASE WHEN r.cur > m.sec THEN r.cur WHEN m.sec - r.cur > 30 AND NOT abs(m.sec - coalesce(list_median(r.ahead), r.cur + 30)) < abs(r.cur - coalesce(list_median(r.ahead), r.cur + 30)) THEN r.cur + 30 ELSE m.sec END, m.ahead
+  FROM r JOIN m ON m.entry = r.entry AND m.idx = r.idx + 1)
+SELECT m.entry, m.idx::BIGINT AS idx, CASE WHEN m.f IS NULL THEN m.sec WHEN m.idx < m.s THEN 0 ELSE r.cur END AS sec FROM m LEFT JOIN r ON r.entry = m.entry AND r.idx = m.idx"""
 SQL["locate_prefix"] = f"""WITH {_OFFSETS}, {_WHOLE}, w AS (SELECT o.conv_id, o.turn, o.start_loc, o.text, w.text AS whole FROM off o JOIN whole w USING (conv_id) WHERE length(o.text) > 0),
 p AS (SELECT conv_id, turn, substr(text, 1, 90) AS q, whole, unnest([270, 405, 608]) AS r, start_loc FROM w),
 f AS (SELECT conv_id, turn, r, greatest(start_loc - r, 0) AS lo, instr(substr(whole, greatest(start_loc - r, 0) + 1, 2 * r + length(q)), q) AS spot FROM p)

@@ -14,13 +14,15 @@ from pyspark.sql import Window as W
 
 from .functions import text as T
 from .functions.vectors import cosine
+from .operators import clusters as K
+from .operators import lags as G
 from .operators import matching as M
 from .operators import packing as P
 from .operators import quality as Q
 from .operators import relational as R
 from .operators import sequential as S
 from .operators import timeline as L
-from .plans import corpus
+from .plans import corpus, recovery
 from .sources import captions as C
 from .sources import sinks
 from .streaming import words as ST
@@ -351,7 +353,64 @@ def timed_segments(spark, sf):
 
 @query
 def kmeans_2(spark, sf):
-    return S.per_entry(_words(spark, sf), ["entry"], "event_id long, cls long", lambda p: list(zip(p["event_id"].tolist(), [int(x) for x in S.two_means(p["prob"].tolist())], strict=True)), ["event_id"])
+    return K.two_means(_words(spark, sf).select("entry", "event_id", "prob"), ["entry"], "prob").select("entry", "event_id", "cls")
+
+
+@query
+def first_break(spark, sf):
+    out = Q.first_break(_words(spark, sf), span=48 * HOUR, warm_up=5.0, limit=0.05, silence=12 * HOUR)
+    return out.select("entry", F.round("at", 3).alias("at"), "reason")
+
+
+@query
+def lag_stopping(spark, sf):
+    draw = F.row_number().over(W.partitionBy("entry").orderBy("event_id")) - 1
+    samples = _words(spark, sf).select("entry", draw.alias("draw"), F.when(F.col("event_id") % 10 != 0, F.col("duration") * 4).alias("lag"))
+    expected = samples.select("entry").distinct().withColumn("expected", F.lit(10.0))
+    out = G.sequential_lags(samples, lambda drawn: drawn, expected, ["entry"], G.LagSettings(buffer=8.0))
+    return out.select("entry", "draws", "n", *[F.round(c, 5).alias(c) for c in ("lag", "low", "high")], "stopped")
+
+
+@query
+def audio_lag(spark, sf):
+    """Turns as samples, said at twenty characters a second and seven seconds before the transcript has them."""
+    offsets = L.text_offsets(_captions(spark, sf).withColumn("text", F.concat("text", F.lit(" "))), ["conv_id"], ["turn"])
+    texts = R.ordered_concat(_captions(spark, sf), "conv_id", "turn", "text", " ")
+    index = offsets.select("conv_id", "start_loc", "end_loc", (F.col("start_loc") / 20).alias("ts"))
+    samples = offsets.where("end_loc - start_loc > 25").withColumn("draw", F.row_number().over(W.partitionBy("conv_id").orderBy(F.xxhash64("conv_id", "turn"))) - 1)
+    samples = samples.select("conv_id", "draw", F.col("draw").alias("query"), F.col("text").alias("query_text"), (F.col("start_loc") / 20 - 7).alias("begins"))
+
+    def estimate(drawn):
+        found = M.fine_search(texts, drawn.select("conv_id", "query", "query_text"), key="conv_id")
+        return G.lags_of_places(found, index, drawn, ["conv_id"]).withColumnRenamed("query", "draw")
+
+    expected = index.groupBy("conv_id").agg(F.lit(7.0).alias("expected"))
+    out = G.sequential_lags(samples, estimate, expected, ["conv_id"])
+    return out.select("conv_id", "draws", "n", *[F.round(c, 4).alias(c) for c in ("lag", "low", "high")], "stopped")
+
+
+def _steady_voice(requests):
+    """Stands for a model: four words a second; what it says of a word hangs on the word and the time, and some stretches of time are unclear unless their end is known."""
+    n, words = F.size("_words"), F.split(F.trim(F.regexp_replace("text", "\\s+", " ")), " ")
+    rows = requests.withColumn("_words", F.filter(words, lambda w: w != "")).where(n > 0).withColumn("seg", F.explode(F.sequence(F.lit(0), F.floor((n - 1) / 8).cast("int"))))
+    part = F.slice("_words", F.col("seg") * 8 + 1, 8)
+    at = lambda i: F.col("start") + (F.col("seg") * 8 + i) / 4.0
+    unclear = lambda t: F.col("stop").isNull() & (F.pmod(F.xxhash64("conv_id", F.floor(t / 10)), F.lit(3)) == 0)
+    said = F.transform("_part", lambda w, i: F.struct(w.alias("word"), at(i).alias("start"), at(i + 1).alias("end"), F.when(unclear(at(i)), 0.125).otherwise(0.75 + F.pmod(F.xxhash64(w), F.lit(2)) / 8).alias("prob")))
+    rows = rows.withColumn("_part", part).select("conv_id", "seg", F.array_join("_part", " ").alias("text"), said.alias("words"))
+    return rows.select("conv_id", "seg", F.element_at("words", 1)["start"].alias("start"), F.element_at("words", -1)["end"].alias("end"), "text", "words")
+
+
+@query
+def align_recovery(spark, sf):
+    """Turns as a rough transcript, five words a second, aligned by a stand-in for a model."""
+    turns = _captions(spark, sf).withColumn("text", F.trim(F.regexp_replace("text", "\\s+", " "))).where("text != ''")
+    long = F.size(F.split("text", " ")) / 5.0
+    order = W.partitionBy("conv_id").orderBy("turn")
+    rows = turns.withColumns({"id": F.row_number().over(order) - 1, "_end": F.sum(long).over(order.rowsBetween(W.unboundedPreceding, 0))})
+    original = rows.select("conv_id", "id", (F.col("_end") - long).alias("start"), F.col("_end").alias("end"), "text")
+    out = recovery.recovered(original, _steady_voice, "conv_id", recovery.ControlSettings(window=8.0, hop=2.0, least_skip=3.0, most_skip=24.0, back=6.0, radius=54.0, probe=18))
+    return out.select("conv_id", "piece", F.round("start", 3).alias("start"), F.round("end", 3).alias("end"), F.size("words").alias("n_words"), F.md5(F.col("text").cast("binary")).alias("digest"))
 
 
 @query
@@ -365,7 +424,7 @@ def window_hist_search(spark, sf):
     turns = _captions(spark, sf)
     texts = R.ordered_concat(turns, "conv_id", "turn", "text", " ").withColumnRenamed("conv_id", "doc_id")
     last = turns.groupBy("conv_id").agg(F.max_by("text", "turn").alias("query_text")).where("length(query_text) > 0")
-    return M.window_search(texts, last.select(F.col("conv_id").alias("doc_id"), F.col("conv_id").alias("query"), "query_text"), "aeinrst", best=3).select("doc_id", "query", "at", F.round("similarity", 6).alias("similarity"))
+    return M.window_search(texts, last.select(F.col("conv_id").alias("doc_id"), F.col("conv_id").alias("query"), "query_text"), best=3).select("doc_id", "query", "at", F.round("similarity", 6).alias("similarity"))
 
 
 @query
