@@ -172,7 +172,7 @@ def seconds_to_frames_nearest(seconds: Column, frame: float = 0.02) -> Column:
 
 
 def clamp_range(start: Column, end: Column, low: Column, high: Column) -> tuple[Column, Column]:
-    """A word's times inside [low, high], with start <= end."""
+    """A word's times inside [low, high], with start <= end; a null bound doesn't bound."""
     first = F.least(F.greatest(start, low), high)
     return first, F.greatest(first, F.least(F.greatest(end, low), high))
 

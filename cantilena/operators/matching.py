@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
 from ..functions.text import squeeze_marks
+from ..storage import cut
 
 _SPLIT = re.compile(r"[\s.,;!?()\[\]{}]")
 
@@ -186,6 +187,96 @@ def warp_ends(query: np.ndarray, reference: np.ndarray, rows: int = 16) -> tuple
     return float(total[j] / n), int(start[j]), j
 
 
+#: Rows of the query that a superstep of tiled_warp takes, columns of a tile (twice the rows at least), and the product of lengths from which align_splits uses tiles.
+TILE_ROWS, TILE_COLUMNS, TILED_FROM = 512, 4096, 2**31
+
+
+def piece_shares(text: str, lo: int, begin: int, end: int, weights: dict[str, float], width: int) -> np.ndarray:
+    """Unit histograms of places begin to end of a text of which `text` is the part from lo on, with half a width more than that on either side, or to the text's own ends."""
+    return unit_rows(sliding_histograms(text, weights, width)[begin - lo : end - lo])
+
+
+def advanced(total: np.ndarray, start: np.ndarray, query: np.ndarray, columns: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Totals and starts after some rows of the query more. Without totals the first row begins them, at the columns named by start."""
+    for cost in 1 - query @ columns.T:
+        if not len(total):
+            total = cost.copy()
+            continue
+        best, come = total.copy(), start.copy()
+        for k in (1, 2):
+            if len(total) > k:
+                better = total[:-k] < best[k:]
+                np.copyto(best[k:], total[:-k], where=better)
+                np.copyto(come[k:], start[:-k], where=better)
+        total, start = best + cost, come
+    return total, start
+
+
+def tiled_warp(splits: DataFrame, keys: list[str], *, width: int = 20, rows: int = TILE_ROWS, columns: int = TILE_COLUMNS) -> DataFrame:
+    """(keys, distance, first, last) of warp_ends for splits (keys, base, reference, weights), many tasks a split.
+
+    The reference is cut into tiles of columns. A total hangs on the row before, at its own column and the two to the left, so a superstep can take some rows of the query in all tiles at once,
+    if each tile starts with twice as many of its left neighbour's columns too: what is wrong at their left rim doesn't reach its own. Between supersteps those columns
+    change hands in a shuffle. Splits whose query is through leave. Base and reference must not be empty.
+    """
+    if columns < 2 * rows:
+        raise ValueError("a tile must be as wide as two columns for each row of a superstep")
+    half, halo = width // 2, 2 * rows
+    n, m = F.length("base"), F.length("reference")
+    lo = F.greatest(F.col("tile") * columns - halo - half, F.lit(0))
+    tiles = splits.select(*keys, "weights", "reference", n.alias("n"), m.alias("m"), F.explode(F.sequence(F.lit(0), F.floor((m - 1) / columns).cast("int"))).alias("tile"))
+    tiles = tiles.withColumn("lo", lo).withColumn("piece", F.substring(F.col("reference"), F.col("lo") + 1, F.lit(columns + halo + 2 * half + 1))).drop("reference")
+    tiles = cut(tiles)
+    slices = splits.select(*keys, F.col("base"), F.explode(F.sequence(F.lit(0), F.floor((n - 1) / rows).cast("int"))).alias("step"))
+    slices = slices.withColumn("from", F.greatest(F.col("step") * rows - half, F.lit(0))).withColumn("said", F.substring(F.col("base"), F.col("from") + 1, F.lit(rows + 2 * half + 1))).drop("base")
+    slices = cut(slices)
+    steps = slices.agg(F.max("step")).first()[0]
+    if steps is None:
+        return splits.select(*keys, F.lit(None).cast("double").alias("distance"), F.lit(None).cast("int").alias("first"), F.lit(None).cast("int").alias("last"))
+    held = "totals array<double>, starts array<int>"
+    schema = ", ".join([*(f"`{k}` {t}" for k, t in splits.select(*keys).dtypes), "tile int, n int", held])
+    session = splits.sparkSession
+    tasks = max(int(session.conf.get("spark.sql.shuffle.partitions")), session.sparkContext.defaultParallelism)
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            totals, starts = [], []
+            for r in pdf.itertuples(index=False):
+                weights = dict(r.weights)
+                begin, end = max(0, r.tile * columns - halo), min(r.m, (r.tile + 1) * columns)
+                query = piece_shares(r.said, r[names["from"]], r.step * rows, min(r.n, (r.step + 1) * rows), weights, width)
+                reference = piece_shares(r.piece, r.lo, begin, end, weights, width)
+                if r.step == 0:
+                    total, start = np.empty(0), np.arange(begin, end, dtype=np.int32)
+                else:
+                    left = [np.asarray(x if x is not None else [], dtype=t) for x, t in ((r.left_totals, float), (r.left_starts, np.int32))]
+                    total, start = np.concatenate([left[0], r.totals]), np.concatenate([left[1], r.starts]).astype(np.int32)
+                total, start = advanced(total, start, query, reference)
+                own = min(r.m, (r.tile + 1) * columns) - r.tile * columns
+                totals.append(total[-own:])
+                starts.append(start[-own:])
+            yield pdf[[*keys, "tile", "n"]].assign(totals=totals, starts=starts)
+
+    empty = [F.array().cast("array<double>").alias("totals"), F.array().cast("array<int>").alias("starts")]
+    state, done = tiles.select(*keys, "tile", "n", *empty), []
+    for step in range(steps + 1):
+        handed = state.select(*keys, (F.col("tile") + 1).alias("tile"), F.expr(f"slice(totals, greatest(size(totals) - {halo - 1}, 1), {halo})").alias("left_totals"), F.expr(f"slice(starts, greatest(size(starts) - {halo - 1}, 1), {halo})").alias("left_starts"))
+        asked = slices.where(F.col("step") == step)
+        work = state.drop("n").join(handed, [*keys, "tile"], "left").join(tiles, [*keys, "tile"]).join(asked, keys)
+        names = {c: i for i, c in enumerate(work.columns)}
+        state = cut(work.repartition(tasks, *keys, "tile").mapInPandas(run, schema))
+        over = F.col("n") <= (step + 1) * rows
+        if step == steps or not (ended := state.where(over)).isEmpty():
+            ended = state.where(over)
+            best = F.array_min(F.transform("totals", lambda x, i: F.struct(x.alias("t"), (F.col("tile") * columns + i).alias("j"), F.element_at("starts", i + 1).alias("s"))))
+            done.append(ended.groupBy(*keys, "n").agg(F.min(best).alias("_b")).select(*keys, (F.col("_b.t") / F.col("n")).alias("distance"), F.col("_b.s").cast("int").alias("first"), F.col("_b.j").cast("int").alias("last")))
+            state = state.where(~over)
+    out = done[0]
+    for d in done[1:]:
+        out = out.unionByName(d)
+    return out
+
+
 def matching_edge(reference: str, cuts: Sequence[int], near: int, query_edge: str, weights: dict[str, float], reach: int = 2, limit: float = 0.35, least: int = 4) -> int | None:
     """Of the cuts around a place, the one whose piece up to the next cut is most like the query's edge; None if none is like enough."""
     if len(query_edge) < least or not len(cuts):
@@ -245,9 +336,14 @@ def align_text(base: str, reference: str, weights: dict[str, float], *, width: i
         return base, float("inf"), True
     shares = reference_shares(reference, weights, width, step) if shares is None else shares
     distance, first, last = warp_ends(unit_rows(sliding_histograms(base, weights, width)[::step]), shares)
+    return cut_out(base, reference, weights, distance, first * step, last * step, limit)
+
+
+def cut_out(base: str, reference: str, weights: dict[str, float], distance: float, first: int, last: int, limit: float = 0.35) -> tuple[str, float, bool]:
+    """align_text once the base is known to warp onto places first to last."""
     if distance >= limit:
         return base, distance, True
-    left, right = reference_edges(base, reference, first * step, last * step, weights)
+    left, right = reference_edges(base, reference, first, last, weights)
     aligned = reference[left:right].strip()
     return (aligned, distance, False) if aligned else (base, distance, True)
 
@@ -262,11 +358,12 @@ def raw_weights(texts: DataFrame, keys: list[str], text: str) -> DataFrame:
     return span.select(*keys, rare.alias("_rare")).select(*keys, F.map_from_entries(F.transform("_rare", lambda x: F.struct(x["c"], x["w"] / total))).alias("weights"))
 
 
-def align_splits(splits: DataFrame, keys: list[str], *, width: int = 20, limit: float = 0.35, step: int = 1) -> DataFrame:
+def align_splits(splits: DataFrame, keys: list[str], *, width: int = 20, limit: float = 0.35, step: int = 1, tiled_from: int = TILED_FROM) -> DataFrame:
     """splits (keys, split_idx, base, reference): with aligned, alignment_distance and is_fallback; weights come from an entry's references.
     step: every which character is compared.
 
-    Splits are dealt out one by one, so a long entry is shared by many tasks; a split meets its own reference only.
+    Splits are dealt out one by one, so a long entry is shared by many tasks; a split meets its own reference only. A split whose lengths multiply to more than tiled_from is itself
+    shared by many tasks, in tiles (if every character is compared).
     """
     kinds = dict(splits.dtypes)
     columns = [*keys, "split_idx", "base", "reference"]
@@ -276,11 +373,26 @@ def align_splits(splits: DataFrame, keys: list[str], *, width: int = 20, limit:
             got = [align_text(b or "", r or "", dict(w or {}), width=width, limit=limit, step=step) for b, r, w in zip(pdf["base"], pdf["reference"], pdf.pop("weights"), strict=True)]
             yield pdf.assign(aligned=[g[0] for g in got], alignment_distance=[g[1] for g in got], is_fallback=[g[2] for g in got])
 
+    def finish(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            got = [cut_out(r.base, r.reference, dict(r.weights), r.distance, r.first, r.last, limit) for r in pdf.itertuples(index=False)]
+            yield pdf[columns].assign(aligned=[g[0] for g in got], alignment_distance=[g[1] for g in got], is_fallback=[g[2] for g in got])
+
     schema = ", ".join([*(f"`{c}` {kinds[c]}" for c in columns), "aligned string", "alignment_distance double", "is_fallback boolean"])
     rows = splits.select(*columns).join(raw_weights(splits.select(*keys, "reference"), keys, "reference"), keys, "left")
     # Little data and much work: adaptive execution would gather it in one task, but leaves a number of partitions that is asked for.
     tasks = max(int(splits.sparkSession.conf.get("spark.sql.shuffle.partitions")), 4 * splits.sparkSession.sparkContext.defaultParallelism)
-    return rows.repartition(tasks, F.xxhash64(*columns)).mapInPandas(run, schema)
+    cells = F.coalesce(F.length("base").cast("long") * F.length("reference"), F.lit(0))
+    if step != 1 or (splits.agg(F.max(cells)).first()[0] or 0) <= tiled_from:
+        return rows.repartition(tasks, F.xxhash64(*columns)).mapInPandas(run, schema)
+    # Texts without a known character are left to align_text, which takes them as they are.
+    large = (cells > tiled_from) & F.exists(F.map_keys("weights"), lambda c: F.contains("base", c))
+    known = [*keys, "split_idx", F.md5(F.col("base").cast("binary")).alias("_base"), F.md5(F.col("reference").cast("binary")).alias("_reference")]
+    ids = [*keys, "split_idx", "_base", "_reference"]
+    wide = rows.where(large).select("*", *known[len(keys) + 1 :])
+    warped = tiled_warp(wide.dropDuplicates(ids).select(*ids, "base", "reference", "weights"), ids, width=width)
+    tiled = wide.join(warped, ids).repartition(tasks, F.xxhash64(*columns)).mapInPandas(finish, schema)
+    return rows.where(~F.coalesce(large, F.lit(False))).repartition(tasks, F.xxhash64(*columns)).mapInPandas(run, schema).unionByName(tiled)
 
 
 def locate_text(window: Column, wanted: Column, radii: Sequence[int], centre: Column) -> Column:

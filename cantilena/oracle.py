@@ -166,6 +166,55 @@ j AS (SELECT a.*, m - t * sd / sqrt(n) AS low, m + t * sd / sqrt(n) AS high FROM
 s AS (SELECT *, coalesce(n >= 5 AND high - low <= 8, FALSE) OR n_all >= 35 AS stopped FROM j),
 k AS (SELECT *, row_number() OVER (PARTITION BY entry ORDER BY CASE WHEN stopped THEN draw ELSE 1e9 - draw END) AS k FROM s)
 SELECT entry, draw + 1 AS draws, n, round(coalesce(m, 10), 5) AS lag, round(low, 5) AS low, round(high, 5) AS high, stopped FROM k WHERE k = 1"""
+
+
+def _slice_silences(source: str) -> str:
+    """Rows of source (entry, total, r, spot: where a slice begins) with fin, its end, and found: its silences, shrunk; r: the quiet runs of the whole entry, in frames."""
+    return f"""SELECT entry, total, r, spot, fin, CASE WHEN fb - fa - zeros > zeros THEN list_transform(list_filter(list_transform(c,
+    lambda q: {{'s': spot + (q.a - fa) * 0.02::DOUBLE, 't': spot + (CASE WHEN q.b = fb THEN q.b - fa ELSE q.b - fa - 1 END) * 0.02::DOUBLE}}), lambda q: q.t - q.s > 1::DOUBLE AND q.s + 0.3::DOUBLE < q.t - 0.3::DOUBLE),
+    lambda q: {{'s': q.s + 0.3::DOUBLE, 't': q.t - 0.3::DOUBLE}}) END AS found
+  FROM (SELECT *, coalesce(list_sum(list_transform(c, lambda q: q.b - q.a)), 0) AS zeros FROM (SELECT *, list_filter(list_transform(r, lambda q: {{'a': greatest(q.a, fa), 'b': least(q.b, fb)}}), lambda q: q.a < q.b) AS c
+    FROM (SELECT *, round(spot / 0.02::DOUBLE)::BIGINT AS fa, round(fin / 0.02::DOUBLE)::BIGINT AS fb FROM (SELECT *, least(spot + 20::DOUBLE, total) AS fin FROM {source}))))"""
+
+
+SQL["speech_ranges"] = f"""WITH RECURSIVE {_WORDS}, e AS (SELECT entry, prob < 0.4 AS z, row_number() OVER (PARTITION BY entry ORDER BY event_id) - 1 AS i FROM words),
+u AS (SELECT entry, i, i - row_number() OVER (PARTITION BY entry ORDER BY i) AS g FROM e WHERE z), v AS (SELECT entry, min(i) * 100 AS a, (max(i) + 1) * 100 AS b FROM u GROUP BY entry, g),
+l AS (SELECT n.entry, n.total, coalesce(q.r, []) AS r FROM (SELECT entry, (count(*) * 100)::DOUBLE * 0.02::DOUBLE AS total FROM e GROUP BY entry) n LEFT JOIN (SELECT entry, list({{'a': a, 'b': b}} ORDER BY a) AS r FROM v GROUP BY entry) q USING (entry)),
+s AS (SELECT entry, total, r, 0::DOUBLE AS spot FROM l
+  UNION ALL SELECT entry, total, r, CASE WHEN following > spot THEN following ELSE fin END FROM (SELECT *, CASE WHEN fin < total AND found[-1].s > fin - 5 THEN greatest(found[-1].s - 0.3::DOUBLE, spot + 5) ELSE fin END AS following FROM ({_slice_silences("s")}))
+  WHERE CASE WHEN following > spot THEN following ELSE fin END < total - 1e-9),
+k AS (SELECT entry, total, unnest(CASE WHEN fin < total AND found[-1].s > fin - 5 THEN found[:-2] ELSE found END) AS f FROM ({_slice_silences("s")})),
+p AS (SELECT entry, f.s AS a, f.t AS b FROM k UNION ALL SELECT entry, total, total FROM l),
+o AS (SELECT entry, coalesce(max(b) OVER (PARTITION BY entry ORDER BY a, b ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS lo, a FROM p)
+SELECT entry, round(lo, 4) AS start, round(a, 4) AS "end" FROM o WHERE lo < a"""
+
+
+def _spoken(text: str) -> str:
+    """A text without bracketed parts, dashes and semicolons as commas or spaces, and single spaces."""
+    out = f"regexp_replace(regexp_replace(regexp_replace({text}, '\\[.*?\\]', '', 'g'), '([\\p{{L}}\\p{{N}}_])\\s[–—]', '\\1,', 'g'), '([\\p{{L}}\\p{{N}}_]);', '\\1,', 'g')"
+    return f"regexp_replace(translate({out}, '–—', '  '), '\\s+', ' ', 'g')"
+
+
+SQL["timed_segments"] = f"""WITH RECURSIVE {_OFFSETS}, {_WHOLE}, o AS (SELECT conv_id, start_loc AS a, end_loc AS b, turn * 7.0::DOUBLE AS t, row_number() OVER w AS i, coalesce(lead(turn * 7.0::DOUBLE) OVER w, turn * 7.0::DOUBLE) AS nt,
+  lead(start_loc) OVER w AS na, lead(end_loc) OVER w AS nb FROM off WINDOW w AS (PARTITION BY conv_id ORDER BY turn * 7.0, start_loc)),
+r AS (SELECT DISTINCT conv_id, 0::BIGINT AS i, NULL::BIGINT AS lo, NULL::DOUBLE AS pace, FALSE AS made, 0::DOUBLE AS start, 0::DOUBLE AS stop, '' AS said FROM o
+  UNION ALL SELECT conv_id, i, CASE WHEN merge THEN st END, CASE WHEN NOT merge AND lasts <= 10 AND n > 0 THEN 0.98::DOUBLE * coalesce(pace, 0.42::DOUBLE) + 0.02::DOUBLE * lasts / n ELSE pace END, NOT merge, t,
+    t + CASE WHEN lasts > 10 AND lasts > 3 * expected THEN expected ELSE lasts END, said
+  FROM (SELECT *, nt - t AS lasts, nt = t OR (regexp_matches(said, '[\\p{{L}}\\p{{N}}_]$') AND regexp_matches(ahead, '^[\\p{{L}}\\p{{N}}_]')) OR (expected < 15 AND NOT regexp_matches(trim(right(said, 10)), '[,.!?:]$') AND nt - (t + expected) <= 2) AS merge
+    FROM (SELECT *, n * coalesce(pace, 0.42::DOUBLE) AS expected FROM (SELECT *, CASE WHEN trim(said) = '' THEN 0 ELSE length(trim(said)) - length(replace(trim(said), ' ', '')) + 1 END AS n
+      FROM (SELECT o.*, r.pace, coalesce(r.lo, o.a) AS st, {_spoken("substr(w.text, (coalesce(r.lo, o.a) + 1)::BIGINT, (o.b - coalesce(r.lo, o.a))::BIGINT)")} AS said, coalesce({_spoken("substr(w.text, (o.na + 1)::BIGINT, (o.nb - o.na)::BIGINT)")}, '') AS ahead
+        FROM r JOIN o ON o.conv_id = r.conv_id AND o.i = r.i + 1 JOIN whole w ON w.conv_id = o.conv_id)))))
+SELECT conv_id, round(start, 4) AS start, round(stop, 4) AS "end", said AS text FROM r WHERE made"""
+_BEFORE = "coalesce(list_sum(list_transform(list_filter(range(lo, hi), lambda q: q <> k AND s[q + 1] > 0 AND (s[q + 1] > s[j + 1] OR (s[q + 1] = s[j + 1] AND q < j))), lambda q: s[q + 1])), 0)"
+SQL["time_index_repair_a"] = f"""WITH RECURSIVE {_WORDS}, p AS (SELECT entry, row_number() OVER (PARTITION BY entry ORDER BY event_id) - 1 AS idx,
+  greatest(floor((start - 1704067200) / 60) + event_id % 97 - 48, 0)::BIGINT AS sec FROM words),
+l AS (SELECT entry, list(sec ORDER BY idx) AS x, min(sec) FILTER (sec > 0) AS m FROM p GROUP BY entry),
+r AS (SELECT entry, list_transform(range(1, len(x)), lambda i: x[i + 1] - CASE WHEN i = 1 THEN m ELSE x[i] END) AS s, FALSE AS done, 0 AS it FROM l WHERE m IS NOT NULL
+  UNION ALL SELECT entry, list_transform(range(0, len(s)), lambda j: CASE WHEN j = k THEN 0 WHEN reach IS NULL OR j < lo OR j >= hi OR s[j + 1] <= 0 THEN s[j + 1] ELSE s[j + 1] - greatest(0, least(s[j + 1], -v - {_BEFORE})) END), reach IS NULL, it + 1
+  FROM (SELECT *, greatest(k - reach, 0) AS lo, least(last, k + reach + 1) AS hi FROM (SELECT *, list_filter(range(1, greatest(k, last - 1 - k, 1) + 1), lambda q: coalesce(list_sum(s[greatest(k - q, 0) + 1 : least(last, k + q + 1)]), 0) >= 0)[1] AS reach
+    FROM (SELECT *, list_position(s, v) - 1 AS k, len(s) - 1 AS last FROM (SELECT *, list_min(s) AS v FROM r WHERE NOT done) WHERE v < 0)))),
+f AS (SELECT entry, arg_max(s, it) AS s FROM r GROUP BY entry)
+SELECT p.entry, p.idx::BIGINT AS idx, CASE WHEN l.m IS NULL THEN p.sec ELSE l.m + coalesce(list_sum(f.s[1 : p.idx]), 0) END::DOUBLE AS sec FROM p JOIN l USING (entry) LEFT JOIN f USING (entry)"""
 SQL["time_index_repair_b"] = f"""WITH RECURSIVE {_WORDS}, p AS (SELECT entry, row_number() OVER (PARTITION BY entry ORDER BY event_id) - 1 AS idx,
   greatest(floor((start - 1704067200) / 60) + event_id % 97 - 48, 0)::DOUBLE AS sec FROM words),
 l AS (SELECT entry, list(sec ORDER BY idx) AS x, count(*) AS n, arg_min(idx, sec + idx / 1e9) FILTER (sec > 0) AS f FROM p GROUP BY entry),

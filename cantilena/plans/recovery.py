@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
+from ..functions.text import clamp_range
 from ..operators.quality import BAD, confusion_zone
 from ..storage import cut
 
@@ -273,8 +274,8 @@ def recovered(original: DataFrame, model: Callable[[DataFrame], DataFrame], key:
         skips = cut(_skips(left.where("not again").drop("again"), original, key, s))
         asked = skips.where("first is not null").select(key, F.col("begins").alias("start"), F.col("ceiling").alias("stop"), F.col("said").alias("text"))
         filled = model(asked).join(skips.select(key, "top", "ceiling"), key)
-        end = lambda w: F.least(F.greatest(w["end"], w["start"], F.col("top")), F.coalesce("ceiling", F.lit(float("inf"))))
-        words = F.transform("words", lambda w: F.struct(w["word"].alias("word"), F.least(F.greatest(w["start"], F.col("top")), end(w)).alias("start"), end(w).alias("end"), w["prob"].alias("prob")))
+        inside = lambda w: clamp_range(w["start"], w["end"], F.col("top"), F.col("ceiling"))
+        words = F.transform("words", lambda w: F.struct(w["word"].alias("word"), inside(w)[0].alias("start"), inside(w)[1].alias("end"), w["prob"].alias("prob")))
         filled = filled.withColumn("words", words).withColumns({"start": F.coalesce(F.array_min(F.transform("words", lambda w: w["start"])), "start"), "end": F.coalesce(F.array_max(F.transform("words", lambda w: w["end"])), "end")})
         filled = cut(filled.select(key, F.lit(turn + 1).alias("turn"), "seg", "start", "end", "text", "words"))
         pieces.append(filled)

@@ -341,14 +341,16 @@ def time_index_repair_b(spark, sf):
 def speech_ranges(spark, sf):
     frames = _words(spark, sf).select("entry", F.explode(F.sequence(F.lit(0), F.lit(99))).alias("_k"), "event_id", "prob")
     at = F.row_number().over(W.partitionBy("entry").orderBy("event_id", "_k")) - 1
-    return S.speech(frames.select("entry", at.alias("frame_idx"), F.when(F.col("prob") < 0.4, F.lit(0.02)).otherwise(F.lit(0.98)).alias("prob")), ["entry"], S.VadSettings(least=1.0))
+    out = S.speech(frames.select("entry", at.alias("frame_idx"), F.when(F.col("prob") < 0.4, F.lit(0.02)).otherwise(F.lit(0.98)).alias("prob")), ["entry"], S.VadSettings(least=1.0))
+    return out.select("entry", F.round("start", 4).alias("start"), F.round("end", 4).alias("end"))
 
 
 @query
 def timed_segments(spark, sf):
     rows = L.text_offsets(_captions(spark, sf), ["conv_id"], ["turn"]).withColumn("ts", F.col("turn") * 7.0)
     whole = R.ordered_concat(_captions(spark, sf), "conv_id", "turn", "text").withColumnRenamed("text", "whole")
-    return S.segments(rows.select("conv_id", "start_loc", "end_loc", "ts").join(whole, "conv_id"), ["conv_id"])
+    out = S.segments(rows.select("conv_id", "start_loc", "end_loc", "ts").join(whole, "conv_id"), ["conv_id"])
+    return out.select("conv_id", F.round("start", 4).alias("start"), F.round("end", 4).alias("end"), "text")
 
 
 @query

@@ -3,12 +3,17 @@
 import random
 import zlib
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from cantilena.operators import clusters as K
+from cantilena.operators import lags as G
+from cantilena.operators import matching as M
 from cantilena.operators import packing as P
 from cantilena.operators import quality as Q
 from cantilena.operators import sequential as S
+from cantilena.operators import timeline as L
 from cantilena.plans import recovery as R
 from cantilena.streaming.breaks import BreakSettings, Watch, break_stream
 
@@ -134,3 +139,99 @@ def test_silence_alone_breaks():
     assert watch.broken and watch.wakes_at(settings) is None
     heard = Watch([], None, [(5.0, 1.0, 0.9), (30.0, 0.0, float("nan")), (66.0, 0.0, float("nan"))])  # heard, but no words
     assert heard.advance(66.5, settings) == (65.0, "silence")
+
+
+def test_repair_of_long_series_takes_seconds():
+    r = random.Random(1)
+    times = [max(0, 2 * i + r.randint(-30_000, 3000)) for i in range(100_000)]
+    got = S.repair_by_differences(times)
+    assert len(got) == len(times) and all(a <= b for a, b in zip(got, got[1:], strict=False))
+
+
+def test_warping_in_tiles(spark):
+    r = random.Random(6)
+    text = lambda n: "".join(r.choice("abcdefgh  ") for _ in range(n))
+    rows = []
+    for i, (n, m) in enumerate([(70, 400), (33, 90), (8, 1000), (100, 41), (1, 5), (64, 64)]):
+        reference = text(m)
+        at = r.randint(0, max(0, m - n))
+        base = "".join(c for c in reference[at : at + n] if r.random() < 0.9) or "a"
+        rows.append((i, base, reference, M.rarity(reference)))
+    df = spark.createDataFrame(rows, "k long, base string, reference string, weights map<string,double>")
+    got = {x["k"]: x for x in M.tiled_warp(df, ["k"], rows=8, columns=32).collect()}
+    for k, base, reference, weights in rows:
+        want = M.warp_ends(M.unit_rows(M.sliding_histograms(base, weights, 20)), M.reference_shares(reference, weights))
+        assert (got[k]["distance"], got[k]["first"], got[k]["last"]) == (pytest.approx(want[0]), want[1], want[2])
+    splits = spark.createDataFrame([(1, i, b, ref) for i, b, ref, _ in rows] + [(1, 9, None, "x"), (1, 10, "", "abc")], "k long, split_idx long, base string, reference string")
+    tidy = lambda d: sorted((x["split_idx"], x["aligned"], round(x["alignment_distance"], 9), x["is_fallback"]) for x in d.collect())
+    assert tidy(M.align_splits(splits, ["k"], tiled_from=500)) == tidy(M.align_splits(splits, ["k"]))
+
+
+def test_two_means_of_all_entries(spark):
+    r = random.Random(2)
+    rows = [(k, i, None if i == 3 else r.choice([r.random(), r.random() / 5, 0.5, 7.0 * (k == 4)])) for k in range(9) for i in range(r.randint(1, 50))]
+    got = {(x["k"], x["i"]): x["cls"] for x in K.two_means(spark.createDataFrame(rows, "k long, i long, v double"), ["k"], "v").collect()}
+    for k in range(9):
+        mine = [(i, v) for e, i, v in rows if e == k and v is not None]
+        assert [got[k, i] for i, _ in mine] == S.two_means([v for _, v in mine]).tolist()
+    assert all(got[k, i] is None for k, i, v in rows if v is None)
+
+
+def test_ranges_of_very_different_lengths(spark):
+    r = random.Random(3)
+    make = lambda n: [(r.randint(0, 1), i, s := r.uniform(0, 1e6), s + r.choice([0.0, 5.0, 900.0, 3.2e5, 1e6])) for i in range(n)]
+    a, b = make(80), make(80)
+    frame = lambda rows: spark.createDataFrame(rows, "k long, id long, start double, end double")
+    got = sorted((x["id"], x["other_id"]) for x in L.overlapping(frame(a), frame(b), ["k"], 60.0).select("id", "other_id").collect())
+    assert got == sorted((x[1], y[1]) for x in a for y in b if x[0] == y[0] and x[2] < y[3] and x[3] > y[2])
+    points = [(k, float(at)) for k in (0, 1) for at in range(0, 1_000_000, 40_000)] * 2
+    held = L.containing(spark.createDataFrame(points, "k long, at double"), frame(a), ["k"], "at", "start", "end", 60.0).collect()
+    want = []
+    for k, at in points:
+        inside = [(s, i, e) for e_, i, s, e in a if e_ == k and s <= at <= e]
+        want += [(k, at, *min(inside)[:2])] if inside else []
+    assert sorted((x["k"], x["at"], x["start"], x["id"]) for x in held) == sorted(want)  # equal points come back as often as they are
+
+
+def lag_rule(lags, expected, s):
+    """Sample by sample: how many were drawn, and the lag."""
+    seen, inside = 0, []
+    for i, lag in enumerate(lags):
+        seen += lag is not None
+        inside += [lag] if lag is not None and abs(lag - expected) <= s.buffer else []
+        if len(inside) >= s.least:
+            half = Q.T_975[len(inside) - 1] * np.std(inside, ddof=1) / np.sqrt(len(inside))
+            if 2 * half <= s.width:
+                return i + 1, float(np.mean(inside)), True
+        if seen >= s.most:
+            return i + 1, float(np.mean(inside)) if inside else expected, True
+    return len(lags), float(np.mean(inside)) if inside else expected, False
+
+
+def test_lags_are_drawn_until_they_agree(spark):
+    r, s = random.Random(9), G.LagSettings(batch=4)
+    lags = {k: [None if r.random() < 0.15 else r.gauss(40, k * 3.0) + (500 if r.random() < 0.1 else 0) for _ in range(r.choice([0, 3, 20, 60]))] for k in range(24)}
+    rows = [(k, i, x) for k, of in lags.items() for i, x in enumerate(of)]
+    asked = []
+
+    def estimate(drawn):
+        asked.append(drawn.count())
+        return drawn.select("k", "draw", "hidden").withColumnRenamed("hidden", "lag").where("lag is not null")
+
+    samples = spark.createDataFrame(rows, "k long, draw int, hidden double")
+    expected = spark.createDataFrame([(k, 45.0) for k in lags], "k long, expected double")
+    got = {x["k"]: (x["draws"], x["lag"], x["stopped"]) for x in G.sequential_lags(samples, estimate, expected, ["k"], s).collect()}
+    for k, of in lags.items():
+        want = lag_rule(of, 45.0, s)
+        assert got[k] == (want[0], pytest.approx(want[1]), want[2]), k
+    assert sum(asked) < len(rows)  # entries that agree are asked no more
+    none = G.sequential_lags(samples.where("k < 0"), estimate, expected, ["k"], s).collect()
+    assert {(x["draws"], x["lag"]) for x in none} == {(0, 45.0)}
+
+
+def test_lag_from_a_place(spark):
+    index = spark.createDataFrame([(1, 0, 10, 0.0), (1, 10, 30, 5.0), (1, 30, 40, 25.0)], "k long, start_loc long, end_loc long, ts double")
+    found = spark.createDataFrame([(1, 0, 20), (1, 1, 10), (1, 2, 35), (1, 3, 99)], "k long, query long, at long")
+    samples = spark.createDataFrame([(1, i, 1.0) for i in range(4)], "k long, query long, begins double")
+    got = {x["query"]: x["lag"] for x in G.lags_of_places(found, index, samples, ["k"]).collect()}
+    assert got == {0: 14.0, 1: 4.0, 2: 24.0}  # 10 lies in two slices: the first counts
