@@ -139,6 +139,7 @@ def edited_fingerprints(docs: DataFrame, *, id_col: str = "doc_id", text_col: st
     """
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), text_of(text_col).alias("text"))
     bucket, tasks = ranges_by_bytes(rows)
+    tasks = max(tasks, 2 * docs.sparkSession.sparkContext.defaultParallelism)  # small tables use all cores too
     plain = rows.withColumn("_bucket", bucket)
     rows = plain.repartition(tasks, "_bucket")
     order = [F.col("doc_id").desc_nulls_last(), F.xxhash64("text").desc(), F.col("text").desc()]
