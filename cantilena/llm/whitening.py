@@ -33,6 +33,13 @@ def two_sum(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return s, (a - (s - t)) + (b - t)
 
 
+def two_product(a: np.ndarray, b: float) -> tuple[np.ndarray, np.ndarray]:
+    """a * b as its double and the exact rest: both factors are split into halves whose products are exact."""
+    halves = lambda x: (h := (t := x * 134217729.0) - (t - x), x - h)
+    p, (a1, a2), (b1, b2) = a * b, halves(a), halves(b)
+    return p, ((a1 * b1 - p) + a1 * b2 + a2 * b1) + a2 * b2
+
+
 class Total:
     """A sum of arrays in double-doubles."""
 
@@ -45,11 +52,8 @@ class Total:
 
 
 def slices(y: np.ndarray, rest: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """y + rest as three parts: two of BITS bits below the largest |y|, and what they leave. The first two subtractions are exact."""
-    top = float(np.abs(y).max(initial=0.0))
-    if top == 0.0:
-        return y, np.zeros_like(y), rest
-    unit = 2.0 ** (np.frexp(top)[1] - BITS)
+    """y + rest as three parts: two of BITS bits below the largest |y| of a column, and what they leave. The first two subtractions are exact."""
+    unit = np.ldexp(1.0, np.frexp(np.abs(y).max(axis=0, initial=0.0))[1] - BITS)
     first = np.rint(y / unit) * unit
     left = y - first
     second = np.rint(left / unit * 2.0**BITS) * (unit * 2.0**-BITS)
@@ -62,7 +66,7 @@ def add_products(total: Total, x: np.ndarray, mean: tuple[np.ndarray, np.ndarray
         y, rest = two_sum(x[at : at + ROWS].astype(float), np.broadcast_to(-mean[0], x[at : at + ROWS].shape))
         a, b, c = slices(y, rest - mean[1])
         ab, ac, bc = a.T @ b, a.T @ c, b.T @ c
-        for part in (a.T @ a, ab, ab.T, b.T @ b, ac, ac.T, bc, bc.T):
+        for part in (a.T @ a, ab, ab.T, b.T @ b, ac, ac.T, bc, bc.T, c.T @ c):
             total.add(part)
 
 
@@ -121,7 +125,8 @@ def covariance(rows: DataFrame, d: int, mean: tuple[np.ndarray, np.ndarray], n:
     for r in rows.select("x").mapInPandas(totals, schema).groupBy("grp").applyInPandas(merged, schema).sort("grp").collect():  # MERGES rows at most
         total.add(np.array(r["high"]), np.array(r["low"]))
     high = total.high / n
-    return high.reshape(d, d), ((total.high - high * n + total.low) / n).reshape(d, d)
+    back, rest = two_product(high, float(n))
+    return high.reshape(d, d), ((total.high - back - rest + total.low) / n).reshape(d, d)
 
 
 def fit(rows: DataFrame, components: int = COMPONENTS) -> Whitening:
