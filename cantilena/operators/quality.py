@@ -19,6 +19,11 @@ def segment_scores(words: DataFrame, key: str = "entry", segment: str = "seg", d
     return words.groupBy(key, segment).agg(F.min("start").alias("start"), F.max("end").alias("end"), F.round(F.median("prob"), digits).alias("probability"))
 
 
+def segment_confidence(words: DataFrame, key: str = "entry", segment: str = "seg", digits: int = 4) -> DataFrame:
+    """Each segment's mean probability, rounded; words without one don't count, and a segment of none has null."""
+    return words.groupBy(key, segment).agg(F.round(F.avg("prob"), digits).alias("confidence"))
+
+
 def entry_statistics(words: DataFrame, durations: DataFrame, key: str = "entry", segment: str = "seg") -> DataFrame:
     """Counts, words a segment, mean segment duration and words a minute (0 without a duration), to four digits."""
     segments = words.groupBy(key, segment).agg(F.count("*").alias("_w"), (F.max("end") - F.min("start")).alias("_d"))

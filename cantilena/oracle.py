@@ -154,6 +154,7 @@ r AS (SELECT entry, v, 0::DOUBLE AS c0, 1::DOUBLE AS c1, 1 AS i FROM l
   WHERE i < 20 AND NOT (abs(a - c0) <= 1e-8 + 1e-5 * abs(c0) AND abs(b - c1) <= 1e-8 + 1e-5 * abs(c1))),
 f AS (SELECT entry, arg_max(c0, i) AS c0, arg_max(c1, i) AS c1 FROM r GROUP BY entry)
 SELECT entry, event_id, CASE WHEN abs(prob - c0) <= abs(prob - c1) THEN 0 ELSE 1 END::BIGINT AS cls FROM words JOIN f USING (entry)"""
+SQL["segment_confidence"] = f"WITH {_SEGMENTED} SELECT entry, seg, round(avg(prob), 8) AS confidence FROM seg GROUP BY entry, seg"
 SQL["first_break"] = f"""WITH {_WORDS}, w AS (SELECT entry, "end" AS e, sum({_BAD}) OVER x AS b, sum({_GOOD}) OVER x AS g, sum(greatest(duration, 0.1)) OVER x AS t, lead("end") OVER (PARTITION BY entry ORDER BY "end") - "end" AS gap
   FROM words WINDOW x AS (PARTITION BY entry ORDER BY "end" RANGE BETWEEN 172800 PRECEDING AND CURRENT ROW)),
 r AS (SELECT entry, e, gap, t >= 5 AND (g = 0 OR b / g > 0.05) AS broken FROM w),

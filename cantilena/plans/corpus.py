@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import functools
+import time
 from collections.abc import Callable
 from dataclasses import dataclass, field
 from typing import Protocol
@@ -47,6 +49,22 @@ def normalized_entries(words: DataFrame, durations: DataFrame, key: str = "entry
     return entry_scores(words, key).join(parts, key).join(entry_statistics(words, durations, key), key)
 
 
+def retried(call: Callable, tries: int = 3, wait: float = 1.0, on: tuple[type[Exception], ...] = (OSError,)) -> Callable:
+    """call, called again if it fails with one of those errors, tries times at most; each wait is twice the last. For services behind a model or a feed."""
+
+    @functools.wraps(call)
+    def run(*args, **how):
+        for k in range(tries):
+            try:
+                return call(*args, **how)
+            except on:
+                if k + 1 == tries:
+                    raise
+                time.sleep(wait * 2**k)
+
+    return run
+
+
 def modelled(rows: DataFrame, schema: str, model: Callable, **options) -> DataFrame:
     """rows through a model: a function of an iterator of pandas batches, made on the executors by model(**options)."""
 

@@ -20,6 +20,7 @@ from .operators import matching as M
 from .operators import packing as P
 from .operators import quality as Q
 from .operators import relational as R
+from .operators import scans as X
 from .operators import sequential as S
 from .operators import timeline as L
 from .plans import corpus, recovery
@@ -334,14 +335,14 @@ def time_index_repair_a(spark, sf):
 
 @query
 def time_index_repair_b(spark, sf):
-    return S.repaired_times(_pointers(spark, sf), ["entry"], S.repair_by_jumps)
+    return X.repaired_by_scan(_pointers(spark, sf), ["entry"])
 
 
 @query
 def speech_ranges(spark, sf):
     frames = _words(spark, sf).select("entry", F.explode(F.sequence(F.lit(0), F.lit(99))).alias("_k"), "event_id", "prob")
     at = F.row_number().over(W.partitionBy("entry").orderBy("event_id", "_k")) - 1
-    out = S.speech(frames.select("entry", at.alias("frame_idx"), F.when(F.col("prob") < 0.4, F.lit(0.02)).otherwise(F.lit(0.98)).alias("prob")), ["entry"], S.VadSettings(least=1.0))
+    out = X.speech_by_stretches(frames.select("entry", at.alias("frame_idx"), F.when(F.col("prob") < 0.4, F.lit(0.02)).otherwise(F.lit(0.98)).alias("prob")), ["entry"], S.VadSettings(least=1.0))
     return out.select("entry", F.round("start", 4).alias("start"), F.round("end", 4).alias("end"))
 
 
@@ -358,6 +359,11 @@ def kmeans_2(spark, sf):
     return K.two_means(_words(spark, sf).select("entry", "event_id", "prob"), ["entry"], "prob").select("entry", "event_id", "cls")
 
 
+@query
+def segment_confidence(spark, sf):
+    return Q.segment_confidence(_segmented(spark, sf), digits=8)
+
+
 @query
 def first_break(spark, sf):
     out = Q.first_break(_words(spark, sf), span=48 * HOUR, warm_up=5.0, limit=0.05, silence=12 * HOUR)

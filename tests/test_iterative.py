@@ -12,8 +12,10 @@ from cantilena.operators import lags as G
 from cantilena.operators import matching as M
 from cantilena.operators import packing as P
 from cantilena.operators import quality as Q
+from cantilena.operators import scans as X
 from cantilena.operators import sequential as S
 from cantilena.operators import timeline as L
+from cantilena.plans import corpus
 from cantilena.plans import recovery as R
 from cantilena.streaming.breaks import BreakSettings, Watch, break_stream
 
@@ -235,3 +237,63 @@ def test_lag_from_a_place(spark):
     samples = spark.createDataFrame([(1, i, 1.0) for i in range(4)], "k long, query long, begins double")
     got = {x["query"]: x["lag"] for x in G.lags_of_places(found, index, samples, ["k"]).collect()}
     assert got == {0: 14.0, 1: 4.0, 2: 24.0}  # 10 lies in two slices: the first counts
+
+
+def test_functions_of_stretches():
+    r = random.Random(12)
+    for _ in range(300):
+        whole, steps = X.SAME, []
+        for _ in range(r.randint(1, 12)):
+            x = r.randint(0, 400) / 4
+            steps.append((x, [r.randint(0, 400) / 4 for _ in range(r.randint(0, 4))]))
+            whole = X.composed(whole, X.step_pieces(*steps[-1], 30.0))
+        for time in [r.randint(-200, 600) / 4 for _ in range(30)]:
+            want = time
+            for x, ahead in steps:
+                want = X.value_at(X.step_pieces(x, ahead, 30.0), want)
+            assert X.value_at(whole, time) == want
+
+
+def test_repair_by_jumps_as_a_scan(spark):
+    r, series = random.Random(13), {}
+    for k in range(60):
+        n = r.choice([1, 2, 9, 12, 13, 50, 200])
+        series[k] = [max(0.0, 0 if i < 3 and k % 3 else i * 2 + r.choice([0, 0, 0, 40, -40, 150, 900]) + r.randint(0, 3) / 4) if k else 0.0 for i in range(n)]
+    df = spark.createDataFrame([(k, i, x) for k, of in series.items() for i, x in enumerate(of)], "k long, idx long, sec double")
+    got = {k: [None] * len(of) for k, of in series.items()}
+    for x in X.repaired_by_scan(df, ["k"], stretch=12).collect():
+        got[x["k"]][x["idx"]] = x["sec"]
+    for k, of in series.items():
+        assert got[k] == S.repair_by_jumps(of), k
+
+
+def test_calls_are_tried_again():
+    seen = []
+
+    def call(x):
+        seen.append(x)
+        if len(seen) < 3:
+            raise ConnectionError
+        return x
+
+    assert corpus.retried(call, wait=0.0)(7) == 7 and seen == [7, 7, 7]
+    with pytest.raises(ConnectionError):
+        corpus.retried(lambda: (_ for _ in ()).throw(ConnectionError()), tries=2, wait=0.0)()
+    with pytest.raises(KeyError):  # not an error of the service
+        corpus.retried(lambda: {}["x"], wait=0.0)()
+
+
+def test_speech_by_stretches(spark):
+    r, series = random.Random(14), {}
+    for k in range(12):
+        p, n = [], r.choice([40, 1500, 6000, 9000]) if k else 0
+        while len(p) < n:
+            p += [r.choice([0.02, 0.04]) if r.random() < 0.3 else r.choice([0.98, 0.97, 1.0])] * r.choice([5, 60, 230, 400])
+        series[k] = p
+    df = spark.createDataFrame([(k, i, x) for k, p in series.items() for i, x in enumerate(p)], "k long, frame_idx long, prob double")
+    got = {k: [] for k in series}
+    for x in X.speech_by_stretches(df, ["k"], S.VadSettings(least=1.0), stretch=700).orderBy("k", "start").collect():
+        got[x["k"]].append((x["start"], x["end"]))
+    for k, p in series.items():
+        assert got[k] == S.speech_ranges(p, S.VadSettings(least=1.0)), k
+    assert sum(map(len, got.values())) > 40
