@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import re
 from collections import Counter
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pandas as pd
@@ -29,25 +29,6 @@ def character_weights(texts: DataFrame, keys: list[str], text: str = "text") ->
     return counted.withColumn("_r", rare).select(*keys, "char", "n", (F.col("_r") / F.sum("_r").over(w)).alias("weight"))
 
 
-def window_search(texts: DataFrame, queries: DataFrame, *, key: str = "doc_id", stride: int = 50, best: int = 5) -> DataFrame:
-    """The windows of texts (key, text) most like each query (query, query_text) of the same key, by the cosine of their characters' counts, weighted by rarity in the key's text.
-
-    All characters of the text count. Windows have the query's length and start every stride characters; those without a known character are skipped.
-    """
-    from ..functions.vectors import cosine, letter_counts
-
-    known = F.array_sort(F.collect_list(F.struct("char", "weight")))  # a row a text: its alphabet
-    alphabet = character_weights(texts, [key]).groupBy(key).agg(known.alias("_k")).select(key, F.transform("_k", lambda x: x["char"]).alias("_c"), F.transform("_k", lambda x: x["weight"]).alias("_weights"))
-    weighted = lambda text: F.zip_with(letter_counts(text, F.col("_c")), F.col("_weights"), lambda n, w: n * w)
-    rows = texts.join(queries, key).join(alphabet, key).withColumn("_q", weighted(F.col("query_text")))
-    last = F.length("text") - F.length("query_text")
-    rows = rows.where(last >= 0).withColumn("at", F.explode(F.sequence(F.lit(0), last, F.lit(stride))))
-    rows = rows.withColumn("_w", F.substring(F.col("text"), F.col("at") + 1, F.length("query_text"))).withColumn("_h", weighted(F.col("_w")))
-    rows = rows.select(key, "query", "at", cosine(F.col("_h"), F.col("_q")).alias("similarity"))
-    rank = F.row_number().over(W.partitionBy(key, "query").orderBy(F.round("similarity", 12).desc(), "at"))
-    return rows.where("similarity is not null").withColumn("rank", rank).where(F.col("rank") <= best).select(key, "query", "at", "similarity", "rank")
-
-
 def weighted_counts(text: str, weights: dict[str, float], starts: np.ndarray, width: int) -> np.ndarray:
     """Weighted counts of the alphabet in the windows of width that begin at starts."""
     codes = np.asarray([ord(c) for c in text], np.int64)
@@ -89,20 +70,31 @@ def find_start(text: str, query: str, weights: dict[str, float], *, coarse: tupl
     return next(iter(best_starts(text, query[: fine[0]], weights, ranges, fine[1], 1)), None)
 
 
-def fine_search(texts: DataFrame, queries: DataFrame, *, key: str = "doc_id") -> DataFrame:
-    """(key, query, at, similarity): find_start of each query (query, query_text) in the text (key, text) of its key, by all characters of the text with their rarity."""
+def _searched(texts: DataFrame, queries: DataFrame, key: str, find: Callable[[str, str, dict[str, float]], list[tuple[int, float]]]) -> DataFrame:
+    """(key, query, at, similarity, rank): what find gives for each query (query, query_text) in the text (key, text) of its key, by all characters of the text with their rarity."""
     kinds = dict(queries.dtypes) | dict(texts.dtypes)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             rows = []
             for k, text, query, wanted in zip(pdf[key], pdf["text"], pdf["query"], pdf["query_text"], strict=True):
-                if text and wanted and (got := find_start(text, wanted, rarity(text))):
-                    rows.append((k, query, *got))
-            yield pd.DataFrame(rows, columns=[key, "query", "at", "similarity"])
+                if text and wanted:
+                    rows += [(k, query, *hit, i + 1) for i, hit in enumerate(find(text, wanted, rarity(text)))]
+            yield pd.DataFrame(rows, columns=[key, "query", "at", "similarity", "rank"])
 
     rows = texts.join(queries, key).select(key, "text", "query", "query_text")
-    return rows.mapInPandas(run, f"`{key}` {kinds[key]}, query {kinds['query']}, at int, similarity double")
+    return rows.mapInPandas(run, f"`{key}` {kinds[key]}, query {kinds['query']}, at int, similarity double, rank int")
+
+
+def window_search(texts: DataFrame, queries: DataFrame, *, key: str = "doc_id", stride: int = 50, best: int = 5) -> DataFrame:
+    """(key, query, at, similarity, rank): the windows of texts (key, text) most like each query (query, query_text) of the same key, by the cosine of their characters' counts,
+    weighted by rarity in the key's text. Windows have the query's length and start every stride characters; those without a known character are skipped."""
+    return _searched(texts, queries, key, lambda text, wanted, weights: best_starts(text, wanted, weights, [(0, len(text))], stride, best))
+
+
+def fine_search(texts: DataFrame, queries: DataFrame, *, key: str = "doc_id") -> DataFrame:
+    """(key, query, at, similarity): find_start of each query (query, query_text) in the text (key, text) of its key."""
+    return _searched(texts, queries, key, lambda text, wanted, weights: [hit] if (hit := find_start(text, wanted, weights)) else []).drop("rank")
 
 
 def rarity(text: str) -> dict[str, float]:
