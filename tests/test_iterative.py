@@ -297,3 +297,50 @@ def test_speech_by_stretches(spark):
     for k, p in series.items():
         assert got[k] == S.speech_ranges(p, S.VadSettings(least=1.0)), k
     assert sum(map(len, got.values())) > 40
+
+
+class Shelf:
+    """A source of five entries in memory."""
+
+    def __init__(self):
+        self.segments = self.rows = None
+
+    def entries(self, spark):
+        return spark.createDataFrame([(e, {"lang": "he", "seconds": "60"}) for e in ("new", "old", "mute", "blank", "lost")], "entry string, meta map<string,string>")
+
+    def audio(self, spark):
+        return spark.createDataFrame([(e, f"/{e}.mp3") for e in ("new", "old", "blank", "lost")], "entry string, path string")
+
+    def transcripts(self, spark):
+        return spark.createDataFrame([(e, i, 10.0 * i, 10.0 * i + 10, f"w{i} w{i + 1}") for e in ("new", "old", "mute") for i in range(3)] + [("lost", 0, 0.0, 1.0, "  ")], "entry string, id int, start double, end double, text string")
+
+    def aligned(self, spark):
+        return spark.createDataFrame([("old", 0, 0.0, 2.0, "w0", [("w0", 0.0, 2.0, 0.5)])], f"entry string, piece int, start double, end double, text string, words {R.WORDS}")
+
+    def language(self):
+        return F.col("meta")["lang"]
+
+    def duration(self):
+        return F.col("meta")["seconds"]
+
+    def save_aligned(self, segments):
+        self.segments = segments.collect()
+
+    def save_entries(self, rows):
+        self.rows = rows.collect()
+
+
+def test_a_source_is_normalised(spark):
+    def align(start, stop, text):
+        return [{"start": start + i, "end": start + i + 1, "text": w, "words": [(w, start + i, start + i + 1, 0.9)]} for i, w in enumerate(text.split())]
+
+    source = Shelf()
+    run = lambda **how: {r["entry"]: r for r in corpus.normalize(source, spark, lambda texts, jobs: R.recovered(texts, R.as_model(align)), **how).collect()}
+    got = run()
+    assert {k: r["status"] for k, r in got.items()} == {"new": "aligned", "old": "done", "mute": "no audio", "blank": "no transcript", "lost": "not aligned"}
+    new = got["new"]
+    assert (new["language"], new["duration"], new["quality_score"], new["segments_count"], new["words_count"], new["avg_words_per_minute"], new["failed"]) == ("he", 60.0, 0.9, 6, 6, 6.0, False)
+    assert {r["entry"] for r in source.segments} == {"new"} and {r["entry"] for r in source.rows} == {"new"} and got["old"]["quality_score"] is None
+    got = run(rescore=True)
+    assert got["old"]["status"] == "rescored" and got["old"]["quality_score"] == 0.5 and {r["entry"] for r in source.rows} == {"new", "old"}
+    assert run(force=True)["old"]["words_count"] == 6
