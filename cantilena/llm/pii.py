@@ -1,7 +1,8 @@
 """PII: bootstrapped contextual extraction.
 
-Exact detectors find seed entities: the four base kinds, and secrets of published formats. Names of secrets, such as password, are seed
-patterns. Patterns are lexical: the word before, the two words before, the words either side, a label glued to the front (as in
+Exact detectors find seed entities: the four base kinds, secrets of published formats, and codes, words of at least CODE letters and digits
+that no language has. A code is a candidate, not a secret: what its contexts induce must hold codes or accepted instances in most of its
+slots. Names of secrets, such as password, are seed patterns beside them (names=(): none). Patterns are lexical: the word before, the two words before, the words either side, a label glued to the front (as in
 mail:x), and the shape of a code of letters and digits (its alphabet and length). Patterns and what stands in their slots, whatever its
 characters, are a bipartite graph. Spark scores it round by round until no instance is new: a pattern's confidence is the share of all
 its slots in the corpus that hold an accepted instance (for a name of a secret: that hold a code); an instance's is what its confident
@@ -36,6 +37,8 @@ from .common import cut, release_memory, text_of
 KINDS = ("email", "ip", "card", "phone")
 #: What discovery adds beside the kinds of the detectors.
 SECRET = "secret"
+#: What a code's own contexts are counted as until it is accepted.
+CODED = "code"
 # Published formats of keys and tokens by how they begin, and words that name a secret before = or :.
 FORMATS = {
     "AKIA": r"(?<![A-Za-z0-9])AKIA[A-Z0-9]{16}(?![A-Za-z0-9])",
@@ -183,13 +186,16 @@ def _before(words: list[str]) -> Counter:
     return Counter(words[:-1])
 
 
-def _edges(text: str, found: list[tuple[str, int, int]]) -> Iterator[tuple[str, str, str, int]]:
-    """(pattern, instance, kind, slots): slots, told once a pattern, is how many slots it has in this text, at the least."""
-    if found:
+def _edges(text: str, found: list[tuple[str, int, int]], codes: list[tuple[int, int]]) -> Iterator[tuple[str, str, str, int]]:
+    """(pattern, instance, kind, slots): slots, told once a pattern, is how many slots it has in this text, at the least.
+
+    A code has no edge to its own shape, or codes of any shape would confirm themselves: its shape counts once it is accepted.
+    """
+    if found or codes:
         places, counted = [m.span() for m in _WORD.finditer(text)], _before(text.lower().split())
         told = set()
-        for k, a, b in found:
-            for p in contexts(text, places, a, b):
+        for k, a, b in found + [(CODED, *x) for x in codes]:
+            for p in _around_span(text, places, a, b) if k == CODED else contexts(text, places, a, b):
                 yield p, norm(text[a:b]), k, 0 if p in told else counted[p[2:]] if p[0] == "L" else 0
                 told.add(p)
 
@@ -213,8 +219,9 @@ def _find(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             found, secrets = base_spans(text), seed_spans(text)
             spans.append([{"kind": k, "start": a, "end": b} for k, a, b in found])
             more.append([{"kind": k, "start": a, "end": b} for k, a, b in secrets])
-            graph.append([{"pattern": p, "instance": x, "kind": k, "low": n} for p, x, k, n in _edges(text, found + secrets)])
-            codes.append([{"pattern": p, "instance": x, "start": a, "end": b, "free": f} for p, x, a, b, f in codes_in(text, found + secrets)])
+            coded = list(codes_in(text, found + secrets))
+            graph.append([{"pattern": p, "instance": x, "kind": k, "low": n} for p, x, k, n in _edges(text, found + secrets, [(a, b) for _, _, a, b, free in coded if free])])
+            codes.append([{"pattern": p, "instance": x, "start": a, "end": b, "free": f} for p, x, a, b, f in coded])
         pdf["base"], pdf["more"], pdf["edges"], pdf["codes"] = spans, more, graph, codes
         yield pdf
     release_memory()
@@ -322,9 +329,9 @@ def slots(words: list[str], wanted: Filter, known: Known) -> Iterator[tuple[str,
                     yield p, i + 1, j - 1
 
 
-def _occurrences(held: Broadcast):
+def _occurrences(held: Broadcast, names: tuple[str, ...] | list[str] = NAMES):
     """Counts, a batch at a time, the slots of the wanted patterns, and those of names of secrets that hold a code."""
-    named = frozenset(seed_patterns())
+    named = frozenset(seed_patterns(names))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         wanted = Filter(held.value)
@@ -347,9 +354,9 @@ def _counted(seen: Counter, name: str) -> pd.DataFrame:
     return pd.DataFrame({name: list(seen), "n": list(seen.values())}).astype({name: "object", "n": "int64"})
 
 
-def _totals(texts: DataFrame, patterns: DataFrame) -> DataFrame:
+def _totals(texts: DataFrame, patterns: DataFrame, names: tuple[str, ...] | list[str] = NAMES) -> DataFrame:
     """Rows (pattern, n, coded): how many slots each pattern has in the corpus, whatever stands in them, and how many of a name's hold a code."""
-    found = texts.select("text").mapInPandas(_occurrences(_wanted_patterns(patterns)), "pattern string, n long, coded long").groupBy("pattern").agg(F.sum("n").alias("n"), F.sum("coded").alias("coded"))
+    found = texts.select("text").mapInPandas(_occurrences(_wanted_patterns(patterns), names), "pattern string, n long, coded long").groupBy("pattern").agg(F.sum("n").alias("n"), F.sum("coded").alias("coded"))
     return patterns.select("pattern").join(found, "pattern", "left").select("pattern", F.coalesce("n", F.lit(0)).alias("n"), F.coalesce("coded", F.lit(0)).alias("coded"))
 
 
@@ -456,22 +463,22 @@ def _around(held: Broadcast):
     return run
 
 
-def seed_patterns() -> list[str]:
+def seed_patterns(names: tuple[str, ...] | list[str] = NAMES) -> list[str]:
     """Where a secret stands behind its name: glued to it, after its sign, or after a sign that stands alone."""
-    return [p for x in NAMES for c in "=:" for p in (f"G {x}{c}", f"L {x}{c}", f"B {x} {c}")]
+    return [p for x in names for c in "=:" for p in (f"G {x}{c}", f"L {x}{c}", f"B {x} {c}")]
 
 
-def discover(graph: DataFrame, codes: DataFrame, texts: DataFrame, *, min_seeds: int = MIN_SEEDS, min_confidence: float = MIN_CONFIDENCE, min_score: float = MIN_SCORE, min_share: float = MIN_SHARE) -> DataFrame | None:
+def discover(graph: DataFrame, codes: DataFrame, texts: DataFrame, *, min_seeds: int = MIN_SEEDS, min_confidence: float = MIN_CONFIDENCE, min_score: float = MIN_SCORE, min_share: float = MIN_SHARE, names: tuple[str, ...] | list[str] = NAMES) -> DataFrame | None:
     """Rows (doc_id, _row, kind, start, end): what stands in confident patterns; None if there is nothing.
 
-    graph: rows (pattern, instance, kind, low) of the detectors' spans; codes: rows (doc_id, _row, pattern, instance, start, end, free) of
+    graph: rows (pattern, instance, kind, low) of the detectors' spans and of codes; codes: rows (doc_id, _row, pattern, instance, start, end, free) of
     all codes; texts: rows (doc_id, _row, text). A pattern needs
     min_seeds different instances, or a name of a secret, and at least min_confidence. A pattern that has too many slots already in the
     documents of its instances (low) isn't counted in the others. Rounds go on until no instance is new.
     """
     spark = texts.sparkSession
-    named = spark.createDataFrame([(p,) for p in seed_patterns()], "pattern string")
-    pairs = cut(graph.groupBy("pattern", "instance").agg(F.max("kind").alias("kind"), F.count("*").alias("n"), F.sum("low").alias("low")))
+    named = spark.createDataFrame([(p,) for p in seed_patterns(names)], "pattern string")
+    pairs = cut(graph.groupBy("pattern", "instance", "kind").agg(F.count("*").alias("n"), F.sum("low").alias("low")))
     placed, sought = cut(codes.where("free").drop("free").select(*[c.split()[0] for c in _PLACED.split(", ")])), None
     totals = cut(codes.groupBy("pattern").agg(F.count("*").alias("n"), F.lit(0).cast("long").alias("coded")))
     accepted = met = done = None
@@ -482,14 +489,14 @@ def discover(graph: DataFrame, codes: DataFrame, texts: DataFrame, *, min_seeds:
         return cut(new) if old is None else cut(old.unionByName(new))
 
     while True:
-        support = pairs.groupBy("pattern").agg(F.count("*").alias("seeds"), F.sum("n").alias("hits"), F.greatest(F.sum("low"), F.sum("n")).alias("low"), F.mode("kind", True).alias("kind"))
+        support = pairs.groupBy("pattern").agg(F.count_distinct("instance").alias("seeds"), F.sum("n").alias("hits"), F.greatest(F.sum("low"), F.sum("n")).alias("low"), F.mode(F.when(F.col("kind") == CODED, SECRET).otherwise(F.col("kind")), True).alias("kind"))
         support = support.join(named.withColumn("named", F.lit(True)), "pattern", "full").withColumns({"named": F.coalesce("named", F.lit(False)), "kind": F.coalesce("kind", F.lit(SECRET)), "hits": F.coalesce("hits", F.lit(0))})
         fit = cut(support.where("named").unionByName(support.where(~F.col("named") & (F.col("seeds") >= min_seeds) & (F.col("hits") >= min_confidence * F.col("low")))))
         common = support.where(~F.col("named") & (F.col("hits") < min_confidence * F.col("low"))).select("pattern")
         asked = fit.select("pattern").unionByName(fit.where("pattern like 'B %'").select(last_word).join(common, "pattern", "left_anti")).distinct()
         fresh = cut(asked.join(totals, "pattern", "left_anti"))
         if not fresh.isEmpty():
-            totals = beside(totals, _totals(texts, fresh))
+            totals = beside(totals, _totals(texts, fresh, names))
         share = F.greatest(F.col("hits") / F.greatest("n", "hits"), F.when(F.col("named"), F.col("coded") / F.col("n")).otherwise(0.0))
         sure = cut(fit.join(totals, "pattern").where("n > 0 or hits > 0").withColumn("confidence", F.least(share, F.lit(0.999))).where(F.col("confidence") >= min_confidence).select("pattern", "kind", "confidence"))
         ends = sure.where("pattern like 'B %'").join(totals, "pattern").groupBy(last_word).agg(F.sum("n").alias("_n")).join(totals, "pattern").where(F.col("_n") >= min_confidence * F.col("n"))
@@ -515,7 +522,8 @@ def discover(graph: DataFrame, codes: DataFrame, texts: DataFrame, *, min_seeds:
         if new.isEmpty():
             return done
         accepted = beside(accepted, new.select("instance"))
-        pairs = beside(pairs, met.where("pattern is not null").join(new, "instance").select(pairs.columns))
+        waiting = pairs.join(new.select("instance", F.lit(CODED).alias("kind")), ["instance", "kind"], "left_anti").select(pairs.columns)
+        pairs = beside(waiting, met.where("pattern is not null").join(new, "instance").select(pairs.columns))
 
 
 def find_pii(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", **how) -> DataFrame:

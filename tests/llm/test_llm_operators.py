@@ -640,9 +640,9 @@ def test_pii_leaves_common_contexts_alone(spark):
     assert all(r["spans"] == r["base"] for r in got)
 
 
-def discovered(spark, texts):
+def discovered(spark, texts, **how):
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
-    return {(r["doc_id"], s["kind"], texts[r["doc_id"]][s["start"] : s["end"]]) for r in pii.find_pii(docs).collect() for s in r["spans"] if s not in r["base"]}
+    return {(r["doc_id"], s["kind"], texts[r["doc_id"]][s["start"] : s["end"]]) for r in pii.find_pii(docs, **how).collect() for s in r["spans"] if s not in r["base"]}
 
 
 def test_pii_takes_whatever_stands_in_the_slot(spark):
@@ -671,7 +671,7 @@ def test_pii_counts_whatever_stands_in_wide_slots(spark):
     assert len(cards) >= pii.MIN_SEEDS and not discovered(spark, texts)
 
 
-def plainly(texts):
+def plainly(texts, names=pii.NAMES):
     """Discovery over all texts at once, with dictionaries: what find_pii adds, as (document, kind, text found)."""
     label = lambda w: m[0] if (m := re.match(r"[^\s:=]+[:=]", w)) and m.end() < len(w) else ""
     lows = [t.lower().split() for t in texts]
@@ -722,17 +722,21 @@ def plainly(texts):
                             out.add((d, u, v, i, s))
         return out
 
-    pairs, kinds = collections.Counter(), {}
+    pairs, kinds, waiting = collections.Counter(), {}, collections.Counter()
     for d, t in enumerate(texts):
         for k, a, b in pii.base_spans(t) + pii.seed_spans(t):
             for p in pii.contexts(t, places[d], a, b):
                 pairs[p, pii.norm(t[a:b])] += 1
                 kinds[p, pii.norm(t[a:b])] = k
-    accepted, done, named = set(), [], set(pii.seed_patterns())
+        for i in range(len(places[d])):
+            a, b = core(d, i)
+            if pii.shape(t[a:b]) and free(d, a, b):
+                waiting.update((p, pii.norm(t[a:b])) for p in pii.contexts(t, places[d], a, b) if p[0] != "S")
+    accepted, done, named = set(), [], set(pii.seed_patterns(names))
     while True:
         by = collections.defaultdict(list)
-        for (p, x), n in pairs.items():
-            by[p].append((x, n))
+        for p, x in pairs.keys() | waiting.keys():
+            by[p].append((x, pairs.get((p, x), 0) + waiting.get((p, x), 0)))
         sure = {}
         for p in named | {p for p in by if len(by[p]) >= pii.MIN_SEEDS}:
             hits, found = sum(n for _, n in by[p]), list(slots_of(p))
@@ -741,7 +745,7 @@ def plainly(texts):
                 if p in named and found:
                     share = max(share, sum(coded(p, d, i) for d, i, _ in found) / len(found))
                 if share >= pii.MIN_CONFIDENCE:
-                    of = collections.Counter(kinds[p, x] for x, _ in by[p])
+                    of = collections.Counter(k for x, _ in by[p] for k in [kinds.get((p, x))] * ((p, x) in pairs) + ["secret"] * ((p, x) in waiting))
                     sure[p] = (min(share, 0.999), min(of, key=lambda k: (-of[k], k)) if of else "secret")
         filled = {(p, d, *fill(p, d, i, j)) for p in sure for d, i, j in slots_of(p)}
         filled = {f for f in filled if f[2] < f[3] and free(*f[1:])}
@@ -759,6 +763,7 @@ def plainly(texts):
         if not new:
             break
         accepted |= new
+        waiting = collections.Counter({(p, x): n for (p, x), n in waiting.items() if x not in new})
         for x in new:
             for d, a, b, _, _ in whole(x):
                 if free(d, a, b):
@@ -775,8 +780,16 @@ def plainly(texts):
     return out
 
 
-@pytest.mark.parametrize("exact", [0, pii.EXACT])
-def test_pii_discovery_is_the_definition(spark, monkeypatch, exact):
+def test_pii_needs_no_names(spark):
+    """Codes in a context that holds little else are found, then their shape wherever it is new; a context that codes merely visit is none."""
+    code = lambda i: f"{i:04}a1b2c3d4e5f6" * 2
+    texts = [f'so it was with riva{i} token = "{code(i)}" and on' for i in range(8)] + [f"lone{i} words about {code(50)} here" for i in range(1)]
+    texts += [f"of all that is in lago{i}" for i in range(60)] + [f"of all that is in {code(90 + i)[:-3]} then{i}" for i in range(5)]
+    assert {x for *_, x in discovered(spark, texts, names=())} == {code(i) for i in (*range(8), 50)}
+
+
+@pytest.mark.parametrize(("exact", "names"), [(0, ()), (pii.EXACT, pii.NAMES)])
+def test_pii_discovery_is_the_definition(spark, monkeypatch, exact, names):
     monkeypatch.setattr(pii, "EXACT", exact)
     r, hexes = random.Random(8), "0123456789abcdef"
     word = lambda: r.choice("the of and to a is in ember lago stern riva".split()) + r.choice(["", "", "s", "en", "ly"])
@@ -784,8 +797,8 @@ def test_pii_discovery_is_the_definition(spark, monkeypatch, exact):
     made = [lambda: f"mail to: u{r.randint(1, 99)}@h{r.randint(1, 9)}.example.com", lambda: f"mail to: {word()}.{word()}", lambda: f'token = "{code(40)}"', lambda: f"password={code(18)},", lambda: "password: required here",
             lambda: f"call desk +1 (212) 555-{r.randint(1000, 9999)} or", lambda: f"call desk 030 {r.randint(10**6, 10**7)} or", lambda: f"AKIA{code(16).upper()}", lambda: f"see {code(40)}", lambda: f"from {r.randint(1, 255)}.7.9.{r.randint(1, 255)} by", lambda: f"id:{code(9)}", lambda: f"id:10.0.0.{r.randint(1, 9)}"]
     texts = [" ".join(x for _ in range(r.randint(1, 6)) for x in (*(word() for _ in range(r.randint(0, 12))), r.choice(made)())) for _ in range(300)]
-    want = plainly(texts)
-    found = discovered(spark, texts)
+    want = plainly(texts, names)
+    found = discovered(spark, texts, names=names)
     seeds = {(d, k, t[a:b]) for d, t in enumerate(texts) for k, a, b in pii.seed_spans(t)}
     assert len(want) > 100 and {k for _, k, _ in want} >= {"secret", "phone"}
     assert found == want | seeds
