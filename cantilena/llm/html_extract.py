@@ -1,9 +1,10 @@
 """HTML extraction by minimum-cut labelling.
 
 A page becomes blocks of text in page order. A linear classifier over a block's own text (words, links, whether it ends like a sentence, whether it
-is a heading) gives a score, whose positive part is the cost of calling it boilerplate and whose negative part that of calling it content: the
-capacities to the two terminals. Elements that tags or names mark as content or as boilerplate are nodes of the graph, too, and the blocks
-below them are tied to them: that is DOM proximity, and what most labels follow from. Neighbours in page order, and blocks whose
+is a heading) and over the nearest mark around it (a tag or name of content or of boilerplate) gives a score, whose positive part is the cost
+of calling it boilerplate and whose negative part that of calling it content: the capacities to the two terminals. Marks of content are weak:
+a menu inside of an article has a score below 0. Marked elements are nodes of the graph, too, without a score: the blocks below them are tied
+to them, which is DOM proximity, so an element takes the side of most that is in it. Neighbours in page order, and blocks whose
 containers are the same, are tied by smoothness edges, as far as they are from each other in the tree. The minimum cut, found by
 maximum flow, is the labelling of least cost. Nodes whose score exceeds all their edges are settled first, which is exact and leaves
 small graphs. Pages are labelled one by one inside Arrow batches, in time linear in the page but for the flow.
@@ -62,9 +63,11 @@ GOOD_NAMES = frozenset("article content main post entry story body text prose".s
 #: The classifier: what fit_weights gives over 1,500 pages, but for the bias, which is set: a few words that nothing marks are rarely prose.
 WEIGHTS = {"word": 0.1, "links": -3.0, "no_sentence": -0.7, "heading": 1.8, "bias": -0.6}
 MOST_WORDS = 40
-#: What ties a block to the marked element around it: bad ones, article and main, and good names; and the smoothness between neighbours of
-#: one container, of near ones (beyond TOO_FAR steps in the tree there is none), and between blocks of a container.
-BAD, GOOD, NAMED, NEAR, FAR, SAME, TOO_FAR = 8.0, 6.0, 2.5, 1.5, 3.0, 0.75, 16
+#: What a mark adds to the score: bad ones (more than any text and its edges, as readers' comments are prose, too), article and main, and good names (weak: they don't outweigh text).
+BAD, GOOD, NAMED = 8.0, 1.0, 1.0
+#: The smoothness between a block and the marked element around it, between neighbours of one container, of near ones (beyond TOO_FAR steps in
+#: the tree there is none), and between blocks of a container.
+TIE, NEAR, FAR, SAME, TOO_FAR = 1.0, 1.5, 1.0, 0.75, 16
 
 
 class Block(NamedTuple):
@@ -249,11 +252,16 @@ def features(block: Block) -> list[float]:
     return [float(words), min(1.0, block.links / len(block.text)), float(not ends), float(block.tag in HEADINGS), 1.0]
 
 
-def score(block: Block) -> float:
+def text_score(block: Block) -> float:
     """Above 0: content, as far as its own text tells."""
     return sum(w * x for w, x in zip(WEIGHTS.values(), features(block), strict=True))
 
 
+def score(block: Block) -> float:
+    """Above 0: content, as far as its own text and its mark tell."""
+    return text_score(block) + block.mark
+
+
 def fit_weights(pages: list[str], steps: int = 3000, strength: float = 0.003) -> dict[str, float]:
     """The weights of a logistic regression that tells blocks in elements marked as content from those in elements marked as boilerplate."""
     found = [b for page in pages for b in blocks_of(page) if b.mark]
@@ -347,9 +355,8 @@ def graph_of(tree: Tree) -> tuple[list[float], dict[tuple[int, int], float]]:
         if b.mark:
             if b.hub not in hubs:
                 hubs[b.hub] = len(scores)
-                scores.append(0.0)
-            scores[hubs[b.hub]] += b.mark  # a marked element is as sure as all that ties it to its blocks
-            edges[i, hubs[b.hub]] = abs(b.mark)
+                scores.append(0.0)  # its blocks alone decide its side
+            edges[i, hubs[b.hub]] = TIE
     return scores, edges
 
 
