@@ -14,28 +14,30 @@ from .sequential import PACK_LIMIT
 def next_starts(cues: DataFrame, keys: list[str], limit: float = PACK_LIMIT) -> DataFrame:
     """Cues (keys, i, start, end) with to: the first later cue whose end lies limit or more behind this one's start, where a group that starts here would end; null if none.
 
-    i numbers an entry's cues from 0; starts must not fall. A cue that lasts limit or more ends the group of every cue before it. Among the others none reaches limit behind a later
-    cue's start, so the running maximum of their ends tells the first that does: one sort of ends and asked times together.
+    i numbers an entry's cues from 0; starts must not fall nor be negative. A cue that lasts limit or more ends the group of every cue before it. Among the others none reaches limit behind
+    a later cue's start, so the running maximum of their ends tells the first that does: one sort of ends and asked times together.
     """
-    inside = W.partitionBy(*keys).orderBy("i")
+    inside = W.partitionBy(*keys)
     long = F.col("end") - F.col("start") >= limit
     rows = cues.withColumns(
         {
-            "_top": F.max(F.when(~long, F.col("end"))).over(inside.rowsBetween(W.unboundedPreceding, 0)),
-            "_long": F.min(F.when(long, F.col("i"))).over(inside.rowsBetween(1, W.unboundedFollowing)),
+            "_top": F.max(F.when(~long, F.col("end"))).over(inside.orderBy("i").rowsBetween(W.unboundedPreceding, 0)),
+            "_long": F.min(F.when(long, F.col("i"))).over(inside.orderBy(F.col("i").desc()).rowsBetween(W.unboundedPreceding, -1)),  # a frame to the end would be summed up anew for each row
         }
     )
     both = rows.withColumn("_side", F.explode(F.array(F.lit(0), F.lit(1))))  # 0: what a cue reaches, 1: what it asks for
-    value = F.when(F.col("_side") == 0, F.col("_top")).otherwise(F.col("start") + limit)
+    # start + limit and end - start may round to either side: the difference decides, as in the definition. What is asked for is the least double that lies limit or more behind the start.
+    at = F.col("start") + F.lit(float(limit))
+    near = F.transform(F.array(*[F.lit(float(k)) for k in range(-4, 5)]), lambda k: at + k * at * F.lit(2.0**-53))
+    value = F.when(F.col("_side") == 0, F.col("_top")).otherwise(F.array_min(F.filter(near, lambda v: v - F.col("start") >= limit)))
     falling = W.partitionBy(*keys).orderBy(F.col("_value").desc_nulls_last(), "_side").rowsBetween(W.unboundedPreceding, 0)
-    # start + limit and end - start may round to either side: the difference decides, as in the definition.
     seen = both.withColumn("_value", value).withColumn("_first", F.min(F.when((F.col("_side") == 0) & F.col("_top").isNotNull(), F.col("i"))).over(falling))
     return seen.where("_side = 1").withColumn("to", F.least("_first", "_long")).drop("_side", "_value", "_first", "_top", "_long")
 
 
 def reached(jumps: DataFrame, keys: list[str]) -> DataFrame:
-    """(keys, at): what is reached from 0 along jumps (keys, at, to) that lead onwards. Each round doubles both the jumps and what is reached."""
-    jumps = cut(jumps.where("to is not null").select(*keys, "at", "to"))
+    """(keys, at): what is reached from 0 along jumps (keys, at, to) that lead onwards (others would never end and are no jumps). Each round doubles both the jumps and what is reached."""
+    jumps = cut(jumps.where("to > at").select(*keys, "at", "to"))
     found, n = cut(jumps.where("at = 0").select(*keys, "at")), 0
     while (now := found.count()) > n:
         n = now

@@ -344,3 +344,18 @@ def test_a_source_is_normalised(spark):
     got = run(rescore=True)
     assert got["old"]["status"] == "rescored" and got["old"]["quality_score"] == 0.5 and {r["entry"] for r in source.rows} == {"new", "old"}
     assert run(force=True)["old"]["words_count"] == 6
+
+
+def test_packing_where_sums_round(spark):
+    """end - start falls short of the limit, but start + limit rounds down to end: such a cue once led to itself, and the doubling never ended."""
+    starts = [s for s in (i / 20 for i in range(200_000, 240_000)) if (e := (round(s * 20) + 598) / 20) - s < 29.9 <= 29.9 + s <= e][:3]
+    assert starts
+    cues = [c for s in starts for c in [(s, (round(s * 20) + 598) / 20), (s + 1, s + 2), (s + 40, s + 41)]]
+    cues = sorted(cues)
+    rows = [(1, i, a, b) for i, (a, b) in enumerate(cues)]
+    jumps = P.next_starts(spark.createDataFrame(rows, "k long, i long, start double, end double"), ["k"]).collect()
+    for j in jumps:
+        want = next((i for i in range(j["i"] + 1, len(cues)) if cues[i][1] - j["start"] >= S.PACK_LIMIT), None)
+        assert j["to"] == want, j
+    got = P.pack_captions(spark.createDataFrame([(*r, "x") for r in rows], "k long, pos long, start double, end double, text string"), ["k"])
+    assert sorted((r["first_pos"], r["last_pos"]) for r in got.collect()) == S.greedy_groups(cues)
