@@ -13,7 +13,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
 from .functions import text as T
-from .functions.vectors import cosine
 from .operators import clusters as K
 from .operators import lags as G
 from .operators import matching as M
@@ -23,6 +22,7 @@ from .operators import relational as R
 from .operators import scans as X
 from .operators import sequential as S
 from .operators import timeline as L
+from .operators.neighbours import most_alike
 from .plans import corpus, recovery
 from .sources import captions as C
 from .sources import sinks
@@ -462,14 +462,7 @@ def locate_prefix(spark, sf):
 def cosine_topk(spark, sf):
     rows = _t(spark, sf, "embeddings").select("vec_id", "embedding")
     # The stated query set, every row whose id is divisible by 100, against all rows.
-    # It is cut into blocks of bounded size, which rows join by number: no nested loop, and no broadcast but of what Spark finds small.
-    asked = R.batches(rows.where("vec_id % 100 = 0"), [F.col("vec_id")], 256).withColumnRenamed("batch", "block")
-    blocks = asked.groupBy("block").agg(F.collect_list(F.struct("vec_id", "embedding")).alias("_asked"))
-    n = asked.agg(F.max("block")).first()[0]
-    pairs = rows.withColumn("block", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(n).cast("long")))).join(blocks, "block").select("vec_id", "embedding", F.explode("_asked").alias("_a"))
-    scored = pairs.where("_a.vec_id != vec_id").select(F.col("_a.vec_id").alias("query"), "vec_id", cosine(F.col("_a.embedding"), F.col("embedding")).alias("similarity"))
-    best = scored.withColumn("rank", F.row_number().over(W.partitionBy("query").orderBy(F.round("similarity", 9).desc(), "vec_id"))).where("rank <= 5")
-    return best.select("query", "vec_id", "rank", F.round("similarity", 5).alias("similarity"))
+    return most_alike(rows.where("vec_id % 100 = 0"), rows, "vec_id", "embedding", 5).select("query", "vec_id", "rank", F.round("similarity", 5).alias("similarity"))
 
 
 def _marked(spark, sf):

@@ -6,6 +6,7 @@ import zlib
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import Window as W
 
 from cantilena.operators import clusters as K
 from cantilena.operators import lags as G
@@ -359,3 +360,22 @@ def test_packing_where_sums_round(spark):
         assert j["to"] == want, j
     got = P.pack_captions(spark.createDataFrame([(*r, "x") for r in rows], "k long, pos long, start double, end double, text string"), ["k"])
     assert sorted((r["first_pos"], r["last_pos"]) for r in got.collect()) == S.greedy_groups(cues)
+
+def test_most_alike_in_blocks(spark, monkeypatch):
+    from cantilena.functions.vectors import cosine
+    from cantilena.operators import neighbours as N
+
+    monkeypatch.setattr(N, "QUERY_BLOCK", 3)
+    monkeypatch.setattr(N, "ROW_BLOCK", 17)
+    r = random.Random(5)
+    vectors = [[r.choice([-1.0, 0.5, 0.25, r.random()]) for _ in range(4)] for _ in range(120)]
+    for i in range(30, 70):
+        vectors[i] = vectors[31] if i % 2 else [2 * x for x in vectors[31]]  # copies and multiples: ties go by id
+    vectors[0], vectors[20], vectors[40], vectors[7], vectors[8], vectors[9], vectors[11] = None, [0.0] * 4, [1.0, None, 0.0, 0.0], [float("nan")] * 4, [1.0, 2.0], [], [float("inf"), 1.0, 0.0, 0.0]
+    vectors[80], vectors[100] = [1.0, 2.0], vectors[7]
+    df = spark.createDataFrame(list(enumerate(vectors)), "vec_id long, embedding array<float>").repartition(3)
+    got = N.most_alike(df.where("vec_id % 10 = 0"), df, "vec_id", "embedding", 5).collect()
+    pairs = df.where("vec_id % 10 = 0").select(F.col("vec_id").alias("query"), F.col("embedding").alias("a")).crossJoin(df).where("query != vec_id").withColumn("s", cosine(F.col("a"), F.col("embedding")))
+    want = pairs.withColumn("rank", F.row_number().over(W.partitionBy("query").orderBy(F.round("s", 9).desc(), "vec_id"))).where("rank <= 5").collect()
+    assert len(want) == 60 and sorted((x["query"], x["rank"], x["vec_id"], repr(x["similarity"])) for x in got) == sorted((x["query"], x["rank"], x["vec_id"], repr(x["s"])) for x in want)
+    assert N.most_alike(df.where("vec_id < 0"), df, "vec_id", "embedding", 5).count() == 0
