@@ -1,14 +1,17 @@
 """The alignment controller: where words lose the audio, go back to a sure segment and try again, at last skip the stretch and go on behind it.
 
 `recovered` advances all entries at once. A table holds each entry's state: where its audio goes on, the text left, the zone of confusion, how often it was tried. A step sends
-every entry's text through the model, judges the answer by joins, and writes what is settled; entries that are through leave the table. `align_with_recovery` is the same for
-one entry in plain Python, which tests hold it against.
+every entry's text through the model, judges the answer by joins, and writes what is settled; entries that are through leave the table. Its steps follow the entry with the most
+confusion, so it is made for models that must answer many entries at once. `recovered_by_entry` shares entries out instead, for models that answer one text at a time: one job,
+however long an entry is. `align_with_recovery` is one entry in plain Python, which tests hold both against.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator, Sequence
+from collections import deque
+from collections.abc import Callable, Iterable, Iterator, Sequence
 from dataclasses import dataclass
+from itertools import takewhile
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -114,16 +117,63 @@ def skip_of(original: Sequence[Segment], text: str, around: float, zone_end: flo
     return Skip(near[i], at, max(behind, near[i] + 1)), max(behind, near[i] + 1)
 
 
-def align_with_recovery(original: Sequence[Segment], align: Aligner, settings: ControlSettings = ControlSettings()) -> list[Segment]:
+#: What an aligner said of a text: segments, the zone of confusion or None, and the text behind segment i.
+Heard = tuple[list[Segment], tuple[float, float] | None, Callable[[int], str]]
+
+
+def heard_whole(got: Sequence[Segment], start: float, text: str, s: ControlSettings) -> Heard | None:
+    """None if there are no words."""
+    words = [w for seg in got for w in seg["words"]]
+    if not words:
+        return None
+    found = zone_of(words, s) if got[0]["start"] != got[-1]["end"] else (start, start + s.least_skip)
+    return list(got), found, lambda i: s.joiner.join(x["text"] for x in got[i + 1 :])
+
+
+def heard_in_order(said: Iterable[Segment], start: float, text: str, s: ControlSettings) -> Heard | None:
+    """heard_whole of segments and words in order of time, whose texts, joined, are the text: no more of them is drawn than the first zone needs."""
+    said, got, words = iter(said), [], deque()
+
+    def draw() -> bool:
+        if (seg := next(said, None)) is None:
+            return False
+        got.append(seg)
+        words.extend(seg["words"])
+        return True
+
+    def behind(i: int) -> str:
+        return text[sum(len(x["text"]) + len(s.joiner) for x in got[: i + 1]) :]
+
+    while not words or got[-1]["end"] <= got[0]["start"]:
+        if not draw():
+            return (got, (start, start + s.least_skip) if got[0]["start"] == got[-1]["end"] else None, behind) if words else None
+    at = first = words[0][1]
+    k = 0
+    while True:
+        while words[-1][1] < at + s.window or words[-1][2] <= at + s.window:
+            if not draw():
+                break
+        if not at + s.window < words[-1][2]:
+            return got, None, behind
+        while words[0][2] <= at:  # later windows don't see it either
+            words.popleft()
+        inside = list(takewhile(lambda w: w[1] < at + s.window, words))
+        bad = sum(max(0.1, w[2] - w[1]) for w in inside if w[3] < BAD)
+        good = sum(w[2] - w[1] for w in inside if w[3] >= BAD)
+        if not good or bad / good > s.limit:
+            return got, (at, at + s.window), behind
+        k += 1
+        at = first + k * s.hop
+
+
+def align_with_recovery(original: Sequence[Segment], align: Aligner, settings: ControlSettings = ControlSettings(), heard: Callable[..., Heard | None] = heard_whole) -> list[Segment]:
     """Aligns an entry's segments (start, end, text: the transcript with rough times). What is skipped is aligned inside its bounds."""
     s, out, start, text = settings, [], 0.0, settings.joiner.join(x["text"] for x in original)
     zone, tries, matched = (0.0, 0.0), 0, 0.0
     while text:
-        got = align(start, None, text)
-        words = [w for seg in got for w in seg["words"]]
-        if not words:
+        if (answer := heard(align(start, None, text), start, text, s)) is None:
             break
-        found = zone_of(words, s) if got[0]["start"] != got[-1]["end"] else (start, start + s.least_skip)
+        got, found, behind_of = answer
         if found is None:
             out += got
             break
@@ -132,7 +182,7 @@ def align_with_recovery(original: Sequence[Segment], align: Aligner, settings: C
         if at is not None:
             out += got[: at + 1]
             start = around = got[at]["end"]
-            text = s.joiner.join(x["text"] for x in got[at + 1 :])
+            text = behind_of(at)
             if tries < s.tries:
                 tries += 1
                 continue
@@ -290,3 +340,21 @@ def recovered(original: DataFrame, model: Callable[[DataFrame], DataFrame], key:
     for p in pieces[1:]:
         every = every.unionByName(p)
     return every.withColumn("piece", F.row_number().over(W.partitionBy(key).orderBy("turn", "seg")) - 1).select(key, "piece", "start", "end", "text", "words")
+
+
+def recovered_by_entry(original: DataFrame, voice: Callable[[object], Callable[[float, float | None, str], Iterable[Segment]]], key: str = "entry", settings: ControlSettings = ControlSettings()) -> DataFrame:
+    """recovered for an aligner of one text that voice gives for a key: entries are shared out among tasks, each of which sees one entry at a time.
+
+    Segments and words must come in order of time, their texts, joined, be the request's; they may come one by one, and what lies behind a zone of confusion isn't drawn. So an entry costs its zones,
+    not its zones times its length.
+    """
+
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values("id")
+        whole = [{"start": a, "end": b, "text": x} for a, b, x in zip(pdf["start"].tolist(), pdf["end"].tolist(), pdf["text"], strict=True)]
+        out = align_with_recovery(whole, voice(pdf[key].iloc[0]), settings, heard_in_order)
+        rows = [(pdf[key].iloc[0], i, x["start"], x["end"], x["text"], [dict(zip(("word", "start", "end", "prob"), w, strict=True)) for w in x["words"]]) for i, x in enumerate(out)]
+        return pd.DataFrame(rows, columns=[key, "piece", "start", "end", "text", "words"])
+
+    schema = f"`{key}` {dict(original.dtypes)[key]}, piece int, start double, end double, text string, words {WORDS}"
+    return original.select(key, "id", "start", "end", "text").groupBy(key).applyInPandas(run, schema)

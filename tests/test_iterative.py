@@ -379,3 +379,42 @@ def test_most_alike_in_blocks(spark, monkeypatch):
     want = pairs.withColumn("rank", F.row_number().over(W.partitionBy("query").orderBy(F.round("s", 9).desc(), "vec_id"))).where("rank <= 5").collect()
     assert len(want) == 60 and sorted((x["query"], x["rank"], x["vec_id"], repr(x["similarity"])) for x in got) == sorted((x["query"], x["rank"], x["vec_id"], repr(x["s"])) for x in want)
     assert N.most_alike(df.where("vec_id < 0"), df, "vec_id", "embedding", 5).count() == 0
+
+
+def test_hash_of_spark(spark):
+    from cantilena.functions.hashes import xxhash64
+
+    texts = ["", "a", "abcd", "abcdefgh", "é" * 11, "x" * 31, "y" * 32, "z" * 77, "0123456789ab"]
+    got = spark.createDataFrame([(i - 3, t) for i, t in enumerate(texts)], "n long, t string").select("n", "t", F.xxhash64("t").alias("h"), F.xxhash64("n", "n", "t").alias("m")).collect()
+    assert [(r["h"], r["m"]) for r in got] == [(xxhash64(r["t"]), xxhash64(r["n"], r["n"], r["t"])) for r in got]
+
+
+def test_recovery_by_entry_draws_what_a_zone_needs(spark):
+    """A long entry of many zones, which once cost some thirty jobs a step: the same segments, and not all of the text is heard at each try."""
+    s, drawn = R.ControlSettings(window=8.0, hop=2.0, least_skip=3.0, most_skip=24.0, back=6.0, radius=54.0, probe=18), [0]
+
+    def voice(key):
+        def align(start, stop, text):
+            words = text.split()
+            for i in range(0, len(words), 4):
+                drawn[0] += 1
+                at = [start + (i + k) / 4 for k in range(5)]
+                said = [(w, at[k], at[k + 1], 0.1 if stop is None and zlib.crc32(f"{key}{int(at[k] / 10)}".encode()) % 3 == 0 else 0.75 + len(w) % 2 / 4) for k, w in enumerate(words[i : i + 4])]
+                yield {"start": said[0][1], "end": said[-1][2], "text": " ".join(words[i : i + 4]), "words": said}
+
+        return align
+
+    r, rows, want = random.Random(6), [], []
+    for k, n in enumerate([0, 1, 2, 40, 400]):
+        texts = [" ".join("w" * r.randint(1, 6) + str(r.randint(0, 50)) for _ in range(r.randint(1, 30))) for _ in range(n)]
+        ends = np.cumsum([len(t.split()) / 5 for t in texts]).tolist()
+        whole = [{"start": a, "end": b, "text": t} for a, b, t in zip([0.0, *ends], ends, texts, strict=False)]
+        rows += [(k, i, x["start"], x["end"], x["text"]) for i, x in enumerate(whole)]
+        drawn[0] = 0
+        eager = R.align_with_recovery(whole, lambda *a, v=voice(k): list(v(*a)), s)
+        all_drawn, drawn[0] = drawn[0], 0
+        assert R.align_with_recovery(whole, voice(k), s, R.heard_in_order) == eager
+        assert n < 400 or drawn[0] * 10 < all_drawn
+        want += [(k, i, x["start"], x["end"], x["text"], x["words"]) for i, x in enumerate(eager)]
+    got = R.recovered_by_entry(spark.createDataFrame(rows, "entry long, id long, start double, end double, text string").repartition(3), voice, "entry", s).collect()
+    assert sorted((g["entry"], g["piece"], g["start"], g["end"], g["text"], [tuple(w) for w in g["words"]]) for g in got) == want
