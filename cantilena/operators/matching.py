@@ -107,11 +107,12 @@ def rarity(text: str) -> dict[str, float]:
 
 def sliding_histograms(text: str, weights: dict[str, float], width: int) -> np.ndarray:
     """For each character, the weighted shares of the alphabet in the window of width centred on it."""
-    letters = {c: i for i, c in enumerate(sorted(weights))}
+    codes, letters = np.fromiter(map(ord, text), np.int64, len(text)), np.asarray([ord(c) for c in sorted(weights)], np.int64)
     hot = np.zeros((len(text) + 1, len(letters)))
-    for i, c in enumerate(text):
-        if c in letters:
-            hot[i + 1, letters[c]] = 1
+    if len(letters):
+        k = np.minimum(np.searchsorted(letters, codes), len(letters) - 1)
+        known = np.flatnonzero(letters[k] == codes)
+        hot[known + 1, k[known]] = 1
     total, half, at = hot.cumsum(0), width // 2, np.arange(len(text))
     counts = total[np.minimum(at + half + 1, len(text))] - total[np.maximum(at - half, 0)]
     shares = counts / np.maximum(counts.sum(1, keepdims=True), 1)
@@ -179,8 +180,121 @@ def warp_ends(query: np.ndarray, reference: np.ndarray, rows: int = 16) -> tuple
     return float(total[j] / n), int(start[j]), j
 
 
+#: Rows at either end of a query that nearest_warp warps over the whole reference, and how far sums of the same costs may lie apart.
+EDGE_ROWS, ROUNDING = 16, 1e-9
+
+
+def _edge_totals(query: np.ndarray, reference: np.ndarray) -> np.ndarray:
+    """The least totals of some rows at each column."""
+    total = np.empty(0)
+    for cost in 1 - query @ reference:
+        if len(total):
+            best = total.copy()
+            for k in (1, 2):
+                if len(total) > k:
+                    np.minimum(best[k:], total[:-k], out=best[k:])
+            cost += best
+        total = cost
+    return total
+
+
+def _kept_row(cells: tuple[np.ndarray, np.ndarray, np.ndarray], row: np.ndarray, reference: np.ndarray, most: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Columns, totals and starts after a row more, of the cells of the row before; only totals up to most stay."""
+    columns, total, start = cells
+    new = np.unique(np.concatenate([columns, columns + 1, columns + 2]))
+    new = new[new < reference.shape[1]]
+    best, come = np.full(len(new), np.inf), np.zeros(len(new), start.dtype)
+    for k in (0, 1, 2):
+        at = np.minimum(np.searchsorted(columns, new - k), len(columns) - 1)
+        better = (columns[at] == new - k) & (total[at] < best)
+        best[better], come[better] = total[at[better]], start[at[better]]
+    best += 1 - row @ reference[:, new]
+    stay = best <= most
+    return new[stay], best[stay], come[stay]
+
+
+def _straight_on(cells: tuple[np.ndarray, np.ndarray, np.ndarray], query: np.ndarray, reference: np.ndarray, most: float) -> tuple[int, tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """How many rows every cell goes straight on, as any other step would exceed most, and the cells then."""
+    columns, total, start = cells
+    rows = min(len(query), reference.shape[1] - 1 - int(columns[-1]))
+    if rows < 1:
+        return 0, cells
+    ahead = columns[:, None] + np.arange(1, rows + 1)
+    aside = np.full(ahead.shape, np.inf)
+    for k in (-1, 1):
+        inside = np.minimum(ahead + k, reference.shape[1] - 1)
+        cost = 1 - np.einsum("rl,lcr->cr", query[:rows], reference[:, inside])
+        np.minimum(aside, np.where(ahead + k < reference.shape[1], cost, np.inf), out=aside)
+    cost = 1 - np.einsum("rl,lcr->cr", query[:rows], reference[:, ahead])
+    sums = np.concatenate([total[:, None], cost], axis=1).cumsum(1)
+    # What stays below this bound, all costs before it being at least -ROUNDING in sum, could turn aside or end here.
+    bad = ((total[:, None] + aside <= most + ROUNDING) | (sums[:, 1:] > most)).any(0)
+    n = int(bad.argmax()) if bad.any() else rows
+    return n, (columns + n, sums[:, n], start)
+
+
+def nearest_warp(query: np.ndarray, reference: np.ndarray, edge: int = EDGE_ROWS) -> tuple[float, int, int]:
+    """warp_ends without most of its cells: what can't lead to the best total is left out.
+
+    Costs aren't negative. The first rows are warped over all columns, and so are the last, backwards: their least total is what any path still has to pay. Straight paths from the best columns
+    give a total that the best one doesn't exceed; cells whose total and what is still to pay exceed it are dropped. A base that stands in the reference leaves one cell a row, one that doesn't more, at worst all.
+    """
+    n, m = len(query), reference.shape[1]
+    if n < 4 * edge or m < 2:
+        return warp_ends(query, reference)
+    used = query.any(0)
+    part, columns = np.ascontiguousarray(query[:, used]), reference[used]
+    first = _edge_totals(part[:edge], columns)
+    still = _edge_totals(part[n - edge :][::-1], columns[:, ::-1])[::-1]  # from the column of row n - edge on
+    least, inner = float(still.min()) - ROUNDING, n - 2 * edge
+    most, last, near = np.inf, 0, min(4, m)
+    for j in np.argpartition(first, near - 1)[:near]:
+        along = j + np.arange(1, inner + 1)
+        if along[-1] + 1 < m:
+            straight = 1 - np.einsum("lr,lr->r", part[edge : n - edge].T, columns[:, along[0] : along[-1] + 1])
+            total = float(first[j] + straight.sum())
+            if (then := total + float(still[along[-1] : along[-1] + 3].min())) < most:
+                most, last, reached = then, int(along[-1]), total
+    bound = most - least + ROUNDING
+    alive = np.flatnonzero(first <= bound)
+    if not np.isfinite(most) or len(alive) > max(64, m // 64):
+        return warp_ends(query, reference)
+    lo = max(0, int(alive[0]) - 2 * edge + 2)
+    ends = np.flatnonzero(still <= most - float(first.min()) + ROUNDING)
+    if most - float(first.min()) - float(still.min()) <= ROUNDING and alive[-1] - lo <= 32 * edge and ends[0] >= last and ends[-1] <= last + 2:
+        # The straight path is as good as any: if all that stays has one start and one end, these are the best path's.
+        _, starts = advanced(np.empty(0), np.arange(lo, alive[-1] + 1, dtype=np.int32), part[:edge], columns[:, lo : alive[-1] + 1].T)
+        starts = np.unique(starts[alive - lo])
+        tail = columns[:, last : last + 2 * edge + 1].T
+        totals, _ = advanced(np.where(np.arange(len(tail)) == 0, reached, np.inf), np.zeros(len(tail), np.int32), part[n - edge :], tail)
+        if len(starts) == 1 and (totals <= totals.min() + ROUNDING).sum() == 1:
+            return float(totals.min() / n), int(starts[0]), last + int(totals.argmin())
+    # Totals and starts of the cells that stay, from the columns that lead to them.
+    cells = (np.unique((alive[:, None] - np.arange(2 * edge - 1)).clip(0)), *(np.empty(0),) * 2)
+    cells = (cells[0], 1 - part[0] @ columns[:, cells[0]], cells[0].astype(np.int32))
+    for i in range(1, edge):
+        cells = _kept_row(cells, part[i], columns, bound)
+    i, wait = edge, 0
+    while i < n:
+        if len(cells[0]) > max(64, m // 16):
+            return warp_ends(query, reference)
+        ahead = 0
+        if i < n - edge and not wait and len(cells[0]) <= 16:
+            ahead, cells = _straight_on(cells, part[i : n - edge], columns, bound)
+            wait = 0 if ahead else 4
+        if ahead:
+            i += ahead
+            continue
+        cells = _kept_row(cells, part[i], columns, bound if i < n - edge else most + 2 * ROUNDING)
+        i, wait = i + 1, max(0, wait - 1)
+    best = int(cells[1].argmin())
+    return float(cells[1][best] / n), int(cells[2][best]), int(cells[0][best])
+
+
 #: Rows of the query that a superstep of tiled_warp takes, columns of a tile (twice the rows at least), and the product of lengths from which align_splits uses tiles.
 TILE_ROWS, TILE_COLUMNS, TILED_FROM = 512, 4096, 2**31
+#: Splits of an entry that one task takes, for which the histograms of their reference are made once.
+TOGETHER = 16
 
 
 def piece_shares(text: str, lo: int, begin: int, end: int, weights: dict[str, float], width: int) -> np.ndarray:
@@ -327,7 +441,7 @@ def align_text(base: str, reference: str, weights: dict[str, float], *, width: i
     if not any(c in weights for c in base) or not any(c in weights for c in reference):
         return base, float("inf"), True
     shares = reference_shares(reference, weights, width, step) if shares is None else shares
-    distance, first, last = warp_ends(unit_rows(sliding_histograms(base, weights, width)[::step]), shares)
+    distance, first, last = nearest_warp(unit_rows(sliding_histograms(base, weights, width)[::step]), shares)
     return cut_out(base, reference, weights, distance, first * step, last * step, limit)
 
 
@@ -354,15 +468,21 @@ def align_splits(splits: DataFrame, keys: list[str], *, width: int = 20, limit:
     """splits (keys, split_idx, base, reference): with aligned, alignment_distance and is_fallback; weights come from an entry's references.
     step: every which character is compared.
 
-    Splits are dealt out one by one, so a long entry is shared by many tasks; a split meets its own reference only. A split whose lengths multiply to more than tiled_from is itself
+    Splits are dealt out a few neighbours (by split_idx, a number) at a time, so a long entry is shared by many tasks; a split meets its own reference only. A split whose lengths multiply to more than tiled_from is itself
     shared by many tasks, in tiles (if every character is compared).
     """
     kinds = dict(splits.dtypes)
     columns = [*keys, "split_idx", "base", "reference"]
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        known, shares = None, None  # of the last reference: those of an entry follow each other
         for pdf in batches:
-            got = [align_text(b or "", r or "", dict(w or {}), width=width, limit=limit, step=step) for b, r, w in zip(pdf["base"], pdf["reference"], pdf.pop("weights"), strict=True)]
+            got = []
+            for b, r, w in zip(pdf["base"], pdf["reference"], pdf.pop("weights"), strict=True):
+                reference, weights = r or "", dict(w or {})
+                if known != (reference, weights):
+                    known, shares = (reference, weights), reference_shares(reference, weights, width, step) if reference and weights else None
+                got.append(align_text(b or "", reference, weights, width=width, limit=limit, step=step, shares=shares))
             yield pdf.assign(aligned=[g[0] for g in got], alignment_distance=[g[1] for g in got], is_fallback=[g[2] for g in got])
 
     def finish(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -374,9 +494,10 @@ def align_splits(splits: DataFrame, keys: list[str], *, width: int = 20, limit:
     rows = splits.select(*columns).join(raw_weights(splits.select(*keys, "reference"), keys, "reference"), keys, "left")
     # Little data and much work: adaptive execution would gather it in one task, but leaves a number of partitions that is asked for.
     tasks = max(int(splits.sparkSession.conf.get("spark.sql.shuffle.partitions")), 4 * splits.sparkSession.sparkContext.defaultParallelism)
+    dealt = lambda df: df.repartition(tasks, F.xxhash64(*keys, F.floor(F.col("split_idx") / TOGETHER))).sortWithinPartitions(*keys).mapInPandas(run, schema)
     cells = F.coalesce(F.length("base").cast("long") * F.length("reference"), F.lit(0))
     if step != 1 or (splits.agg(F.max(cells)).first()[0] or 0) <= tiled_from:
-        return rows.repartition(tasks, F.xxhash64(*columns)).mapInPandas(run, schema)
+        return dealt(rows)
     # Texts without a known character are left to align_text, which takes them as they are.
     large = (cells > tiled_from) & F.exists(F.map_keys("weights"), lambda c: F.contains("base", c))
     known = [*keys, "split_idx", F.md5(F.col("base").cast("binary")).alias("_base"), F.md5(F.col("reference").cast("binary")).alias("_reference")]
@@ -384,7 +505,7 @@ def align_splits(splits: DataFrame, keys: list[str], *, width: int = 20, limit:
     wide = rows.where(large).select("*", *known[len(keys) + 1 :])
     warped = tiled_warp(wide.dropDuplicates(ids).select(*ids, "base", "reference", "weights"), ids, width=width)
     tiled = wide.join(warped, ids).repartition(tasks, F.xxhash64(*columns)).mapInPandas(finish, schema)
-    return rows.where(~F.coalesce(large, F.lit(False))).repartition(tasks, F.xxhash64(*columns)).mapInPandas(run, schema).unionByName(tiled)
+    return dealt(rows.where(~F.coalesce(large, F.lit(False)))).unionByName(tiled)
 
 
 def locate_text(window: Column, wanted: Column, radii: Sequence[int], centre: Column) -> Column:

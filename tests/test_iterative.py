@@ -418,3 +418,24 @@ def test_recovery_by_entry_draws_what_a_zone_needs(spark):
         want += [(k, i, x["start"], x["end"], x["text"], x["words"]) for i, x in enumerate(eager)]
     got = R.recovered_by_entry(spark.createDataFrame(rows, "entry long, id long, start double, end double, text string").repartition(3), voice, "entry", s).collect()
     assert sorted((g["entry"], g["piece"], g["start"], g["end"], g["text"], [tuple(w) for w in g["words"]]) for g in got) == want
+
+
+def test_warp_without_most_cells(monkeypatch):
+    """Bases that stand in the reference, are worn, stand there twice or nowhere: the ends and distances of warp_ends, and for most of those that stand there not by it."""
+    r, whole = random.Random(11), [0]
+    text = lambda n: "".join(r.choice("eeeetaaoinsrh  ") for _ in range(n))
+    whole_warp = M.warp_ends
+    monkeypatch.setattr(M, "warp_ends", lambda *a: whole.__setitem__(0, whole[0] + 1) or whole_warp(*a))
+    for kind in ("in", "in", "in", "in", "begin", "end", "worn", "worn", "twice", "nowhere", "short", "longer", "one"):
+        reference = text(1500)
+        at = {"begin": 0, "end": 1200}.get(kind, 700)
+        base = text(300) if kind == "nowhere" else "e" * 100 if kind == "one" else reference[at : at + (40 if kind == "short" else 300)]
+        if kind == "worn":
+            base = "".join(c for c in base if r.random() > 0.08)
+        reference = {"twice": reference + base + text(50), "longer": base[:200]}.get(kind, reference)
+        weights, before = M.rarity(reference), whole[0]
+        query, columns = M.unit_rows(M.sliding_histograms(base, weights, 20)), M.reference_shares(reference, weights)
+        want, got = whole_warp(query, columns), M.nearest_warp(query, columns)
+        assert got[0] == pytest.approx(want[0], abs=1e-12), kind
+        assert got[1:] == want[1:] or kind in ("twice", "one"), kind
+        assert whole[0] == before or kind not in ("in", "begin", "end"), kind
