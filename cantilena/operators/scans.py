@@ -8,7 +8,7 @@ from __future__ import annotations
 
 import bisect
 import math
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
@@ -129,46 +129,51 @@ def repaired_by_scan(pointers: DataFrame, keys: list[str], most: float = 30.0, s
     return dealt.join(known, [*keys, "part"], "left").withColumn("begin", F.coalesce("begin", F.lit(0.0))).groupBy(*keys, "part").applyInPandas(walk, f"{named}, idx long, sec double")
 
 
-def speech_by_stretches(frames: DataFrame, keys: list[str], settings: VadSettings = VadSettings(), stretch: int = 180_000) -> DataFrame:
+def speech_by_stretches(frames: DataFrame, keys: list[str], settings: VadSettings = VadSettings(), stretch: int = 180_000, times: str | None = None) -> DataFrame:
     """Speech ranges (keys, start, end) of frames (keys, frame_idx, prob), numbered from 0 without gaps: sequential.speech_ranges for all entries at once.
 
+    times: a column of whole numbers, 1 at least: so many frames, from frame_idx on, have the row's prob. Runs are shuffled as rows and become frames only in the task that looks at them.
+
     Where a slice begins hangs on the silences of the one before, so an entry goes slice by slice; but a round takes a stretch of frames of every entry, and a slice more that its last slice may
     reach into. No task sees more of an entry than that. Rounds follow the longest entry.
     """
     s = settings
     reach, kinds = math.ceil(s.slice_seconds / s.frame) + 2, dict(frames.dtypes)
-    rows = frames.select(*keys, F.col("frame_idx").cast("long").alias("frame_idx"), F.col("prob").cast("double").alias("prob"))
-    totals = cut(rows.groupBy(*keys).agg(F.count("*").alias("n")).withColumn("total", F.col("n") * s.frame))
+    rows = frames.select(*keys, F.col("frame_idx").cast("long").alias("frame_idx"), F.col("prob").cast("double").alias("prob"), (F.col(times) if times else F.lit(1)).cast("long").alias("times"))
+    totals = cut(rows.groupBy(*keys).agg(F.sum("times").alias("n")).withColumn("total", F.col("n") * s.frame))
     state, quiet = totals.select(*keys, "total", F.lit(0.0).alias("at")), None
     last = totals.agg(F.max("n")).first()[0] or 0
     schema = ", ".join([*(f"`{k}` {kinds[k]}" for k in keys), "goes_on boolean, start double, end double"])
 
     def slices_from(base: int):
-        def run(pdf: pd.DataFrame) -> pd.DataFrame:
-            p = pdf.sort_values("frame_idx")["prob"].to_numpy()
-            at, total, out = float(pdf["at"].iloc[0]), float(pdf["total"].iloc[0]), []
-            while at < total - 1e-9 and at < (base + stretch) * s.frame:
-                end = min(at + s.slice_seconds, total)
-                found = silences(p[round(at / s.frame) - base : round(end / s.frame) - base], at, s)
-                late = [a for a, _ in found if a > end - s.overlap]
-                following = end
-                if end < total and late:  # the next slice finds the last silence again
-                    found, following = found[:-1], max(late[-1] - s.shrink, at + s.overlap)
-                out += [(False, a, b) for a, b in found]
-                at = following if following > at else end
-            got = pd.DataFrame([*out, (True, at, None)], columns=["goes_on", "start", "end"])
-            for key in reversed(keys):
-                got.insert(0, key, [pdf[key].iloc[0]] * len(got))
-            return got
+        def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            for pdf in batches:
+                out = []
+                for *key, at, total, first, times, prob in pdf.itertuples(index=False, name=None):
+                    here = np.minimum(first + times, base + stretch + reach) - np.maximum(first, base)
+                    p = np.repeat(prob, here)
+                    while at < total - 1e-9 and at < (base + stretch) * s.frame:
+                        end = min(at + s.slice_seconds, total)
+                        found = silences(p[round(at / s.frame) - base : round(end / s.frame) - base], at, s)
+                        late = [a for a, _ in found if a > end - s.overlap]
+                        following = end
+                        if end < total and late:  # the next slice finds the last silence again
+                            found, following = found[:-1], max(late[-1] - s.shrink, at + s.overlap)
+                        out += [(*key, False, a, b) for a, b in found]
+                        at = following if following > at else end
+                    out.append((*key, True, at, None))
+                yield pd.DataFrame(out, columns=[*keys, "goes_on", "start", "end"])
 
         return run
 
     for k in range(math.ceil(last / stretch)):
         base = k * stretch
         # A slice that began in the stretch before may end in this one: what is behind `at` isn't needed, what lies before the stretch neither.
-        here = rows.where((F.col("frame_idx") >= base) & (F.col("frame_idx") < base + stretch + reach))
+        here = rows.where((F.col("frame_idx") + F.col("times") > base) & (F.col("frame_idx") < base + stretch + reach))
         open_ = state.where((F.col("at") < F.col("total") - 1e-9) & (F.col("at") < (base + stretch) * s.frame))
-        made = cut(here.join(open_, keys).groupBy(*keys).applyInPandas(slices_from(base), schema))
+        # A row an entry, so that a task makes one table of many entries.
+        runs = here.join(open_, keys).groupBy(*keys).agg(F.first("at").alias("at"), F.first("total").alias("total"), F.array_sort(F.collect_list(F.struct("frame_idx", "times", "prob"))).alias("_f"))
+        made = cut(runs.select(*keys, "at", "total", "_f.frame_idx", "_f.times", "_f.prob").mapInPandas(slices_from(base), schema))
         found = made.where("not goes_on").select(*keys, "start", "end")
         quiet = found if quiet is None else quiet.unionByName(found)
         state = cut(state.join(made.where("goes_on").select(*keys, F.col("start").alias("_at")), keys, "left").select(*keys, "total", F.coalesce("_at", "at").alias("at")))

@@ -345,9 +345,9 @@ def time_index_repair_b(spark, sf):
 
 @query
 def speech_ranges(spark, sf):
-    frames = _words(spark, sf).select("entry", F.explode(F.sequence(F.lit(0), F.lit(99))).alias("_k"), "event_id", "prob")
-    at = F.row_number().over(W.partitionBy("entry").orderBy("event_id", "_k")) - 1
-    out = X.speech_by_stretches(frames.select("entry", at.alias("frame_idx"), F.when(F.col("prob") < 0.4, F.lit(0.02)).otherwise(F.lit(0.98)).alias("prob")), ["entry"], S.VadSettings(least=1.0))
+    at = (F.row_number().over(W.partitionBy("entry").orderBy("event_id")) - 1) * 100  # a word is a hundred frames
+    frames = _words(spark, sf).select("entry", at.alias("frame_idx"), F.lit(100).alias("times"), F.when(F.col("prob") < 0.4, F.lit(0.02)).otherwise(F.lit(0.98)).alias("prob"))
+    out = X.speech_by_stretches(frames, ["entry"], S.VadSettings(least=1.0), times="times")
     return out.select("entry", F.round("start", 4).alias("start"), F.round("end", 4).alias("end"))
 
 

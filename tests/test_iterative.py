@@ -439,3 +439,21 @@ def test_warp_without_most_cells(monkeypatch):
         assert got[0] == pytest.approx(want[0], abs=1e-12), kind
         assert got[1:] == want[1:] or kind in ("twice", "one"), kind
         assert whole[0] == before or kind not in ("in", "begin", "end"), kind
+
+
+def test_speech_of_runs(spark):
+    """Rows that stand for many equal frames, across stretches too; once each frame was a row of its own."""
+    r, runs, series = random.Random(15), [], {}
+    for k in range(9):
+        at, series[k] = 0, []
+        for _ in range(k * 3):
+            n, p = r.choice([1, 7, 100, 230, 900]), 0.02 if r.random() < 0.3 else 0.98
+            runs.append((k, at, p, n))
+            series[k] += [p] * n
+            at += n
+    df = spark.createDataFrame(runs, "k long, frame_idx long, prob double, n long").repartition(3)
+    got = {k: [] for k in series}
+    for x in X.speech_by_stretches(df, ["k"], S.VadSettings(least=1.0), stretch=700, times="n").orderBy("k", "start").collect():
+        got[x["k"]].append((x["start"], x["end"]))
+    assert all(got[k] == S.speech_ranges(p, S.VadSettings(least=1.0)) for k, p in series.items())
+    assert sum(map(len, got.values())) >= 15
